@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Upper-case ASCII only; other letters keep their case in every contract here.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -14,6 +16,8 @@ LOWER_BYTES = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 
 #: Largest number of rows of a lookup table that is sent to all executors.
 BROADCAST_ROWS = 500_000
+#: Texts that a Python worker takes from an Arrow batch at a time.
+TEXTS_AT_ONCE = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,3 +63,32 @@ def ascii_lower(column):
 def id_remainder(column, divisor: int):
     """crc32 of the id as text, modulo ``divisor``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % F.lit(divisor)
+
+
+def map_texts(rows: DataFrame, compute: Callable[[list[str]], tuple], fields: list[tuple[str, str]], keep_text: bool = False) -> DataFrame:
+    """Computes columns from ``text`` in Arrow batches; all other columns pass untouched (nulls and wide integers too).
+
+    ``compute`` gets the texts of a batch (no nulls) and returns (rows, columns): for each result row the number of
+    its text, or None for one row for each text, and a list of values for each of ``fields``.
+    """
+    kept = [f for f in rows.schema.fields if f.name != "text" or keep_text]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
+    names = [f.name for f in kept]
+    filled = rows.withColumn("text", F.coalesce("text", F.lit("")))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        types = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                index, columns = compute(part.column(part.schema.get_field_index("text")).to_pylist())
+                rest = [part.column(part.schema.get_field_index(n)) for n in names]
+                if index is not None:
+                    chosen = pa.array(index, pa.int64())
+                    rest = [c.take(chosen) for c in rest]
+                new = [pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)]
+                yield pa.RecordBatch.from_arrays([*rest, *new], names=[*names, *(n for n, _ in fields)])
+
+    return filled.mapInArrow(run, schema)

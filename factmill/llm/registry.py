@@ -3,8 +3,25 @@
 from __future__ import annotations
 
 from factmill.llm.decontamination import OP3_SQL, op3_benchmark_decontamination
+from factmill.llm.html_extraction import op1_html_host_consensus
+from factmill.llm.packing import op7_cutting_stock_packing
+from factmill.llm.pii import op6_pii_surrogates
 from factmill.llm.sharding import op10_rendezvous_sharding
 from factmill.llm.simhash import op8_simhash_neardup
+from factmill.llm.token_files import op9_separator_token_counts
+from factmill.llm.toxicity import op2_toxicity_grammar
 
-QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op8_simhash_neardup, op10_rendezvous_sharding)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_html_host_consensus,
+        op2_toxicity_grammar,
+        op3_benchmark_decontamination,
+        op6_pii_surrogates,
+        op7_cutting_stock_packing,
+        op8_simhash_neardup,
+        op9_separator_token_counts,
+        op10_rendezvous_sharding,
+    )
+}
 SQL = {"op3_benchmark_decontamination": OP3_SQL}

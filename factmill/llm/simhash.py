@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factmill.llm.common import LOWER_BYTES, materialize, table
+from factmill.llm.common import LOWER_BYTES, map_texts, materialize, table
 from factmill.llm.components import connected_components
 
 SHINGLE = 4
@@ -45,17 +45,13 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(bits).tobytes(), "big")
 
 
-def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        values = np.fromiter((fingerprint(t) for t in batch["text"]), np.uint64, len(batch))
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": values.view(np.int64)})
+def _fingerprints(texts: list[str]) -> tuple:
+    return None, [np.fromiter((fingerprint(t) for t in texts), np.uint64, len(texts)).view(np.int64)]
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
     """(doc_id, fp) for every row; fp is the 64-bit fingerprint as a signed long."""
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(_fingerprints, f"doc_id {kind}, fp long")
+    return map_texts(documents.select("doc_id", "text"), _fingerprints, [("fp", "long")])
 
 
 class BKForest:
