@@ -20,6 +20,8 @@ SAMPLE = 20_000
 CANDIDATES = 4_000
 ENTRIES = 400
 THRESHOLD = 0.7
+#: Least log odds of a whole word (=) and of a stem (^): there are far more stems, so chance finds stronger ones.
+LEAST_ODDS = {"=": 2.3, "^": 4.0}
 
 # Closed word classes of the grammar in English, German, French and Spanish.
 THREATS = "kill hurt shoot stab beat burn destroy töten schlagen erschießen verletzen tuer frapper blesser brûler matar golpear herir quemar".split()
@@ -158,7 +160,7 @@ def _cover(rows: list[list[str]], odds: dict[str, float]) -> list[str]:
         for e in row:
             holds.setdefault(e, set()).add(i)
     left, chosen = set(range(len(rows))), []
-    least = max(2, len(rows) // 400)
+    least = max(3, len(rows) // 50)
     while left and len(chosen) < ENTRIES:
         best = max(holds, key=lambda e: (len(holds[e] & left), odds[e], e[0] == "=", len(e), e), default=None)
         if best is None or len(holds[best] & left) < least:
@@ -210,9 +212,10 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     size = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = size.get(0, 0), size.get(1, 0)
     counts = rows.mapInPandas(_count_entries, "entry string, n0 long, n1 long").groupBy("entry").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    good = counts.where((F.col("n1") >= max(2, n1 // 200)) & (F.col("n1") * max(n0, 1) >= F.col("n0") * 20 * max(n1, 1)))
+    good = counts.where((F.col("n1") >= max(3, n1 // 50)) & (F.col("n1") * max(n0, 1) >= F.col("n0") * 20 * max(n1, 1)))
     found = good.orderBy(F.desc("n1"), "entry").limit(CANDIDATES).collect()
     odds = {r["entry"]: math.log((r["n1"] + 0.5) / (r["n0"] + 0.5)) for r in found}
+    odds = {e: o for e, o in odds.items() if o >= LEAST_ODDS[e[0]]}
     toxic = rows.where("toxic = 1").mapInPandas(_which(list(odds)), "found array<string>")
     chosen = _cover([r["found"] for r in toxic.toLocalIterator()], odds) if odds else []
     lexicon = Lexicon({e[1:]: odds[e] for e in chosen if e[0] == "="}, {e[1:]: odds[e] for e in chosen if e[0] == "^"})
