@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import html
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -122,9 +124,6 @@ def without_tags(c: Column) -> Column:
 
 def unescaped(c: Column) -> Column:
     """Character references decoded; an Arrow UDF, as no built-in function knows them all."""
-    import html
-
-    import pandas as pd
 
     @F.pandas_udf("string")
     def decode(texts: pd.Series) -> pd.Series:

@@ -10,12 +10,14 @@ from factmill.operators.records import normalize_records
 
 #: Rows of the exploded alias table up to which it is broadcast.
 BROADCAST_ALIASES = 100_000
+#: Symbols up to which patterns are part of the plan.
+LITERAL_SYMBOLS = 256
 
 
 def load_aliases(raw: DataFrame) -> DataFrame:
     """symbol, alias, kind, pattern for each distinct alias of a row; the symbol itself is put first if it is not one."""
     symbol = F.upper(F.btrim("symbol"))
-    given = F.array_distinct(F.filter(F.transform(F.split(F.coalesce("aliases", F.lit("")), r"[|,]"), F.btrim), lambda a: a != ""))
+    given = F.array_distinct(F.filter(F.transform(F.split(F.coalesce("aliases", F.lit("")), r"[|,]"), lambda a: F.btrim(a)), lambda a: a != ""))
     every = F.when(F.array_contains(given, symbol), given).otherwise(F.concat(F.array(symbol), given))
     rows = raw.select(symbol.alias("symbol"), F.explode(every).alias("alias"))
     plain = plain_dashes(F.col("alias"))
@@ -38,16 +40,22 @@ def alias_pattern(alias: Column) -> Column:
 
 
 def mentions(items: DataFrame, aliases: DataFrame, item_columns: tuple[str, ...] = ("item_id",)) -> DataFrame:
-    """Distinct (item columns, symbol) of items whose text matches an alias.
+    """(item columns, symbol): each symbol once for every item row whose text matches one of its aliases.
 
-    A match must be found by every alias' own pattern; patterns are compiled once each. Every item meets the small
-    alias table where it lies, so items are not shuffled until the distinct of what matched. An alias table beyond the
-    bound is an error rather than an unbounded broadcast.
+    Up to LITERAL_SYMBOLS symbols become one alternation each, compiled once for a task, and an item's symbols are
+    found within its row: no join and no shuffle of texts. More symbols meet the items by a broadcast of the alias table
+    and a distinct; a table beyond that bound is an error rather than an unbounded broadcast.
     """
+    text = plain_dashes(F.coalesce("text", F.lit("")))
+    bare = F.regexp_replace("pattern", r"^\(\?iu\)", "")
+    symbols = aliases.groupBy("symbol").agg(F.array_join(F.array_sort(F.collect_set(F.concat(F.lit("(?:"), bare, F.lit(")")))), "|").alias("p"))
+    found = symbols.limit(LITERAL_SYMBOLS + 1).collect()
+    if len(found) <= LITERAL_SYMBOLS:
+        hits = F.array_compact(F.array(*[F.when(F.col("_text").rlike(f"(?iu){r['p']}"), r["symbol"]) for r in sorted(found)])) if found else F.array().cast("array<string>")
+        return items.withColumn("_text", text).select(*item_columns, F.explode(hits).alias("symbol"))
     if aliases.limit(BROADCAST_ALIASES + 1).count() > BROADCAST_ALIASES:
         raise ValueError("more aliases than may be broadcast; split the table")
-    text = plain_dashes(F.coalesce("text", F.lit(""))).alias("_text")
-    hit = items.select(*item_columns, text).join(F.broadcast(aliases.select("symbol", "pattern")), F.expr("_text rlike pattern"))
+    hit = items.select(*item_columns, text.alias("_text")).join(F.broadcast(aliases.select("symbol", "pattern")), F.expr("_text rlike pattern"))
     return hit.select(*item_columns, "symbol").distinct()
 
 
