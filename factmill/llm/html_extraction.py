@@ -153,7 +153,10 @@ def text_under(found: list[Block], path: str | None) -> str:
     if not found:
         return ""
     inside = [b.text for b in found if path and (b.path == path or b.path.startswith(path + "/"))]
-    if not inside and (scores := container_scores(found)):
+    if not inside:
+        scores = container_scores(found)
+        if not scores:  # no container holds text of its own
+            return " ".join(b.text for b in found)
         best = max(sorted(scores), key=scores.__getitem__)
         inside = [b.text for b in found if b.path == best or b.path.startswith(best + "/")]
     return " ".join(inside)

@@ -207,7 +207,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = labels.where((id_remainder(F.col("doc_id"), 3) != 1) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # bounded by `sample`
-    rows = documents.join(F.broadcast(known.withColumnRenamed("doc_id", "_id")), F.col("doc_id") == F.col("_id")).where("text is not null")
+    rows = documents.select("doc_id", "text").join(F.broadcast(known.withColumnRenamed("doc_id", "_id")), F.col("doc_id") == F.col("_id")).where("text is not null")
     rows = materialize(rows.select("text", "toxic").dropDuplicates(["text"]), "labelled")
     size = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = size.get(0, 0), size.get(1, 0)
