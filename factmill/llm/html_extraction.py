@@ -27,6 +27,8 @@ UNWANTED = re.compile(
     r"|footer|sidebar|aside|widget|related|recommended|share|sharing|social|newsletter|subscribe|signup|login|comments?|comment-list|disqus|replies|respond|pagination|pager|skip|toolbar|hidden)(?:$|[\s_-])",
     re.I,
 )
+#: Classes that say what stands elsewhere on the page, as with-sidebar.
+BESIDE = re.compile(r"(?:has|with|without|no)-[\w-]+", re.I)
 UNWANTED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
 
 TAG = re.compile(
@@ -61,7 +63,7 @@ def _flags(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name == "class":
                 first = DIGITS.sub("#", value.split()[0]) if value.split() else ""
-            if name in ("class", "id") and tag not in ("article", "main") and UNWANTED.search(value):
+            if name in ("class", "id") and tag not in ("article", "main") and UNWANTED.search(BESIDE.sub("", value)):
                 off = True
             elif name == "role" and value.lower() in UNWANTED_ROLES or name == "hidden" and not value:
                 off = True

@@ -38,7 +38,7 @@ _NAME = r"[A-ZÀ-ÖØ-ÞА-ЯΑ-ΩΆ-Ώ][a-zß-öø-ÿа-яёα-ωά-ώ]+"
 PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "key": r"(?<![A-Za-z0-9])(?i:AKIA)[A-Z0-9a-z]{16}(?![A-Za-z0-9])",
-    "secret": r"(?i:(?:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s*[=:]\s*[\"']?)(?P<secret_value>[A-Za-z0-9+/_-]{8,}={0,2})",
+    "secret": r"(?i:(?:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s*[=:]\s*[\"']?)(?P<secret_value>(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{8,}={0,2})",
     "hex": r"(?<![A-Za-z0-9])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,64}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -49,8 +49,11 @@ PATTERNS = {
 }
 DETECT = re.compile("|".join(f"(?P<{k}>{v})".replace("\\1", "(?P=sep)").replace("([ -]?)", "(?P<sep>[ -]?)") for k, v in PATTERNS.items()))
 HEX = re.compile(r"[0-9a-fA-F]+")
-#: A text without any of these holds no entity.
-HINT = re.compile(r"[0-9@]|(?i:password|passwd|pwd|secret|token|api)|\b(?i:" + "|".join(map(re.escape, TITLES)) + r")\.? [A-ZÀ-ÖØ-ÞА-ЯΑ-ΩΆ-Ώ]")
+#: Every entity holds one of these: a digit, an @, or a title before a capital.
+TRIGGER = re.compile(r"[0-9@]|(?:Mrs?|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señora?|Sra?|Don|Doña|Dr|Prof|г-н|г-жа|κα?)\.? (?=[A-ZÀ-ÖØ-ÞА-ЯΑ-ΩΆ-Ώ])")
+#: Characters around a trigger that are searched, widened to the next white space.
+AROUND = 100
+_SPACE = re.compile(r"\s")
 
 
 def luhn(digits: str) -> bool:
@@ -66,12 +69,36 @@ def script_of(name: str) -> str:
     return "cyrillic" if "Ѐ" <= first <= "ӿ" else "greek" if "Ͱ" <= first <= "Ͽ" else "latin"
 
 
+def _windows(text: str) -> Iterator[tuple[int, int]]:
+    """Stretches of text, between white space, around the triggers."""
+    start = end = -1
+    for m in TRIGGER.finditer(text):
+        at = m.start()
+        if at + AROUND <= end:
+            continue
+        gap = _SPACE.search(text, min(len(text), at + AROUND))
+        stop = gap.start() if gap else len(text)
+        if at - AROUND > end:
+            if end >= 0:
+                yield start, end
+            start = max(0, at - AROUND)
+            while start > 0 and not text[start - 1].isspace():
+                start -= 1
+            start = max(start, end, 0)
+        end = stop
+    if end >= 0:
+        yield start, end
+
+
+def _matches(text: str) -> Iterator[re.Match]:
+    for start, end in _windows(text):
+        yield from DETECT.finditer(text, start, end)
+
+
 def find(text: str) -> list[tuple[int, int, str, str, str]]:
     """(start, end, type, surface, canonical form) of the entities of a text, in order and without overlap."""
-    if not HINT.search(text):
-        return []
     out = []
-    for m in DETECT.finditer(text):
+    for m in _matches(text):
         kind = m.lastgroup if m.lastgroup in PATTERNS else next(k for k in PATTERNS if m[k] is not None)
         a, b = m.span({"secret": "secret_value", "name": "name_value"}.get(kind, kind))
         value = text[a:b]
@@ -82,7 +109,7 @@ def find(text: str) -> list[tuple[int, int, str, str, str]]:
             canonical = value.lower()
         elif kind in ("phone", "card", "ssn"):
             canonical = "".join(c for c in value if c.isdigit())
-            if kind == "card" and not 13 <= len(canonical) <= 19:
+            if kind == "card" and not (13 <= len(canonical) <= 19 and luhn(canonical)):  # any other long number
                 continue
         elif kind == "iban":
             canonical = value.replace(" ", "")

@@ -319,7 +319,8 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFra
     named = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     classes = classes.join(named, "component").join(counts, "node", "left")
     classes = classes.select(F.col("node").alias("c_node"), (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id")
-    out = rows.select("vec_id", "node").join(classes, F.col("node") == F.col("c_node"), "left")
+    key = F.coalesce("node", F.concat(F.lit("-"), F.col("vec_id").cast("string")))  # rows without a node don't meet in one task
+    out = rows.select("vec_id", key.alias("key")).join(classes, F.col("key") == F.col("c_node"), "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
