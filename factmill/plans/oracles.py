@@ -83,6 +83,7 @@ SQL = {
     "alias_kinds": """SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol, u.alias, CASE WHEN regexp_matches(u.alias, '^[A-Za-z]$') THEN 'cashtag' WHEN regexp_matches(u.alias, '^[A-Za-z][A-Za-z0-9.\\-]{0,9}$') THEN 'ticker' ELSE 'phrase' END AS kind
       FROM supplier, LATERAL (SELECT unnest([s_name, 'S' || CAST(s_suppkey AS VARCHAR)]) AS alias) u""",
     "mention_join": f"WITH {_MENTIONS} SELECT item_id, symbol FROM found",
+    "stream_mentions": f"WITH {_MENTIONS} SELECT item_id, symbol FROM found",
     "mention_events": f"""WITH {_MENTIONS}, j AS (SELECT i.*, f.symbol FROM items i JOIN found f USING (item_id)) SELECT 'official-' || replace(source_type, '_', '-') || '-' || item_id || '-' || lower(symbol) AS event_id, day AS event_date, symbol,
       CASE WHEN source_type = 'financial_media' THEN 'public_mention' WHEN regexp_matches(lower(text), 'contract|procurement|award') THEN 'procurement' WHEN regexp_matches(lower(text), 'policy|funding|capital|stake') THEN 'policy_capital' ELSE 'public_mention' END AS event_type,
       CASE WHEN regexp_matches(lower(text), 'avoid|ban|sanction|investigation|risk|delay|block|bearish|sell') THEN 'bearish' WHEN regexp_matches(lower(text), 'buy|bullish|great|partner|award|funding|capital|support|contract|upside') THEN 'bullish' ELSE 'neutral' END AS direction,

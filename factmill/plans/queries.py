@@ -230,22 +230,36 @@ def dataset_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ql.row_counts({t: ad.table(spark, sf_dir, t) for t in TABLES})
 
 
+def _stream_folder(spark: SparkSession) -> str:
+    """A new folder in the shared one."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="factmill-")
+    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
 def stream_weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a stream: weekly counts of the weeks that the watermark (14 days) has closed."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="factmill-")
-    at = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    at = _stream_folder(spark)
     stream = intake.stream_table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("timestamp").alias("ts"), "o_orderpriority")
     counted = intake.weekly_tumbling(stream, "ts", ["o_orderpriority"])
     intake.run_available(counted, f"{at}/rows", f"{at}/checkpoint")
     return spark.read.schema(counted.schema).parquet(f"{at}/rows")
 
 
+def stream_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a stream of items, once each, and their mentions."""
+    at = _stream_folder(spark)
+    items = intake.new_items(ad.items_of(intake.stream_table(spark, sf_dir, "documents")))
+    found = intake.stream_mentions(items, mt.load_aliases(ad.aliases(spark))).select("item_id", "symbol")
+    intake.run_available(found, f"{at}/rows", f"{at}/checkpoint")
+    return spark.read.schema(found.schema).parquet(f"{at}/rows")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         event_study, event_study_sparse_benchmark, event_coverage_gaps, price_last_wins, return_summary_by_type, normalize_records, rejected_records, url_predicates, strip_html, stable_item_id,
         published_instant, alias_kinds, mention_join, mention_events, tracker, tracker_rank, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_statuses,
         feed_digest, outcome_faults, publication_decision, status_audit, weekly_period, weekly_counts, weekly_snapshot, weekly_gate, contract_audit, lock_audit, lock_reconcile, weekly_manifest,
-        dataset_inventory, stream_weekly_counts,
+        dataset_inventory, stream_weekly_counts, stream_mentions,
     )
 }

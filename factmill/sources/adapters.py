@@ -50,11 +50,16 @@ def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return items_of(table(spark, sf_dir, "documents"))
+
+
+def items_of(documents: DataFrame) -> DataFrame:
+    """Source items of (stored or streamed) documents."""
     kind = F.element_at(F.array(*map(F.lit, SOURCE_TYPES)), (F.col("doc_id") % 6 + 1).cast("int"))
     phrase = F.element_at(F.array(*map(F.lit, PHRASES)), (F.col("doc_id") % 7 + 1).cast("int"))
     host = F.when(F.col("doc_id") % 6 == 2, "https://news.example/").when(F.col("doc_id") % 12 == 3, "http://issuer.example/").when(F.col("doc_id") % 6 == 3, "https://issuer.example/").otherwise("https://agency.gov/")
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
-    return table(spark, sf_dir, "documents").select(
+    return documents.select(
         F.concat(F.lit("doc-"), "doc_id").alias("item_id"), F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T12:00:00Z")).alias("published_at"), kind.alias("source_type"),
         F.concat(host, "doc_id").alias("source_url"), F.col("source").alias("author"), F.concat(F.coalesce("text", F.lit("")), phrase).alias("text"),
     )

@@ -51,4 +51,4 @@ def refresh_tracker(events: DataFrame, watchlist: DataFrame, store: Callable[[Da
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table's Parquet files as a stream."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")  # the glob takes one file as well as a folder
