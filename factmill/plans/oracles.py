@@ -104,6 +104,12 @@ SQL = {
     "feed_digest": f"""WITH {_OUTCOMES} SELECT 'feed-' || CAST(n AS VARCHAR) AS feed_id, state, CASE WHEN state = 'accepted' THEN count(*) ELSE 0 END AS accepted_row_count,
       CASE WHEN state = 'accepted' THEN sha256('[' || string_agg(to_json({{'author': author, 'item_id': item_id, 'published_at': published_at, 'source_type': source_type, 'source_url': source_url, 'text': ftext}})::VARCHAR, ',' ORDER BY item_id, published_at, source_type, source_url, author, ftext) || ']')
       ELSE sha256('[]') END AS row_digest FROM fi GROUP BY n, state""",
+    "accepted_rows_digest": f"""WITH {_OUTCOMES} SELECT count(*) AS row_count, CAST(coalesce(sum(CAST(('0x' || substr(md5(to_json({{'author': author, 'item_id': item_id, 'published_at': published_at, 'source_type': source_type, 'source_url': source_url, 'text': ftext}})::VARCHAR), 1, 15)) AS BIGINT)), 0) AS VARCHAR) AS hash_sum
+      FROM fi WHERE state = 'accepted'""",
+    "quality_summary": f"""WITH {_EVENTS}, {_OUTCOMES}, c AS (SELECT string_agg(confidence || '=' || CAST(k AS VARCHAR), ',' ORDER BY confidence) AS x FROM (SELECT confidence, count(*) AS k FROM events_ GROUP BY 1)),
+      t AS (SELECT string_agg(event_type || '=' || CAST(k AS VARCHAR), ',' ORDER BY event_type) AS x FROM (SELECT event_type, count(*) AS k FROM events_ GROUP BY 1))
+      SELECT (SELECT count(DISTINCT symbol) FROM events_) AS symbol_count, c.x AS confidence_counts, t.x AS event_type_counts, (SELECT count(*) FROM fb) AS feed_count,
+      (SELECT CAST(sum(CASE WHEN state = 'accepted' THEN k ELSE 0 END) AS BIGINT) FROM fb) AS item_count FROM c, t""",
     "outcome_faults": f"WITH {_OUTCOMES} SELECT state, CASE WHEN state = 'accepted' AND raw THEN 'row_invalid' END AS fault, count(*) AS feeds FROM fb GROUP BY 1, 2",
     "publication_decision": f"""WITH {_OUTCOMES}, ok AS (SELECT * FROM fb WHERE NOT (state = 'accepted' AND raw)), t AS (SELECT count(*) AS feed_count, count(*) FILTER (state = 'accepted') AS successful_feed_count, count(*) FILTER (state = 'failed') AS failed_feed_count,
       count(*) FILTER (state = 'quarantined') AS quarantined_feed_count, CAST(coalesce(sum(k) FILTER (state = 'accepted'), 0) AS BIGINT) AS accepted_row_count FROM ok)

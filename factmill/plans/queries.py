@@ -134,6 +134,17 @@ def feed_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fd.feed_digests(ad.feed_outcomes(spark, sf_dir)).select("feed_id", "state", "accepted_row_count", "row_digest")
 
 
+def accepted_rows_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fd.multiset_digest(ad.feed_outcomes(spark, sf_dir).select(F.inline("rows")))
+
+
+def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    statuses = ad.feed_outcomes(spark, sf_dir).select((F.col("state") == "accepted").alias("ok"), F.size("rows").alias("item_count"))
+    rows = ql.quality_summary(ad.events(spark, sf_dir), statuses)
+    shown = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
+    return rows.select("symbol_count", shown("confidence_counts").alias("confidence_counts"), shown("event_type_counts").alias("event_type_counts"), "feed_count", "item_count")
+
+
 def outcome_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad.feed_outcomes(spark, sf_dir).withColumn("fault", fd.outcome_error()).groupBy("state", "fault").agg(F.count(F.lit(1)).alias("feeds"))
 
@@ -259,7 +270,7 @@ QUERIES = {
     for f in (
         event_study, event_study_sparse_benchmark, event_coverage_gaps, price_last_wins, return_summary_by_type, normalize_records, rejected_records, url_predicates, strip_html, stable_item_id,
         published_instant, alias_kinds, mention_join, mention_events, tracker, tracker_rank, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_statuses,
-        feed_digest, outcome_faults, publication_decision, status_audit, weekly_period, weekly_counts, weekly_snapshot, weekly_gate, contract_audit, lock_audit, lock_reconcile, weekly_manifest,
+        feed_digest, accepted_rows_digest, quality_summary, outcome_faults, publication_decision, status_audit, weekly_period, weekly_counts, weekly_snapshot, weekly_gate, contract_audit, lock_audit, lock_reconcile, weekly_manifest,
         dataset_inventory, stream_weekly_counts, stream_mentions,
     )
 }
