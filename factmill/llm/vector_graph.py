@@ -29,9 +29,19 @@ FAR = 32
 ALPHA = 1.2
 BEAM = 24
 MEDOIDS = 8
-#: Vectors that are compared with all others to measure recall, and the least recall that is returned.
-AUDIT = 200
+#: Nodes of each stratum that are compared with their whole label to measure recall; of the nodes asked, those with links
+#: that an estimate needs (else AUDIT_MORE are asked); links found from which a node is in the dense stratum.
+AUDIT = 2_000
+AUDIT_LINKED = 50
+AUDIT_MORE = 16_000
+DENSE = 16
+#: The least recall of any stratum that is returned, and searches, each wider, before the links are found exactly.
 RECALL = 0.95
+TRIES = 4
+#: Pairs within labels up to which finding all links exactly is cheaper than a wider search.
+EXACT_PAIRS = 20_000_000_000
+#: Times that all nodes are shuffled in one round of the exact search.
+EXACT_COPIES = 32
 
 
 def robust_prune(similar: np.ndarray, degree: int = DEGREE, pool: int = POOL, far: int = FAR, alpha: float = ALPHA) -> np.ndarray:
@@ -203,15 +213,28 @@ def _build(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"node": nodes, "near": [nodes[n].tolist() for n in near]})
 
 
-def _searcher(threshold: float, beam: int):
+def exact_hits(vectors: np.ndarray, mine: np.ndarray, low: int, high: int, threshold: float) -> np.ndarray:
+    """hits[q, n] of the rows of part ``low`` with those of part ``high``, every pair compared."""
+    hits = np.zeros((len(vectors), len(vectors)), bool)
+    a, b = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
+    hits[np.ix_(a, b)] = vectors[a] @ vectors[b].T >= threshold
+    return hits
+
+
+def _searcher(threshold: float, beam: int | None):
+    """Links of a task's nodes over the graph, or, without a beam, of all its pairs."""
+
     def search(group: pd.DataFrame) -> pd.DataFrame:
         x, nodes, mult = _unit(group["vector"]), group["node"].to_numpy(), group["mult"].to_numpy()
-        place = {n: i for i, n in enumerate(nodes)}
-        lists = [[place[b] for b in near if b in place] if near is not None else [] for near in group["near"]]
-        neighbours = np.full((len(x), max(1, max(map(len, lists)))), -1)
-        for i, row in enumerate(lists):
-            neighbours[i, : len(row)] = row
-        hits = range_search(x, neighbours, threshold, beam)
+        if beam is None:
+            hits = exact_hits(x, group["mine"].to_numpy(), group["low"].iat[0], group["high"].iat[0], threshold)
+        else:
+            place = {n: i for i, n in enumerate(nodes)}
+            lists = [[place[b] for b in near if b in place] if near is not None else [] for near in group["near"]]
+            neighbours = np.full((len(x), max(1, max(map(len, lists)))), -1)
+            for i, row in enumerate(lists):
+                neighbours[i, : len(row)] = row
+            hits = range_search(x, neighbours, threshold, beam)
         hits |= hits.T
         np.fill_diagonal(hits, False)
         part = group["mine"].to_numpy()
@@ -246,39 +269,75 @@ def _tasks(nodes: DataFrame, part: int) -> DataFrame:
     return spread.withColumns({"low": F.least("mine", "other"), "high": F.greatest("mine", "other")}).drop("g", "c", "parts", "other")
 
 
-def _audit(nodes: DataFrame, found: DataFrame, threshold: float, sample: int) -> float:
-    """Recall of ``found`` (node, n): a bounded sample of nodes is compared with every node of its label."""
-    asked = nodes.orderBy(F.xxhash64(F.lit(23), "node")).limit(sample).select("node", "group", "vector").collect()
+def _ask(asked: list, nodes: DataFrame, found: DataFrame, threshold: float) -> tuple[int, float]:
+    """How many of the asked nodes have links, and the mean over these of the share of a node's links that was found."""
     if not asked:
-        return 1.0
+        return 0, 1.0
     ids = np.array([r["node"] for r in asked])
-    groups, x = np.array([r["group"] for r in asked]), {}
+    groups: dict[str, list[int]] = {}
     for i, r in enumerate(asked):
-        x.setdefault(r["group"], []).append(i)
-    unit = {g: _unit([asked[i]["vector"] for i in at]) for g, at in x.items()}
+        groups.setdefault(r["group"], []).append(i)
+    unit = {g: _unit([asked[i]["vector"] for i in at]) for g, at in groups.items()}
 
     def compare(batches):
         for batch in batches:
             true = np.zeros(len(ids), np.int64)
             for g, rows in batch.groupby("group"):
                 if g in unit:
-                    near = (unit[g] @ _unit(rows["vector"]).T >= threshold) & (ids[x[g]][:, None] != rows["node"].to_numpy()[None, :])
-                    true[x[g]] += (near * rows["mult"].to_numpy()).sum(axis=1)
+                    at = groups[g]
+                    near = (unit[g] @ _unit(rows["vector"]).T >= threshold) & (ids[at][:, None] != rows["node"].to_numpy()[None, :])
+                    true[at] += (near * rows["mult"].to_numpy()).sum(axis=1)
             yield pd.DataFrame({"node": ids[true > 0], "true": true[true > 0]})
 
     true = nodes.select("node", "group", "vector", "mult").mapInPandas(compare, "node string, true long").groupBy("node").agg(F.sum("true").alias("true"))
-    row = true.join(found, "node", "left").agg(F.sum(F.least("true", F.coalesce("n", F.lit(0)))).alias("got"), F.sum("true").alias("all")).first()
-    return 1.0 if not row["all"] else row["got"] / row["all"]
+    share = F.least("true", F.coalesce("n", F.lit(0))) / F.col("true")
+    row = true.join(found, "node", "left").agg(F.count(F.lit(1)).alias("linked"), F.avg(share).alias("share")).first()
+    return row["linked"], 1.0 if row["share"] is None else row["share"]
+
+
+def _audit(nodes: DataFrame, found: DataFrame, threshold: float, sample: int) -> float:
+    """Recall of ``found`` (node, n) in its worst stratum, a mean over nodes that have links.
+
+    Nodes with at least DENSE links found are one stratum, all others (pairs, small groups, nothing found) the other, so
+    a large group cannot hide what is lost elsewhere. Of each a bounded sample is compared with every node of its label.
+    """
+    judged = nodes.select("node", "group", "vector").join(found, "node", "left")
+    dense, worst = F.coalesce("n", F.lit(0)) >= DENSE, 1.0
+    for stratum in (dense, ~dense):
+        linked, recall, asked = 0, 1.0, []
+        for most in (sample, max(sample, AUDIT_MORE)):
+            if linked >= AUDIT_LINKED or (asked and len(asked) < sample):
+                break
+            asked = judged.where(stratum).orderBy(F.xxhash64(F.lit(23), "node")).limit(most).select("node", "group", "vector").collect()
+            linked, recall = _ask(asked, nodes, found, threshold)
+        worst = min(worst, recall)
+    return worst
+
+
+def _exact(nodes: DataFrame, threshold: float, part: int) -> DataFrame:
+    """(node, n, root) of all links: every two parts of a label meet in a task, in rounds that bound what is shuffled."""
+    nodes = nodes.withColumn("clusters", F.array(F.lit(0)))
+    largest = nodes.groupBy("group").count().agg(F.max("count")).first()[0] or 0
+    rounds = max(1, -(-largest // (part * EXACT_COPIES)))
+    out = None
+    for i in range(rounds):
+        tasks = _tasks(nodes, part).where(F.pmod(F.xxhash64(F.lit(29), "low", "high"), F.lit(rounds)) == i)
+        found = tasks.groupBy("group", "cluster", "low", "high").applyInPandas(_searcher(threshold, None), "node string, n long, root string")
+        found = materialize(found.where("n > 0 or node <> root"), "exact")
+        out = found if out is None else out.union(found)
+    return out
 
 
 def vector_links(nodes: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, beam: int = BEAM, part: int = PART) -> tuple[DataFrame, DataFrame, float]:
     """(node, n), links (a, b) with the components of all links found, and the measured recall.
 
-    ``nodes``: node, group, vector, mult (rows that the node stands for). While the audit finds less than RECALL, the
-    graph is searched with a wider beam over more overlapping shards.
+    ``nodes``: node, group, vector, mult (rows that the node stands for). While the audit finds less than RECALL in any
+    stratum, the graph is searched with a wider beam over more overlapping shards; after TRIES searches, or at once where
+    it is cheaper, all pairs of a label are compared instead, so no result below RECALL is returned.
     """
     centres = _centres(nodes)
-    for _ in range(4):
+    pairs = nodes.groupBy("group").count().agg(F.sum(F.col("count").cast("double") * F.col("count") / 2)).first()[0] or 0
+    for attempt in range(TRIES):
         placed = materialize(nodes.withColumn("clusters", _assign(centres, overlap)("group", "vector")), "placed")
         tasks = _tasks(placed, part)
         key = ["group", "cluster", "low", "high"]
@@ -291,6 +350,11 @@ def vector_links(nodes: DataFrame, threshold: float = THRESHOLD, overlap: int =
         recall = _audit(placed, counts, threshold, AUDIT)
         if recall >= RECALL:
             break
+        if pairs <= EXACT_PAIRS or attempt == TRIES - 1:
+            found, recall = _exact(nodes, threshold, part), 1.0
+            linked = found.groupBy("node").agg(F.sum("n").alias("n"))
+            counts = nodes.select("node").join(linked, "node", "left").fillna(0, ["n"])
+            break
         overlap, beam = overlap + 1, beam * 2
     return counts, found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")), recall
 
@@ -313,7 +377,7 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFra
         F.count(F.lit(1)).alias("mult"), F.min("vec_id").alias("least"),
     )
     nodes = materialize(nodes, "nodes")
-    counts, links, _ = vector_links(nodes.select("node", "group", "vector", "mult"), threshold)
+    counts, links, _ = vector_links(nodes.select("node", "group", "vector", "mult"), threshold, part=PART)
     member = connected_components(links)
     classes = nodes.select("node", "mult", "least").join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = classes.groupBy("component").agg(F.min("least").alias("component_id"))

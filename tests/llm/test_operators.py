@@ -167,6 +167,39 @@ def test_vector_shards_in_parts(spark, monkeypatch):
     assert recall >= 0.95 and all(got[f"{i:04d}"] <= near[i].sum() for i in range(len(x))) and sum(got.values()) >= 0.97 * near.sum()
 
 
+def pairs_and_a_group():
+    """A group of 60 vectors that all link, 40 isolated pairs and 100 single ones."""
+    r = np.random.default_rng(8)
+    pairs = np.repeat(r.normal(size=(40, 32)), 2, axis=0)
+    x = np.concatenate([r.normal(size=32) + r.normal(size=(60, 32)) * 0.05, pairs + r.normal(size=(80, 32)) * 0.05, r.normal(size=(100, 32))])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return x, (unit @ unit.T >= 0.93) & ~np.eye(len(x), dtype=bool)
+
+
+def test_vector_audit_sees_isolated_pairs(spark):
+    x, near = pairs_and_a_group()
+    nodes = spark.createDataFrame([(f"{i:04d}", "g", v.tolist(), 1) for i, v in enumerate(x)], "node string, group string, vector array<double>, mult long")
+    for lost in range(0, 81, 40):  # of 80 nodes in pairs
+        found = [(f"{i:04d}", 0 if 60 <= i < 60 + lost else int(n)) for i, n in enumerate(near.sum(axis=1))]
+        recall = vector_graph._audit(nodes, spark.createDataFrame(found, "node string, n long"), 0.93, 1000)
+        assert abs(recall - (1 - lost / 80)) < 1e-9
+
+
+@pytest.mark.parametrize("pairs", [0, 10**9])
+def test_vector_links_lost_by_search_are_found(spark, monkeypatch, pairs):
+    x, near = pairs_and_a_group()
+    searcher = vector_graph._searcher
+    monkeypatch.setattr(vector_graph, "_searcher", lambda threshold, beam: searcher(threshold if beam is None else 0.9999, beam))  # the graph search finds nothing
+    monkeypatch.setattr(vector_graph, "EXACT_PAIRS", pairs)
+    monkeypatch.setattr(vector_graph, "TRIES", 2)
+    monkeypatch.setattr(vector_graph, "PART", 50)
+    monkeypatch.setattr(vector_graph, "EXACT_COPIES", 2)
+    rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_graph.near_vectors(rows).collect()}
+    wanted = roots(range(len(x)), zip(*map(np.ndarray.tolist, np.nonzero(near)), strict=True))
+    assert got == {i: (near[i].sum(), wanted[i]) for i in range(len(x))}
+
+
 # --- language model
 
 
