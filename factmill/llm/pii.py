@@ -33,12 +33,13 @@ FAMILY = {
 }
 TITLES = {"mr": "m", "herr": "m", "monsieur": "m", "señor": "m", "sr": "m", "don": "m", "mrs": "f", "ms": "f", "miss": "f", "frau": "f", "madame": "f", "mme": "f", "señora": "f", "sra": "f", "doña": "f", "dr": "n", "prof": "n", "г-н": "m", "г-жа": "f", "κ": "m", "κα": "f"}
 
-_NAME = r"[A-ZÀ-ÖØ-ÞА-ЯΑ-ΩΆ-Ώ][a-zß-öø-ÿа-яёα-ωά-ώ]+"
+_CAPITAL = "[A-ZÀ-ÖØ-ÞА-ЯΑ-ΩΆ-Ώ]"
+_NAME = _CAPITAL + r"[a-zß-öø-ÿа-яёα-ωά-ώ]+"
 # What each type looks like; of overlapping finds the one that begins first is taken, of those the first in this order.
 PATTERNS = {
     "email": r"(?<![\w.+-])[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "key": r"(?<![A-Za-z0-9])(?i:AKIA)[A-Z0-9a-z]{16}(?![A-Za-z0-9])",
-    "secret": r"(?i:(?:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s*[=:]\s*[\"']?)(?P<secret_value>(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{8,}={0,2})",
+    "secret": r"(?i:(?:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s*[=:]\s*[\"']?)(?P<secret_value>(?=[+/_-]*[A-Za-z0-9])[A-Za-z0-9+/_-]{8,}={0,2})",
     "hex": r"(?<![A-Za-z0-9])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,64}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -49,11 +50,17 @@ PATTERNS = {
 }
 DETECT = re.compile("|".join(f"(?P<{k}>{v})".replace("\\1", "(?P=sep)").replace("([ -]?)", "(?P<sep>[ -]?)") for k, v in PATTERNS.items()))
 HEX = re.compile(r"[0-9a-fA-F]+")
-#: Every entity holds one of these: a digit, an @, or a title before a capital.
-TRIGGER = re.compile(r"[0-9@]|(?:Mrs?|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señora?|Sra?|Don|Doña|Dr|Prof|г-н|г-жа|κα?)\.? (?=[A-ZÀ-ÖØ-ÞА-ЯΑ-ΩΆ-Ώ])")
-#: Characters around a trigger that are searched, widened to the next white space.
-AROUND = 100
-_SPACE = re.compile(r"\s")
+#: Letters that regular expressions without case take for those of titles and str.lower does not.
+FOLD = str.maketrans("İıſϰ", "iisκ")
+#: What every entity holds, for the four ways to find where one may begin: a digit or an @ in its first word, ...
+_MARK, _SPACE = re.compile(r"[\d@]"), re.compile(r"\s")
+#: ... the middle of AKIA, ...
+_AKIA = re.compile("[Kk\u212a](?=[IiİI\u0131][Aa])")
+#: ... the sign after a keyword of a secret (the lengths of all keywords), ...
+_SIGN, _KEYWORDS = re.compile("[=:]"), (3, 5, 6, 7, 8)
+#: ... or the space between the end of a title and a capital.
+_ENDS = "".join(sorted({c for t in TITLES for c in (t[-1], t[-1].upper())} | set("İıſϰ")))
+_TITLED, _LENGTHS = re.compile(f" (?<=[{_ENDS}.] )(?={_CAPITAL})"), sorted({len(t) for t in TITLES})
 
 
 def luhn(digits: str) -> bool:
@@ -69,30 +76,43 @@ def script_of(name: str) -> str:
     return "cyrillic" if "Ѐ" <= first <= "ӿ" else "greek" if "Ͱ" <= first <= "Ͽ" else "latin"
 
 
-def _windows(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches of text, between white space, around the triggers."""
-    start = end = -1
-    for m in TRIGGER.finditer(text):
+def _gender(title: str) -> str | None:
+    return TITLES.get(title.translate(FOLD).lower())
+
+
+def _starts(text: str) -> list[int]:
+    """All places where an entity may begin, in order."""
+    out, end = set(), 0
+    for m in _MARK.finditer(text):
         at = m.start()
-        if at + AROUND <= end:
+        if at < end:
             continue
-        gap = _SPACE.search(text, min(len(text), at + AROUND))
-        stop = gap.start() if gap else len(text)
-        if at - AROUND > end:
-            if end >= 0:
-                yield start, end
-            start = max(0, at - AROUND)
-            while start > 0 and not text[start - 1].isspace():
-                start -= 1
-            start = max(start, end, 0)
-        end = stop
-    if end >= 0:
-        yield start, end
+        gap = _SPACE.search(text, at)
+        start, end = at, gap.start() if gap else len(text)
+        while start > 0 and not text[start - 1].isspace():
+            start -= 1
+        out.update(range(start, end))
+    out.update(m.start() - 1 for m in _AKIA.finditer(text))
+    for m in _SIGN.finditer(text):
+        at = m.start()
+        while at > 0 and text[at - 1].isspace():
+            at -= 1
+        at -= at > 0 and text[at - 1] in "\"'"
+        out.update(at - n for n in _KEYWORDS)
+    for m in _TITLED.finditer(text):
+        at = m.start()
+        at -= text[at - 1] == "."
+        out.update(at - n for n in _LENGTHS if at >= n and _gender(text[at - n : at]))
+    return sorted(s for s in out if s >= 0)
 
 
 def _matches(text: str) -> Iterator[re.Match]:
-    for start, end in _windows(text):
-        yield from DETECT.finditer(text, start, end)
+    """The same matches as ``DETECT.finditer(text)``, tried only where one may begin."""
+    end = 0
+    for start in _starts(text):
+        if start >= end and (m := DETECT.match(text, start)):
+            end = m.end()
+            yield m
 
 
 def find(text: str) -> list[tuple[int, int, str, str, str]]:
@@ -114,7 +134,7 @@ def find(text: str) -> list[tuple[int, int, str, str, str]]:
         elif kind == "iban":
             canonical = value.replace(" ", "")
         elif kind == "name":
-            canonical = f"{TITLES[m['title'].lower()]}:{value}"
+            canonical = f"{_gender(m['title'])}:{value}"
         out.append((a, b, kind, value, canonical))
     return out
 
@@ -188,8 +208,8 @@ def surrogate(kind: str, canonical: str, attempt: int = 0, key: bytes = KEY) ->
             if script == "cyrillic" and gender == "f":
                 family += "а"
             new = f"{gender}:" + (family if len(words) == 1 else f"{given[draw.below(len(given))]} {family}")
-        else:
-            new = "".join(_like(c, draw) for c in canonical)
+        else:  # signs give way where letters and digits alone don't make enough different secrets
+            new = "".join("abcdefghijklmnopqrstuvwxyz"[draw.below(26)] if attempt >= 8 and not c.isalnum() and c != "=" else _like(c, draw) for c in canonical)
         if new != canonical:
             return new
         attempt += 1000
