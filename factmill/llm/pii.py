@@ -139,6 +139,36 @@ def find(text: str) -> list[tuple[int, int, str, str, str]]:
     return out
 
 
+def _name_parts(canonical: str, given_words: frozenset[str] | set[str]) -> list[tuple[str, str]]:
+    """(kind, canonical form) of a name's words: given names by gender, surnames by stem, whatever the title was."""
+    gender, _, value = canonical.partition(":")
+    *first, last = value.split(" ")
+    if not first and last in given_words:
+        first, last = [last], None
+    parts = [("given", f"{gender if gender != 'n' else _guess(w)}:{w}") for w in first]
+    if last:
+        parts.append(("family", last[:-1] if script_of(last) == "cyrillic" and last.endswith("а") and len(last) > 3 else last))
+    return parts
+
+
+def _guess(given: str) -> str:
+    """Gender of a given name after a title for both."""
+    for (_, gender), names in GIVEN.items():
+        if given in names:
+            return gender
+    return "f" if given[-1] in "aаяαηάή" else "m"
+
+
+def _keyed(found: list) -> list[list[tuple[str, str]]]:
+    """For each find of a text, what its surrogate is drawn for: itself or, of a name, its parts.
+
+    A single word after a title is a given name if the text has it before a surname, else a surname.
+    """
+    names = [c.partition(":")[2].split(" ") for _, _, k, _, c in found if k == "name"]
+    given, families = {n[0] for n in names if len(n) > 1}, {n[-1] for n in names if len(n) > 1}
+    return [_name_parts(c, given - families) if k == "name" else [(k, c)] for _, _, k, _, c in found]
+
+
 class _Stream:
     """Numbers drawn from a keyed hash of (type, canonical form, attempt): the same for the same entity everywhere."""
 
@@ -180,7 +210,10 @@ def surrogate(kind: str, canonical: str, attempt: int = 0, key: bytes = KEY) ->
             new = body + ends[draw.below(len(ends))]
         elif kind == "ip":
             parts = canonical.split(".")
+            wide = attempt % 1000
             fixed = 1 if parts[0] in ("10", "127") else 2 if (parts[0], parts[1]) in (("192", "168"), ("169", "254")) else 0
+            if fixed and wide >= 8:  # narrow ranges overflow into 10.x.y.z, that into all
+                parts, fixed = ["10"], int(wide < 20)
             new = ".".join(parts[:fixed] + [str(1 + draw.below(223 if i == 0 and not fixed else 254)) for i in range(4 - fixed)])
             if not fixed and new.split(".")[0] in ("10", "127", "192", "169", "172"):
                 attempt += 1000
@@ -189,6 +222,7 @@ def surrogate(kind: str, canonical: str, attempt: int = 0, key: bytes = KEY) ->
             local, _, domain = canonical.partition("@")
             labels = domain.split(".")
             site = _Stream(key, "domain", domain, 0)  # one surrogate domain for each domain
+            local += "a" * (attempt % 1000 // 4)  # longer where short ones run out
             new = "".join(_like(c, draw) for c in local) + "@" + ".".join(["".join(_like(c, site) for c in x) if i == 0 and len(labels) > 1 else x for i, x in enumerate(labels)])
         elif kind == "key":
             new = canonical[:4] + "".join("abcdefghijklmnopqrstuvwxyz234567"[draw.below(32)] for _ in canonical[4:])
@@ -200,14 +234,13 @@ def surrogate(kind: str, canonical: str, attempt: int = 0, key: bytes = KEY) ->
             new = f"{canonical[:2]}{98 - int(number) % 97:02d}{body}"
         elif kind == "ssn":
             new = f"{1 + draw.below(665):03d}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}"
-        elif kind == "name":
-            gender, _, value = canonical.partition(":")
-            script, words = script_of(value), value.split(" ")
-            given = GIVEN[script, gender] if gender != "n" else GIVEN[script, "f"] + GIVEN[script, "m"]
-            family = FAMILY[script][draw.below(len(FAMILY[script]))] if attempt < 8 else FAMILY[script][draw.below(len(FAMILY[script]))] + FAMILY[script][draw.below(len(FAMILY[script]))].lower()
-            if script == "cyrillic" and gender == "f":
-                family += "а"
-            new = f"{gender}:" + (family if len(words) == 1 else f"{given[draw.below(len(given))]} {family}")
+        elif kind in ("given", "family"):  # the pool grows with the attempts and has no bound
+            gender, _, value = canonical.rpartition(":")
+            names = GIVEN[script_of(value), gender] if kind == "given" else FAMILY[script_of(value)]
+            more = [names[draw.below(len(names))] for _ in range(1 + attempt % 1000 // 2)]
+            new = more[0] + "".join(more[1:]).lower()
+            if kind == "given":
+                new = f"{gender}:{new}"
         else:  # signs give way where letters and digits alone don't make enough different secrets
             new = "".join("abcdefghijklmnopqrstuvwxyz"[draw.below(26)] if attempt >= 8 and not c.isalnum() and c != "=" else _like(c, draw) for c in canonical)
         if new != canonical:
@@ -220,8 +253,6 @@ def _dress(kind: str, surface: str, new: str) -> str:
     if kind in ("phone", "card", "ssn", "iban"):
         digits = iter(new)
         return "".join(next(digits) if c.isalnum() else c for c in surface)
-    if kind == "name":
-        return new.partition(":")[2]
     if kind in ("email", "key", "hex"):
         letters = [c for c in surface if c.isalpha()]
         if letters and all(c.isupper() for c in letters):
@@ -229,21 +260,31 @@ def _dress(kind: str, surface: str, new: str) -> str:
     return new
 
 
+def _draw(kind: str, surface: str, canonical: str, parts: list[tuple[str, str]], attempts: dict[tuple[str, str], int], key: bytes) -> str:
+    drawn = [surrogate(k, c, attempts.get((k, c), 0), key) for k, c in parts]
+    if kind != "name":
+        return _dress(kind, surface, drawn[0])
+    words = [d.rpartition(":")[2] for d in drawn]
+    last = surface.split(" ")[-1]
+    if parts[-1][0] == "family" and script_of(last) == "cyrillic" and (canonical[0] == "f" or last != parts[-1][1]):
+        words[-1] += "а"
+    return " ".join(words)
+
+
 def replace(text: str, attempts: dict[tuple[str, str], int], key: bytes = KEY) -> tuple[str, int, int]:
     """The text with surrogates, how many entities it had and how many different ones."""
     out, at, seen = [], 0, set()
     found = find(text)
-    for a, b, kind, surface, canonical in found:
+    for (a, b, kind, surface, canonical), parts in zip(found, _keyed(found), strict=True):
         seen.add((kind, canonical))
-        new = surrogate(kind, canonical, attempts.get((kind, canonical), 0), key)
-        out += [text[at:a], _dress(kind, surface, new)]
+        out += [text[at:a], _draw(kind, surface, canonical, parts, attempts, key)]
         at = b
     return ("".join([*out, text[at:]]) if out else text), len(found), len(seen)
 
 
 def _entities(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = sorted({(k, c) for t in batch["text"] for _, _, k, _, c in find(t)})
+        rows = sorted({part for t in batch["text"] for parts in _keyed(find(t)) for part in parts})
         yield pd.DataFrame(rows, columns=["kind", "canonical"])
 
 
@@ -302,7 +343,7 @@ def _with_own_attempts(rows: DataFrame, redrawn: DataFrame) -> DataFrame:
 
     def per_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(h, k, c) for h, t in zip(batch["th"], batch["text"], strict=True) for k, c in {(k, c) for _, _, k, _, c in find(t)}]
+            found = [(h, k, c) for h, t in zip(batch["th"], batch["text"], strict=True) for k, c in {part for parts in _keyed(find(t)) for part in parts}]
             yield pd.DataFrame(found, columns=["th", "kind", "canonical"])
 
     hashed = rows.withColumn("th", F.xxhash64("text"))

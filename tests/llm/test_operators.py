@@ -296,6 +296,22 @@ def test_collisions_are_redrawn(spark, broadcast_rows):
     assert len({r.text for r in out}) == len(names) and not {r.text for r in out} & {t for _, t in names}
 
 
+def test_surrogates_do_not_run_out(spark):
+    syllables = ["ba", "co", "du", "fe", "gi", "lo", "mu", "na", "pe", "ri", "so", "tu", "va"]
+    said = [f"Mr. {a.title()}{b}{c}" for a in syllables for b in syllables for c in syllables][:2100] + [f"Herr {a.title()}{b} Smith" for a in syllables for b in syllables] + [f"{a}@b.example" for a in "abcdefghijklmnopqrstuvwxyz"]
+    out = [r.text for r in pii.pseudonymize(spark.createDataFrame(list(enumerate(said)), DOCS)).collect()]
+    assert len(set(out)) == len(said) and not set(out) & set(said)
+    assert len({pii.surrogate("ip", "192.168.0.1", n) for n in range(8, 308)}) == 300
+
+
+def test_short_names_follow_long_ones():
+    text = "Mr. John Smith and Mr. Smith, Dr. Anna Becker and Mrs. Becker, doña Anna; г-н Белов, г-жа Белова"
+    found = pii.find(pii.replace(text, {})[0])
+    words = [c.partition(":")[2].split() for *_, c in found]
+    assert words[0][1] == words[1][0] and words[2][1] == words[3][0] and words[2][0] == words[4][0] and words[5][0] + "а" == words[6][0]
+    assert words[0][1] != words[2][1] and words[2][0] in pii.GIVEN["latin", "f"]
+
+
 # --- packing
 
 
