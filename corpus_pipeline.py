@@ -14,10 +14,21 @@ from factmill.llm.tokens import vocabulary_path
 from factmill.llm.toxicity import keep_clean
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows of these doc_ids; rows with a null doc_id stay."""
-    ids = materialize(ids.select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(bounded_broadcast(ids), F.col("doc_id") == F.col("_gone"), "left_anti")
+def _key():
+    """What a row is known by: its doc_id (null ids after all others) and its text."""
+    text = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), text.alias("text"))
+
+
+def _name(key):
+    """The key as a text, never null."""
+    return F.concat_ws(":", key["none"].cast("string"), F.coalesce(key["id"].cast("string"), F.lit("")), key["text"])
+
+
+def _without(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """``docs`` without the rows of these names."""
+    names = materialize(names.select(F.col("name").alias("_gone")).distinct(), "gone")
+    return docs.join(bounded_broadcast(names), _name(_key()) == F.col("_gone"), "left_anti")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,25 +37,26 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the document with the least doc_id stays; rows without doc_id all stay.
+    """Of each component of near copies the row with the least doc_id, then the least hash of its text, stays.
 
-    Rows that repeat a doc_id are one document: they stay or go together, and of those that stay one is kept.
+    Rows that share a doc_id but not their text are judged apart; of rows equal in both one is kept. Null ids come last.
     """
-    near = materialize(near_duplicates(docs.select("doc_id", "text")), "near")
-    kept = _without(docs, near.where("doc_id <> component_id"))
-    repeated = near.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = materialize(repeated.select(F.col("doc_id").alias("_again")), "again")
+    near = near_duplicates(docs.select(_key().alias("doc_id"), "text"))
+    near = materialize(near.select(_name(F.col("doc_id")).alias("name"), _name(F.col("component_id")).alias("first")), "near")
+    kept = _without(docs, near.where("name <> first"))
+    repeated = near.where("name = first").groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = materialize(repeated.select(F.col("name").alias("_again")), "again")
     if repeated.isEmpty():
         return kept
-    again = bounded_broadcast(repeated)
-    single = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
-    return single.unionByName(kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"]))
+    again, name = bounded_broadcast(repeated), _name(_key())
+    single = kept.join(again, name == F.col("_again"), "left_anti")
+    return single.unionByName(kept.join(again, name == F.col("_again"), "left_semi").withColumn("_name", name).dropDuplicates(["_name"]).drop("_name"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
-    found = contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"))
+    """Rows that hold a window of a benchmark item go, whatever their doc_id."""
+    found = contamination(docs.select(_name(_key()).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return _without(docs, found.where("contaminated").select(F.col("doc_id").alias("name")))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

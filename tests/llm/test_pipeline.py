@@ -39,3 +39,20 @@ def test_stages(spark, tmp_path):
     assert "ann@mail" not in changed.text and changed.n_chars == len(changed.text)
     assert {(r.doc_id, r.start, r.length) for r in kept["packing"]} == {(r.doc_id, r.start, r.length) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert vocabulary_path()
+
+
+def test_verdicts_go_by_row(spark, tmp_path):
+    r = random.Random(2)
+    text = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    item, near, own = text(20), text(900), [text(60) for _ in range(4)]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    leak, clean = f"{own[0]} {item}", own[1]
+    # a leak and near copies without ids; one id for a clean text, a near copy and a leak; a row twice
+    rows = [(None, leak), (None, near + " end"), (None, near), (5, near), (7, clean), (7, near), (7, leak + " more"), (8, own[2]), (8, own[2]), (None, own[3]), (None, own[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    unique = corpus_pipeline.materialize(corpus_pipeline.simhash_near_dedup(spark, docs, str(tmp_path)), "unique")
+    wanted = {(5, near), (7, clean), (8, own[2]), (None, own[3])}
+    got = [(x.doc_id, x.text) for x in unique.collect()]
+    assert wanted <= set(got) and len(got) == len(set(got)) and not {t for i, t in got if (i, t) != (5, near)} & {near, near + " end"}
+    left = corpus_pipeline.decontamination(spark, docs.where("doc_id is null or doc_id = 7"), str(tmp_path)).collect()
+    assert not [x for x in left if item in x.text] and len(left) == 6
