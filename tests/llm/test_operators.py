@@ -155,16 +155,75 @@ def test_vector_links(spark):
     assert sum(got[i].component_id == wanted[i] for i in got) >= 0.98 * len(got)
 
 
-def test_vector_shards_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(vector_graph, "CLUSTER", 60)
+def vector_nodes(spark, x, group="g"):
+    return spark.createDataFrame([(i, group, v.tolist(), 1) for i, v in enumerate(x)], "nid long, group string, vector array<double>, mult long")
+
+
+def near_pairs(x):
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return (unit @ unit.T >= 0.93) & ~np.eye(len(x), dtype=bool)
+
+
+def test_vector_balls_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(vector_graph, "BALL", 60)
     r = np.random.default_rng(5)
-    x = np.concatenate([r.normal(size=16) + r.normal(size=(150, 16)) * 0.05, r.normal(size=(150, 16))])
+    x = np.concatenate([r.normal(size=16) + r.normal(size=(150, 16)) * 0.15, r.normal(size=(150, 16))])
+    near = near_pairs(x)
+    counts, _, _, recalls = vector_graph.vector_links(vector_nodes(spark, x), 0.93, part=50)
+    got = {r.nid: r.n for r in counts.collect()}
+    assert recalls[0] >= 0.95 and all(got[i] <= near[i].sum() for i in range(len(x))) and sum(got.values()) >= 0.97 * near.sum()
+
+
+def test_search_crosses_balls(spark, monkeypatch):
+    """Isolated pairs near the threshold among many vectors in small balls: one search finds them, most without a common ball."""
+    monkeypatch.setattr(vector_graph, "BALL", 100)
+    monkeypatch.setattr(vector_graph, "AUDIT", 300)
+    r = np.random.default_rng(6)
+    x = r.normal(size=(6000, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = r.normal(size=(500, 48))
+    u -= (u * x[:500]).sum(axis=1, keepdims=True) * x[:500]
+    cosine = r.uniform(0.931, 0.95, size=(500, 1))
+    x = np.concatenate([x, cosine * x[:500] + np.sqrt(1 - cosine**2) * u / np.linalg.norm(u, axis=1, keepdims=True)])[r.permutation(6500)]
+    near = near_pairs(x)
+    nodes = vector_nodes(spark, x)
+    cells = nodes.withColumn("r", F.lit(0.0))
+    leaders = vector_graph._leaders(nodes, vector_graph._reach(0.93))
+    assert len(leaders["g"]) > 15
+    links = {(r.a, r.b) for r in vector_graph.graph_links(cells, leaders, 0.93, 2, vector_graph.BEAM, vector_graph.PART).collect()}
+    assert all(near[a, b] for a, b in links)
+    balls = np.argsort(-(x @ leaders["g"].T), axis=1)[:, :2]
+    crossing = {(a, b) for a, b in zip(*np.nonzero(near), strict=True) if a < b and not set(balls[a]) & set(balls[b])}
+    print(len(links), near.sum() / 2, len(crossing), len(crossing & links))
+    assert len(links) >= 0.97 * near.sum() / 2 and len(crossing) > 5 and len(crossing & links) >= 0.6 * len(crossing)
+    counts, _, _, recalls = vector_graph.vector_links(nodes)
+    assert recalls[0] >= 0.95 and len(recalls) == 1 and sum(r.n for r in counts.collect()) >= 0.97 * near.sum()
+
+
+@pytest.mark.parametrize("chunk", [40, 2000])
+def test_crowds_become_cells(spark, monkeypatch, chunk):
+    """A crowd far larger than a chunk, a looser one and what lies at the crowd's rim: counts are those of brute force."""
+    monkeypatch.setattr(vector_graph, "CHUNK", chunk)
+    monkeypatch.setattr(vector_graph, "BLOCK", 30)
+    monkeypatch.setattr(vector_graph, "BALL", 100)
+    make = vector_graph.make_cells
+    monkeypatch.setattr(vector_graph, "make_cells", lambda nodes, threshold: make(nodes, threshold, chunk))
+    r = np.random.default_rng(7)
+    centre = r.normal(size=24)
+    crowd = [centre + r.normal(size=(n, 24)) * s for n, s in ((300, 0.05), (60, 0.2), (60, 0.3), (40, 0.35))]
+    x = np.concatenate([*crowd, r.normal(size=(200, 24))])
+    near = near_pairs(x)
+    rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    out, recalls = vector_graph.link_vectors(rows)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in out.collect()}
+    wanted = roots(range(len(x)), zip(*map(np.ndarray.tolist, np.nonzero(near)), strict=True))
+    assert recalls[0] >= 0.95 and all(got[i][0] <= near[i].sum() for i in got)
+    assert sum(n == near[i].sum() for i, (n, _) in got.items()) >= 0.98 * len(x) and sum(got[i][1] == wanted[i] for i in got) >= 0.98 * len(x)
+    members, cells = make(vector_nodes(spark, x).withColumn("balls", F.array(F.lit(0))), 0.93, chunk)
+    assert cells.count() < len(x) - 250 and members.count() == len(x)
+    where, radius = {r.nid: r.cell for r in members.collect()}, {r.nid: r.r for r in cells.collect()}
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    near = (unit @ unit.T >= 0.93) & ~np.eye(len(x), dtype=bool)
-    nodes = spark.createDataFrame([(f"{i:04d}", "g", v.tolist(), 1) for i, v in enumerate(x)], "node string, group string, vector array<double>, mult long")
-    counts, links, recall = vector_graph.vector_links(nodes, 0.93, part=50)
-    got = {r.node: r.n for r in counts.collect()}
-    assert recall >= 0.95 and all(got[f"{i:04d}"] <= near[i].sum() for i in range(len(x))) and sum(got.values()) >= 0.97 * near.sum()
+    assert all(np.arccos(min(1.0, unit[i] @ unit[c])) <= radius[c] + 1e-7 for i, c in where.items()) and max(radius.values()) <= np.arccos(0.93) / 2
 
 
 def pairs_and_a_group():
@@ -172,32 +231,30 @@ def pairs_and_a_group():
     r = np.random.default_rng(8)
     pairs = np.repeat(r.normal(size=(40, 32)), 2, axis=0)
     x = np.concatenate([r.normal(size=32) + r.normal(size=(60, 32)) * 0.05, pairs + r.normal(size=(80, 32)) * 0.05, r.normal(size=(100, 32))])
-    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    return x, (unit @ unit.T >= 0.93) & ~np.eye(len(x), dtype=bool)
+    return x, near_pairs(x)
 
 
 def test_vector_audit_sees_isolated_pairs(spark):
     x, near = pairs_and_a_group()
-    nodes = spark.createDataFrame([(f"{i:04d}", "g", v.tolist(), 1) for i, v in enumerate(x)], "node string, group string, vector array<double>, mult long")
     for lost in range(0, 81, 40):  # of 80 nodes in pairs
-        found = [(f"{i:04d}", 0 if 60 <= i < 60 + lost else int(n)) for i, n in enumerate(near.sum(axis=1))]
-        recall = vector_graph._audit(nodes, spark.createDataFrame(found, "node string, n long"), 0.93, 1000)
+        found = [(i, 0 if 60 <= i < 60 + lost else int(n)) for i, n in enumerate(near.sum(axis=1))]
+        recall = vector_graph.audit(vector_nodes(spark, x), spark.createDataFrame(found, "nid long, n long"), 0.93, 1000)
         assert abs(recall - (1 - lost / 80)) < 1e-9
 
 
 @pytest.mark.parametrize("pairs", [0, 10**9])
 def test_vector_links_lost_by_search_are_found(spark, monkeypatch, pairs):
     x, near = pairs_and_a_group()
-    searcher = vector_graph._searcher
-    monkeypatch.setattr(vector_graph, "_searcher", lambda threshold, beam: searcher(threshold if beam is None else 0.9999, beam))  # the graph search finds nothing
+    monkeypatch.setattr(vector_graph, "graph_links", lambda *_: spark.createDataFrame([], "a long, b long, sim double"))  # the graph search finds nothing
     monkeypatch.setattr(vector_graph, "EXACT_PAIRS", pairs)
-    monkeypatch.setattr(vector_graph, "TRIES", 2)
-    monkeypatch.setattr(vector_graph, "PART", 50)
     monkeypatch.setattr(vector_graph, "EXACT_COPIES", 2)
+    exact = vector_graph.exact_links
+    monkeypatch.setattr(vector_graph, "exact_links", lambda cells, threshold: exact(cells, threshold, 50))
     rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
-    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_graph.near_vectors(rows).collect()}
+    out, recalls = vector_graph.link_vectors(rows)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in out.collect()}
     wanted = roots(range(len(x)), zip(*map(np.ndarray.tolist, np.nonzero(near)), strict=True))
-    assert got == {i: (near[i].sum(), wanted[i]) for i in range(len(x))}
+    assert got == {i: (near[i].sum(), wanted[i]) for i in range(len(x))} and recalls[-1] == 1.0 and min(recalls[:-1]) < 0.95
 
 
 # --- language model
