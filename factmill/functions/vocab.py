@@ -18,3 +18,10 @@ MAX_SAFE_INTEGER = 2**53 - 1
 MAX_ROWS_PER_FEED = 10_000
 MAX_PAYLOAD_BYTES = 1 << 20
 EMPTY_DIGEST = "4f53cda18c2baa0c0354bb5f9a3ecbe5ed12ab4d8e11ba873c2f11161202b945"
+FEED_KINDS = ("rss2", "atom", "unknown")
+FEED_STATES = ("accepted", "failed", "quarantined")
+ERROR_CODE = "^[a-z][a-z0-9_]{0,63}\\z"
+DIGEST = "^[0-9a-f]{64}\\z"
+ATOM = "{http://www.w3.org/2005/Atom}"
+DUBLIN_CORE = "{http://purl.org/dc/elements/1.1/}"
+CONTENT = "{http://purl.org/rss/1.0/modules/content/}"

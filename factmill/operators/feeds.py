@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,22 +10,30 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from factmill.functions import vocab
-from factmill.functions.text import empty_as_null, joined_text, stable_id, unescaped, utc_instant, without_tags
+from factmill.functions.text import joined_text, stable_id, unescaped, utc_instant, without_tags
 
 RAW_ITEM = "feed_id string, pos int, title string, body string, link string, published string, error string"
-#: Child elements by meaning, in order of preference; names without their namespace.
-CHILDREN = {"title": ("title",), "body": ("description", "summary", "content", "encoded"), "published": ("pubDate", "date", "published", "updated"), "link": ("link",), "id": ("guid", "id")}
+# Child elements by meaning, in order of preference, by their full names.
+RSS_CHILDREN = {"title": ("title",), "body": ("description", vocab.CONTENT + "encoded"), "published": ("pubDate", vocab.DUBLIN_CORE + "date"), "link": ("link", "guid")}
+ATOM_CHILDREN = {
+    "title": (vocab.ATOM + "title", "title"), "body": (vocab.ATOM + "summary", vocab.ATOM + "content"),
+    "published": (vocab.ATOM + "published", vocab.ATOM + "updated", "published", "updated"), "link": (vocab.ATOM + "id", "id"),
+}
 ROW_FIELDS = "array<struct<item_id:string,published_at:string,source_type:string,source_url:string,author:string,text:string>>"
 
 
 class _Entries:
-    """Collects the children of RSS items or Atom entries while expat reads; a document type or entity is refused."""
+    """Collects the children of RSS items and Atom entries while expat reads; a document type or entity is refused.
+
+    Of each child name the first element counts, and of that the text before any element inside it.
+    """
 
     def __init__(self) -> None:
         from xml.parsers import expat
 
-        self.path, self.entries, self.text = [], [], []
-        self.parser = p = expat.ParserCreate(namespace_separator="\n")
+        self.path, self.rss, self.atom = [], [], []
+        self.entry, self.depth, self.name = None, 0, None
+        self.parser = p = expat.ParserCreate(namespace_separator="}")
         p.buffer_text = True
         p.StartElementHandler, p.EndElementHandler, p.CharacterDataHandler = self.start, self.end, self.text_found
         p.StartDoctypeDeclHandler = p.EntityDeclHandler = self.refuse
@@ -33,33 +41,46 @@ class _Entries:
     def refuse(self, *_) -> None:
         raise ValueError("document types are refused")
 
-    def entry_depth(self) -> int:
-        """2 for rss/channel/item, 1 for feed/entry, else -1."""
-        if self.path[1:3] == ["channel", "item"]:
-            return 3
-        return 2 if self.path[1:2] == ["entry"] else -1
-
     def start(self, name: str, attributes: dict) -> None:
-        self.path.append(name.rpartition("\n")[2])
-        depth = self.entry_depth()
-        if depth == len(self.path):
-            self.entries.append({})
-        elif depth == len(self.path) - 1:
-            self.text = []
-            if self.path[-1] == "link" and attributes.get("href"):
-                self.entries[-1].setdefault("link", attributes["href"].strip())
+        self.path.append("{" + name if "}" in name else name)
+        self.name = None
+        for found, below in ((self.rss, ["channel", "item"]), (self.atom, [vocab.ATOM + "entry"])):
+            if self.path[1:] == below:
+                self.entry, self.depth = {}, len(self.path)
+                found.append(self.entry)
+                return
+        if self.entry is not None and len(self.path) == self.depth + 1:
+            child = self.path[-1]
+            if child.endswith("link") and attributes.get("href"):
+                self.entry.setdefault("@href", attributes["href"])
+            if child not in self.entry:
+                self.entry[child], self.name = "", child
 
     def text_found(self, data: str) -> None:
-        self.text.append(data)
+        if self.name is not None:
+            self.entry[self.name] += data
 
     def end(self, name: str) -> None:
-        depth = self.entry_depth()
-        if depth == len(self.path) - 1 and (value := "".join(self.text).strip()):
-            self.entries[-1].setdefault(self.path[-1], value)
+        if len(self.path) == self.depth:
+            self.entry, self.depth = None, 0
+        self.name = None
         self.path.pop()
 
 
-def _read(payload: bytes | None) -> tuple[list[dict], str | None]:
+def _first(entry: dict, names: tuple[str, ...]) -> str:
+    """The text of the first of these children that holds any."""
+    return next((entry[n].strip() for n in names if entry.get(n)), "")
+
+
+def _link(entry: dict, names: tuple[str, ...], rss: bool) -> str:
+    """RSS: the text of link, or of guid where that is blank. Atom: the first link's target, or the id."""
+    if not rss:
+        return entry.get("@href") or _first(entry, names)
+    return next((found for n in names if (found := _first(entry, (n,)))), "")
+
+
+def _read(payload: bytes | None) -> tuple[list[tuple[str, str, str, str]], str | None]:
+    """(title, body, link, published) of each entry, or an error code."""
     if payload is None:
         return [], "feed_xml_invalid"
     if len(payload) > vocab.MAX_PAYLOAD_BYTES:
@@ -69,11 +90,8 @@ def _read(payload: bytes | None) -> tuple[list[dict], str | None]:
         found.parser.Parse(payload, True)
     except Exception:  # expat errors, unknown encodings and refusals end as one sanitized code
         return [], "feed_xml_invalid"
-    return found.entries, None
-
-
-def _first(entry: dict, names: tuple[str, ...]) -> str:
-    return next((entry[n] for n in names if entry.get(n)), "")
+    names = RSS_CHILDREN if found.rss else ATOM_CHILDREN
+    return [(_first(e, names["title"]), _first(e, names["body"]), _link(e, names["link"], bool(found.rss)), _first(e, names["published"])) for e in found.rss or found.atom], None
 
 
 def _parser(max_items: int):
@@ -84,8 +102,7 @@ def _parser(max_items: int):
                 entries, error = _read(payload)
                 if error:
                     rows.append((feed_id, None, None, None, None, None, error))
-                for pos, e in enumerate(entries[:max_items]):
-                    rows.append((feed_id, pos, _first(e, CHILDREN["title"]), _first(e, CHILDREN["body"]), _first(e, CHILDREN["link"]) or _first(e, CHILDREN["id"]), _first(e, CHILDREN["published"]), None))
+                rows += [(feed_id, pos, *entry, None) for pos, entry in enumerate(entries[:max_items])]
             out = pd.DataFrame(rows, columns=["feed_id", "pos", "title", "body", "link", "published", "error"])
             yield out.astype({"pos": "Int32"})
 
@@ -100,22 +117,35 @@ def parse_payloads(payloads: DataFrame, max_items: int = 25) -> DataFrame:
     return payloads.select("feed_id", F.col("content").cast("binary").alias("content")).mapInPandas(_parser(max_items), RAW_ITEM)
 
 
+def dated_entries(payloads: DataFrame, ingested_at: Column, max_items: int = 25) -> DataFrame:
+    """``parse_payloads`` with published_at (``ingested_at`` where an entry has no date).
+
+    An unreadable date makes the whole feed faulty: all its entries get the error ``feed_date_invalid``.
+    """
+    raw = parse_payloads(payloads, max_items).withColumn("published_at", utc_instant(F.col("published"), ingested_at))
+    undated = F.max(F.col("error").isNull() & F.col("published_at").isNull()).over(W.partitionBy("feed_id"))  # at most max_items rows of a payload
+    return raw.withColumn("error", F.coalesce("error", F.when(undated, "feed_date_invalid")))
+
+
 def feed_items(payloads: DataFrame, feeds: DataFrame, ingested_at: Column, max_items: int = 25) -> DataFrame:
-    """Source items of the payloads, with ``pos``. Entries without a readable date get ``ingested_at``."""
-    raw = parse_payloads(payloads, max_items).where("error is null").join(feeds.withColumnRenamed("feed_id", "f_id"), F.col("feed_id") == F.col("f_id"))
-    title, body = unescaped(without_tags(F.col("title"))), unescaped(without_tags(F.col("body")))
-    raw = raw.withColumns({"title": title, "body": body})
+    """Source items of the payloads without fault, with ``pos``. A title is taken as it stands, a body without its tags."""
+    raw = dated_entries(payloads, ingested_at, max_items).where("error is null").join(feeds.withColumnRenamed("feed_id", "f_id"), F.col("feed_id") == F.col("f_id"))
     return raw.select(
-        stable_id(F.col("feed_id"), F.col("link"), F.col("title")).alias("item_id"), F.coalesce(utc_instant(F.col("published"), ingested_at), ingested_at).alias("published_at"), "source_type",
-        F.coalesce(empty_as_null(F.col("link")), F.col("feed_url")).alias("source_url"), F.coalesce("author", F.lit("")).alias("author"), joined_text(F.col("title"), F.col("body")).alias("text"), "feed_id", "pos",
+        stable_id(F.col("feed_id"), F.col("link"), F.col("title")).alias("item_id"), "published_at", "source_type", F.col("link").alias("source_url"),
+        F.coalesce("author", F.lit("")).alias("author"), joined_text(F.col("title"), unescaped(without_tags(F.col("body")))).alias("text"), "feed_id", "pos",
     )
 
 
+def sorted_items(items: DataFrame) -> DataFrame:
+    """Items in the order in which they are published: by time, then id."""
+    return items.orderBy("published_at", "item_id")
+
+
 def fetch_statuses(payloads: DataFrame, feeds: DataFrame, max_items: int = 25) -> DataFrame:
     """feed_id, feed_url, ok, item_count, error for each configured feed; one without a payload failed."""
-    parsed = parse_payloads(payloads, max_items)
+    parsed = dated_entries(payloads, F.lit(""), max_items)
     seen = payloads.select(F.col("feed_id").alias("s_id")).distinct()
-    by_feed = parsed.groupBy(F.col("feed_id").alias("p_id")).agg(F.count("pos").alias("n"), F.max("error").alias("e"))
+    by_feed = parsed.groupBy(F.col("feed_id").alias("p_id")).agg(F.count(F.when(F.col("error").isNull(), F.col("pos"))).alias("n"), F.max("error").alias("e"))
     out = feeds.join(seen, F.col("feed_id") == F.col("s_id"), "left").join(by_feed, F.col("feed_id") == F.col("p_id"), "left")
     error = F.when(F.col("s_id").isNull(), F.lit("feed_missing")).otherwise(F.coalesce("e", F.lit("")))
     return out.select("feed_id", "feed_url", (error == "").alias("ok"), F.coalesce("n", F.lit(0)).cast("long").alias("item_count"), error.alias("error"))
@@ -142,11 +172,11 @@ def outcome_error() -> Column:
     """The first fault of a feed outcome (feed_id, feed_url, kind, state, rows, error_code), null for none."""
     row_bad = F.exists("rows", lambda r: F.expr("false") | _any([_bad_text(r[k], k == "author") for k in vocab.ROW_KEYS]))
     return (
-        F.when(F.col("kind").isNull() | ~F.col("kind").isin("rss2", "atom", "unknown"), "feed_kind_invalid")
-        .when(F.col("state").isNull() | ~F.col("state").isin("accepted", "failed", "quarantined"), "feed_state_invalid")
+        F.when(F.col("kind").isNull() | ~F.col("kind").isin(*vocab.FEED_KINDS), "feed_kind_invalid")
+        .when(F.col("state").isNull() | ~F.col("state").isin(*vocab.FEED_STATES), "feed_state_invalid")
         .when(F.col("rows").isNull() | (F.size("rows") > vocab.MAX_ROWS_PER_FEED), "rows_invalid")
         .when(row_bad, "row_invalid")
-        .when(F.col("error_code").isNotNull() & ~F.col("error_code").rlike("^[a-z][a-z0-9_]{0,63}$"), "error_code_invalid")
+        .when(F.col("error_code").isNotNull() & ~F.col("error_code").rlike(vocab.ERROR_CODE), "error_code_invalid")
         .when(F.col("state").isin("accepted", "quarantined") & (F.col("kind") == "unknown"), "feed_kind_invalid")
         .when((F.col("state") == "accepted") & ((F.size("rows") == 0) | F.col("error_code").isNotNull()), "outcome_invariant_invalid")
         .when((F.col("state") != "accepted") & ((F.size("rows") > 0) | F.col("error_code").isNull()), "outcome_invariant_invalid")
@@ -186,69 +216,138 @@ def multiset_digest(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(number), F.lit(0)).cast("string").alias("hash_sum"))
 
 
-def publication_decision(outcomes: DataFrame) -> DataFrame:
-    """One row: totals, completeness, the first error of any feed, and success, quarantine, hard_fail or invalid."""
-    checked = outcomes.withColumn("fault", outcome_error())
-    repeated = checked.groupBy("feed_id").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)).alias("most"))
-    totals = checked.agg(
-        F.count(F.lit(1)).alias("feed_count"), F.count_if(F.col("state") == "accepted").alias("successful_feed_count"), F.count_if(F.col("state") == "failed").alias("failed_feed_count"),
-        F.count_if(F.col("state") == "quarantined").alias("quarantined_feed_count"), F.coalesce(F.sum(F.when(F.col("state") == "accepted", F.size("rows"))), F.lit(0)).cast("long").alias("accepted_row_count"),
+def _totals() -> list[Column]:
+    state = F.col("state")
+    return [
+        F.count(F.lit(1)).alias("feed_count"), F.count_if(state == "accepted").alias("successful_feed_count"), F.count_if(state == "failed").alias("failed_feed_count"),
+        F.count_if(state == "quarantined").alias("quarantined_feed_count"), F.coalesce(F.sum(F.when(state == "accepted", F.size("rows"))), F.lit(0)).cast("long").alias("accepted_row_count"),
         F.min(F.when(F.col("fault").isNotNull(), F.struct("feed_id", "fault")))["fault"].alias("fault"),
-    )
+    ]
+
+
+def _decided(totals: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Decides over rows of totals and ``most``, how often a feed's id occurs at most."""
     error = F.when(F.col("feed_count") == 0, "feed_config_empty").when(F.col("fault").isNotNull(), F.col("fault")).when(F.col("most") > 1, "feed_duplicate")
-    out = totals.crossJoin(repeated).withColumn("error", error)
     decision = F.when(F.col("error").isNotNull(), "invalid").when(F.col("failed_feed_count") > 0, "hard_fail").when(F.col("quarantined_feed_count") > 0, "quarantine").otherwise("success")
     complete = (F.col("failed_feed_count") == 0) & (F.col("quarantined_feed_count") == 0)
-    return out.select("feed_count", "successful_feed_count", "failed_feed_count", "quarantined_feed_count", "accepted_row_count", complete.alias("publication_complete"), "error", decision.alias("decision"))
+    return totals.withColumn("error", error).select(
+        *keys, "feed_count", "successful_feed_count", "failed_feed_count", "quarantined_feed_count", "accepted_row_count", complete.alias("publication_complete"), "error", decision.alias("decision"),
+    )
 
 
-def audit_statuses(statuses: DataFrame) -> DataFrame:
-    """status_id and the first broken rule of each status (null: sound).
+def publication_decision(outcomes: DataFrame) -> DataFrame:
+    """One row: totals, completeness, the fault of the first faulty feed by id, and success, quarantine, hard_fail or invalid."""
+    checked = outcomes.withColumn("fault", outcome_error())
+    repeated = checked.groupBy("feed_id").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)).alias("most"))
+    return _decided(checked.agg(*_totals()).crossJoin(repeated))  # one row each
 
-    ``statuses``: status_id, the stored totals and flags, aggregate_row_digest, and feeds: an array of the fields of
-    ``feed_digests``. Everything is recomputed from the array within the row: no shuffle.
-    """
-    digest = "^[0-9a-f]{64}$"
-    item = F.col("feeds")
-    ids = F.transform(item, lambda f: f["feed_id"])
-    keys = F.transform(item, lambda f: F.struct(f["feed_id"].alias("a"), f["feed_url"].alias("b")))
-    ordered = F.forall(F.sequence(F.lit(1), F.greatest(F.size(keys) - 1, F.lit(1))), lambda i: (F.size(keys) < 2) | (F.get(keys, i - 1) < F.get(keys, i)))
-    accepted = lambda f: f["state"] == "accepted"
 
-    def any_feed(rule) -> Column:
-        return F.exists(item, lambda f: F.coalesce(rule(f), F.lit(True)))
+def publication_decisions(outcomes: DataFrame, key: str) -> DataFrame:
+    """The decision over the feeds of each ``key``, for many configurations at once."""
+    checked = outcomes.withColumn("fault", outcome_error())
+    repeated = checked.groupBy(F.col(key).alias("_k"), "feed_id").agg(F.count(F.lit(1)).alias("n")).groupBy("_k").agg(F.max("n").alias("most"))
+    return _decided(checked.groupBy(key).agg(*_totals()).join(repeated, F.col(key).eqNullSafe(F.col("_k"))), [key])
+
+
+STATUS_VERSION = "feed_status.v1"
+_FEED = "struct<accepted_row_count:bigint,error_code:string,feed_id:string,feed_url:string,kind:string,rejected_row_count:bigint,row_digest:string,state:string>"
+#: Fields in alphabetical order, so that to_json is canonical.
+STATUS_SCHEMA = (
+    "accepted_row_count bigint, aggregate_row_digest string, configured_feed_count bigint, eligible_for_live_publication boolean, failed_feed_count bigint, feed_count bigint,"
+    f" feeds array<{_FEED}>, publication_complete boolean, quarantined_feed_count bigint, rejected_row_count bigint, status_version string, successful_feed_count bigint"
+)
+STATUS_FIELDS = tuple(field.split()[0] for field in STATUS_SCHEMA.split(", "))
+COUNTERS = ("configured_feed_count", "feed_count", "successful_feed_count", "failed_feed_count", "quarantined_feed_count", "accepted_row_count", "rejected_row_count")
+
+
+def _number(c: Column) -> Column:
+    return c.isNotNull() & c.between(0, vocab.MAX_SAFE_INTEGER)
+
+
+def _listed(c: Column, values: tuple[str, ...]) -> Column:
+    return F.coalesce(c.isin(*values), F.lit(False))
+
+
+def _matches(c: Column, form: str) -> Column:
+    return F.coalesce(c.rlike(form), F.lit(False))
+
+
+def _feed_fault(feeds: Column):
+    """For array functions over ``feeds``: the first fault of the i-th feed, given those before it."""
+
+    def fault(f: Column, i: Column) -> Column:
+        before, last = F.slice(feeds, 1, i), F.get(feeds, i - 1)
+        accepted, key = f["state"] == "accepted", lambda x: F.struct(x["feed_id"].alias("a"), x["feed_url"].alias("b"))
+        rows = f["accepted_row_count"]
+        return (
+            F.when(_bad_text(f["feed_id"]) | _bad_text(f["feed_url"]), "feed_invalid")
+            .when(F.exists(before, lambda x: x["feed_id"] == f["feed_id"]), "feed_duplicate")
+            .when((i > 0) & (key(f) <= key(last)), "feed_order_invalid")
+            .when(~_listed(f["kind"], vocab.FEED_KINDS), "feed_kind_invalid")
+            .when(~_listed(f["state"], vocab.FEED_STATES), "feed_state_invalid")
+            .when((f["state"] != "failed") & (f["kind"] == "unknown"), "feed_kind_invalid")
+            .when(~_number(rows) | ~_number(f["rejected_row_count"]) | (rows > vocab.MAX_ROWS_PER_FEED), "feed_counter_invalid")
+            .when(f["rejected_row_count"] != 0, "rejected_count_invalid")
+            .when(accepted != (rows > 0), "feed_state_invalid")
+            .when(~_matches(f["row_digest"], vocab.DIGEST), "status_digest_invalid")
+            .when(accepted == (f["row_digest"] == vocab.EMPTY_DIGEST), "empty_digest_invalid")
+            .when(accepted & f["error_code"].isNotNull(), "feed_state_invalid")
+            .when(~accepted & ~_matches(f["error_code"], vocab.ERROR_CODE), "feed_error_invalid")
+        )
+
+    return fault
+
+
+def status_error(field=F.col) -> Column:
+    """The first broken rule of a status, null if it is sound. ``field``: its fields by name, those of STATUS_SCHEMA.
+
+    The feeds are judged one after another; totals, flags and digests are recomputed from them, all within the row.
+    """
+    feeds = field("feeds")
+    of_feeds = F.element_at(F.filter(F.transform(feeds, _feed_fault(feeds)), lambda e: e.isNotNull()), 1)
+    n = F.size(feeds).cast("long")
 
     def total(state: str) -> Column:
-        return F.size(F.filter(item, lambda f: f["state"] == state)).cast("long")
+        return F.size(F.filter(feeds, lambda f: f["state"] == state)).cast("long")
+
+    rows = F.aggregate(feeds, F.lit(0).cast("long"), lambda a, f: a + f["accepted_row_count"])
+    complete = total("accepted") == n
+    return (
+        F.when(~_listed(field("status_version"), (STATUS_VERSION,)), "status_version_invalid")
+        .when(_any([~_number(field(c)) for c in COUNTERS]), "status_counter_invalid")
+        .when(field("publication_complete").isNull() | field("eligible_for_live_publication").isNull(), "status_flag_invalid")
+        .when(~_matches(field("aggregate_row_digest"), vocab.DIGEST), "status_digest_invalid")
+        .when(feeds.isNull() | (n == 0), "feed_invalid")
+        .when(F.try_element_at(F.filter(F.transform(feeds, _feed_fault(feeds)), lambda e: e.isNotNull()), F.lit(1)).isNotNull(), of_feeds)
+        .when((field("configured_feed_count") != n) | (field("feed_count") != n), "status_counter_invalid")
+        .when((field("successful_feed_count") != total("accepted")) | (field("failed_feed_count") != total("failed")), "status_counter_invalid")
+        .when((field("quarantined_feed_count") != total("quarantined")) | (field("accepted_row_count") != rows), "status_counter_invalid")
+        .when(field("rejected_row_count") != 0, "rejected_count_invalid")
+        .when((rows == 0) != (field("aggregate_row_digest") == vocab.EMPTY_DIGEST), "empty_digest_invalid")
+        .when((field("publication_complete") != complete) | (field("eligible_for_live_publication") != complete), "status_flag_invalid")
+    )
+
+
+def audit_statuses(statuses: DataFrame) -> DataFrame:
+    """status_id and error_code of statuses in columns (status_id and the fields of STATUS_SCHEMA)."""
+    return statuses.select("status_id", status_error().alias("error_code"))
+
+
+def status_wires(statuses: DataFrame) -> DataFrame:
+    """(status_id, status): the canonical JSON of statuses in columns."""
+    feed = tuple(x.split(":")[0] for x in _FEED[7:-1].split(","))
+    feeds = F.transform("feeds", lambda f: F.struct(*[f[c].alias(c) for c in feed]))
+    values = [(feeds if c == "feeds" else F.col(c)).alias(c) for c in STATUS_FIELDS]
+    return statuses.select("status_id", F.to_json(F.struct(*values), {"ignoreNullFields": "false"}).alias("status"))
+
 
-    rows = F.aggregate(item, F.lit(0).cast("long"), lambda a, f: a + f["accepted_row_count"])
-    complete = (total("failed") == 0) & (total("quarantined") == 0)
-    n = F.size(item).cast("long")
-    counters = ("configured_feed_count", "feed_count", "successful_feed_count", "failed_feed_count", "quarantined_feed_count", "accepted_row_count", "rejected_row_count")
-    wrong_number = _any([F.col(c).isNull() | (F.col(c) < 0) | (F.col(c) > vocab.MAX_SAFE_INTEGER) for c in counters])
+def audit_status_wires(wires: DataFrame) -> DataFrame:
+    """status_id and error_code of statuses as JSON text (status_id, status): also other keys, and any byte off the canonical form."""
+    read = wires.withColumn("_s", F.from_json("status", STATUS_SCHEMA)).withColumn("_keys", F.json_object_keys("status"))
     error = (
-        F.when(wrong_number, "status_counter_invalid")
-        .when(F.col("publication_complete").isNull() | F.col("eligible_for_live_publication").isNull(), "status_flag_invalid")
-        .when(F.col("aggregate_row_digest").isNull() | ~F.col("aggregate_row_digest").rlike(digest), "status_digest_invalid")
-        .when(item.isNull() | (n == 0), "feed_invalid")
-        .when(any_feed(lambda f: _bad_text(f["feed_id"]) | _bad_text(f["feed_url"])), "feed_invalid")
-        .when(F.size(F.array_distinct(ids)) != n, "feed_duplicate")
-        .when(~ordered, "feed_order_invalid")
-        .when(any_feed(lambda f: ~f["kind"].isin("rss2", "atom", "unknown")), "feed_kind_invalid")
-        .when(any_feed(lambda f: ~f["state"].isin("accepted", "failed", "quarantined")), "feed_state_invalid")
-        .when(any_feed(lambda f: f["state"].isin("accepted", "quarantined") & (f["kind"] == "unknown")), "feed_kind_invalid")
-        .when(any_feed(lambda f: ~f["accepted_row_count"].between(0, vocab.MAX_ROWS_PER_FEED)), "feed_counter_invalid")
-        .when(any_feed(lambda f: f["rejected_row_count"] != 0), "rejected_count_invalid")
-        .when(any_feed(lambda f: accepted(f) != (f["accepted_row_count"] > 0)), "feed_state_invalid")
-        .when(any_feed(lambda f: ~f["row_digest"].rlike(digest)), "status_digest_invalid")
-        .when(any_feed(lambda f: accepted(f) == (f["row_digest"] == vocab.EMPTY_DIGEST)), "empty_digest_invalid")
-        .when(F.exists(item, lambda f: accepted(f) & f["error_code"].isNotNull()), "feed_state_invalid")
-        .when(F.exists(item, lambda f: ~accepted(f) & ~F.coalesce(f["error_code"].rlike("^[a-z][a-z0-9_]{0,63}$"), F.lit(False))), "feed_error_invalid")
-        .when((F.col("configured_feed_count") != n) | (F.col("feed_count") != n), "status_counter_invalid")
-        .when((F.col("successful_feed_count") != total("accepted")) | (F.col("failed_feed_count") != total("failed")), "status_counter_invalid")
-        .when((F.col("quarantined_feed_count") != total("quarantined")) | (F.col("accepted_row_count") != rows), "status_counter_invalid")
-        .when(F.col("rejected_row_count") != 0, "rejected_count_invalid")
-        .when((rows == 0) != (F.col("aggregate_row_digest") == vocab.EMPTY_DIGEST), "empty_digest_invalid")
-        .when((F.col("publication_complete") != complete) | (F.col("eligible_for_live_publication") != complete), "status_flag_invalid")
+        F.when(F.col("_keys").isNull() | F.col("_s").isNull(), "status_invalid")
+        .when(F.size(F.array_distinct("_keys")) < F.size("_keys"), "status_duplicate_key")
+        .when(F.array_sort("_keys") != F.array(*map(F.lit, STATUS_FIELDS)), "status_invalid")
+        .otherwise(F.coalesce(status_error(lambda c: F.col("_s")[c]), F.when(F.to_json("_s", {"ignoreNullFields": "false"}) != F.col("status"), "status_noncanonical")))
     )
-    return statuses.select("status_id", error.alias("error_code"))
+    return read.select("status_id", error.alias("error_code"))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factmill.functions.text import direction_of, event_type_of, plain_dashes, strict_date
 from factmill.operators.records import normalize_records
 
-#: Rows of the exploded alias table up to which it is broadcast.
-BROADCAST_ALIASES = 100_000
 #: Symbols up to which patterns are part of the plan.
 LITERAL_SYMBOLS = 256
+#: Aliases that one scan of the texts looks for; a larger table is scanned for in parts.
+SCAN_ALIASES = 100_000
+# Letters that expressions without case take for an ASCII letter and lower() does not, and these letters.
+FOLDED, PLAIN = "\u017f\u212a\u0130\u0131", "skii"
 
 
 def load_aliases(raw: DataFrame) -> DataFrame:
@@ -39,24 +42,76 @@ def alias_pattern(alias: Column) -> Column:
     )
 
 
+def _folded(c: Column) -> Column:
+    """Lower case in which every ASCII letter stands wherever an expression without case would find it."""
+    return F.lower(F.translate(c, FOLDED, PLAIN))
+
+
+def _literal(alias: Column) -> Column:
+    """What a text must hold, folded, for the alias to match; '' (always held) where letters beyond ASCII are in it."""
+    plain = plain_dashes(alias)
+    return F.when(plain.rlike(r"[^\x00-\x7f]"), "").when(alias_kind(plain) == "cashtag", F.concat(F.lit("$"), F.lower(plain))).otherwise(F.lower(plain))
+
+
 def mentions(items: DataFrame, aliases: DataFrame, item_columns: tuple[str, ...] = ("item_id",)) -> DataFrame:
     """(item columns, symbol): each symbol once for every item row whose text matches one of its aliases.
 
-    Up to LITERAL_SYMBOLS symbols become one alternation each, compiled once for a task, and an item's symbols are
-    found within its row: no join and no shuffle of texts. More symbols meet the items by a broadcast of the alias table
-    and a distinct; a table beyond that bound is an error rather than an unbounded broadcast.
+    Up to LITERAL_SYMBOLS symbols become one alternation each, tried only on texts that hold one of the symbol's
+    literals, and an item's symbols are found within its row: no join and no shuffle of texts. More symbols are found by
+    one scan of each text for all literals at once; what it finds is joined to the aliases and tried.
     """
     text = plain_dashes(F.coalesce("text", F.lit("")))
     bare = F.regexp_replace("pattern", r"^\(\?iu\)", "")
-    symbols = aliases.groupBy("symbol").agg(F.array_join(F.array_sort(F.collect_set(F.concat(F.lit("(?:"), bare, F.lit(")")))), "|").alias("p"))
+    symbols = aliases.groupBy("symbol").agg(F.array_join(F.array_sort(F.collect_set(F.concat(F.lit("(?:"), bare, F.lit(")")))), "|").alias("p"), F.array_sort(F.collect_set(_literal(F.col("alias")))).alias("held"))
     found = symbols.limit(LITERAL_SYMBOLS + 1).collect()
-    if len(found) <= LITERAL_SYMBOLS:
-        hits = F.array_compact(F.array(*[F.when(F.col("_text").rlike(f"(?iu){r['p']}"), r["symbol"]) for r in sorted(found)])) if found else F.array().cast("array<string>")
-        return items.withColumn("_text", text).select(*item_columns, F.explode(hits).alias("symbol"))
-    if aliases.limit(BROADCAST_ALIASES + 1).count() > BROADCAST_ALIASES:
-        raise ValueError("more aliases than may be broadcast; split the table")
-    hit = items.select(*item_columns, text.alias("_text")).join(F.broadcast(aliases.select("symbol", "pattern")), F.expr("_text rlike pattern"))
-    return hit.select(*item_columns, "symbol").distinct()
+    if len(found) > LITERAL_SYMBOLS:
+        return _scanned(items, aliases, item_columns, text)
+    hits = []
+    for r in sorted(found):
+        held = F.lit(False)
+        for literal in r["held"]:
+            held = held | F.contains(F.col("_low"), F.lit(literal))
+        hits.append(F.when(held, F.when(F.col("_text").rlike(f"(?iu){r['p']}"), r["symbol"])))
+    each = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
+    return items.withColumn("_text", text).withColumn("_low", _folded(F.col("_text"))).select(*item_columns, F.explode(each).alias("symbol"))
+
+
+def _literals_in(literals: list[str], first: int):
+    """For each folded text the numbers of the literals that stand in it, found in one pass by an automaton."""
+    import ahocorasick
+
+    automaton = ahocorasick.Automaton()
+    for i, word in enumerate(literals):
+        if word:
+            automaton.add_word(word, first + i)
+    always = [first + i for i, word in enumerate(literals) if not word]
+    automaton.make_automaton()
+
+    @F.pandas_udf("array<int>")
+    def scan(texts: pd.Series) -> pd.Series:
+        return pd.Series([always + sorted({i for _, i in automaton.iter(t)}) for t in texts] if len(automaton) else [always] * len(texts), dtype=object)
+
+    return scan
+
+
+def _scanned(items: DataFrame, aliases: DataFrame, item_columns: tuple[str, ...], text: Column) -> DataFrame:
+    """``mentions`` for any number of symbols: as many scans as the alias table has parts of SCAN_ALIASES literals.
+
+    A literal stands for all its symbols and patterns. Only texts with candidates meet the aliases, each with its own
+    few; a row's symbols are made distinct within the row, so no text is shuffled.
+    """
+    rows = aliases.select("symbol", "pattern", _literal(F.col("alias")).alias("literal")).groupBy("literal").agg(F.collect_set(F.struct("symbol", "pattern")).alias("tries"))
+    words = sorted(r["literal"] for r in rows.select("literal").toLocalIterator())
+    folded, out = items.withColumn("_text", text), None
+    for first in range(0, len(words), SCAN_ALIASES):
+        part = words[first : first + SCAN_ALIASES]
+        numbered = items.sparkSession.createDataFrame([(w, first + i) for i, w in enumerate(part)], "w string, number int")
+        tries = F.broadcast(rows.join(F.broadcast(numbered), F.col("literal") == F.col("w")).select("number", "tries"))  # at most SCAN_ALIASES literals
+        near = folded.withColumn("_row", F.struct(*item_columns)).select("_row", "_text", F.explode(_literals_in(part, first)(_folded(F.col("_text")))).alias("_number"))
+        tried = near.join(tries, F.col("_number") == F.col("number")).select("_row", "_text", F.inline("tries")).where(F.expr("_text rlike pattern"))
+        found = tried.select("_row.*", "symbol")
+        out = found if out is None else out.unionByName(found)
+    return out.distinct() if out is not None else items.select(*item_columns, F.lit("").alias("symbol")).limit(0)
 
 
 def mention_records(items: DataFrame, aliases: DataFrame) -> DataFrame:

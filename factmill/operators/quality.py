@@ -46,9 +46,14 @@ def quality_summary(events: DataFrame, statuses: DataFrame | None = None) -> Dat
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """path, bytes and sha256 of each file that Spark's binary reader finds."""
+    """path, artifact (the file's name), bytes and sha256 of each file that Spark's binary reader finds."""
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("artifact"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def file_row_counts(rows: DataFrame) -> DataFrame:
+    """(artifact, row_count) of the files that ``rows`` is read from, by their names."""
+    return rows.groupBy(F.col("_metadata.file_name").alias("artifact")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -60,8 +65,21 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def manifest_artifacts(digests: DataFrame, rows: DataFrame) -> DataFrame:
+    """artifact, path, sha256 and row_count (null where ``rows`` has no such file) of each file, joined by the file's name."""
+    counts = rows.select(F.col("artifact").alias("r_artifact"), "row_count")
+    return digests.join(counts, F.col("artifact") == F.col("r_artifact"), "left").select("artifact", "path", "sha256", "row_count")
+
+
 def live_manifest(spark: SparkSession, path: str, rows: DataFrame, quality: DataFrame) -> DataFrame:
-    """One JSON row: artifacts (path, sha256, row_count) in order of path, their number, and the quality summary."""
-    found = file_digests(spark, path).join(rows, F.col("path").endswith(F.col("artifact")), "left")
-    listed = found.agg(F.count(F.lit(1)).alias("artifact_count"), F.array_sort(F.collect_list(F.struct("path", "sha256", "row_count"))).alias("artifacts"))
+    """One JSON row: artifacts (path, sha256, row_count) in order of path, their number, and the quality summary.
+
+    ``rows``: artifact (file name), row_count. A manifest lists the files of one publication: a small list.
+    """
+    listed = manifest_artifacts(file_digests(spark, path), rows)
+    listed = listed.agg(F.count(F.lit(1)).alias("artifact_count"), F.array_sort(F.collect_list(F.struct("path", "sha256", "row_count"))).alias("artifacts"))
     return listed.crossJoin(quality).select(F.to_json(F.struct("artifact_count", "artifacts", F.struct(*quality.columns).alias("data_quality"))).alias("value"))
+
+
+def write_live_manifest(spark: SparkSession, path: str, rows: DataFrame, quality: DataFrame, output: str) -> None:
+    live_manifest(spark, path, rows, quality).coalesce(1).write.mode("overwrite").text(output)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factmill.functions import vocab
 from factmill.functions.text import confidence_of, is_government_url, is_https, slug, strict_date
+from factmill.sources.files import read_rows, write_rows
 
 RECORD_COLUMNS = ("record_id", "record_date", "symbol", "source_type", "event_type", "direction", "source_url", "summary", "entity_match_type", "match_evidence", "relationship_type")
 EVENT_COLUMNS = ("event_id", "event_date", "symbol", "event_type", "direction", "confidence", "source_url", "notes", "entity_match_type", "match_evidence", "relationship_type")
@@ -55,6 +56,18 @@ def normalize_records(records: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
+def sorted_events(events: DataFrame) -> DataFrame:
+    """Events in the order in which they are published: by date, symbol, id."""
+    return events.orderBy("event_date", "symbol", "event_id")
+
+
+def import_official_events(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Reads official records from CSV, fails on the first faulty one, writes their events as CSV and returns them."""
+    events = sorted_events(normalize_records(read_rows(spark, source), strict=True))
+    write_rows(events, target, EVENT_COLUMNS)
+    return events
+
+
 def load_events(raw: DataFrame) -> DataFrame:
     """Events in analysis form from rows of text: strict date, upper symbol, missing optional columns as ''."""
     rows = raw.withColumns({c: F.lit("") for c in ("direction", "confidence", "source_url", "notes") if c not in raw.columns})

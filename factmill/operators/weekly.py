@@ -12,6 +12,7 @@ from factmill.functions import vocab
 CONTRACT_VERSION = "weekly_source.v1"
 LOCK_VERSION = "weekly_period_lock.v1"
 CALENDAR = "utc_iso_week_monday_sunday"
+MANIFEST_TYPE = "weekly_source_manifest"
 ARTIFACTS = "array<struct<path:string,row_count:bigint,sha256:string>>"
 #: Fields in alphabetical order, so that to_json is canonical.
 CONTRACT_SCHEMA = (
@@ -90,8 +91,12 @@ def contract_rows(weeks: DataFrame) -> DataFrame:
 
 
 def manifest_rows(contracts: DataFrame) -> DataFrame:
-    """(period_start, manifest): each contract wrapped with its digest."""
-    return contracts.select("period_start", F.concat(F.lit('{"contract":'), "contract", F.lit(',"contract_sha256":"'), F.sha2(F.col("contract").cast("binary"), 256), F.lit('"}')).alias("manifest"))
+    """(period_start, manifest): each contract in its wrapper of two keys."""
+    return contracts.select("period_start", _manifest(F.col("contract")).alias("manifest"))
+
+
+def _manifest(contract: Column) -> Column:
+    return F.concat(F.lit('{"contract":'), contract, F.lit(f',"manifest_type":"{MANIFEST_TYPE}"}}'))
 
 
 def _safe_path(p: Column) -> Column:
@@ -154,6 +159,39 @@ def audit_contracts(wires: DataFrame, column: str = "contract") -> DataFrame:
     return rows.withColumn("error_code", _first_fault(faults)).drop("_o")
 
 
+def audit_manifests(wires: DataFrame, column: str = "manifest") -> DataFrame:
+    """Adds error_code of each row's manifest text: of the wrapper, then of its contract, then any byte off the canonical form.
+
+    A contract whose content is sound but not written canonically leaves the manifest not canonical.
+    """
+    rows = wires.withColumns({"_keys": F.json_object_keys(column), "_m": F.from_json(column, "contract string, manifest_type string")})
+    rows = audit_contracts(rows.withColumn("_c", F.to_json(F.from_json(F.col("_m")["contract"], CONTRACT_SCHEMA), {"ignoreNullFields": "false"})), "_c").withColumnRenamed("error_code", "_inner")
+    error = (
+        F.when(F.col("_keys").isNull(), "manifest_wire_invalid")
+        .when(F.size(F.array_distinct("_keys")) < F.size("_keys"), "manifest_duplicate_key")
+        .when((F.array_sort("_keys") != F.array(F.lit("contract"), F.lit("manifest_type"))) | ~F.col("_m")["manifest_type"].eqNullSafe(F.lit(MANIFEST_TYPE)), "manifest_shape_invalid")
+        .when(F.json_object_keys(F.col("_m")["contract"]).isNull(), "manifest_contract_invalid")
+        .when(F.col("_inner").isNotNull(), F.col("_inner"))
+        .when(_manifest(F.col("_c")) != F.col(column), "manifest_noncanonical")
+    )
+    return rows.withColumn("error_code", error).drop("_keys", "_m", "_c", "_inner")
+
+
+def verify_manifests(actual: DataFrame, expected: DataFrame) -> DataFrame:
+    """(period_start, verdict) of manifests (period_start, manifest) against the expected contracts (period_start, contract).
+
+    verdict: match, missing, unexpected, the manifest's own fault, or manifest_contract_mismatch.
+    """
+    a = audit_manifests(actual.select(F.col("period_start").alias("a_week"), "manifest"))
+    e = expected.select(F.col("period_start").alias("e_week"), "contract")
+    joined = a.join(e, F.col("a_week") == F.col("e_week"), "full_outer")
+    verdict = (
+        F.when(F.col("a_week").isNull(), "missing").when(F.col("e_week").isNull(), "unexpected").when(F.col("error_code").isNotNull(), F.col("error_code"))
+        .when(F.col("manifest") != _manifest(F.col("contract")), "manifest_contract_mismatch").otherwise("match")
+    )
+    return joined.select(F.coalesce("a_week", "e_week").alias("period_start"), verdict.alias("verdict"))
+
+
 def lock_rows(weeks: DataFrame) -> DataFrame:
     """(period_start, lock): canonical JSON locks of weeks with the lock's own columns."""
     day = lambda c: F.date_format(c, "yyyy-MM-dd")

@@ -15,14 +15,21 @@ def _prices(sparse: bool) -> str:
 
 
 def _returns(sparse: bool) -> str:
+    """Each distinct event day meets the first priced day on or after it by a running minimum over one ordered list; later days are leads."""
+    later = ", ".join(f"lead(date, {k}) OVER w AS d{k}, lead(close, {k}) OVER w AS c{k}" for k in (1, 5, 20))
+    spread = " UNION ALL ".join(f"SELECT symbol, event_date, date, close, CAST({k} AS INTEGER) AS window_days, d{k} AS exit_date, c{k} AS exit_close FROM base WHERE d{k} IS NOT NULL" for k in (1, 5, 20))
+    change = "(r.exit_close / r.close - 1.0::DOUBLE) * 100.0::DOUBLE"
+    market = "(m1.close / m0.close - 1.0::DOUBLE) * 100.0::DOUBLE"
     return f"""{_EVENTS}, {_prices(sparse)},
-cal AS (SELECT symbol, date, close, row_number() OVER (PARTITION BY symbol ORDER BY date) AS n FROM prices),
-base AS (SELECT e.*, c.date AS base_date, c.close AS base_close, c.n FROM events_ e ASOF JOIN cal c ON e.symbol = c.symbol AND e.event_date <= c.date),
-ret AS (SELECT b.event_id, b.event_date, b.symbol, b.event_type, CAST(w.k AS INTEGER) AS window_days, b.base_date, x.date AS exit_date, b.base_close, x.close AS exit_close,
-  (x.close / b.base_close - 1.0::DOUBLE) * 100.0::DOUBLE AS return_pct, 'SPY' AS benchmark_symbol, (m1.close / m0.close - 1.0::DOUBLE) * 100.0::DOUBLE AS benchmark_return_pct,
-  (x.close / b.base_close - 1.0::DOUBLE) * 100.0::DOUBLE - (m1.close / m0.close - 1.0::DOUBLE) * 100.0::DOUBLE AS abnormal_return_pct
-  FROM base b CROSS JOIN (VALUES (1), (5), (20)) w(k) JOIN cal x ON x.symbol = b.symbol AND x.n = b.n + w.k
-  LEFT JOIN market m0 ON m0.date = b.base_date LEFT JOIN market m1 ON m1.date = x.date)"""
+cal AS MATERIALIZED (SELECT symbol, date, close, {later} FROM prices WINDOW w AS (PARTITION BY symbol ORDER BY date)),
+days AS (SELECT DISTINCT symbol, event_date FROM events_),
+line AS (SELECT symbol, date, date AS priced, NULL::DATE AS asked FROM cal UNION ALL SELECT symbol, event_date, NULL, event_date FROM days),
+found AS (SELECT symbol, asked, min(priced) OVER (PARTITION BY symbol ORDER BY date DESC, asked NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS base_date FROM line),
+base AS MATERIALIZED (SELECT f.asked AS event_date, c.* FROM found f JOIN cal c ON c.symbol = f.symbol AND c.date = f.base_date WHERE f.asked IS NOT NULL),
+spread AS ({spread}),
+ret AS (SELECT e.event_id, e.event_date, e.symbol, e.event_type, r.window_days, r.date AS base_date, r.exit_date, r.close AS base_close, r.exit_close, {change} AS return_pct, 'SPY' AS benchmark_symbol,
+  {market} AS benchmark_return_pct, {change} - {market} AS abnormal_return_pct
+  FROM events_ e JOIN spread r ON r.symbol = e.symbol AND r.event_date = e.event_date LEFT JOIN market m0 ON m0.date = r.date LEFT JOIN market m1 ON m1.date = r.exit_date)"""
 
 
 _ITEMS = """items AS (SELECT 'doc-' || CAST(doc_id AS VARCHAR) AS item_id, DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER) AS day,
@@ -62,13 +69,21 @@ fi AS (SELECT *, doc_id // 10 AS n, CASE WHEN (doc_id // 10) % 9 = 4 THEN 'faile
   strftime(day, '%Y-%m-%d') || 'T12:00:00Z' AS published_at, CASE WHEN (doc_id // 10) % 13 = 5 THEN text ELSE regexp_replace(text, '[\\x00-\\x1f]', ' ', 'g') END AS ftext FROM items),
 fb AS (SELECT n, state, count(*) AS k, bool_or(regexp_matches(ftext, '[\\x00-\\x1f]')) AS raw FROM fi GROUP BY n, state)"""
 
+_FEED_ITEMS = """d0 AS (SELECT doc_id, 'feed-' || CAST(doc_id // 10 AS VARCHAR) AS feed_id, CASE doc_id % 7 WHEN 3 THEN 'urn:doc:' || CAST(doc_id AS VARCHAR) WHEN 4 THEN '' ELSE 'https://news.example/' || CAST(doc_id AS VARCHAR) END AS link,
+  'Document ' || CAST(doc_id AS VARCHAR) || CASE WHEN doc_id % 5 = 2 THEN ' <b>of</b> A &amp; B' ELSE '' END AS title, trim(regexp_replace(regexp_replace(coalesce(text, ''), '<[^>]+>', ' ', 'g'), '[\\s\\x1c-\\x1f\\x{85}\\p{Z}]+', ' ', 'g')) AS body FROM documents),
+d AS (SELECT *, bool_or((doc_id // 10) % 17 = 5 AND doc_id % 10 = 0) OVER (PARTITION BY feed_id) AS undated FROM d0)"""
+
+_DECISION = """count(*) AS feed_count, count(*) FILTER (state = 'accepted') AS successful_feed_count, count(*) FILTER (state = 'failed') AS failed_feed_count, count(*) FILTER (state = 'quarantined') AS quarantined_feed_count,
+      CAST(coalesce(sum(k) FILTER (state = 'accepted'), 0) AS BIGINT) AS accepted_row_count, count(*) FILTER (state <> 'accepted') = 0 AS publication_complete, CASE WHEN bool_or(state = 'accepted' AND raw) THEN 'row_invalid' END AS error,
+      CASE WHEN bool_or(state = 'accepted' AND raw) THEN 'invalid' WHEN bool_or(state = 'failed') THEN 'hard_fail' WHEN bool_or(state = 'quarantined') THEN 'quarantine' ELSE 'success' END AS decision"""
+
 _WEEKS = f"{_EVENTS}, wk AS (SELECT *, CAST(date_trunc('week', event_date) AS DATE) AS period_start FROM events_)"
 _NUMBERED = _WEEKS + ", nums AS (SELECT period_start, (period_start - DATE '1994-12-26') // 7 AS n FROM wk GROUP BY period_start)"
 
 SQL = {
     "event_study": f"WITH {_returns(False)} SELECT * FROM ret",
     "event_study_sparse_benchmark": f"WITH {_returns(True)} SELECT * FROM ret",
-    "event_coverage_gaps": f"WITH {_EVENTS}, {_prices(False)} SELECT event_id, event_date, symbol FROM events_ e WHERE NOT EXISTS (SELECT 1 FROM prices p WHERE p.symbol = e.symbol AND p.date >= e.event_date)",
+    "event_coverage_gaps": f"WITH {_EVENTS}, {_prices(False)} SELECT event_id, event_date, e.symbol FROM events_ e LEFT JOIN (SELECT symbol, max(date) AS last FROM prices WHERE symbol = 'SPY' OR CAST(substr(symbol, 2) AS BIGINT) % 3 <> 0 OR date < DATE '1999-01-01' GROUP BY 1) p ON p.symbol = e.symbol WHERE last IS NULL OR last < event_date",
     "price_last_wins": f"WITH {_RAW}, {_OWN} SELECT symbol, date, close FROM own",
     "return_summary_by_type": f"WITH {_returns(False)} SELECT event_type, window_days, count(*) AS returns, CAST(sum(CAST(return_pct AS DECIMAL(28,6))) AS DECIMAL(38,6)) AS return_sum, CAST(sum(CAST(abnormal_return_pct AS DECIMAL(28,6))) AS DECIMAL(38,6)) AS abnormal_sum FROM ret GROUP BY 1, 2",
     "normalize_records": f"""WITH {_RECORDS} SELECT 'official-' || replace(source_type, '_', '-') || '-page-' || CAST(page_id AS VARCHAR) AS event_id, day AS event_date, 'S' || CAST(page_id % 50 AS VARCHAR) AS symbol, event_type,
@@ -96,11 +111,10 @@ SQL = {
     "feed_rollup": f"""WITH {_OUTCOMES} SELECT count(*) AS feed_count, count(*) FILTER (state = 'accepted') AS successful_feed_count, count(*) FILTER (state <> 'accepted') AS failed_feed_count,
       CAST(sum(CASE WHEN state = 'accepted' THEN k ELSE 0 END) AS BIGINT) AS item_count, CAST(count(*) FILTER (state = 'accepted') AS DOUBLE) / count(*) AS ratio FROM fb""",
     "feed_top_n": "SELECT source AS feed_id, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 25",
-    "feed_parse": """WITH d AS (SELECT doc_id, 'feed-' || CAST(doc_id // 10 AS VARCHAR) AS feed_id, 'https://news.example/' || CAST(doc_id AS VARCHAR) AS link, 'Document ' || CAST(doc_id AS VARCHAR) AS title,
-      trim(regexp_replace(regexp_replace(coalesce(text, ''), '<[^>]+>', ' ', 'g'), '[\\s\\x1c-\\x1f\\x{85}\\p{Z}]+', ' ', 'g')) AS body FROM documents)
-      SELECT feed_id || '-' || substr(sha1(feed_id || '|' || link || '|' || title), 1, 12) AS item_id, strftime(DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER), '%Y-%m-%d') || 'T13:30:00Z' AS published_at, link AS source_url, 'desk' AS author,
-      title || CASE WHEN body = '' THEN '' ELSE ' ' || body END AS text, feed_id, CAST(row_number() OVER (PARTITION BY feed_id ORDER BY doc_id) - 1 AS INTEGER) AS pos FROM d""",
-    "feed_statuses": """SELECT 'feed-' || CAST(doc_id // 10 AS VARCHAR) AS feed_id, 'https://feeds.example/' || CAST(doc_id // 10 AS VARCHAR) AS feed_url, true AS ok, count(*) AS item_count, '' AS error FROM documents GROUP BY doc_id // 10""",
+    "feed_parse": f"""WITH {_FEED_ITEMS} SELECT feed_id || '-' || substr(sha1(feed_id || '|' || link || '|' || title), 1, 12) AS item_id, strftime(DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER), '%Y-%m-%d') || 'T13:30:00Z' AS published_at,
+      link AS source_url, 'desk' AS author, title || CASE WHEN body = '' THEN '' ELSE ' ' || body END AS text, feed_id, CAST(row_number() OVER (PARTITION BY feed_id ORDER BY doc_id) - 1 AS INTEGER) AS pos FROM d WHERE NOT undated""",
+    "feed_statuses": f"""WITH {_FEED_ITEMS} SELECT feed_id, 'https://feeds.example/' || CAST(doc_id // 10 AS VARCHAR) AS feed_url, NOT bool_or(undated) AS ok, CASE WHEN bool_or(undated) THEN 0 ELSE count(*) END AS item_count,
+      CASE WHEN bool_or(undated) THEN 'feed_date_invalid' ELSE '' END AS error FROM d GROUP BY feed_id, doc_id // 10""",
     "feed_digest": f"""WITH {_OUTCOMES} SELECT 'feed-' || CAST(n AS VARCHAR) AS feed_id, state, CASE WHEN state = 'accepted' THEN count(*) ELSE 0 END AS accepted_row_count,
       CASE WHEN state = 'accepted' THEN sha256('[' || string_agg(to_json({{'author': author, 'item_id': item_id, 'published_at': published_at, 'source_type': source_type, 'source_url': source_url, 'text': ftext}})::VARCHAR, ',' ORDER BY item_id, published_at, source_type, source_url, author, ftext) || ']')
       ELSE sha256('[]') END AS row_digest FROM fi GROUP BY n, state""",
@@ -111,11 +125,13 @@ SQL = {
       SELECT (SELECT count(DISTINCT symbol) FROM events_) AS symbol_count, c.x AS confidence_counts, t.x AS event_type_counts, (SELECT count(*) FROM fb) AS feed_count,
       (SELECT CAST(sum(CASE WHEN state = 'accepted' THEN k ELSE 0 END) AS BIGINT) FROM fb) AS item_count FROM c, t""",
     "outcome_faults": f"WITH {_OUTCOMES} SELECT state, CASE WHEN state = 'accepted' AND raw THEN 'row_invalid' END AS fault, count(*) AS feeds FROM fb GROUP BY 1, 2",
-    "publication_decision": f"""WITH {_OUTCOMES}, ok AS (SELECT * FROM fb WHERE NOT (state = 'accepted' AND raw)), t AS (SELECT count(*) AS feed_count, count(*) FILTER (state = 'accepted') AS successful_feed_count, count(*) FILTER (state = 'failed') AS failed_feed_count,
-      count(*) FILTER (state = 'quarantined') AS quarantined_feed_count, CAST(coalesce(sum(k) FILTER (state = 'accepted'), 0) AS BIGINT) AS accepted_row_count FROM ok)
-      SELECT *, failed_feed_count + quarantined_feed_count = 0 AS publication_complete, CAST(NULL AS VARCHAR) AS error, CASE WHEN failed_feed_count > 0 THEN 'hard_fail' WHEN quarantined_feed_count > 0 THEN 'quarantine' ELSE 'success' END AS decision FROM t""",
-    "status_audit": f"""WITH {_OUTCOMES}, s AS (SELECT n // 10 AS status_id, count(*) AS k, count(*) FILTER (state = 'accepted') AS acc FROM fb GROUP BY 1)
-      SELECT status_id, CASE WHEN status_id % 5 = 3 AND k > 1 THEN 'feed_order_invalid' WHEN status_id % 5 = 1 THEN 'status_counter_invalid' WHEN acc = 0 THEN 'empty_digest_invalid' WHEN status_id % 5 = 2 THEN 'status_flag_invalid' END AS error_code FROM s""",
+    "publication_decision": f"WITH {_OUTCOMES} SELECT {_DECISION} FROM fb",
+    "group_decisions": f"WITH {_OUTCOMES} SELECT n // 10 AS group_id, {_DECISION} FROM fb GROUP BY 1",
+    "status_audit": f"""WITH {_OUTCOMES}, s AS (SELECT n // 10 AS status_id, count(*) AS k, count(*) FILTER (state = 'accepted') AS acc, min_by(state, 'feed-' || CAST(n AS VARCHAR)) AS first FROM fb GROUP BY 1)
+      SELECT status_id, CASE WHEN status_id % 5 = 4 THEN CASE WHEN first = 'accepted' THEN 'feed_state_invalid' ELSE 'status_digest_invalid' END WHEN status_id % 5 = 3 AND k > 1 THEN 'feed_order_invalid'
+      WHEN status_id % 5 = 1 THEN 'status_counter_invalid' WHEN acc = 0 THEN 'empty_digest_invalid' WHEN status_id % 5 = 2 THEN 'status_flag_invalid' END AS error_code FROM s""",
+    "status_wire_audit": f"""WITH {_OUTCOMES}, s AS (SELECT n // 50 AS status_id, count(*) FILTER (state = 'accepted') AS acc FROM fb WHERE (n // 10) % 5 = 0 GROUP BY 1)
+      SELECT status_id, CASE status_id % 5 WHEN 1 THEN 'status_invalid' WHEN 4 THEN 'status_duplicate_key' WHEN 3 THEN 'status_version_invalid' ELSE CASE WHEN acc = 0 THEN 'empty_digest_invalid' WHEN status_id % 5 = 2 THEN 'status_noncanonical' END END AS error_code FROM s""",
     "weekly_period": f"WITH {_WEEKS} SELECT event_id, period_start, period_start + 7 AS period_end_exclusive, period_start + 6 AS as_of FROM wk",
     "weekly_counts": f"WITH {_WEEKS} SELECT period_start, event_type, count(*) AS events FROM wk GROUP BY 1, 2",
     "weekly_snapshot": f"""WITH {_WEEKS}, a AS (SELECT period_start, confidence, count(*) AS k FROM wk GROUP BY 1, 2) SELECT period_start,
@@ -133,7 +149,9 @@ SQL = {
         || ',"missing_feed_count":0,"stale_feed_count":' || CASE WHEN n % 6 = 1 THEN '1' ELSE '0' END || ',"successful_feed_count":' || CAST(t AS VARCHAR) || '}},"generated_at":"' || CAST(CASE WHEN n % 6 = 2 THEN period_start ELSE period_start + 8 END AS VARCHAR)
         || 'T00:00:00.000000Z","period_end_exclusive":"' || CAST(period_start + 7 AS VARCHAR) || '","period_start":"' || CAST(period_start AS VARCHAR) || '","producer_ref":"' || CASE WHEN n % 6 = 3 THEN 'HEAD' ELSE sha1(CAST(period_start AS VARCHAR)) END
         || '","run_mode":"scheduled","schema_version":"1","source_artifacts":[' || files || '],"source_provenance":"star_schema"}}' AS contract FROM w)
-      SELECT period_start, '{{"contract":' || contract || ',"contract_sha256":"' || sha256(contract) || '"}}' AS manifest FROM c""",
+      SELECT period_start, '{{"contract":' || contract || ',"manifest_type":"weekly_source_manifest"}}' AS manifest FROM c""",
+    "manifest_audit": f"""WITH {_NUMBERED} SELECT period_start, CASE n % 7 WHEN 1 THEN 'manifest_shape_invalid' WHEN 3 THEN 'manifest_shape_invalid' WHEN 4 THEN 'manifest_duplicate_key' ELSE coalesce(CASE n % 6 WHEN 1 THEN 'feed_status_incomplete' WHEN 2 THEN 'generated_at_invalid' WHEN 3 THEN 'provenance_invalid' END, CASE WHEN n % 7 = 2 THEN 'manifest_noncanonical' END) END AS error_code FROM nums""",
+    "manifest_verify": f"""WITH {_NUMBERED} SELECT period_start, CASE n % 7 WHEN 4 THEN 'missing' WHEN 5 THEN 'unexpected' ELSE CASE n % 6 WHEN 1 THEN 'feed_status_incomplete' WHEN 2 THEN 'generated_at_invalid' WHEN 3 THEN 'provenance_invalid' ELSE CASE WHEN n % 7 = 3 THEN 'manifest_contract_mismatch' ELSE 'match' END END END AS verdict FROM nums""",
     "dataset_inventory": " UNION ALL ".join(f"SELECT '{t}' AS artifact, count(*) AS row_count FROM {t}" for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()),
     "stream_weekly_counts": """WITH c AS (SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS period_start, o_orderpriority, count(*) AS events FROM orders GROUP BY 1, 2)
       SELECT * FROM c WHERE period_start + 7 <= (SELECT max(o_orderdate) FROM orders) - INTERVAL 14 DAY""",

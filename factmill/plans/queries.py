@@ -33,7 +33,11 @@ def event_study_sparse_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return es.coverage_gaps(ad.events(spark, sf_dir), ad.prices(spark, sf_dir)).select("event_id", "event_date", "symbol")
+    """Events after the last price of their symbol; every third symbol is priced up to 1998 only."""
+    prices = ad.prices(spark, sf_dir)
+    number = F.substring("symbol", 2, 20).try_cast("long")
+    prices = prices.where(~F.coalesce(number % 3 == 0, F.lit(False)) | (F.col("date") < "1999-01-01"))
+    return es.coverage_gaps(ad.events(spark, sf_dir), prices).select("event_id", "event_date", "symbol")
 
 
 def price_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,8 +154,13 @@ def outcome_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publication_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sound = ad.feed_outcomes(spark, sf_dir).where(fd.outcome_error().isNull())
-    return fd.publication_decision(sound)
+    """Over all feeds, faulty ones too."""
+    return fd.publication_decision(ad.feed_outcomes(spark, sf_dir))
+
+
+def group_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decision over each group of ten feeds."""
+    return fd.publication_decisions(ad.feed_outcomes(spark, sf_dir).withColumn("group_id", F.floor(F.col("n") / 10)), "group_id")
 
 
 def _statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,13 +170,14 @@ def _statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = digests.groupBy("status_id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("feeds"))  # ten feeds
     count = lambda s: F.size(F.filter("feeds", lambda f: f["state"] == s)).cast("long")
     way = F.col("status_id") % 5
+    broken = F.transform("feeds", lambda f: f.withField("accepted_row_count", F.lit(0).cast("long")).withField("row_digest", F.when(f["state"] == "accepted", f["row_digest"]).otherwise("x")))  # every feed, each in its way
     complete = (count("failed") == 0) & (count("quarantined") == 0)
     rows = F.aggregate("feeds", F.lit(0).cast("long"), lambda a, f: a + f["accepted_row_count"])
     size = F.size("feeds").cast("long")
     return grouped.select(
-        "status_id", size.alias("configured_feed_count"), size.alias("feed_count"), (count("accepted") + F.when(way == 1, 1).otherwise(0)).alias("successful_feed_count"), count("failed").alias("failed_feed_count"),
+        "status_id", F.lit(fd.STATUS_VERSION).alias("status_version"), size.alias("configured_feed_count"), size.alias("feed_count"), (count("accepted") + F.when(way == 1, 1).otherwise(0)).alias("successful_feed_count"), count("failed").alias("failed_feed_count"),
         count("quarantined").alias("quarantined_feed_count"), rows.alias("accepted_row_count"), F.lit(0).cast("long").alias("rejected_row_count"), F.when(way == 2, ~complete).otherwise(complete).alias("publication_complete"),
-        complete.alias("eligible_for_live_publication"), F.sha2(F.to_json("feeds").cast("binary"), 256).alias("aggregate_row_digest"), F.when(way == 3, F.reverse("feeds")).otherwise(F.col("feeds")).alias("feeds"),
+        complete.alias("eligible_for_live_publication"), F.sha2(F.to_json("feeds").cast("binary"), 256).alias("aggregate_row_digest"), F.when(way == 3, F.reverse("feeds")).when(way == 4, broken).otherwise(F.col("feeds")).alias("feeds"),
     )
 
 
@@ -175,6 +185,15 @@ def status_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fd.audit_statuses(_statuses(spark, sf_dir))
 
 
+def status_wire_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statuses as text: a key too many, a key twice, a space, another version."""
+    way = F.col("status_id") % 5
+    rows = fd.status_wires(_statuses(spark, sf_dir).where(F.col("status_id") % 5 == 0).withColumn("status_id", (F.col("status_id") / 5).cast("long")))
+    text = F.when(way == 1, F.replace("status", F.lit('"status_version"'), F.lit('"state":1,"status_version"'))).when(way == 2, F.concat(F.lit(" "), "status"))
+    text = text.when(way == 3, F.replace("status", F.lit("feed_status.v1"), F.lit("feed_status.v0"))).when(way == 4, F.replace("status", F.lit('{"accepted_row_count"'), F.lit('{"feed_count":1,"accepted_row_count"')))
+    return fd.audit_status_wires(rows.withColumn("status", F.when(way == 0, F.col("status")).otherwise(text)))
+
+
 def weekly_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wk.with_period(ad.events(spark, sf_dir).select("event_id", "event_date"), "event_date").select("event_id", "period_start", "period_end_exclusive", "as_of")
 
@@ -237,13 +256,45 @@ def weekly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wk.manifest_rows(wk.contract_rows(_weeks(spark, sf_dir)))
 
 
+def manifest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests of all weeks, some tampered with by number, beside the faults that their contracts have themselves."""
+    n = (F.datediff("period_start", F.lit("1994-12-26").cast("date")) / 7).cast("int")
+    text = (
+        F.when(n % 7 == 1, F.replace("manifest", F.lit('"manifest_type"'), F.lit('"kind":1,"manifest_type"'))).when(n % 7 == 2, F.concat("manifest", F.lit(" ")))
+        .when(n % 7 == 3, F.replace("manifest", F.lit("weekly_source_manifest"), F.lit("daily"))).when(n % 7 == 4, F.replace("manifest", F.lit('"manifest_type"'), F.lit('"contract":{},"manifest_type"'))).otherwise(F.col("manifest"))
+    )
+    rows = wk.manifest_rows(wk.contract_rows(_weeks(spark, sf_dir))).withColumn("manifest", text)
+    return wk.audit_manifests(rows).select("period_start", "error_code")
+
+
+def manifest_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests against expected contracts: some of another run mode, some missing on either side."""
+    contracts = wk.contract_rows(_weeks(spark, sf_dir)).withColumn("n", (F.datediff("period_start", F.lit("1994-12-26").cast("date")) / 7).cast("int"))
+    mode = F.when(F.col("n") % 7 == 3, F.replace("contract", F.lit('"run_mode":"scheduled"'), F.lit('"run_mode":"manual"'))).otherwise(F.col("contract"))
+    return wk.verify_manifests(wk.manifest_rows(contracts.where("n % 7 <> 4")), contracts.where("n % 7 <> 5").withColumn("contract", mode))
+
+
+def live_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the smaller tables with their digests and row counts."""
+    paths = [f"{sf_dir}/{t}.parquet" for t in ("region", "nation", "supplier", "customer", "part")]
+    found = None
+    for p in paths:
+        one = ql.manifest_artifacts(ql.file_digests(spark, p), ql.file_row_counts(spark.read.parquet(p))).select("artifact", "sha256", "row_count")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 def dataset_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ql.row_counts({t: ad.table(spark, sf_dir, t) for t in TABLES})
 
 
 def _stream_folder(spark: SparkSession) -> str:
-    """A new folder in the shared one."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="factmill-")
+    """A new folder in the shared one, ``spark.checkpoint.dir``; a temporary one only where all runs on one machine."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="factmill-")
     return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
@@ -270,7 +321,7 @@ QUERIES = {
     for f in (
         event_study, event_study_sparse_benchmark, event_coverage_gaps, price_last_wins, return_summary_by_type, normalize_records, rejected_records, url_predicates, strip_html, stable_item_id,
         published_instant, alias_kinds, mention_join, mention_events, tracker, tracker_rank, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_statuses,
-        feed_digest, accepted_rows_digest, quality_summary, outcome_faults, publication_decision, status_audit, weekly_period, weekly_counts, weekly_snapshot, weekly_gate, contract_audit, lock_audit, lock_reconcile, weekly_manifest,
-        dataset_inventory, stream_weekly_counts, stream_mentions,
+        feed_digest, accepted_rows_digest, quality_summary, outcome_faults, publication_decision, group_decisions, status_audit, status_wire_audit, weekly_period, weekly_counts, weekly_snapshot, weekly_gate, contract_audit, lock_audit, lock_reconcile, weekly_manifest, manifest_audit, manifest_verify,
+        live_manifest, dataset_inventory, stream_weekly_counts, stream_mentions,
     )
 }

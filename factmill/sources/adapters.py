@@ -90,16 +90,25 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RSS payloads of FEED_SIZE documents each, items in order of doc_id."""
+    """RSS payloads of FEED_SIZE documents each, items in order of doc_id.
+
+    Some items have elements of other namespaces before their own, marked-up titles, a guid or nothing in place of the
+    link; the first item of every seventeenth feed has a date that is none.
+    """
     safe = F.replace(F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int")), "dd MMM yyyy")
+    undated = (F.floor(F.col("doc_id") / FEED_SIZE) % 17 == 5) & (F.col("doc_id") % FEED_SIZE == 0)
+    link = F.when(F.col("doc_id") % 7 == 3, F.concat(F.lit("<guid>urn:doc:"), "doc_id", F.lit("</guid>"))).when(F.col("doc_id") % 7 == 4, "").otherwise(F.concat(F.lit("<link>https://news.example/"), "doc_id", F.lit("</link>")))
     item = F.concat(
-        F.lit("<item><title>Document "), "doc_id", F.lit("</title><link>https://news.example/"), "doc_id", F.lit("</link><pubDate>"),
-        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int")), "dd MMM yyyy"), F.lit(" 08:30:00 EST</pubDate><description>"), safe, F.lit("</description></item>"),
+        F.lit("<item>"), F.when(F.col("doc_id") % 4 == 1, "<media:title>another</media:title>").otherwise(""), F.when(F.col("doc_id") % 4 == 2, '<atom:link href="https://other.example/"/>').otherwise(""),
+        F.lit("<title>Document "), "doc_id", F.when(F.col("doc_id") % 5 == 2, " &lt;b&gt;of&lt;/b&gt; A &amp;amp; B").otherwise(""), F.lit("</title>"), link,
+        F.lit("<pubDate>"), F.when(undated, "not a date").otherwise(F.concat(day, F.lit(" 08:30:00 EST"))), F.lit("</pubDate><description>"), safe, F.lit("</description></item>"),
     )
     rows = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / FEED_SIZE).alias("n"), "doc_id", item.alias("item"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "item"))), lambda r: r["item"]), "")  # FEED_SIZE rows
     grouped = rows.groupBy("n").agg(body.alias("items"))
-    return grouped.select(F.concat(F.lit("feed-"), "n").alias("feed_id"), F.concat(F.lit('<rss version="2.0"><channel><title>t</title>'), "items", F.lit("</channel></rss>")).cast("binary").alias("content"))
+    head = '<rss version="2.0" xmlns:media="http://search.yahoo.com/mrss/" xmlns:atom="http://www.w3.org/2005/Atom"><channel><title>t</title>'
+    return grouped.select(F.concat(F.lit("feed-"), "n").alias("feed_id"), F.concat(F.lit(head), "items", F.lit("</channel></rss>")).cast("binary").alias("content"))
 
 
 def feed_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 FEED_COLUMNS = ("feed_id", "feed_url", "source_type", "author")
 ITEM_COLUMNS = ("item_id", "published_at", "source_type", "source_url", "author", "text")
@@ -36,7 +35,7 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(T._parse_datatype_string(STATUS_SCHEMA)).option("multiLine", True).json(path)
+    return spark.read.schema(STATUS_SCHEMA).option("multiLine", True).json(path)
 
 
 def write_rows(df: DataFrame, path: str, columns: Sequence[str]) -> None:

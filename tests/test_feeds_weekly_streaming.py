@@ -38,7 +38,7 @@ def test_items_and_statuses(spark):
     given = payloads(spark, rss=RSS)
     first, second = sorted(fd.feed_items(given, feeds, F.lit("2026-02-01T00:00:00Z")).collect(), key=lambda r: r.pos)
     assert first.text == "A & B c d" and first.published_at == "2026-01-09T08:30:00Z" and first.item_id == "rss-" + hashlib.sha1(b"rss|https://x/1|A & B").hexdigest()[:12]
-    assert second.source_url == "https://f/rss" and second.published_at == "2026-02-01T00:00:00Z"
+    assert second.source_url == "" and second.published_at == "2026-02-01T00:00:00Z"
     statuses = fd.fetch_statuses(given, feeds)
     assert {r.feed_id: (r.ok, r.item_count) for r in statuses.collect()} == {"rss": (True, 2), "gone": (False, 0)}
     assert ql.success_ratio(ql.feed_rollup(statuses)).first().feed_success_ratio == 0.5
@@ -47,6 +47,27 @@ def test_items_and_statuses(spark):
         fd.gate_all_failed(statuses.where("not ok")).collect()
 
 
+NAMESPACES = b'xmlns:media="http://m" xmlns:atom="http://www.w3.org/2005/Atom" xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:content="http://purl.org/rss/1.0/modules/content/"'
+
+
+def test_names_and_faulty_dates(spark):
+    item = b'<item><media:title>wrong</media:title><atom:link href="https://wrong"/><title> a &lt;i&gt;b&lt;/i&gt; &amp;amp; <b>c</b></title><link>https://r/1</link><dc:date>2026-01-09</dc:date><content:encoded>x &lt;p&gt;y</content:encoded></item>'
+    rss = b"<rss " + NAMESPACES + b"><channel>" + item + b"<item><title></title><link> </link><guid>g</guid></item></channel></rss>"
+    bad = b"<rss><channel><item><title>t</title><pubDate>not a date</pubDate></item><item><title>u</title></item></channel></rss>"
+    atom = b'<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>t</title><link rel="self"/><link href=" https://y/2 "/><content>c</content></entry></feed>'
+    feeds = spark.createDataFrame([(f, f"https://f/{f}", "financial_media", None) for f in ("rss", "bad", "atom")], "feed_id string, feed_url string, source_type string, author string")
+    given = payloads(spark, rss=rss, bad=bad, atom=atom)
+    rows = {(r.feed_id, r.pos): r for r in fd.feed_items(given, feeds, F.lit("2026-02-01T00:00:00Z")).collect()}
+    assert set(rows) == {("rss", 0), ("rss", 1), ("atom", 0)}
+    first = rows["rss", 0]
+    assert (first.source_url, first.text, first.published_at) == ("https://r/1", "a <i>b</i> &amp; x y", "2026-01-09T00:00:00Z")
+    assert first.item_id == "rss-" + hashlib.sha1(b"rss|https://r/1|a <i>b</i> &amp;").hexdigest()[:12]
+    assert rows["rss", 1].source_url == "g" and rows["rss", 1].text == "" and rows["atom", 0].source_url == " https://y/2 "
+    statuses = {r.feed_id: (r.ok, r.item_count, r.error) for r in fd.fetch_statuses(given, feeds).collect()}
+    assert statuses == {"rss": (True, 2, ""), "atom": (True, 1, ""), "bad": (False, 0, "feed_date_invalid")}
+    assert [r.item_id[:4] for r in fd.sorted_items(fd.feed_items(given, feeds, F.lit("2026-02-01T00:00:00Z"))).collect()][0] == "rss-"
+
+
 ROW = ("i1", "2026-01-01", "financial_media", "https://x", "", 'say "a\\b" </x> é')
 OUTCOME = f"feed_id string, feed_url string, kind string, state string, rows {fd.ROW_FIELDS}, error_code string"
 
@@ -77,6 +98,59 @@ def test_decision(spark):
         assert fd.publication_decision(spark.createDataFrame(rows, OUTCOME)).first().decision == wanted
 
 
+def status(**changes):
+    feeds = [{"feed_id": i, "feed_url": "u", "kind": "rss2", "state": s, "accepted_row_count": int(s == "accepted"), "rejected_row_count": 0, "row_digest": "a" * 64 if s == "accepted" else vocab.EMPTY_DIGEST, "error_code": None if s == "accepted" else "e"} for i, s in (("a", "accepted"), ("b", "failed"), ("c", "quarantined"))]
+    for name, value in changes.items():
+        if name[:2] in ("f0", "f1", "f2"):
+            feeds[int(name[1])][name[3:]] = value
+    row = {"status_version": fd.STATUS_VERSION, "configured_feed_count": 3, "feed_count": 3, "successful_feed_count": 1, "failed_feed_count": 1, "quarantined_feed_count": 1, "accepted_row_count": 1, "rejected_row_count": 0, "publication_complete": False, "eligible_for_live_publication": False, "aggregate_row_digest": "b" * 64, "feeds": feeds}
+    return json.dumps(row | {k: v for k, v in changes.items() if k in row}, sort_keys=True, separators=(",", ":"))
+
+
+@pytest.mark.parametrize("read", ["columns", "text"])
+def test_status_audit(spark, read):
+    cases = [
+        ({}, None), ({"status_version": "x"}, "status_version_invalid"), ({"feed_count": -1}, "status_counter_invalid"), ({"publication_complete": None}, "status_flag_invalid"), ({"aggregate_row_digest": "x"}, "status_digest_invalid"), ({"feeds": []}, "feed_invalid"),
+        ({"f0_feed_url": ""}, "feed_invalid"), ({"f1_feed_id": "a"}, "feed_duplicate"), ({"f1_feed_id": "Z"}, "feed_order_invalid"), ({"f1_kind": "x"}, "feed_kind_invalid"), ({"f0_state": "x"}, "feed_state_invalid"), ({"f0_kind": "unknown"}, "feed_kind_invalid"), ({"f1_kind": "unknown"}, None),
+        ({"f0_accepted_row_count": 10_001}, "feed_counter_invalid"), ({"f0_rejected_row_count": 1}, "rejected_count_invalid"), ({"f0_accepted_row_count": 0}, "feed_state_invalid"), ({"f1_row_digest": "A" * 64}, "status_digest_invalid"), ({"f0_row_digest": vocab.EMPTY_DIGEST}, "empty_digest_invalid"),
+        ({"f0_error_code": "e"}, "feed_state_invalid"), ({"f2_error_code": None}, "feed_error_invalid"), ({"feed_count": 2}, "status_counter_invalid"), ({"failed_feed_count": 2}, "status_counter_invalid"), ({"rejected_row_count": 1}, "rejected_count_invalid"), ({"aggregate_row_digest": vocab.EMPTY_DIGEST}, "empty_digest_invalid"),
+        ({"eligible_for_live_publication": True}, "status_flag_invalid"), ({"f1_kind": "x", "f2_feed_id": ""}, "feed_kind_invalid"), ({"f0_error_code": "e", "f1_feed_url": "", "f2_feed_id": "a"}, "feed_state_invalid"),
+    ]
+    wires = spark.createDataFrame([(i, status(**c)) for i, (c, _) in enumerate(cases)], "status_id int, status string")
+    audited = fd.audit_status_wires(wires) if read == "text" else fd.audit_statuses(wires.select("status_id", F.from_json("status", fd.STATUS_SCHEMA).alias("s")).select("status_id", "s.*"))
+    assert {r.status_id: r.error_code for r in audited.collect()} == {i: e for i, (_, e) in enumerate(cases)}
+
+
+def test_status_texts(spark):
+    good = status()
+    texts = {good: None, " " + good: "status_noncanonical", good.replace("{", '{"x":1,', 1): "status_invalid", good.replace("{", '{"feed_count":3,', 1): "status_duplicate_key", good[:-4]: "status_invalid", "[]": "status_invalid", good.replace('"kind":"rss2"', '"kind":"rss2","more":1', 1): "status_noncanonical"}
+    got = [r.error_code for r in fd.audit_status_wires(spark.createDataFrame(list(enumerate(texts)), "status_id int, status string")).orderBy("status_id").collect()]
+    assert got == list(texts.values())
+    columns = spark.createDataFrame([(1, good)], "status_id int, status string").select("status_id", F.from_json("status", fd.STATUS_SCHEMA).alias("s")).select("status_id", "s.*")
+    assert fd.status_wires(columns).first().status == good
+
+
+def test_manifests(spark):
+    contract = wk.contract_rows(spark.createDataFrame([week()], WEEK))
+    text = wk.manifest_rows(contract).first().manifest
+    assert text == json.dumps(json.loads(text), sort_keys=True, separators=(",", ":")) and set(json.loads(text)) == {"contract", "manifest_type"}
+    inner = json.loads(text)["contract"]
+    texts = {
+        text: None, " " + text: "manifest_noncanonical", text[:-3]: "manifest_wire_invalid", "[1]": "manifest_wire_invalid", text.replace("{", '{"x":1,', 1): "manifest_shape_invalid", text.replace("{", '{"manifest_type":"a",', 1): "manifest_duplicate_key",
+        text.replace(wk.MANIFEST_TYPE, "other"): "manifest_shape_invalid", json.dumps({"contract": 1, "manifest_type": wk.MANIFEST_TYPE}): "manifest_contract_invalid", text.replace('"run_mode":"manual"', '"run_mode":"x"'): "run_mode_invalid",
+        json.dumps({"contract": inner, "manifest_type": wk.MANIFEST_TYPE}): "manifest_noncanonical", text.replace('"cadence":"weekly"', '"cadence":"weekly","more":1'): "manifest_noncanonical",
+    }
+    got = {r.manifest: r.error_code for r in wk.audit_manifests(spark.createDataFrame([(t,) for t in texts], "manifest string")).collect()}
+    assert got == texts
+    day = datetime.date
+    actual = spark.createDataFrame([(day(2026, 1, 5), text), (day(2026, 1, 12), text), (day(2026, 1, 19), "x")], "period_start date, manifest string")
+    one = contract.first().contract
+    expected = spark.createDataFrame([(day(2026, 1, 5), one), (day(2026, 1, 19), one), (day(2026, 1, 26), one)], "period_start date, contract string")
+    assert {r.period_start.day: r.verdict for r in wk.verify_manifests(actual, expected).collect()} == {5: "match", 12: "unexpected", 19: "manifest_wire_invalid", 26: "missing"}
+    other = expected.withColumn("contract", F.replace("contract", F.lit("manual"), F.lit("scheduled")))
+    assert {r.verdict for r in wk.verify_manifests(actual, other).where("period_start = DATE '2026-01-05'").collect()} == {"manifest_contract_mismatch"}
+
+
 def week(**changes):
     row = {
         "period_start": datetime.date(2026, 1, 5), "source_artifacts": [("b.csv", 2, "0" * 64), ("a.csv", 1, "f" * 64)], "complete": True, "failed_feed_count": 0, "feed_count": 2, "missing_feed_count": 0, "stale_feed_count": 0,
@@ -141,3 +215,61 @@ def test_quality(spark):
     events = spark.createDataFrame([("a", "high", "x"), (" A ", "", "x"), ("", None, "y")], "symbol string, confidence string, event_type string")
     row = ql.quality_summary(events).first()
     assert row.symbols == ["A"] and row.confidence_counts == {"high": 1, "unknown": 2} and row.event_type_counts == {"x": 2, "y": 1}
+
+
+def test_live_manifest(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, n in (("orders.csv", 2), ("my_orders.csv", 3), ("note.json", 0)):
+        (tmp_path / "in" / name).write_text("id\n" + "".join(f"{i}\n" for i in range(n)))
+    rows = ql.file_row_counts(spark.read.option("header", True).csv(str(tmp_path / "in" / "*.csv")))
+    ql.write_live_manifest(spark, str(tmp_path / "in"), rows, spark.range(1).select(F.lit(5).alias("symbol_count")), str(tmp_path / "out"))
+    got = json.loads(spark.read.text(str(tmp_path / "out")).first().value)
+    assert got["artifact_count"] == 3 and got["data_quality"] == {"symbol_count": 5}
+    assert {a["path"].rpartition("/")[2]: a.get("row_count") for a in got["artifacts"]} == {"orders.csv": 2, "my_orders.csv": 3, "note.json": None}
+    assert all(a["sha256"] == hashlib.sha256((tmp_path / "in" / a["path"].rpartition("/")[2]).read_bytes()).hexdigest() for a in got["artifacts"])
+
+
+def test_status_file_and_weekly_files(spark, tmp_path):
+    statuses = spark.createDataFrame([("a", "u", True, 2, ""), ("b", "v", False, 0, "feed_missing")], "feed_id string, feed_url string, ok boolean, item_count bigint, error string")
+    files.write_status(statuses, str(tmp_path / "status"))
+    row = files.read_status(spark, str(tmp_path / "status")).first()
+    assert (row.feed_count, row.successful_feed_count, row.failed_feed_count, row.item_count) == (2, 1, 1, 2) and [f.feed_id for f in row.feeds] == ["a", "b"]
+    files.write_weekly(spark.createDataFrame([(datetime.date(2026, 1, 5), 1), (datetime.date(2026, 1, 12), 2)], "period_start date, n int"), str(tmp_path / "weeks"))
+    assert spark.read.parquet(str(tmp_path / "weeks")).where("period_start = DATE '2026-01-12'").first().n == 2
+    files.write_json_rows(spark.createDataFrame([("{}",)], "value string"), str(tmp_path / "lines"), "value")
+    assert spark.read.text(str(tmp_path / "lines")).first().value == "{}"
+    (tmp_path / "feeds.csv").write_text('feed_id,feed_url,source_type,author\na,https://u,financial_media,"x, y"\n')
+    assert tuple(files.read_feeds(spark, str(tmp_path / "feeds.csv")).first()) == ("a", "https://u", "financial_media", "x, y")
+
+
+def test_tracker_refresh(spark, tmp_path):
+    schema = "event_id string, event_date date, symbol string, event_type string, confidence string"
+    day = datetime.date(2026, 1, 2)
+    for i in range(2):
+        spark.createDataFrame([(str(i), day, "A", "public_mention", "high")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    watch = spark.createDataFrame([("A", "a", "other", "", "", "")], "symbol string, name string, bucket string, research_status string, thesis string, source_url string")
+    seen = []
+
+    def store(batch, batch_id):
+        batch.write.mode("overwrite").parquet(str(tmp_path / "store" / f"batch={batch_id}"))
+        return spark.read.schema(schema).parquet(str(tmp_path / "store"))
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    intake.refresh_tracker(stream, watch, store, lambda tracker, n: seen.append(tracker.first()), str(tmp_path / "check")).awaitTermination()
+    assert [r.event_count for r in seen] == [1, 2] and seen[-1].priority_score == 14 and seen[-1].trigger_status == "mentioned"
+
+
+def test_weekly_gate(spark):
+    day = datetime.date
+    feeds = spark.createDataFrame([("a",), ("b",), ("c",)], "feed_id string")
+    weeks = spark.createDataFrame([(day(2026, 1, 5),), (day(2026, 1, 12),)], "period_start date")
+    seen = spark.createDataFrame([(day(2026, 1, 5), f, True, day(2026, 1, 6)) for f in "abc"] + [(day(2026, 1, 12), "a", True, day(2026, 1, 6)), (day(2026, 1, 12), "b", False, None)], "period_start date, feed_id string, ok boolean, last_item date")
+    got = {r.period_start.day: (r.successful_feed_count, r.failed_feed_count, r.stale_feed_count, r.missing_feed_count, r.complete) for r in wk.weekly_gate(feeds, seen, weeks).collect()}
+    assert got == {5: (3, 0, 0, 0, True), 12: (0, 1, 1, 1, False)}
+
+
+def test_group_decisions(spark):
+    good, failed, twice = ("a", "u", "rss2", "accepted", [ROW], None), ("c", "u", "unknown", "failed", [], "e"), ("a", "w", "rss2", "accepted", [ROW], None)
+    rows = [(1, *good), (2, *good), (2, *failed), (3, *good), (3, *twice), (4, "b", "u", "x", "failed", [], "e")]
+    got = {r.k: (r.decision, r.error) for r in fd.publication_decisions(spark.createDataFrame(rows, "k int, " + OUTCOME), "k").collect()}
+    assert got == {1: ("success", None), 2: ("hard_fail", None), 3: ("invalid", "feed_duplicate"), 4: ("invalid", "feed_kind_invalid")}

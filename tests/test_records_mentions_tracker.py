@@ -5,6 +5,7 @@ import pytest
 from factmill.operators import mentions as mt
 from factmill.operators import records as rc
 from factmill.operators import tracker as tr
+from factmill.sources import files
 
 SCHEMA = ", ".join(f"{c} string" for c in rc.RECORD_COLUMNS)
 GOOD = ("Doc 1", "2026-01-10", "evt", "government_policy", "policy_capital", "", "https://a.gov/x", "note", "issuer", "", "issuer")
@@ -43,15 +44,39 @@ def test_legacy_columns(spark):
 ALIASES = [("F", "F"), ("EVT1", "EVT1| |EVT1"), ("F150", "F-150"), ("BIG", "Example Motors Group"), ("TWO", "EVT1")]
 
 
-@pytest.mark.parametrize("limit", [256, 0])
-def test_mentions(spark, monkeypatch, limit):
+@pytest.mark.parametrize(("limit", "scan"), [(256, 100_000), (0, 100_000), (0, 2)])
+def test_mentions(spark, monkeypatch, limit, scan):
     monkeypatch.setattr(mt, "LITERAL_SYMBOLS", limit)
+    monkeypatch.setattr(mt, "SCAN_ALIASES", scan)
     texts = {"1": "see $F now", "2": "C.F.R. and aF", "3": "$EVT1!", "4": "PREVT1 $$EVT1", "5": "an F‑150 truck", "6": "preexample motors groups", "7": None}
     items = spark.createDataFrame(list(texts.items()), "item_id string, text string")
     got = {tuple(r) for r in mt.mentions(items, mt.load_aliases(spark.createDataFrame(ALIASES, "symbol string, aliases string"))).collect()}
     assert got == {("1", "F"), ("3", "EVT1"), ("3", "TWO"), ("5", "F150"), ("6", "BIG")}
 
 
+@pytest.mark.parametrize("limit", [256, 0])
+def test_mentions_without_case(spark, monkeypatch, limit):
+    """The search for literals lets through whatever the patterns match."""
+    monkeypatch.setattr(mt, "LITERAL_SYMBOLS", limit)
+    aliases = [("KIS", "kis"), ("UBER", "Über Kis"), ("K", "k")]
+    texts = ["\u212ai\u017f", "K\u0130S", "k\u0131s", "ÜBER KIS", "über kis!", "$\u212a", "kisx", "none"]
+    loaded = mt.load_aliases(spark.createDataFrame(aliases, "symbol string, aliases string"))
+    items = spark.createDataFrame([(t, t) for t in texts], "item_id string, text string")
+    wanted = {(r.item_id, r.symbol) for r in items.crossJoin(loaded).where("text rlike pattern").collect()}
+    assert {tuple(r) for r in mt.mentions(items, loaded).collect()} == wanted and len(wanted) >= 7
+
+
+def test_import_official_events(spark, tmp_path):
+    rows = [record(), record(record_id="Doc 0", record_date="2026-01-09", summary='a "q", b')]
+    files.write_rows(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "in"), rc.RECORD_COLUMNS)
+    rc.import_official_events(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    events = rc.load_events(files.read_rows(spark, str(tmp_path / "out")))
+    got = [(r.event_id, r.event_date, r.symbol, r.notes) for r in rc.sorted_events(events).collect()]
+    assert got == [("official-government-policy-doc-0", datetime.date(2026, 1, 9), "EVT", 'a "q", b'), ("official-government-policy-doc-1", datetime.date(2026, 1, 10), "EVT", "note")]
+    with pytest.raises(Exception, match="event without a valid date"):
+        rc.load_events(spark.createDataFrame([("e", "x", "A", "t")], "event_id string, event_date string, symbol string, event_type string")).collect()
+
+
 def test_tracker(spark):
     watch = spark.createDataFrame([("A", "a", "policy_capital", "", "legacy", "", ""), ("B", "b", "other", "", "", "", ""), ("C", "c", "named_mentioned", "new", "", "", "")], "symbol string, name string, bucket string, research_status string, article_status string, thesis string, source_url string")
     D = datetime.date
