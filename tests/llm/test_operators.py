@@ -62,6 +62,72 @@ def test_script_texts_and_bad_tags():
     assert [b.text for b in found] == ["x y", "z", "q", "t u"]
 
 
+def extracted(html, others=()):
+    """The text of a page whose host has these other pages."""
+    found = html_extraction.blocks(html)
+    votes = Counter()
+    for page in (html, *others):
+        scores = html_extraction.container_scores(html_extraction.blocks(page))
+        top = max(scores.values(), default=0)
+        votes.update({p: s / top for p, s in scores.items() if s >= 0.5 * top})
+    best = min((p for p in votes if round(votes[p], 6) == round(max(votes.values()), 6)), key=lambda p: (len(p), p), default=None)
+    return html_extraction.text_under(found, best)
+
+
+LONG = "plain article words that go on and on. " * 10
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f'<article><div class="entry-header"><h1>Title</h1></div><div class="share-of-market">Shares</div><p class="notice-period">Notice</p><p>{LONG}</article>', f"Title Shares Notice {LONG}"),
+        (f"<div class=post><h1>Title</h1><div class=text><p>{LONG}</div></div><div class=xyz>by the way</div>", f"Title {LONG}"),
+        (f"<div class=a><h1>Title</h1><div class=b><p>{LONG}</div></div>", f"Title {LONG}"),
+        (f"<article><section class=intro><p>Intro</section><section class=body><p>{LONG}</section></article>", f"Intro {LONG}"),
+        (f"<article><p>{LONG}<math><mi>x</mi></math> end</article>", f"{LONG}x end"),
+        (f"<div class='layout sidebar-left'><div class='page nav-open overflow-hidden'><p>{LONG}</div></div>", LONG),
+        (f"<div class='sidebar left'>side</div><div id=site-footer>foot</div><div class=c><p>{LONG}</div><div class='comments-area'><p>{LONG}{LONG}</div>", LONG),
+        (f"<article><p>{LONG}<div class=share>Share</div><div class='related links'>More</div><div class='ad-slot-3'>Buy</div></article>", LONG),
+        (f"<div role=alert>Look</div><div hidden>no</div><main><p>{LONG}<select><option>a</select><form>f</form></main><aside>s</aside>", LONG),
+    ],
+)
+def test_article_text_is_whole(html, text):
+    assert extracted(f"<html><body><nav>menu</nav>{html}</body></html>") == " ".join(text.split())
+
+
+def test_work_is_linear_in_depth():
+    import time
+
+    def seconds(n):
+        html = "<div class=x>" * n + "deep <b>text</b>" + "<span>" * n + "</i>" * n + "<tr>" * n
+        began = time.perf_counter()
+        assert extracted(html) == "deep text"
+        return time.perf_counter() - began
+
+    seconds(1000)
+    assert seconds(40_000) < 8 * max(0.05, seconds(10_000))
+
+
+def test_votes_of_hosts(spark):
+    """The winner of each host is that of plain sums over its pages."""
+    r = random.Random(12)
+    rows = []
+    for i in range(60):
+        a, b = " ".join(words(i, r.randrange(5, 60))), " ".join(words(-i, r.randrange(5, 60)))
+        rows.append((i, f"https://h{i % 4}.example/{i}", f"<body><div class='left-{i}'><p>{a}<div>{a[:9]}</div></div><div class=right><p>{b}</div></body>"))
+    got = {x.vote_host: x.path for x in html_extraction.host_paths(spark.createDataFrame([(f"h{i % 4}", h) for i, _, h in rows], "host string, html string")).collect()}
+    wanted = {}
+    for host in range(4):
+        votes = Counter()
+        for i, _, h in rows:
+            if i % 4 == host:
+                scores = html_extraction.container_scores(html_extraction.blocks(h))
+                top = max(scores.values())
+                votes.update({p: s / top for p, s in scores.items() if s >= 0.5 * top})
+        wanted[f"h{host}"] = min(votes, key=lambda p: (-round(votes[p], 6), len(p), p))
+    assert got == wanted
+
+
 # --- toxicity
 
 
