@@ -16,6 +16,8 @@ LOWER_BYTES = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 
 #: Largest number of rows of a lookup table that is sent to all executors.
 BROADCAST_ROWS = 500_000
+#: Largest size of one, as JSON text.
+BROADCAST_BYTES = 64 << 20
 #: Texts that a Python worker takes from an Arrow batch at a time.
 TEXTS_AT_ONCE = 512
 
@@ -27,10 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the cluster names none (tests on one machine) a temporary folder is set for the session.
+    Where none is named, a temporary folder is set for the session if all runs on one machine, as in tests; else it fails.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="factmill-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
@@ -47,12 +51,26 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_broadcast(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks ``df`` for broadcast only if a count shows that it has at most ``bound`` rows.
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``rows`` rows that take at most ``size`` bytes as JSON. ``df`` should be a written table."""
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("size")).first()
+    return found["n"] <= rows and (found["size"] or 0) <= size
+
+
+def bounded_broadcast(df: DataFrame, bound: int | None = None) -> DataFrame:
+    """Marks ``df`` for broadcast only if its rows and bytes are counted and small.
 
     Beyond that the frame is returned as it is, and Spark joins by shuffle (with its own skew handling).
     """
-    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
+    return F.broadcast(df) if is_small(df, BROADCAST_ROWS if bound is None else bound) else df
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def ascii_lower(column):
@@ -65,6 +83,9 @@ def id_remainder(column, divisor: int):
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % F.lit(divisor)
 
 
+TYPES = {"string": T.StringType(), "long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
+
+
 def map_texts(rows: DataFrame, compute: Callable[[list[str]], tuple], fields: list[tuple[str, str]], keep_text: bool = False) -> DataFrame:
     """Computes columns from ``text`` in Arrow batches; all other columns pass untouched (nulls and wide integers too).
 
@@ -72,7 +93,7 @@ def map_texts(rows: DataFrame, compute: Callable[[list[str]], tuple], fields: li
     its text, or None for one row for each text, and a list of values for each of ``fields``.
     """
     kept = [f for f in rows.schema.fields if f.name != "text" or keep_text]
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept] + [T.StructField(n, T._parse_datatype_string(t)) for n, t in fields])
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept] + [T.StructField(n, TYPES[t]) for n, t in fields])
     names = [f.name for f in kept]
     filled = rows.withColumn("text", F.coalesce("text", F.lit("")))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factmill.llm.common import ascii_lower, bounded_broadcast, materialize, table
+from factmill.llm.common import ascii_lower, bounded_broadcast, is_small, materialize, table
 
 #: What separates words: all ASCII characters but digits and lower-case letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -33,16 +33,13 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return spread.select("item_id", "words", F.md5(F.concat_ws(" ", "words").cast("binary")).alias("wid"))
 
 
-def _exploded(documents: DataFrame, lengths: list[int]) -> DataFrame:
-    """A row for each document word and shingle length, and one with i = -1 for the document itself."""
-    docs = documents.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), words_of(F.col("text")).alias("w"))
+def _exploded(docs: DataFrame, lengths: list[int]) -> DataFrame:
+    """A row for each document word and shingle length: the word's place i, the length and the shingle's hash h."""
     n = len(lengths)
-    spread = docs.select("doc_id", "th", "w", F.explode(F.sequence(F.lit(-1), F.size("w") * n - 1)).alias("j"))
-    if n == 1:
-        return spread.select("doc_id", "th", "w", F.col("j").alias("i"), F.lit(lengths[0]).alias("len"))
-    length = F.get(F.array(*map(F.lit, lengths)), F.pmod("j", F.lit(n)))
-    i = F.when(F.col("j") < 0, -1).otherwise(F.floor(F.col("j") / n).cast("int"))
-    return spread.select("doc_id", "th", "w", i.alias("i"), length.alias("len"))
+    spread = docs.select("doc_id", "th", "w", F.explode(F.sequence(F.lit(0), F.size("w") * n - 1)).alias("j")) if n else docs.limit(0).withColumn("j", F.lit(0))
+    length = F.get(F.array(*map(F.lit, lengths)), F.pmod("j", F.lit(n))) if n > 1 else F.lit(lengths[0] if lengths else 1)
+    spread = spread.select("doc_id", "th", "w", F.floor(F.col("j") / max(1, n)).cast("int").alias("i"), length.alias("len"))
+    return spread.withColumn("h", _shingle(F.col("w"), F.col("i"), F.col("len")))
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -52,7 +49,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     covers it. The windows' shingles are counted in all documents; a window can only occur where its rarest shingle
     does, so that one is its whole prefix: windows with a shingle that occurs nowhere are dropped, the others are
     joined on it, bounded by position and length, and compared word by word. Frequent passages cost a row for each
-    occurrence, never a pair of documents.
+    occurrence, never a pair of documents. With more prefixes than may be broadcast, what is shuffled for a word is its
+    place and hash; the words themselves are joined back only for documents with candidates.
 
     Null texts have no words; null ids keep their rows; repeated rows keep a row each; an empty benchmark or one
     without words hits nothing; an empty ``documents`` gives an empty result; further columns are ignored.
@@ -60,45 +58,49 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     members = materialize(item_windows(benchmark, window), "windows")
     windows = members.groupBy("wid").agg(F.first("words").alias("words")).withColumn("k", F.size("words"))
     windows = windows.withColumn("len", F.least("k", F.lit(SHINGLE)))
-    lengths = sorted(r[0] for r in windows.select("len").distinct().collect()) or [SHINGLE]  # at most SHINGLE values
+    lengths = sorted(r[0] for r in windows.select("len").distinct().collect())  # at most SHINGLE values
     grams = windows.select("wid", "words", "k", "len", F.explode(F.sequence(F.lit(0), F.col("k") - F.col("len"))).alias("o"))
     grams = grams.withColumn("h", _shingle(F.col("words"), F.col("o"), F.col("len")))
 
-    spread = _exploded(documents, lengths).withColumn("h", _shingle(F.col("w"), F.col("i"), F.col("len")))
-    wanted = bounded_broadcast(grams.select("h").distinct())
-    counts = spread.where("i >= 0").select("h").join(wanted, "h").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    docs = documents.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), words_of(F.col("text")).alias("w"))
+    filled = docs.where(F.size("w") > 0)
+    spread = _exploded(filled, lengths)
+    wanted = bounded_broadcast(materialize(grams.select("h").distinct(), "shingles"))
+    counts = spread.select("h").join(wanted, "h").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     rare = grams.join(counts, "h", "left").groupBy("wid").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "h", "o", "words", "k")).alias("p")
     )
     prefixes = materialize(rare.where("p.n > 0").select("wid", F.col("p.h").alias("ph"), F.col("p.o").alias("o"), F.col("p.words").alias("words"), F.col("p.k").alias("k")), "prefixes")
 
-    found = spread.join(bounded_broadcast(prefixes), (F.col("h") == F.col("ph")) & (F.col("i") >= 0), "left")
-    start = F.col("i") - F.col("o")
-    same = (start >= 0) & (start + F.col("k") <= F.size("w")) & (F.slice("w", F.greatest(start, F.lit(0)) + 1, F.col("k")) == F.col("words"))
-    found = found.where((F.col("i") < 0) | same)
-    per_doc = found.groupBy("doc_id", "th", F.size("w").cast("long").alias("n_words")).agg(
-        F.count(F.when(F.col("i") < 0, 1)).alias("rows"),
-        F.collect_set(F.when(F.col("i") >= 0, F.struct(start.alias("s"), (start + F.col("k")).alias("e")))).alias("spans"),
-        F.collect_set(F.when(F.col("i") >= 0, F.col("wid"))).alias("wids"),
-    )
-    per_doc = materialize(per_doc, "found")
+    start = (F.col("i") - F.col("o")).alias("start")
+    if is_small(prefixes):
+        found = spread.join(F.broadcast(prefixes), F.col("h") == F.col("ph")).select("doc_id", "th", "w", start, "k", "words", "wid")
+    else:
+        slim = spread.select("doc_id", "th", "i", "h").join(prefixes, F.col("h") == F.col("ph")).where("i >= o").select("doc_id", "th", start, "k", "words", "wid").distinct()
+        slim = materialize(slim, "candidates")
+        whole = filled.select(F.col("doc_id").alias("w_doc"), F.col("th").alias("w_th"), "w")
+        same_row = (F.col("th") == F.col("w_th")) & F.col("doc_id").eqNullSafe(F.col("w_doc"))
+        whole = whole.join(slim.select("doc_id", "th").distinct(), same_row, "left_semi").dropDuplicates(["w_doc", "w_th"])
+        found = slim.join(whole, same_row)
+    same = (F.col("start") >= 0) & (F.col("start") + F.col("k") <= F.size("w")) & (F.slice("w", F.greatest("start", F.lit(0)) + 1, F.col("k")) == F.col("words"))
+    spans = found.where(same).groupBy(F.col("doc_id").alias("s_doc"), F.col("th").alias("s_th")).agg(
+        F.collect_set(F.struct(F.col("start").alias("s"), (F.col("start") + F.col("k")).alias("e"))).alias("spans"), F.collect_set("wid").alias("wids"),
+    )
+    spans = materialize(spans, "spans")
+    per_doc = docs.select("doc_id", "th", F.size("w").cast("long").alias("n_words")).join(bounded_broadcast(spans), (F.col("th") == F.col("s_th")) & F.col("doc_id").eqNullSafe(F.col("s_doc")), "left")
     covered = F.aggregate(
         F.array_sort("spans"),
         F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")),
         lambda a, s: F.struct(F.greatest(a["end"], s["e"]).alias("end"), (a["n"] + F.greatest(F.lit(0), s["e"] - F.greatest(a["end"], s["s"]))).alias("n")),
     )["n"]
-    hits = per_doc.where(F.size("wids") > 0)
-    items = hits.select("doc_id", "th", "n_words", F.explode("wids").alias("wid")).join(bounded_broadcast(members.select("wid", "item_id").distinct()), "wid")
-    items = items.groupBy(F.col("doc_id").alias("i_doc"), F.col("th").alias("i_th"), F.col("n_words").alias("i_n")).agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    keys = F.col("doc_id").eqNullSafe(F.col("i_doc")) & (F.col("th") == F.col("i_th")) & (F.col("n_words") == F.col("i_n"))
-    out = per_doc.join(items, keys, "left").select(
-        "doc_id", "n_words", covered.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), "rows"
-    )
-    out = out.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"), F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("copy"),
+    items = spans.select("s_doc", "s_th", F.explode("wids").alias("wid")).join(bounded_broadcast(members.select("wid", "item_id").distinct()), "wid")
+    items = items.groupBy(F.col("s_doc").alias("i_doc"), F.col("s_th").alias("i_th")).agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    items = materialize(items, "items")
+    joined = per_doc.join(bounded_broadcast(items), (F.col("th") == F.col("i_th")) & F.col("doc_id").eqNullSafe(F.col("i_doc")), "left")
+    out = joined.select("doc_id", "n_words", F.when(F.col("spans").isNull(), F.lit(0)).otherwise(covered).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
-    return out.drop("copy")
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

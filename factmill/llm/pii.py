@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import secrets
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from factmill.llm.common import BROADCAST_ROWS, map_texts, materialize, table
+from factmill.llm.common import BROADCAST_ROWS, free_name, is_small, map_texts, materialize, table
 
-KEY = b"factmill-surrogates"
+#: The setting that holds the secret of the surrogates; without it each application draws its own.
+KEY_SETTING = "spark.factmill.surrogate.key"
+_drawn: dict[str, bytes] = {}
 #: Rounds of re-keying after which remaining collisions raise an error.
 ROUNDS = 40
 
@@ -63,6 +66,14 @@ _ENDS = "".join(sorted({c for t in TITLES for c in (t[-1], t[-1].upper())} | set
 _TITLED, _LENGTHS = re.compile(f" (?<=[{_ENDS}.] )(?={_CAPITAL})"), sorted({len(t) for t in TITLES})
 
 
+def surrogate_key(spark: SparkSession) -> bytes:
+    """The secret in KEY_SETTING (at most 64 bytes count), else one drawn for this application, which nobody can use again."""
+    named = spark.conf.get(KEY_SETTING, None)
+    if named:
+        return named.encode()[:64]
+    return _drawn.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -195,7 +206,7 @@ def _like(c: str, draw: _Stream) -> str:
     return c
 
 
-def surrogate(kind: str, canonical: str, attempt: int = 0, key: bytes = KEY) -> str:
+def surrogate(kind: str, canonical: str, attempt: int = 0, *, key: bytes) -> str:
     """The canonical form of the entity's surrogate: valid for its type, never the entity itself."""
     while True:
         draw = _Stream(key, kind, canonical, attempt)
@@ -261,7 +272,7 @@ def _dress(kind: str, surface: str, new: str) -> str:
 
 
 def _draw(kind: str, surface: str, canonical: str, parts: list[tuple[str, str]], attempts: dict[tuple[str, str], int], key: bytes) -> str:
-    drawn = [surrogate(k, c, attempts.get((k, c), 0), key) for k, c in parts]
+    drawn = [surrogate(k, c, attempts.get((k, c), 0), key=key) for k, c in parts]
     if kind != "name":
         return _dress(kind, surface, drawn[0])
     words = [d.rpartition(":")[2] for d in drawn]
@@ -271,7 +282,7 @@ def _draw(kind: str, surface: str, canonical: str, parts: list[tuple[str, str]],
     return " ".join(words)
 
 
-def replace(text: str, attempts: dict[tuple[str, str], int], key: bytes = KEY) -> tuple[str, int, int]:
+def replace(text: str, attempts: dict[tuple[str, str], int], key: bytes) -> tuple[str, int, int]:
     """The text with surrogates, how many entities it had and how many different ones."""
     out, at, seen = [], 0, set()
     found = find(text)
@@ -291,12 +302,12 @@ def _entities(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _surrogates(key: bytes):
     @F.pandas_udf("string")
     def draw(kind: pd.Series, canonical: pd.Series, attempt: pd.Series) -> pd.Series:
-        return pd.Series([surrogate(k, c, int(a), key) for k, c, a in zip(kind, canonical, attempt, strict=True)], dtype=object)
+        return pd.Series([surrogate(k, c, int(a), key=key) for k, c, a in zip(kind, canonical, attempt, strict=True)], dtype=object)
 
     return draw
 
 
-def collisions(entities: DataFrame, key: bytes = KEY) -> DataFrame:
+def collisions(entities: DataFrame, key: bytes) -> DataFrame:
     """(kind, canonical, attempt) of the entities whose first surrogate is another entity or another's surrogate.
 
     ``entities``: distinct (kind, canonical). All draw a surrogate; of those that share one the least keeps it, and
@@ -338,44 +349,47 @@ def _replacer_by_row(key: bytes):
     return run
 
 
-def _with_own_attempts(rows: DataFrame, redrawn: DataFrame) -> DataFrame:
-    """Adds to each row the attempts of its own entities, by shuffles; for more collisions than may be broadcast."""
+def _with_own_attempts(rows: DataFrame, redrawn: DataFrame, name: str) -> DataFrame:
+    """Adds to each row, as ``name``, the attempts of its own entities, by shuffles; for more collisions than may be broadcast."""
 
     def per_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [(h, k, c) for h, t in zip(batch["th"], batch["text"], strict=True) for k, c in {part for parts in _keyed(find(t)) for part in parts}]
             yield pd.DataFrame(found, columns=["th", "kind", "canonical"])
 
-    hashed = rows.withColumn("th", F.xxhash64("text"))
-    own = hashed.select("th", "text").mapInPandas(per_text, "th long, kind string, canonical string").distinct()
-    own = own.join(redrawn, ["kind", "canonical"]).groupBy("th").agg(F.collect_list(F.struct("kind", "canonical", "attempt")).alias("attempts"))
-    return hashed.join(own, "th", "left").drop("th")
+    texts = rows.select(F.xxhash64("text").alias("th"), "text")
+    own = texts.mapInPandas(per_text, "th long, kind string, canonical string").distinct()
+    listed = F.collect_list(F.struct("kind", "canonical", "attempt"))
+    own = own.join(redrawn, ["kind", "canonical"]).groupBy(F.col("th").alias(f"{name}_of")).agg(listed.alias(name))
+    return rows.join(own, F.xxhash64(rows["text"]) == own[f"{name}_of"], "left").drop(f"{name}_of")
 
 
-def pseudonymize(documents: DataFrame, key: bytes = KEY, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def pseudonymize(documents: DataFrame, key: bytes, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """All columns of ``documents``, ``text`` with surrogates, plus n_entities and n_distinct (columns of that name are replaced).
 
-    The same entity gets the same surrogate in every document and format, different ones never share one, and no
+    ``key``: the secret, at most 64 bytes. The same entity gets the same surrogate in every document and format, different ones never share one, and no
     surrogate is an entity of the data: surrogates are keyed hashes shaped like their type, and a check over all
     entities re-keys those that collide. The few re-keyed ones are sent to all tasks if they are few, else joined.
 
     Null texts stay null with 0 entities; empty ones stay empty; repeated rows keep a row each; other columns are
     kept as they are; an empty table gives an empty result.
     """
-    rest = [c for c in documents.columns if c not in ("text", "n_entities", "n_distinct")]
-    rows = documents.select(*rest, F.col("text").isNull().alias("_null"), F.coalesce("text", F.lit("")).alias("text"))
+    counts = {"n_entities", "n_distinct"}
+    rest = [c for c in documents.columns if c.lower() not in counts | {"text"}]
+    absent, new, own, inner = (free_name(documents, n) for n in ("absent", "new_text", "attempts", "replaced"))
+    rows = documents.select(*rest, F.col("text").isNull().alias(absent), F.coalesce("text", F.lit("")).alias("text"))
     entities = rows.select("text").mapInPandas(_entities, "kind string, canonical string").distinct()
-    redrawn = collisions(entities, key)
-    few = redrawn.limit(broadcast_rows + 1).count() <= broadcast_rows
+    redrawn = materialize(collisions(entities, key), "redrawn")
+    few = is_small(redrawn, broadcast_rows)
     attempts = {(r["kind"], r["canonical"]): r["attempt"] for r in redrawn.toLocalIterator()} if few else {}
     if few:
-        out = map_texts(rows, _replacer(attempts, key), [("new_text", "string"), ("n_entities", "long"), ("n_distinct", "long")])
+        out = map_texts(rows, _replacer(attempts, key), [(new, "string"), ("n_entities", "long"), ("n_distinct", "long")])
     else:
-        out = _with_own_attempts(rows, redrawn)
-        out = out.withColumn("_new", _replacer_by_row(key)("text", "attempts")).select("*", "_new.*")
-    out = out.withColumn("text", F.when(~F.col("_null"), F.col("new_text")))
-    return out.select(*[c for c in documents.columns if c not in ("n_entities", "n_distinct")], "n_entities", "n_distinct")
+        out = _with_own_attempts(rows, redrawn, own).withColumn(inner, _replacer_by_row(key)("text", own))
+        out = out.select(*rest, absent, F.col(inner)["new_text"].alias(new), F.col(inner)["n_entities"].alias("n_entities"), F.col(inner)["n_distinct"].alias("n_distinct"))
+    text = F.when(~F.col(absent), F.col(new)).alias("text")
+    return out.select(*[text if c.lower() == "text" else c for c in documents.columns if c.lower() not in counts], "n_entities", "n_distinct")
 
 
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), surrogate_key(spark))

@@ -198,11 +198,14 @@ def near_duplicates(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
     Repeated rows keep a row each, other columns are ignored, an empty table gives an empty result.
     """
     prints = materialize(fingerprints(documents), "prints")
-    nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    member = connected_components(fingerprint_links(nodes.select("fp"), radius))
-    classes = nodes.join(member, nodes["fp"] == member["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
-    named = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = classes.join(named, "component").select("fp", "component_id")
+    # nodes go by their least doc_id (nulls last), so a component's name is its least node
+    name = F.struct(F.min("doc_id").isNull().alias("none"), F.min("doc_id").alias("id"), F.col("fp").alias("fp"))
+    nodes = materialize(prints.groupBy("fp").agg(name.alias("name")), "nodes")
+    one, two = nodes.select(F.col("fp").alias("a"), F.col("name").alias("na")), nodes.select(F.col("fp").alias("b"), F.col("name").alias("nb"))
+    links = materialize(fingerprint_links(nodes.select("fp"), radius), "near")
+    member = connected_components(links.join(one, "a").join(two, "b").select(F.col("na").alias("a"), F.col("nb").alias("b")))
+    member = member.select(F.col("node.fp").alias("m_fp"), F.col("component.id").alias("component_id"))
+    classes = nodes.join(member, F.col("fp") == F.col("m_fp"), "left").select("fp", F.when(F.col("m_fp").isNull(), F.col("name.id")).otherwise(F.col("component_id")).alias("component_id"))
     return prints.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 

@@ -17,6 +17,7 @@ from factmill.llm.tokens import encoder, vocabulary_path
 #: <|endoftext|> of the vocabulary; its ids fit into unsigned 16-bit integers.
 SEPARATOR = 49407
 BLOCK_TOKENS = 65_536
+WIDEST = 65_535
 #: Blocks that are scanned together before their totals are scanned.
 SPAN_BLOCKS = 1024
 
@@ -40,7 +41,10 @@ def _writer(path: str, separator: int, block_tokens: int):
                 part, blocks = batch.slice(at, TEXTS_AT_ONCE), []
                 ids = part.column(0)
                 for text in part.column(1).to_pylist():
-                    held += np.frombuffer(codec.encode(text), "<u4").astype("<u2").tobytes() + end
+                    found = np.frombuffer(codec.encode(text), "<u4")
+                    if found.size and found.max() > WIDEST:
+                        raise ValueError(f"id {found.max()} of the vocabulary does not fit into 16 bits")
+                    held += found.astype("<u2").tobytes() + end
                     while len(held) >= size:
                         blocks.append((block, bytes(held[:size])))
                         del held[:size]

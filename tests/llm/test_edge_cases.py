@@ -9,12 +9,12 @@ from factmill.llm.tokens import vocabulary_path
 LONG = "lorem ipsum dolor sit amet " * 20_000
 TEXTS = [(1, "one two three four five six seven eight nine ten eleven"), (2, ""), (3, None), (None, "one two three"), (4, "one two three"), (4, "one two three"), (5, " \n\t "), (6, LONG)]
 #: Names that the operators use inside.
-CLASH = ("row", "n", "h", "w", "fp", "a", "b", "u", "v", "shard", "node", "class", "score", "text_crc32", "_id", "word", "k", "part", "n_entities", "attempts", "label", "th", "items", "rows", "component", "least", "key")
+CLASH = ("row", "n_entities", "n_distinct", "n", "h", "w", "fp", "a", "b", "u", "v", "shard", "node", "class", "score", "text_crc32", "_id", "word", "k", "part", "n_entities", "attempts", "label", "th", "items", "rows", "component", "least", "key", "new_text", "_null", "absent", "attempts", "replaced", "gone", "again", "row_name", "_gone", "_again", "_name", "name", "spans", "s_doc", "h", "i", "start", "wid", "kept_n_distinct", "_absent")
 
 
 def documents(spark, rows=TEXTS, clash=True):
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    return df.withColumns({c: F.lit(7) for c in CLASH}) if clash else df
+    return df.withColumns({c: F.lit(7) for c in dict.fromkeys(CLASH)}) if clash else df
 
 
 BENCH = "item_id long, text string"
@@ -28,7 +28,8 @@ def operators(spark):
         "toxicity": lambda d: toxicity.score_documents(d, toxicity.fit(d, labels)),
         "decontamination": lambda d: decontamination.contamination(d, bench),
         "class_ngrams": class_ngrams.score_documents,
-        "pii": pii.pseudonymize,
+        "pii": lambda d: pii.pseudonymize(d, b"k"),
+        "pii by shuffle": lambda d: pii.pseudonymize(d, b"k", broadcast_rows=-1),
         "simhash": simhash.near_duplicates,
         "tokens": lambda d: token_files.count_tokens(d, vocabulary_path()),
         "sharding": sharding.shard_documents,
@@ -36,7 +37,7 @@ def operators(spark):
     }
 
 
-NAMES = ["toxicity", "decontamination", "class_ngrams", "pii", "simhash", "tokens", "sharding", "packing"]
+NAMES = ["toxicity", "decontamination", "class_ngrams", "pii", "pii by shuffle", "simhash", "tokens", "sharding", "packing"]
 
 
 @pytest.mark.parametrize("name", NAMES)

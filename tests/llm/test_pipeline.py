@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 
 from factmill.llm.tokens import vocabulary_path
 
@@ -56,3 +57,32 @@ def test_verdicts_go_by_row(spark, tmp_path):
     assert wanted <= set(got) and len(got) == len(set(got)) and not {t for i, t in got if (i, t) != (5, near)} & {near, near + " end"}
     left = corpus_pipeline.decontamination(spark, docs.where("doc_id is null or doc_id = 7"), str(tmp_path)).collect()
     assert not [x for x in left if item in x.text] and len(left) == 6
+
+
+ODD = [(1, "one two three four five six seven eight nine ten eleven"), (1, "write to ann@mail.example.com"), (2, ""), (3, None), (None, "another text with other words"), (4, "write to bob@mail.example.com"), (4, "write to bob@mail.example.com"), (5, " \n\t "), (6, "lorem ipsum dolor sit amet " * 20_000)]
+CLASH = ("gone", "again", "row_name", "new_text", "_null", "absent", "attempts", "name", "first", "n_entities", "n_distinct", "kept_n_entities", "component", "th", "w", "n", "score", "fp", "start", "length", "rank", "class")
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Nulls, empty and very long texts, repeated rows and clashing columns: nothing is lost but what a stage is for."""
+    spark.createDataFrame([(1, "two three four five six seven eight nine ten eleven"), (None, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(1, 0, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.createDataFrame(ODD, "doc_id long, text string").withColumns({c: F.lit(7) for c in CLASH}).withColumn("n_chars", F.length("text"))
+    stage = dict(corpus_pipeline.STAGES)
+    rows = lambda name, given=docs: corpus_pipeline.materialize(stage[name](spark, given, str(tmp_path)), "odd")
+    every = sorted(map(repr, docs.select("doc_id", "text").collect()))
+    for name in ("toxicity", "simhash_near_dedup", "decontamination", "pii"):
+        out = rows(name)
+        assert out.columns == docs.columns and all(r[c] == 7 for r in out.collect() for c in CLASH)
+        assert rows(name, docs.limit(0)).count() == 0
+        left = sorted(map(repr, out.select("doc_id", "text").collect()))
+        if name == "toxicity":
+            assert left == every
+        elif name == "decontamination":
+            assert left == [r for r in every if "seven" not in r]
+        elif name == "simhash_near_dedup":
+            assert len(left) == len(set(left)) and {r.doc_id for r in out.collect()} >= {None, 1, 4, 6} and not {3, 5} & {r.doc_id for r in out.collect()}
+        else:
+            assert len(left) == len(every) and all(r.n_chars == len(r.text) for r in out.collect() if r.text is not None) and not any("@mail.example.com" in r and ("ann" in r or "bob" in r) for r in left)
+    packed = rows("packing").collect()
+    assert len([r for r in packed if r.start == 0]) == len(ODD) and rows("packing", docs.limit(0)).count() == 0
