@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factmill.llm.common import bounded_broadcast, materialize, table
+from factmill.llm.common import bounded_broadcast, free_name, materialize, table
 from factmill.llm.decontamination import contamination
 from factmill.llm.packing import pack
-from factmill.llm.pii import pseudonymize
+from factmill.llm.pii import pseudonymize, surrogate_key
 from factmill.llm.simhash import near_duplicates
 from factmill.llm.tokens import vocabulary_path
 from factmill.llm.toxicity import keep_clean
@@ -27,41 +27,60 @@ def _name(key):
 
 def _without(docs: DataFrame, names: DataFrame) -> DataFrame:
     """``docs`` without the rows of these names."""
-    names = materialize(names.select(F.col("name").alias("_gone")).distinct(), "gone")
-    return docs.join(bounded_broadcast(names), _name(_key()) == F.col("_gone"), "left_anti")
+    gone = free_name(docs, "gone")
+    names = materialize(names.select(F.col("name").alias(gone)).distinct(), "gone")
+    return docs.join(bounded_broadcast(names), _name(_key()) == F.col(gone), "left_anti")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text scores as toxic go. Null and empty texts stay."""
+    """Documents whose text scores as toxic go.
+
+    Null and empty texts stay, as do rows with null ids and repeated rows whose text is clean; other columns are kept
+    as they are, whatever their names; an empty table, or one without labels, gives what the unlearned grammar keeps.
+    """
     return keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies the row with the least doc_id, then the least hash of its text, stays.
 
-    Rows that share a doc_id but not their text are judged apart; of rows equal in both one is kept. Null ids come last.
+    Rows that share a doc_id but not their text are judged apart; of rows equal in both one is kept, whichever their
+    other columns. Null ids come last. Null and empty texts are one group, of which one row stays. Other columns are
+    kept as they are, whatever their names; an empty table gives an empty one.
     """
     near = near_duplicates(docs.select(_key().alias("doc_id"), "text"))
     near = materialize(near.select(_name(F.col("doc_id")).alias("name"), _name(F.col("component_id")).alias("first")), "near")
     kept = _without(docs, near.where("name <> first"))
     repeated = near.where("name = first").groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = materialize(repeated.select(F.col("name").alias("_again")), "again")
+    again_name, row_name = free_name(docs, "again"), free_name(docs, "row_name")
+    repeated = materialize(repeated.select(F.col("name").alias(again_name)), "again")
     if repeated.isEmpty():
         return kept
     again, name = bounded_broadcast(repeated), _name(_key())
-    single = kept.join(again, name == F.col("_again"), "left_anti")
-    return single.unionByName(kept.join(again, name == F.col("_again"), "left_semi").withColumn("_name", name).dropDuplicates(["_name"]).drop("_name"))
+    single = kept.join(again, name == F.col(again_name), "left_anti")
+    double = kept.join(again, name == F.col(again_name), "left_semi").withColumn(row_name, name)
+    return single.unionByName(double.dropDuplicates([row_name]).drop(row_name))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold a window of a benchmark item go, whatever their doc_id."""
+    """Rows that hold a window of a benchmark item go, whatever their doc_id (null too); repeated rows go together.
+
+    Null and empty texts hold none and stay, very long ones are read whole; other columns are kept as they are,
+    whatever their names; an empty table gives an empty one.
+    """
     found = contamination(docs.select(_name(_key()).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     return _without(docs, found.where("contaminated").select(F.col("doc_id").alias("name")))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in the texts becomes surrogates; n_chars, where there is one, follows the new text."""
-    out = pseudonymize(docs).select(*docs.columns)
+    """Personal data in the texts becomes surrogates; n_chars, where there is one, follows the new text.
+
+    Every row stays: null and empty texts as they are, null ids and repeated rows too, whole however long the text; other
+    columns are kept, whatever their names (n_entities and n_distinct are not those of the operator); an empty table
+    gives an empty one.
+    """
+    kept = {c: free_name(docs, f"kept_{c}") for c in docs.columns if c.lower() in ("n_entities", "n_distinct")}
+    out = pseudonymize(docs.withColumnsRenamed(kept), surrogate_key(spark)).drop("n_entities", "n_distinct").withColumnsRenamed({v: k for k, v in kept.items()}).select(*docs.columns)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(length))
@@ -69,7 +88,11 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 2048 tokens."""
+    """Pieces of the documents in sequences of 2048 tokens.
+
+    Null and empty texts are the end id alone; null ids, ties and repeated rows keep their pieces each; other columns are
+    left out; an empty table gives an empty one.
+    """
     return pack(docs, vocabulary_path())
 
 
