@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
@@ -17,20 +18,30 @@ from factmill.llm.common import id_remainder, map_texts, materialize, table
 #: Labelled documents (least hash of doc_id first) from which the lexicon and the arcs' weights are learned.
 SAMPLE = 20_000
 #: Lexicon candidates that are weighed against each other, and the most entries that are kept.
-CANDIDATES = 4_000
-ENTRIES = 400
+CANDIDATES = 8_000
+ENTRIES = 2_000
+#: Documents that an entry must explain beyond others; chance (e to the minus this) that any entry is taken for an insult.
+LEAST = 3
+DOUBT = 7.0
 THRESHOLD = 0.7
 #: Least log odds of a whole word (=) and of a stem (^): there are far more stems, so chance finds stronger ones.
 LEAST_ODDS = {"=": 2.3, "^": 4.0}
 
 # Closed word classes of the grammar in English, German, French and Spanish.
-THREATS = "kill hurt shoot stab beat burn destroy töten schlagen erschießen verletzen tuer frapper blesser brûler matar golpear herir quemar".split()
+THREATS = (
+    "kill kills killed killing hurt hurts hurting shoot shoots shot shooting stab stabs stabbed stabbing beat beats beaten beating burn burns burned burning destroy destroys destroyed destroying"
+    " töten töte tötet getötet schlagen schlage schlägt erschießen erschieße erschossen verletzen verletze verletzt tuer tue tué tuerai tuerons frapper frappe frappé blesser blesse blessé brûler brûle brûlé"
+    " matar mato mataré matado golpear golpeo golpearé herir hiero heriré quemar quemo quemaré"
+).split()
 TARGETS = "you your yours he him she her they them du dich dir ihr euch sie tu toi te vous ils elles tú ti usted ustedes ellos ellas".split()
 NEGATIONS = "not never no nor without nicht kein keine nie ohne pas jamais aucun sans nunca jamás sin ningún".split()
 REPORTS = "said says told wrote called quoted claimed sagte sagt schrieb nannte dit disait écrit dijo dice escribió llamó".split()
-# Prior chance that a clause of a pattern is toxic, and how many labelled documents it counts for.
-PRIORS = {"insult": 0.85, "insult+target": 0.95, "insult+negated": 0.35, "insult+reported": 0.35, "insult+negated+target": 0.45, "insult+reported+target": 0.45, "threat+target": 0.6}
+# Prior chance that a clause is toxic in which an insult stands alone or under one more tag, or a threat with
+# its target, and how many labelled documents it counts for.
+PRIORS = {"insult": 0.85, "target": 0.95, "negated": 0.35, "reported": 0.35, "aimed": 0.6}
 PRIOR_DOCUMENTS = 4.0
+#: What further clauses add to the strongest one, each.
+FURTHER = 0.25
 
 WORD = re.compile(r"[^\W\d_]+")
 CLAUSE_END = re.compile(r"[.!?;:\n]")
@@ -40,7 +51,10 @@ STEM = (4, 8)
 
 @dataclass(frozen=True)
 class Transducer:
-    """A small machine: (state, symbol) -> (state, output tag or None); a missing arc keeps the state silently."""
+    """A small weighted machine: (state, symbol) -> (state, tag or None); a missing arc keeps the state silently.
+
+    An arc weighs what its tag does; a tag counts once for a clause.
+    """
 
     arcs: dict[tuple[str, str], tuple[str, str | None]]
     start: str = "0"
@@ -51,9 +65,13 @@ class Transducer:
 
 @dataclass
 class Composition:
-    """Machines that read one tape of word classes side by side; their joint steps are kept as one table."""
+    """Machines that read one tape of word classes side by side; joint states are made as they are reached.
+
+    A joint arc carries the tags of its parts. A clause's weight is the sum of the weights of its tags' arcs.
+    """
 
     machines: list[Transducer]
+    weights: dict[str, float] = field(default_factory=dict)
     steps: dict = field(default_factory=dict)
 
     def tags(self, symbols: Iterable[str]) -> frozenset[str]:
@@ -68,23 +86,24 @@ class Composition:
             tags.update(out)
         return frozenset(tags)
 
+    def weigh(self, tags: frozenset[str]) -> float:
+        return sum(self.weights.get(t, 0.0) for t in tags)
 
-def grammar() -> Composition:
+
+def grammar(weights: dict[str, float] | None = None) -> Composition:
     """Insult, threat, target, negation and reported-speech machines over the classes I T Y N R and w (other words)."""
     insult = Transducer({("0", "I"): ("0", "insult")})
-    threat = Transducer({("0", "T"): ("0", "threat")})
-    target = Transducer({("0", "Y"): ("y", None), ("y", "I"): ("y", "target"), ("y", "T"): ("y", "target"), ("0", "I"): ("i", None), ("0", "T"): ("i", None), ("i", "Y"): ("y", "target")})
+    threat = Transducer({("0", "T"): ("t", None), ("t", "Y"): ("t", "aimed"), ("0", "Y"): ("y", None), ("y", "T"): ("t", "aimed")})
+    target = Transducer({("0", "Y"): ("y", None), ("y", "I"): ("y", "target"), ("0", "I"): ("i", None), ("i", "Y"): ("y", "target")})
     # a negation reaches the next two words
     negation = Transducer({("0", "N"): ("2", None), ("1", "N"): ("2", None), ("2", "w"): ("1", None), ("2", "Y"): ("1", None), ("1", "w"): ("0", None), ("1", "Y"): ("0", None), ("2", "I"): ("0", "negated"), ("1", "I"): ("0", "negated"), ("2", "T"): ("0", "negated"), ("1", "T"): ("0", "negated")})
     reported = Transducer({("0", "R"): ("r", None), ("r", "I"): ("r", "reported"), ("r", "T"): ("r", "reported")})
-    return Composition([insult, threat, target, negation, reported])
+    return Composition([insult, threat, target, negation, reported], weights or {})
 
 
-def _pattern(tags: frozenset[str]) -> str | None:
-    """The name of what a clause's tags amount to; a threat needs a target and neither negation nor report."""
-    if "insult" in tags:
-        return "+".join(["insult", *sorted(tags & {"negated", "reported", "target"} - ({"negated"} if "reported" in tags else set()))])
-    return "threat+target" if {"threat", "target"} <= tags and not tags & {"negated", "reported"} else None
+def matches(tags: frozenset[str]) -> bool:
+    """Whether a clause's tags amount to anything: an insult, or a threat at somebody that is neither negated nor reported."""
+    return "insult" in tags or "aimed" in tags and not tags & {"negated", "reported"}
 
 
 CLASSES = {w: c for c, words in (("R", REPORTS), ("N", NEGATIONS), ("Y", TARGETS), ("T", THREATS)) for w in words}
@@ -97,11 +116,13 @@ class Lexicon:
     words: dict[str, float]
     stems: dict[str, float]
 
+    arcs: dict[str, float] = field(default_factory=dict)
+
     def __post_init__(self) -> None:
         self.lengths = sorted({len(s) for s in self.stems}, reverse=True)
         parts = [re.escape(s) for s in sorted(self.stems)] + [rf"{re.escape(w)}(?![^\W\d_])" for w in sorted(self.words)] + [rf"{re.escape(w)}(?![^\W\d_])" for w in THREATS]
         self.trigger = re.compile(rf"(?<![^\W\d_])(?:{'|'.join(parts)})")
-        self.composition = grammar()
+        self.composition = grammar(self.arcs)
 
     def weight(self, word: str) -> float | None:
         found = self.words.get(word)
@@ -110,8 +131,8 @@ class Lexicon:
                 found = max(found or -math.inf, self.stems[word[:n]])
         return found
 
-    def clauses(self, text: str) -> list[tuple[str, float]]:
-        """(pattern, greatest insult weight) of every clause in which a trigger stands and a pattern matches."""
+    def clauses(self, text: str) -> list[tuple[frozenset[str], float]]:
+        """(tags, greatest weight of an insult) of every clause in which a trigger stands and that amounts to anything."""
         text = text.lower()
         out, done = [], 0
         while m := self.trigger.search(text, done):
@@ -123,8 +144,9 @@ class Lexicon:
                 w = self.weight(word)
                 symbols.append("I" if w is not None else CLASSES.get(word, "w"))
                 best = max(best, w if w is not None else best)
-            if pattern := _pattern(self.composition.tags(symbols)):
-                out.append((pattern, best))
+            tags = self.composition.tags(symbols)
+            if matches(tags):
+                out.append((tags, best if best > -math.inf else 0.0))
         return out
 
 
@@ -160,11 +182,21 @@ def _cover(rows: list[list[str]], odds: dict[str, float]) -> list[str]:
         for e in row:
             holds.setdefault(e, set()).add(i)
     left, chosen = set(range(len(rows))), []
-    least = max(3, len(rows) // 50)
-    while left and len(chosen) < ENTRIES:
-        best = max(holds, key=lambda e: (len(holds[e] & left), odds[e], e[0] == "=", len(e), e), default=None)
-        if best is None or len(holds[best] & left) < least:
-            break
+
+    def rank(e: str, explained: int) -> tuple:
+        return (-explained, -odds[e], e[0] != "=", -len(e), e)
+
+    queue = [(rank(e, len(own)), e) for e, own in holds.items()]
+    heapq.heapify(queue)
+    while queue and left and len(chosen) < ENTRIES:
+        _, best = heapq.heappop(queue)
+        explained = len(holds[best] & left)
+        if explained < LEAST:
+            continue
+        now = rank(best, explained)
+        if queue and now > queue[0][0]:  # it explains less than when it was queued
+            heapq.heappush(queue, (now, best))
+            continue
         chosen.append(best)
         left -= holds.pop(best)
     # synonyms of chosen words often stand beside them, so nothing is left for them to explain
@@ -177,23 +209,30 @@ def _cover(rows: list[list[str]], odds: dict[str, float]) -> list[str]:
 @dataclass
 class Model:
     lexicon: Lexicon
-    shifts: dict[str, float]
     none: float
 
     def score(self, text: str) -> float:
+        """The chance from the strongest clause and, each by FURTHER, all others that speak for it."""
         clauses = self.lexicon.clauses(text)
         if not clauses:
             return self.none
-        each = sorted(((w if w > -math.inf else 0.0) + self.shifts.get(p, 0.0) for p, w in clauses), reverse=True)
-        total = each[0] + sum(max(0.0, x) for x in each[1:4]) * 0.25
+        each = [w + self.lexicon.composition.weigh(tags) for tags, w in clauses]
+        best = max(each)
+        total = best + FURTHER * (sum(max(0.0, x) for x in each) - max(0.0, best))
         return 1.0 / (1.0 + math.exp(-max(-20.0, min(20.0, total))))
 
 
-def _patterns(lexicon: Lexicon):
+def _kinds(lexicon: Lexicon):
+    """For each text, once each, the tags that single out an arc: those of clauses with an insult and at most one more tag, or a threat."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(p, int(y)) for t, y in zip(batch["text"], batch["toxic"], strict=True) for p in ({p for p, _ in lexicon.clauses(t)} or {"none"})]
-            yield pd.DataFrame(rows, columns=["pattern", "toxic"])
+            rows = []
+            for t, y in zip(batch["text"], batch["toxic"], strict=True):
+                found = {tags - {"aimed"} if "insult" in tags else tags for tags, _ in lexicon.clauses(t)}
+                kinds = {next(iter(tags - {"insult"}), "insult") for tags in found if len(tags) <= 2} if found else {"none"}
+                rows += [(k, int(y)) for k in kinds]
+            yield pd.DataFrame(rows, columns=["kind", "toxic"])
 
     return run
 
@@ -212,24 +251,27 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     size = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = size.get(0, 0), size.get(1, 0)
     counts = rows.mapInPandas(_count_entries, "entry string, n0 long, n1 long").groupBy("entry").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    good = counts.where((F.col("n1") >= max(3, n1 // 50)) & (F.col("n1") * max(n0, 1) >= F.col("n0") * 20 * max(n1, 1)))
+    # evidence against chance: n1 * ln(n1 / expected) + n0 * ln(n0 / expected) must pass a bound that grows with the entries only
+    share, n, seen = max(1, n1) / max(1, n0 + n1), F.col("n0") + F.col("n1"), F.col("n0").cast("double")
+    evidence = F.col("n1") * F.ln(F.col("n1") / (n * share)) + F.when(seen > 0, seen * F.ln(seen / (n * max(1e-9, 1 - share)))).otherwise(0.0)
+    counts = materialize(counts, "entries")
+    bound = math.log(max(1, counts.count())) + DOUBT
+    good = counts.where((F.col("n1") >= LEAST) & (F.col("n1") * max(n0, 1) >= F.col("n0") * 20 * max(n1, 1)) & (evidence >= bound))
     found = good.orderBy(F.desc("n1"), "entry").limit(CANDIDATES).collect()
     odds = {r["entry"]: math.log((r["n1"] + 0.5) / (r["n0"] + 0.5)) for r in found}
     odds = {e: o for e, o in odds.items() if o >= LEAST_ODDS[e[0]]}
     toxic = rows.where("toxic = 1").mapInPandas(_which(list(odds)), "found array<string>")
     chosen = _cover([r["found"] for r in toxic.toLocalIterator()], odds) if odds else []
     lexicon = Lexicon({e[1:]: odds[e] for e in chosen if e[0] == "="}, {e[1:]: odds[e] for e in chosen if e[0] == "^"})
-    seen = {(r["pattern"], r["toxic"]): r["n"] for r in rows.mapInPandas(_patterns(lexicon), "pattern string, toxic int").groupBy("pattern", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    seen = {(r["kind"], r["toxic"]): r["n"] for r in rows.mapInPandas(_kinds(lexicon), "kind string, toxic int").groupBy("kind", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
 
-    def chance(pattern: str, prior: float) -> float:
-        a, b = seen.get((pattern, 1), 0), seen.get((pattern, 0), 0)
+    def chance(kind: str, prior: float) -> float:
+        a, b = seen.get((kind, 1), 0), seen.get((kind, 0), 0)
         return (a + PRIOR_DOCUMENTS * prior) / (a + b + PRIOR_DOCUMENTS)
 
-    logit = {p: math.log(c / (1 - c)) for p, prior in PRIORS.items() if 0 < (c := chance(p, prior)) < 1}
-    base = logit["insult"]
-    shifts = {p: max(-8.0, min(2.0, x - base)) for p, x in logit.items()}
-    shifts["threat+target"] = logit["threat+target"]
-    return Model(lexicon, shifts, min(0.4, chance("none", n1 / max(1, n0 + n1))))
+    logit = {k: math.log(c / (1 - c)) for k, prior in PRIORS.items() if 0 < (c := chance(k, prior)) < 1}
+    arcs = {k: max(-8.0, min(2.0, x - (0.0 if k == "aimed" else logit["insult"]))) for k, x in logit.items() if k != "insult"}
+    return Model(Lexicon(lexicon.words, lexicon.stems, arcs), min(0.4, chance("none", n1 / max(1, n0 + n1))))
 
 
 def _scorer(model: Model):

@@ -149,12 +149,74 @@ def test_toxicity_held_out(spark):
     assert sum(r.predicted == (r.doc_id % 5 == 0) for r in got) / len(got) > 0.97
 
 
+ARCS = {"target": 1.0, "negated": -8.0, "reported": -8.0, "aimed": 1.0}
+
+
 def test_grammar_scores_clauses():
-    model = toxicity.Model(toxicity.Lexicon({"idiot": 5.0}, {"glarf": 5.0}), {"insult": 0.0, "insult+target": 1.0, "insult+negated": -5.0, "insult+reported": -5.0, "threat+target": 1.0, "insult+reported+target": -5.0, "insult+negated+target": -5.0}, 0.01)
+    model = toxicity.Model(toxicity.Lexicon({"idiot": 5.0}, {"glarf": 5.0}, ARCS), 0.01)
     assert model.score("Nice. You IDIOT! Bye") > 0.9 and model.score("glarfing all day") > 0.9
     assert model.score("he is not an idiot") < 0.7 and model.score("they said idiot") < 0.7
     assert model.score("I will hurt you") > 0.7 and model.score("I never hurt you") == model.score("nothing") == 0.01
-    assert model.score("not here. idiot") > 0.9
+    assert model.score("not here. idiot") > 0.9 and model.score("we killed. you") == 0.01 and model.score("you get killed") > 0.7
+
+
+def brute_tags(symbols):
+    """The tags of a clause, straight from their definitions."""
+    at = lambda kinds: [i for i, s in enumerate(symbols) if s in kinds]
+    tags = {"insult"} if at("I") else set()
+    if at("T") and at("Y"):
+        tags.add("aimed")
+    if at("I") and at("Y"):
+        tags.add("target")
+    if any(r < i for r in at("R") for i in at("IT")):
+        tags.add("reported")
+    reach = 0
+    for s in symbols:
+        if s == "N":
+            reach = 2
+        elif s in "IT" and reach:
+            tags.add("negated")
+            reach = 0
+        elif s in "wY" and reach:
+            reach -= 1
+    return tags
+
+
+def test_composed_machines_match_definitions():
+    r = random.Random(13)
+    composition = toxicity.grammar(ARCS)
+    for _ in range(5000):
+        symbols = [r.choice("ITYNRw") for _ in range(r.randrange(9))]
+        tags = composition.tags(symbols)
+        assert tags == brute_tags(symbols), symbols
+        assert composition.weigh(tags) == sum(ARCS.get(t, 0.0) for t in tags)
+    lexicon = toxicity.Lexicon({"idiot": 5.0, "fool": 3.0}, {}, ARCS)
+    model = toxicity.Model(lexicon, 0.01)
+    for _ in range(300):
+        text = " ".join(r.choice(["idiot", "fool", "you", "not", "said", "killed", "tree", "walks.", "and!", "so;"]) for _ in range(r.randrange(60)))
+        each = []
+        for clause in re.split(r"[.!?;:\n]", text):
+            known = [w for w in clause.split()]
+            symbols = ["I" if w in lexicon.words else toxicity.CLASSES.get(w, "w") for w in known]
+            tags = brute_tags(symbols)
+            if "insult" in tags or "aimed" in tags and not tags & {"negated", "reported"}:
+                each.append(max([lexicon.words[w] for w in known if w in lexicon.words], default=0.0) + sum(ARCS.get(t, 0.0) for t in tags))
+        total = max(each, default=0.0) + 0.25 * sum(max(0.0, x) for x in sorted(each)[:-1])
+        assert model.score(text) == pytest.approx(1 / (1 + np.exp(-np.clip(total, -20, 20))) if each else 0.01)
+
+
+def test_rare_insults_are_learned(spark):
+    """A word of few toxic documents enters the lexicon however many labelled rows there are."""
+    rows, labels = [], []
+    for i in range(3000):
+        text = words(i, 30, 300)
+        if i % 5 == 0:
+            text[7] = "glarf" if i % 100 else "snorkle"
+        rows.append((i, " ".join(text) + "."))
+        labels.append((i, 1, int(i % 5 == 0)))
+    model = toxicity.fit(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert model.score("what a snorkle") > 0.7 and model.score("what a glarf") > 0.7 and model.score(rows[1][1]) < 0.5
+    assert len(model.lexicon.words) + len(model.lexicon.stems) < 12
 
 
 # --- decontamination
