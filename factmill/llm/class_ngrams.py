@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -15,12 +16,16 @@ from factmill.llm.common import LOWER_BYTES, TEXTS_AT_ONCE, id_remainder, materi
 
 #: Most frequent words that workers hold in memory; the counts of all others are joined.
 HEAD = 60_000
-#: Units that the exchange moves: the most frequent words each, and all others by their shape.
+#: Units of the first exchange, on the driver: the most frequent words each, and all others by their shape.
 WORDS = 1664
 SHAPES = 384
 CLASSES = 48
-#: Most rounds of the exchange.
+#: Most rounds of the first exchange; rounds in which Spark exchanges all other words of the HEAD.
 ROUNDS = 10
+REFINED = 1
+#: Words whose neighbours are counted in one table, and groups in which such tables are summed before they meet.
+BLOCK = 1000
+SALTS = 64
 #: Weight of a class's own frequency in the transitions to it.
 PRIOR = 50.0
 #: Distinct words that a task counts before it hands them on.
@@ -96,6 +101,96 @@ def _count_pairs(units: dict[bytes, int], size: int):
     return run
 
 
+def _classes_of(words: list[bytes], index: dict[bytes, int], classes: np.ndarray, shapes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place in the HEAD (-1: none) and the class of each word."""
+    at = np.fromiter((index.get(w, -1) for w in words), np.int64, len(words))
+    out = classes[at]
+    for i in np.flatnonzero(at < 0).tolist():
+        out[i] = shapes[shape(words[i])]
+    return at, out
+
+
+def _lines(batches: Iterator, shared) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and classes of many texts' words on end, the end token before, between and after them."""
+    index, classes, shapes, end = shared.value
+    for texts in _texts(batches):
+        places, line = [[-1]], [[end]]
+        for text in texts:
+            at, own = _classes_of(words_of(text), index, classes, shapes)
+            places += [at, [-1]]
+            line += [own, [end]]
+        yield np.concatenate(places).astype(np.int64), np.concatenate(line).astype(np.int64)
+
+
+def _count_joint(shared):
+    """Counts of neighbouring classes, one row for each task."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        size = shared.value[3] + 1
+        counts = np.zeros(size * size, np.int64)
+        for _, line in _lines(batches, shared):
+            counts += np.bincount(line[:-1] * size + line[1:], minlength=size * size)
+        pairs = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array((pairs // size).astype(np.int32)), pa.array((pairs % size).astype(np.int32)), pa.array(counts[pairs])], names=["a", "b", "n"])
+
+    return run
+
+
+def _count_contexts(shared):
+    """For each HEAD word: how often each class follows it, comes before it, and how often it follows itself; a packed table for each BLOCK of words."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        index, _, _, end = shared.value
+        wide = 2 * (end + 1) + 1
+        counts = np.zeros(len(index) * wide, np.int32)
+        for places, line in _lines(batches, shared):
+            known = np.flatnonzero(places >= 0)  # never the first or the last
+            own = places[known] * wide
+            np.add.at(counts, own + line[known + 1], 1)
+            np.add.at(counts, own + end + 1 + line[known - 1], 1)
+            np.add.at(counts, own[places[known + 1] == places[known]] + wide - 1, 1)
+        salt = TaskContext.get().partitionId() % SALTS
+        for block in range(-(-len(index) // BLOCK)):
+            table = counts[block * BLOCK * wide : (block + 1) * BLOCK * wide]
+            if table.any():
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([salt], pa.int32()), pa.array([zlib.compress(table.astype(np.int64).tobytes(), 1)])], names=["block", "salt", "data"])
+
+    return run
+
+
+def _summed(data: pd.Series) -> np.ndarray:
+    total = None
+    for d in data:
+        table = np.frombuffer(zlib.decompress(d), np.int64)
+        total = table.copy() if total is None else total + table
+    return total
+
+
+def _sum_tables(group: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"block": group["block"].iloc[:1], "data": [zlib.compress(_summed(group["data"]).tobytes(), 1)]})
+
+
+def _move_words(joint: np.ndarray, classes: np.ndarray, fixed: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        """The class that raises the likelihood most for each word of a block; the first ``fixed`` words keep theirs."""
+        size, first = len(joint), int(group["block"].iat[0]) * BLOCK
+        tables = _summed(group["data"]).reshape(-1, 2 * size + 1).astype(np.float64)
+        best = classes[first : first + len(tables)].copy()
+        for i in range(max(0, fixed - first), len(tables)):
+            if tables[i].any():
+                values = move_values(joint, best[i], tables[i, :size], tables[i, size:-1], tables[i, -1])
+                to = int(values.argmax())
+                if values[to] > values[best[i]] + 1e-6:
+                    best[i] = to
+        return pd.DataFrame({"block": group["block"].iloc[:1], "classes": [best.astype(np.int32).tobytes()]})
+
+    return run
+
+
 def _dense_row(size: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         row = np.zeros(size)
@@ -187,12 +282,12 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -
 class Model:
     """Class bigrams: log10 P(class | class before) + log10 (c(word) + 1) / (N(class) + V(class) + 1)."""
 
-    def __init__(self, head: dict[bytes, tuple[int, int]], unit_class: np.ndarray, joint: np.ndarray, kinds: np.ndarray, tokens: int, vocabulary: int) -> None:
-        """head: word -> (unit, count); kinds: distinct training words of each class."""
+    def __init__(self, head: dict[bytes, int], word_class: np.ndarray, shape_class: np.ndarray, joint: np.ndarray, kinds: np.ndarray, tokens: int, vocabulary: int) -> None:
+        """head: word -> count; word_class: their classes; shape_class: those of all others by shape; kinds: distinct training words of each class."""
         self.index = {w: i for i, w in enumerate(head)}
-        self.log_count = np.log10(np.array([c + 1.0 for _, c in head.values()] or [1.0]))
-        self.word_class = unit_class[np.array([u for u, _ in head.values()] or [0], np.int64)]
-        self.shape_class = unit_class[WORDS : WORDS + SHAPES]
+        self.log_count = np.log10(np.array([c + 1.0 for c in head.values()] or [1.0]))
+        self.word_class = word_class if len(word_class) else np.zeros(1, np.int64)
+        self.shape_class = shape_class
         self.end = len(joint) - 1
         self.end_log_count = np.log10(joint.sum(axis=0)[self.end] + 1.0)
         totals = joint.sum(axis=0)
@@ -204,16 +299,10 @@ class Model:
     def local(self, text: str) -> tuple[int, int, float, float, Counter]:
         """Tokens, known head tokens, what base and model get from this text alone, and the words whose counts are elsewhere."""
         words = words_of(text)
-        at = np.fromiter((self.index.get(w, -1) for w in words), np.int64, len(words))
-        classes = np.full(len(words) + 2, self.end)
-        tail: Counter = Counter()
-        inner = classes[1:-1]
+        at, inner = _classes_of(words, self.index, self.word_class, self.shape_class)
+        classes = np.concatenate([[self.end], inner, [self.end]]).astype(np.int64)
         known = at >= 0
-        inner[known] = self.word_class[at[known]]
-        for i in np.flatnonzero(~known).tolist():
-            w = words[i]
-            inner[i] = self.shape_class[shape(w)]
-            tail[w] += 1
+        tail = Counter(words[i] for i in np.flatnonzero(~known).tolist())
         counted = float(self.log_count[at[known]].sum() + self.end_log_count)
         n = len(words) + 1
         model = float(self.transition[classes[:-1], classes[1:]].sum() - self.log_size[classes[1:]].sum()) + counted
@@ -263,26 +352,55 @@ def fit(training: DataFrame) -> tuple[Model, DataFrame]:
     rows = materialize(pairs.groupBy("a").applyInPandas(_dense_row(size), "a int, row binary"), "pairs")
     for r in rows.toLocalIterator():  # one row of `size` numbers for each unit, whatever the corpus
         matrix[r["a"]] = np.frombuffer(r["row"], np.float64)
-    unit_class, joint = exchange(matrix)
+    unit_class, joint = exchange(matrix, CLASSES, ROUNDS)
+    head, shape_class = dict(top), unit_class[WORDS : WORDS + SHAPES]
+    word_class = np.array([unit_class[units.get(w, WORDS + shape(w))] for w in head], np.int64)
+    word_class, joint = refine(training, head, word_class, shape_class, joint, len(units))
     kinds = np.zeros(CLASSES + 1)
     kinds[CLASSES] = 1
-    np.add.at(kinds, unit_class[: len(units)], 1)
+    np.add.at(kinds, word_class, 1)
     shapes = counts.where(F.col("word") != F.lit(END)).select("word").mapInArrow(_count_shapes, "shape int, n long").groupBy("shape").agg(F.sum("n").alias("n")).collect()
     by_shape = np.zeros(SHAPES)
     for r in shapes:  # at most SHAPES rows
         by_shape[r["shape"]] = r["n"]
-    for w in units:
+    for w in head:
         by_shape[shape(w)] -= 1
-    np.add.at(kinds, unit_class[WORDS : WORDS + SHAPES], by_shape)
-    head = {w: (units.get(w, WORDS + shape(w)), n) for w, n in top}
-    return Model(head, unit_class, joint, kinds, int(total["n"]), int(total["v"])), counts
+    np.add.at(kinds, shape_class, by_shape)
+    return Model(head, word_class, shape_class, joint, kinds, int(total["n"]), int(total["v"])), counts
+
+
+def refine(training: DataFrame, head: dict[bytes, int], word_class: np.ndarray, shape_class: np.ndarray, joint: np.ndarray, fixed: int, rounds: int = REFINED) -> tuple[np.ndarray, np.ndarray]:
+    """Exchanges all HEAD words but the first ``fixed``, whose classes stand, and counts class pairs anew over all texts.
+
+    Spark counts the classes around each word; tasks move each word of their block to the class that raises the
+    likelihood most, given the class pairs so far. The words of a round move together: each is a small part of its
+    class. What reaches the driver are the classes of at most HEAD words and class pairs, whatever the corpus.
+    """
+    spark, index = training.sparkSession, {w: i for i, w in enumerate(head)}
+    if len(head) <= fixed:
+        return word_class, joint
+    for _ in range(rounds):
+        shared = spark.sparkContext.broadcast((index, word_class, shape_class, len(joint) - 1))  # bounded by HEAD
+        tables = training.select("text").mapInArrow(_count_contexts(shared), "block int, salt int, data binary")
+        tables = tables.groupBy("block", "salt").applyInPandas(_sum_tables, "block int, data binary")
+        moved = tables.groupBy("block").applyInPandas(_move_words(joint, word_class, fixed), "block int, classes binary")
+        word_class = word_class.copy()
+        for r in materialize(moved, "moved").toLocalIterator():  # HEAD / BLOCK rows
+            new = np.frombuffer(r["classes"], np.int32)
+            word_class[r["block"] * BLOCK : r["block"] * BLOCK + len(new)] = new
+        shared = spark.sparkContext.broadcast((index, word_class, shape_class, len(joint) - 1))
+        pairs = training.select("text").mapInArrow(_count_joint(shared), "a int, b int, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+        joint = np.zeros_like(joint)
+        for r in pairs.collect():  # at most (CLASSES + 1) squared rows
+            joint[r["a"], r["b"]] = r["n"]
+    return word_class, joint
 
 
 def score_documents(documents: DataFrame, remainder: int = 2, folds: int = 7) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     Learns from all rows but those whose crc32(doc_id as text) mod ``folds`` is ``remainder``. A word's class is its
-    own among the exchanged ones, else that of its shape, so transitions need no join; the counts of words outside
+    own among the HEAD words, all of which are exchanged, else that of its shape, so transitions need no join; the counts of words outside
     the HEAD most frequent ones are joined by word, which spreads them evenly, since no frequent word is among them.
 
     Null and empty texts are the end token alone; a null id counts as the empty text in the fold; repeated rows keep

@@ -410,6 +410,51 @@ def test_class_ngrams(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) * 0.9
 
 
+def test_model_is_a_product_of_probabilities(spark):
+    """Scores are sums over tokens of class transitions times emissions, and both add up to one."""
+    r = random.Random(14)
+    docs = [(i, " ".join(r.choice(["a", "b", "c"]) if j % 2 else f"w{r.randrange(40)}" for j in range(30))) for i in range(120)]
+    model, counts = class_ngrams.fit(spark.createDataFrame(docs, DOCS))
+    count = {bytes(x.word): x.n for x in counts.collect()}
+    assert sum(count.values()) == 120 * 31 and np.allclose((10**model.transition).sum(axis=1), 1)
+    emitted = np.zeros(len(model.log_size))
+    for w, n in count.items():
+        if w != class_ngrams.END:
+            c = model.word_class[model.index[w]] if w in model.index else model.shape_class[class_ngrams.shape(w)]
+            emitted[c] += (n + 1) / 10 ** model.log_size[c]
+    used = emitted > 0
+    assert np.allclose(emitted[used] + 10.0 ** -model.log_size[used], 1)  # the rest is for an unseen word
+    for text in (docs[0][1], "a w1 unseen", ""):
+        words_ = [*class_ngrams.words_of(text), class_ngrams.END]
+        before, total = model.end, 0.0
+        for w in words_:
+            c = model.end if w == class_ngrams.END else model.word_class[model.index[w]] if w in model.index else model.shape_class[class_ngrams.shape(w)]
+            total += model.transition[before, c] + log10(count.get(w, 0) + 1) - model.log_size[c]
+            before = c
+        assert model.local(text)[3] == pytest.approx(total)
+
+
+def test_rare_words_join_their_kind(spark, monkeypatch):
+    """Words outside the first exchange are exchanged in Spark; the likelihood rises and joint counts stay those of the texts."""
+    monkeypatch.setattr(class_ngrams, "WORDS", 42)
+    monkeypatch.setattr(class_ngrams, "CLASSES", 6)
+    monkeypatch.setattr(class_ngrams, "BLOCK", 7)
+    r = random.Random(15)
+    nouns, verbs = [f"n{i}x{i % 7}" for i in range(30)], [f"v{i}x{i % 7}" for i in range(30)]
+    docs = spark.createDataFrame([(i, " ".join(r.choice(nouns) + " the" if j % 2 else r.choice(verbs) + " go" for j in range(40))) for i in range(150)], DOCS)
+    plain = lambda m: sum(m.local(x.text)[3] for x in docs.collect())
+    refine = class_ngrams.refine
+    monkeypatch.setattr(class_ngrams, "refine", lambda *a: refine(*a, rounds=0))
+    before = plain(class_ngrams.fit(docs)[0])
+    monkeypatch.setattr(class_ngrams, "refine", lambda *a: refine(*a, rounds=2))
+    model, counts = class_ngrams.fit(docs)
+    after = plain(model)
+    assert after > before + 100, (before, after)
+    of = lambda ws: Counter(int(model.word_class[model.index[w.encode()]]) for w in ws)
+    one, two = of(nouns), of(verbs)
+    assert sum(max(one[c], two[c]) for c in one | two) >= 56
+
+
 def test_tail_words_are_joined(spark, monkeypatch):
     docs = [(i, " ".join(words(i, 50, 60))) for i in range(40)]
     df = spark.createDataFrame(docs, DOCS)
