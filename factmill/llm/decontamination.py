@@ -36,7 +36,8 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 def _exploded(docs: DataFrame, lengths: list[int]) -> DataFrame:
     """A row for each document word and shingle length: the word's place i, the length and the shingle's hash h."""
     n = len(lengths)
-    spread = docs.select("doc_id", "th", "w", F.explode(F.sequence(F.lit(0), F.size("w") * n - 1)).alias("j")) if n else docs.limit(0).withColumn("j", F.lit(0))
+    places = F.when(F.size("w") > 0, F.sequence(F.lit(0), F.size("w") * n - 1))  # a filter on the words would split the text twice
+    spread = docs.select("doc_id", "th", "w", F.explode(places).alias("j")) if n else docs.limit(0).withColumn("j", F.lit(0))
     length = F.get(F.array(*map(F.lit, lengths)), F.pmod("j", F.lit(n))) if n > 1 else F.lit(lengths[0] if lengths else 1)
     spread = spread.select("doc_id", "th", "w", F.floor(F.col("j") / max(1, n)).cast("int").alias("i"), length.alias("len"))
     return spread.withColumn("h", _shingle(F.col("w"), F.col("i"), F.col("len")))
@@ -63,8 +64,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     grams = grams.withColumn("h", _shingle(F.col("words"), F.col("o"), F.col("len")))
 
     docs = documents.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), words_of(F.col("text")).alias("w"))
-    filled = docs.where(F.size("w") > 0)
-    spread = _exploded(filled, lengths)
+    spread = _exploded(docs, lengths)
     wanted = bounded_broadcast(materialize(grams.select("h").distinct(), "shingles"))
     counts = spread.select("h").join(wanted, "h").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     rare = grams.join(counts, "h", "left").groupBy("wid").agg(
@@ -78,7 +78,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     else:
         slim = spread.select("doc_id", "th", "i", "h").join(prefixes, F.col("h") == F.col("ph")).where("i >= o").select("doc_id", "th", start, "k", "words", "wid").distinct()
         slim = materialize(slim, "candidates")
-        whole = filled.select(F.col("doc_id").alias("w_doc"), F.col("th").alias("w_th"), "w")
+        whole = docs.select(F.col("doc_id").alias("w_doc"), F.col("th").alias("w_th"), "w")
         same_row = (F.col("th") == F.col("w_th")) & F.col("doc_id").eqNullSafe(F.col("w_doc"))
         whole = whole.join(slim.select("doc_id", "th").distinct(), same_row, "left_semi").dropDuplicates(["w_doc", "w_th"])
         found = slim.join(whole, same_row)
