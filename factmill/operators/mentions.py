@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,16 +65,19 @@ def mentions(items: DataFrame, aliases: DataFrame, item_columns: tuple[str, ...]
     """
     text = plain_dashes(F.coalesce("text", F.lit("")))
     bare = F.regexp_replace("pattern", r"^\(\?iu\)", "")
-    symbols = aliases.groupBy("symbol").agg(F.array_join(F.array_sort(F.collect_set(F.concat(F.lit("(?:"), bare, F.lit(")")))), "|").alias("p"), F.array_sort(F.collect_set(_literal(F.col("alias")))).alias("held"))
+    literal = _literal(F.col("alias"))
+    symbols = aliases.groupBy("symbol").agg(
+        F.array_join(F.array_sort(F.collect_set(F.concat(F.lit("(?:"), bare, F.lit(")")))), "|").alias("p"), F.array_sort(F.collect_set(literal)).alias("held"),
+        F.array_sort(F.collect_set(F.when((F.col("kind") == "phrase") & (literal != ""), literal))).alias("whole"),
+    )
     found = symbols.limit(LITERAL_SYMBOLS + 1).collect()
     if len(found) > LITERAL_SYMBOLS:
         return _scanned(items, aliases, item_columns, text)
     hits = []
     for r in sorted(found):
-        held = F.lit(False)
-        for literal in r["held"]:
-            held = held | F.contains(F.col("_low"), F.lit(literal))
-        hits.append(F.when(held, F.when(F.col("_text").rlike(f"(?iu){r['p']}"), r["symbol"])))
+        holds = lambda literals: reduce(or_, [F.contains(F.col("_low"), F.lit(x)) for x in literals], F.lit(False))
+        # a plain phrase matches wherever its literal stands, so only other aliases have to be tried
+        hits.append(F.when(holds(r["whole"]), r["symbol"]).when(holds(r["held"]), F.when(F.col("_text").rlike(f"(?iu){r['p']}"), r["symbol"])))
     each = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
     return items.withColumn("_text", text).withColumn("_low", _folded(F.col("_text"))).select(*item_columns, F.explode(each).alias("symbol"))
 

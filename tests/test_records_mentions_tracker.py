@@ -58,8 +58,8 @@ def test_mentions(spark, monkeypatch, limit, scan):
 def test_mentions_without_case(spark, monkeypatch, limit):
     """The search for literals lets through whatever the patterns match."""
     monkeypatch.setattr(mt, "LITERAL_SYMBOLS", limit)
-    aliases = [("KIS", "kis"), ("UBER", "Über Kis"), ("K", "k")]
-    texts = ["\u212ai\u017f", "K\u0130S", "k\u0131s", "ÜBER KIS", "über kis!", "$\u212a", "kisx", "none"]
+    aliases = [("KIS", "kis"), ("UBER", "Über Kis"), ("K", "k"), ("ASK", "ask kiss")]
+    texts = ["\u212ai\u017f", "K\u0130S", "k\u0131s", "ÜBER KIS", "über kis!", "$\u212a", "kisx", "none", "xA\u017f\u212a k\u0131\u017fSy", "a\u017fk kis"]
     loaded = mt.load_aliases(spark.createDataFrame(aliases, "symbol string, aliases string"))
     items = spark.createDataFrame([(t, t) for t in texts], "item_id string, text string")
     wanted = {(r.item_id, r.symbol) for r in items.crossJoin(loaded).where("text rlike pattern").collect()}
