@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from factmill.llm.common import table
+from factmill.llm.common import free_name, table
 
 #: Buckets by which the rows of one shard are numbered in parallel.
 SLOT_BUCKETS = 64
@@ -40,18 +40,19 @@ def number_slots(rows: DataFrame, group: str, order: Sequence[Column], slot: str
     """Adds ``slot``: 0, 1, 2, ... without gaps in each ``group``, by hash bucket, then ``order``.
 
     A bucket is one task's work; the buckets' sizes are counted first (one row per group and bucket) and summed into
-    starts, so no group is ordered by a single task. Ties get distinct slots in any order.
+    starts, so no group is ordered by a single task. Ties get distinct slots in any order. Rows of the null group are
+    numbered too; other columns are kept, whatever their names.
     """
-    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(97), *order), F.lit(buckets)).cast("int"))
-    sizes = dealt.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    starts = sizes.select(
-        F.col(group).alias("_g"), F.col("_bucket").alias("_b"),
-        (F.sum("_n").over(W.partitionBy(group).orderBy("_bucket")) - F.col("_n")).alias("_start"),
-    )
-    ranked = dealt.withColumn("_r", F.row_number().over(W.partitionBy(group, "_bucket").orderBy(*order)) - 1)
+    bucket, rank = free_name(rows, "bucket"), free_name(rows, "rank")
+    dealt = rows.withColumn(bucket, F.pmod(F.xxhash64(F.lit(97), *order), F.lit(buckets)).cast("int"))
+    sizes = dealt.groupBy(F.col(group).alias("g"), F.col(bucket).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(W.partitionBy("g").orderBy("b")) - F.col("n")
+    of, at, start = (free_name(dealt, n) for n in ("of", "at", "start"))
+    starts = sizes.select(F.col("g").alias(of), F.col("b").alias(at), before.alias(start))
+    ranked = dealt.withColumn(rank, F.row_number().over(W.partitionBy(group, bucket).orderBy(*order)) - 1)
     # one row per group and bucket: bounded by the number of shards times `buckets`
-    joined = ranked.join(F.broadcast(starts), (ranked[group] == starts["_g"]) & (ranked["_bucket"] == starts["_b"]))
-    return joined.withColumn(slot, (F.col("_start") + F.col("_r")).cast("long")).drop("_bucket", "_g", "_b", "_start", "_r")
+    joined = ranked.join(F.broadcast(starts), F.col(group).eqNullSafe(F.col(of)) & (F.col(bucket) == F.col(at)))
+    return joined.withColumn(slot, (F.col(start) + F.col(rank)).cast("long")).drop(bucket, rank, of, at, start)
 
 
 def shard_documents(documents: DataFrame, shards: int = 40, weights: Sequence[float] | None = None) -> DataFrame:

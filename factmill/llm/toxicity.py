@@ -136,9 +136,9 @@ class Lexicon:
         text = text.lower()
         out, done = [], 0
         while m := self.trigger.search(text, done):
+            start = max(done, *(text.rfind(c, done, m.start()) + 1 for c in ".!?;:\n"))  # not before the last clause's end
             stop = CLAUSE_END.search(text, m.end())
             done = stop.end() if stop else len(text)
-            start = max((text.rfind(c, 0, m.start()) for c in ".!?;:\n"), default=-1) + 1
             symbols, best = [], -math.inf
             for word in WORD.findall(text, start, done):
                 w = self.weight(word)
