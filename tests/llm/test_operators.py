@@ -726,16 +726,6 @@ def test_weights(spark):
         sharding.rendezvous_shards(spark.range(1), F.col("id"), [0.0])
 
 
-def test_slots_of_null_groups_and_clashing_names(spark):
-    clash = {"bucket": 1, "Rank": 2, "_of": 3, "start": 4, "g": 5, "n": 6}
-    rows = spark.range(300).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("part"), *[F.lit(v).alias(k) for k, v in clash.items()])
-    got = sharding.number_slots(rows, "part", [F.col("id") % 7]).collect()
-    for part in (None, 1, 2):
-        assert sorted(r.slot for r in got if r.part == part) == list(range(100))
-    assert len(got) == 300 and all(r[k] == v for r in got for k, v in clash.items())
-    assert set(got[0].asDict()) == {"id", "part", "slot", *clash}
-
-
 def test_clauses_of_a_long_text_without_some_ends():
     """Each clause begins where the last one ended, however far the text goes back without one of the signs."""
     import time
