@@ -17,8 +17,11 @@ from factmill.llm.tokens import encoder, vocabulary_path
 
 LENGTH = 2048
 END = 1
-#: Lengths are rounded up to multiples of this many tokens in the histogram; at most LENGTH / GRAIN sizes.
+#: The linear program's grid: lengths are rounded up to multiples of this many tokens, at most LENGTH / GRAIN sizes.
 GRAIN = 16
+#: Pieces of at most LENGTH / GRAIN tokens go in bundles of one length; sequences of such bundles alone hold as many
+#: pieces as would fit without a grid, but for this share.
+SLACK = 0.02
 
 
 def _pieces(path: str, length: int, end: int):
@@ -46,33 +49,68 @@ def pieces(documents: DataFrame, path: str, length: int = LENGTH, end: int = END
     return map_texts(documents.select("doc_id", "text"), _pieces(path, length, end), fields)
 
 
+def _bundle(size: int, length: int, grain: int) -> int:
+    """How many pieces of ``size`` go together: the fewest that keep to SLACK. Long pieces go alone."""
+    if size > length // grain:
+        return 1
+    most = length // size
+    return next(k for k in range(1, most + 1) if length // grain // -(-k * size // grain) * k >= (1 - SLACK) * most)
+
+
+def _items(histogram: dict[int, int], length: int, grain: int) -> tuple[dict[int, int], dict[int, tuple]]:
+    """Items to be packed: how many there are of each grid size, and how the pieces of a length become items.
+
+    For each length: its bundle, the pieces in bundles, (grid size, first item) of the bundles and of what is left over.
+    """
+    demand: dict[int, int] = {}
+    made = {}
+    for size, n in histogram.items():
+        k = _bundle(size, length, grain)
+        kinds = []
+        for pieces_of_item, items in ((k, n // k), (1, n % k)):
+            cells = -(-pieces_of_item * size // grain)
+            kinds.append((cells, demand.get(cells, 0)))
+            demand[cells] = demand.get(cells, 0) + items
+        made[size] = (k, n // k * k, *kinds)
+    return {cells: n for cells, n in demand.items() if n}, made
+
+
 def _seats(plan: list[tuple[list[int], int]], classes: list[int]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each class: first rank, first sequence, items of the class in a sequence, and its first seat there."""
+    """For each grid size: first item, first sequence, items of the size in a sequence, and its first seat there."""
     seats: dict[int, list[tuple[int, int, int, int]]] = {c: [] for c in classes}
-    ranks, sequence = dict.fromkeys(classes, 0), 0
+    items, sequence = dict.fromkeys(classes, 0), 0
     for pattern, times in plan:
         seat = 0
         for c, n in zip(classes, pattern, strict=True):
             if n:
-                seats[c].append((ranks[c], sequence, n, seat))
-                ranks[c] += n * times
+                seats[c].append((items[c], sequence, n, seat))
+                items[c] += n * times
                 seat += n
         sequence += times
     return {c: tuple(np.asarray(v, np.int64) for v in zip(*rows, strict=True)) for c, rows in seats.items() if rows}
 
 
-def _seat_of(seats: dict):
-    @F.pandas_udf("struct<sequence_id:bigint,seat:bigint>")
-    def seat_of(classes: pd.Series, ranks: pd.Series) -> pd.DataFrame:
-        kind, rank = classes.to_numpy(), ranks.to_numpy()
-        sequence, seat = np.zeros(len(kind), np.int64), np.zeros(len(kind), np.int64)
-        for c in np.unique(kind):
-            at = np.flatnonzero(kind == c)
-            first, base, n, seat0 = seats[int(c)]
-            k = np.searchsorted(first, rank[at], side="right") - 1
-            copy, place = np.divmod(rank[at] - first[k], n[k])
-            sequence[at], seat[at] = base[k] + copy, seat0[k] + place
-        return pd.DataFrame({"sequence_id": sequence, "seat": seat})
+def _seat_of(seats: dict, made: dict):
+    def seated(cells: int, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first, base, n, seat0 = seats[cells]
+        k = np.searchsorted(first, items, side="right") - 1
+        copy, place = np.divmod(items - first[k], n[k])
+        return base[k] + copy, seat0[k] + place
+
+    @F.pandas_udf("struct<sequence_id:bigint,seat:bigint,place:bigint>")
+    def seat_of(sizes: pd.Series, ranks: pd.Series) -> pd.DataFrame:
+        kind, rank = sizes.to_numpy(), ranks.to_numpy()
+        sequence, seat, place = (np.zeros(len(kind), np.int64) for _ in range(3))
+        for size in np.unique(kind):
+            k, together, (cells, item), (left_cells, left_item) = made[int(size)]
+            for at, c, items, sub in (
+                ((kind == size) & (rank < together), cells, item + rank // k, rank % k),
+                ((kind == size) & (rank >= together), left_cells, left_item + rank - together, 0 * rank),
+            ):
+                if at.any():
+                    sequence[at], seat[at] = seated(c, items[at])
+                    place[at] = sub[at]
+        return pd.DataFrame({"sequence_id": sequence, "seat": seat, "place": place})
 
     return seat_of
 
@@ -81,23 +119,25 @@ def pack(documents: DataFrame, path: str, length: int = LENGTH, end: int = END,
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset for every piece of every document.
 
     Only documents longer than a sequence are cut: full pieces are sequences of their own, the rest of a document is
-    packed. The histogram of lengths (at most length / grain sizes) is all that reaches the driver, where a linear
-    program makes patterns. Documents are ranked in their size; a rank fixes the pattern, its copy and the seat.
+    packed. The histogram of lengths (at most 2 * length / grain) is all that reaches the driver, where short pieces of
+    one length are bundled and a linear program makes patterns. Documents are ranked in their length; a rank fixes the
+    bundle, the pattern, its copy and the seat.
 
     Null and empty texts are the end id alone; null ids, ties and repeated rows keep a piece each; other columns are
     ignored; an empty table gives an empty result.
     """
     if length % grain:
         raise ValueError("grain must divide length")
-    cut = pieces(documents, path, length, end).withColumn("class", F.ceil(F.col("length") / F.lit(grain)).cast("int"))
-    cut = materialize(cut, "pieces")
-    histogram = {r["class"]: r["n"] for r in cut.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most length / grain rows
-    classes = sorted(histogram, reverse=True)
-    plan = solve_patterns(classes, [histogram[c] for c in classes], length // grain)
-    ranked = number_slots(cut, "class", [F.col("doc_id"), F.col("start"), F.col("ids_crc32")], "rank", buckets=256)
-    seat_of = _seat_of(_seats(plan, classes))
-    seated = ranked.withColumn("at", seat_of("class", "rank")).select("*", "at.sequence_id", "at.seat")
-    before = F.sum("length").over(W.partitionBy("sequence_id").orderBy("seat")) - F.col("length")
+    size = F.when(F.col("length") <= length // grain, F.col("length")).otherwise(F.ceil(F.col("length") / F.lit(grain)) * grain)
+    cut = materialize(pieces(documents, path, length, end).withColumn("size", size.cast("int")), "pieces")
+    histogram = {r["size"]: r["n"] for r in cut.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each size
+    demand, made = _items(histogram, length, grain)
+    classes = sorted(demand, reverse=True)
+    plan = solve_patterns(classes, [demand[c] for c in classes], length // grain)
+    ranked = number_slots(cut, "size", [F.col("doc_id"), F.col("start"), F.col("ids_crc32")], "rank", buckets=256)
+    seat_of = _seat_of(_seats(plan, classes), made)
+    seated = ranked.withColumn("at", seat_of("size", "rank")).select("*", "at.sequence_id", "at.seat", "at.place")
+    before = F.sum("length").over(W.partitionBy("sequence_id").orderBy("seat", "place")) - F.col("length")
     return seated.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", before.alias("offset"))
 
 

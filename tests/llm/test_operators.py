@@ -597,6 +597,25 @@ def test_packing(spark):
     assert len(by) <= sum(r.length for r in rows) / 2048 * 1.1 + 1
 
 
+def test_bundles_fill_the_grid():
+    for size in range(1, 129):
+        k = packing._bundle(size, 2048, 16)
+        assert k * size <= 2048 and 128 // -(-k * size // 16) * k >= 0.98 * (2048 // size)
+    demand, made = packing._items({3: 100, 16: 5, 144: 7}, 2048, 16)
+    k, together, bundles, left = made[3]
+    assert together == 100 // k * k and bundles[0] == -(-3 * k // 16) and left[0] == 1
+    assert demand[1] == 5 + 100 % k and demand[9] == 7 and demand[bundles[0]] == 100 // k
+
+
+@pytest.mark.parametrize("lengths", [[0], [16], [1, 2], [64], [0, 0, 0, 66], [5, 500]])
+def test_short_texts_waste_little(spark, lengths):
+    docs = [(i, "the " * lengths[i % len(lengths)]) for i in range(6000 if max(lengths) < 60 else 900)]
+    rows = packing.pack(spark.createDataFrame(docs, DOCS), vocabulary_path()).select("length", "sequence_id", "offset").toPandas()
+    ends = (rows.offset + rows.length).groupby(rows.sequence_id).max()
+    assert ends.max() <= 2048 and len(rows) == len(docs) and (rows.groupby("sequence_id").length.sum() == ends).all()
+    assert len(ends) <= rows.length.sum() / 2048 * 1.05 + 2
+
+
 def test_cutting_stock_is_near_the_bound():
     r = random.Random(8)
     sizes = list(range(1, 65))
