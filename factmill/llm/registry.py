@@ -11,6 +11,7 @@ from factmill.llm.sharding import op10_rendezvous_sharding
 from factmill.llm.simhash import op8_simhash_neardup
 from factmill.llm.token_files import op9_separator_token_counts
 from factmill.llm.toxicity import op2_toxicity_grammar
+from factmill.llm.vector_codes import op13_limb_vector_codes
 from factmill.llm.vector_graph import op4_graph_neardup
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
         op8_simhash_neardup,
         op9_separator_token_counts,
         op10_rendezvous_sharding,
+        op13_limb_vector_codes,
     )
 }
 SQL = {"op3_benchmark_decontamination": OP3_SQL}
