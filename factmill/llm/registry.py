@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from factmill.llm.alignment import op11_tokenizer_alignment
 from factmill.llm.class_ngrams import op5_class_ngrams
 from factmill.llm.decontamination import OP3_SQL, op3_benchmark_decontamination
 from factmill.llm.html_extraction import op1_html_host_consensus
@@ -27,6 +28,7 @@ QUERIES = {
         op8_simhash_neardup,
         op9_separator_token_counts,
         op10_rendezvous_sharding,
+        op11_tokenizer_alignment,
         op13_limb_vector_codes,
     )
 }
