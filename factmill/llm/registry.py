@@ -10,6 +10,7 @@ from factmill.llm.packing import op7_cutting_stock_packing
 from factmill.llm.pii import op6_pii_surrogates
 from factmill.llm.sharding import op10_rendezvous_sharding
 from factmill.llm.simhash import op8_simhash_neardup
+from factmill.llm.spot_signatures import OP12_SQL, op12_spot_fingerprints
 from factmill.llm.token_files import op9_separator_token_counts
 from factmill.llm.toxicity import op2_toxicity_grammar
 from factmill.llm.vector_codes import op13_limb_vector_codes
@@ -29,7 +30,8 @@ QUERIES = {
         op9_separator_token_counts,
         op10_rendezvous_sharding,
         op11_tokenizer_alignment,
+        op12_spot_fingerprints,
         op13_limb_vector_codes,
     )
 }
-SQL = {"op3_benchmark_decontamination": OP3_SQL}
+SQL = {"op3_benchmark_decontamination": OP3_SQL, "op12_spot_fingerprints": OP12_SQL}
