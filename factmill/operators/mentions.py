@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,12 +11,11 @@ from pyspark.sql import functions as F
 from factmill.functions.text import direction_of, event_type_of, plain_dashes, strict_date
 from factmill.operators.records import normalize_records
 
-#: Symbols up to which patterns are part of the plan.
-LITERAL_SYMBOLS = 256
 #: Aliases that one scan of the texts looks for; a larger table is scanned for in parts.
 SCAN_ALIASES = 100_000
-# Letters that expressions without case take for an ASCII letter and lower() does not, and these letters.
-FOLDED, PLAIN = "\u017f\u212a\u0130\u0131", "skii"
+# Letters that expressions without case take for an ASCII letter and lower() does not, and these ASCII letters.
+ALNUM = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
+FOLDING = str.maketrans("\u017f\u212a\u0130\u0131", "skii")
 
 
 def load_aliases(raw: DataFrame) -> DataFrame:
@@ -45,79 +43,91 @@ def alias_pattern(alias: Column) -> Column:
     )
 
 
-def _folded(c: Column) -> Column:
-    """Lower case in which every ASCII letter stands wherever an expression without case would find it."""
-    return F.lower(F.translate(c, FOLDED, PLAIN))
+def _held_by(alias: str, kind: str) -> str:
+    """A run of ASCII characters that a folded text holds wherever the alias matches; '' if the alias has none."""
+    low = ("$" if kind == "cashtag" else "") + alias.translate(FOLDING).lower()
+    return max(re.findall(r"[\x00-\x7f]+", low), key=len, default="")
 
 
-def _literal(alias: Column) -> Column:
-    """What a text must hold, folded, for the alias to match; '' (always held) where letters beyond ASCII are in it."""
-    plain = plain_dashes(alias)
-    return F.when(plain.rlike(r"[^\x00-\x7f]"), "").when(alias_kind(plain) == "cashtag", F.concat(F.lit("$"), F.lower(plain))).otherwise(F.lower(plain))
+def _stands(folded: str, start: int, end: int, kind: str) -> bool:
+    """Whether an alias of this kind that a folded text holds from ``start`` to ``end`` stands as it must."""
+    if kind == "phrase":
+        return True
+    if kind == "ticker" and start and folded[start - 1] == "$":
+        start -= 1
+    before, after = folded[start - 1 : start], folded[end : end + 1]
+    return after not in ALNUM and before not in ALNUM and not (kind == "ticker" and before == "$")
 
 
-def mentions(items: DataFrame, aliases: DataFrame, item_columns: tuple[str, ...] = ("item_id",)) -> DataFrame:
-    """(item columns, symbol): each symbol once for every item row whose text matches one of its aliases.
+def _matcher(aliases: list[tuple[str, str, str]]):
+    """Finds the symbols of texts. ``aliases``: (symbol, alias with plain dashes, kind).
 
-    Up to LITERAL_SYMBOLS symbols become one alternation each, tried only on texts that hold one of the symbol's
-    literals, and an item's symbols are found within its row: no join and no shuffle of texts. More symbols are found by
-    one scan of each text for all literals at once; what it finds is joined to the aliases and tried.
+    One automaton finds, in one pass over a text, where which runs are held. An alias of ASCII characters is such a run
+    (a single letter with its $), and the characters beside it decide; others are tried by expression on texts that hold
+    their run, or on every text where they have none.
     """
-    text = plain_dashes(F.coalesce("text", F.lit("")))
-    bare = F.regexp_replace("pattern", r"^\(\?iu\)", "")
-    literal = _literal(F.col("alias"))
-    symbols = aliases.groupBy("symbol").agg(
-        F.array_join(F.array_sort(F.collect_set(F.concat(F.lit("(?:"), bare, F.lit(")")))), "|").alias("p"), F.array_sort(F.collect_set(literal)).alias("held"),
-        F.array_sort(F.collect_set(F.when((F.col("kind") == "phrase") & (literal != ""), literal))).alias("whole"),
-    )
-    found = symbols.limit(LITERAL_SYMBOLS + 1).collect()
-    if len(found) > LITERAL_SYMBOLS:
-        return _scanned(items, aliases, item_columns, text)
-    hits = []
-    for r in sorted(found):
-        holds = lambda literals: reduce(or_, [F.contains(F.col("_low"), F.lit(x)) for x in literals], F.lit(False))
-        # a plain phrase matches wherever its literal stands, so only other aliases have to be tried
-        hits.append(F.when(holds(r["whole"]), r["symbol"]).when(holds(r["held"]), F.when(F.col("_text").rlike(f"(?iu){r['p']}"), r["symbol"])))
-    each = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
-    return items.withColumn("_text", text).withColumn("_low", _folded(F.col("_text"))).select(*item_columns, F.explode(each).alias("symbol"))
-
-
-def _literals_in(literals: list[str], first: int):
-    """For each folded text the numbers of the literals that stand in it, found in one pass by an automaton."""
-    import ahocorasick
+    by_run: dict[str, tuple[list, list]] = {}
+    for row in aliases:
+        by_run.setdefault(_held_by(*row[1:]), ([], []))[not row[1].isascii()].append(row)
+    always = by_run.pop("", ([], []))[1]
+    ready: list = []
+
+    def tried(row: tuple[str, str, str], patterns: dict, text: str) -> bool:
+        _, alias, kind = row
+        if row not in patterns:
+            before = {"cashtag": r"(?<![A-Za-z0-9])\$", "ticker": r"(?<![A-Za-z0-9$])\$?"}.get(kind, "")
+            patterns[row] = re.compile(before + re.escape(alias) + ("(?![A-Za-z0-9])" if before else ""), re.IGNORECASE)
+        return patterns[row].search(text) is not None
+
+    @F.pandas_udf("array<string>")
+    def find(texts: pd.Series) -> pd.Series:
+        if not ready:  # once for each worker
+            import ahocorasick
+
+            automaton = ahocorasick.Automaton()
+            for run, rows in by_run.items():
+                automaton.add_word(run, (len(run), *rows))
+            automaton.make_automaton()
+            ready.extend([automaton, {}])
+        automaton, patterns = ready
+        out = []
+        for text in texts:
+            folded, found, asked = text.translate(FOLDING).lower(), set(), {id(always): always}  # as long as the text
+            for last, (length, plain, others) in automaton.iter(folded) if by_run else ():
+                for symbol, _, kind in plain:
+                    if symbol not in found and _stands(folded, last + 1 - length, last + 1, kind):
+                        found.add(symbol)
+                if others:
+                    asked[id(others)] = others
+            found.update(row[0] for rows in asked.values() for row in rows if tried(row, patterns, text))
+            out.append(sorted(found))
+        return pd.Series(out, dtype=object)
+
+    return find
 
-    automaton = ahocorasick.Automaton()
-    for i, word in enumerate(literals):
-        if word:
-            automaton.add_word(word, first + i)
-    always = [first + i for i, word in enumerate(literals) if not word]
-    automaton.make_automaton()
 
-    @F.pandas_udf("array<int>")
-    def scan(texts: pd.Series) -> pd.Series:
-        return pd.Series([always + sorted({i for _, i in automaton.iter(t)}) for t in texts] if len(automaton) else [always] * len(texts), dtype=object)
-
-    return scan
-
-
-def _scanned(items: DataFrame, aliases: DataFrame, item_columns: tuple[str, ...], text: Column) -> DataFrame:
-    """``mentions`` for any number of symbols: as many scans as the alias table has parts of SCAN_ALIASES literals.
+def mentions(items: DataFrame, aliases: DataFrame, item_columns: tuple[str, ...] = ("item_id",)) -> DataFrame:
+    """(item columns, symbol): each symbol once for every item row whose text matches one of its aliases.
 
-    A literal stands for all its symbols and patterns. Only texts with candidates meet the aliases, each with its own
-    few; a row's symbols are made distinct within the row, so no text is shuffled.
+    A text's symbols are found within its row by one scan for all aliases, so rows are neither joined nor shuffled, equal
+    rows each keep their mentions, and the result is the same for one alias and for any number. Beyond SCAN_ALIASES
+    aliases there is one scan for each part of the table, in the same pass over the rows. The alias table, which every
+    worker holds, is read to the driver part by part.
     """
-    rows = aliases.select("symbol", "pattern", _literal(F.col("alias")).alias("literal")).groupBy("literal").agg(F.collect_set(F.struct("symbol", "pattern")).alias("tries"))
-    words = sorted(r["literal"] for r in rows.select("literal").toLocalIterator())
-    folded, out = items.withColumn("_text", text), None
-    for first in range(0, len(words), SCAN_ALIASES):
-        part = words[first : first + SCAN_ALIASES]
-        numbered = items.sparkSession.createDataFrame([(w, first + i) for i, w in enumerate(part)], "w string, number int")
-        tries = F.broadcast(rows.join(F.broadcast(numbered), F.col("literal") == F.col("w")).select("number", "tries"))  # at most SCAN_ALIASES literals
-        near = folded.withColumn("_row", F.struct(*item_columns)).select("_row", "_text", F.explode(_literals_in(part, first)(_folded(F.col("_text")))).alias("_number"))
-        tried = near.join(tries, F.col("_number") == F.col("number")).select("_row", "_text", F.inline("tries")).where(F.expr("_text rlike pattern"))
-        found = tried.select("_row.*", "symbol")
-        out = found if out is None else out.unionByName(found)
-    return out.distinct() if out is not None else items.select(*item_columns, F.lit("").alias("symbol")).limit(0)
+    text = plain_dashes(F.coalesce("text", F.lit("")))
+    rows = aliases.select("symbol", plain_dashes(F.col("alias")).alias("alias"), "kind").distinct().orderBy("alias", "symbol")
+    scans, part = [], []
+    for r in rows.toLocalIterator():
+        part.append(tuple(r))
+        if len(part) == SCAN_ALIASES:
+            scans.append(_matcher(part)(text))
+            part = []
+    if part:
+        scans.append(_matcher(part)(text))
+    if not scans:
+        return items.select(*item_columns, F.lit("").alias("symbol")).limit(0)
+    each = scans[0] if len(scans) == 1 else F.array_sort(F.array_distinct(F.flatten(F.array(*scans))))
+    return items.select(*item_columns, F.explode(each).alias("symbol"))
 
 
 def mention_records(items: DataFrame, aliases: DataFrame) -> DataFrame:

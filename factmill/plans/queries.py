@@ -91,6 +91,14 @@ def mention_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mt.mentions(ad.source_items(spark, sf_dir), mt.load_aliases(ad.aliases(spark)))
 
 
+def mention_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A thousand aliases: the documents' most frequent words of 4 to 9 letters."""
+    items = ad.source_items(spark, sf_dir)
+    words = items.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))).alias("word")).where("word rlike '^[a-z]{4,9}$'")
+    most = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(1000)
+    return mt.mentions(items, mt.load_aliases(most.select(F.col("word").alias("symbol"), F.col("word").alias("aliases"))))
+
+
 def mention_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mt.mention_events(ad.source_items(spark, sf_dir), mt.load_aliases(ad.aliases(spark))).select("event_id", "event_date", "symbol", "event_type", "direction", "confidence", "source_url")
 
@@ -320,7 +328,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         event_study, event_study_sparse_benchmark, event_coverage_gaps, price_last_wins, return_summary_by_type, normalize_records, rejected_records, url_predicates, strip_html, stable_item_id,
-        published_instant, alias_kinds, mention_join, mention_events, tracker, tracker_rank, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_statuses,
+        published_instant, alias_kinds, mention_join, mention_many, mention_events, tracker, tracker_rank, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_statuses,
         feed_digest, accepted_rows_digest, quality_summary, outcome_faults, publication_decision, group_decisions, status_audit, status_wire_audit, weekly_period, weekly_counts, weekly_snapshot, weekly_gate, contract_audit, lock_audit, lock_reconcile, weekly_manifest, manifest_audit, manifest_verify,
         live_manifest, dataset_inventory, stream_weekly_counts, stream_mentions,
     )

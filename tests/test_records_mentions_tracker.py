@@ -1,4 +1,5 @@
 import datetime
+import random
 
 import pytest
 
@@ -44,20 +45,39 @@ def test_legacy_columns(spark):
 ALIASES = [("F", "F"), ("EVT1", "EVT1| |EVT1"), ("F150", "F-150"), ("BIG", "Example Motors Group"), ("TWO", "EVT1")]
 
 
-@pytest.mark.parametrize(("limit", "scan"), [(256, 100_000), (0, 100_000), (0, 2)])
-def test_mentions(spark, monkeypatch, limit, scan):
-    monkeypatch.setattr(mt, "LITERAL_SYMBOLS", limit)
+@pytest.mark.parametrize("scan", [100_000, 2, 1])
+def test_mentions(spark, monkeypatch, scan):
     monkeypatch.setattr(mt, "SCAN_ALIASES", scan)
     texts = {"1": "see $F now", "2": "C.F.R. and aF", "3": "$EVT1!", "4": "PREVT1 $$EVT1", "5": "an F‑150 truck", "6": "preexample motors groups", "7": None}
     items = spark.createDataFrame(list(texts.items()), "item_id string, text string")
     got = {tuple(r) for r in mt.mentions(items, mt.load_aliases(spark.createDataFrame(ALIASES, "symbol string, aliases string"))).collect()}
     assert got == {("1", "F"), ("3", "EVT1"), ("3", "TWO"), ("5", "F150"), ("6", "BIG")}
+    assert mt.mentions(items, mt.load_aliases(spark.createDataFrame([], "symbol string, aliases string"))).collect() == []
 
 
-@pytest.mark.parametrize("limit", [256, 0])
-def test_mentions_without_case(spark, monkeypatch, limit):
+@pytest.mark.parametrize("extra", [0, 2_000])
+def test_equal_rows_keep_their_mentions(spark, extra):
+    """The rows are the same beside few aliases and beside many, and no row meets another."""
+    items = spark.createDataFrame([("1", "$F and F-150"), ("1", "$F and F-150"), ("2", "nothing")], "item_id string, text string")
+    table = spark.createDataFrame([*ALIASES, *((f"X{i}", f"Other Name {i}|QX{i}é") for i in range(extra))], "symbol string, aliases string")
+    found = mt.mentions(items, mt.load_aliases(table))
+    assert sorted(map(tuple, found.collect())) == [("1", "F"), ("1", "F"), ("1", "F150"), ("1", "F150")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_many_aliases_against_every_pattern(spark):
+    r = random.Random(8)
+    words = ["".join(r.choices("abkis.é-", k=r.randrange(1, 6))) for _ in range(400)]
+    loaded = mt.load_aliases(spark.createDataFrame([(f"s{i}", f"{w}|{w} {words[i - 1]}") for i, w in enumerate(words)], "symbol string, aliases string"))
+    texts = ["".join(r.choice([*words, " ", " $", "$", "K", "\u0130", "x"]) for _ in range(8)) for _ in range(60)]
+    items = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "item_id string, text string")
+    wanted = {(x.item_id, x.symbol) for x in items.crossJoin(loaded).where("text rlike pattern").collect()}
+    assert {tuple(x) for x in mt.mentions(items, loaded).collect()} == wanted and len(wanted) > 100
+
+
+def test_mentions_without_case(spark):
     """The search for literals lets through whatever the patterns match."""
-    monkeypatch.setattr(mt, "LITERAL_SYMBOLS", limit)
     aliases = [("KIS", "kis"), ("UBER", "Über Kis"), ("K", "k"), ("ASK", "ask kiss")]
     texts = ["\u212ai\u017f", "K\u0130S", "k\u0131s", "ÜBER KIS", "über kis!", "$\u212a", "kisx", "none", "xA\u017f\u212a k\u0131\u017fSy", "a\u017fk kis"]
     loaded = mt.load_aliases(spark.createDataFrame(aliases, "symbol string, aliases string"))
