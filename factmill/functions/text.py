@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import html
 from collections.abc import Mapping, Sequence
+from datetime import UTC, datetime
+from email.utils import parsedate_to_datetime
 
 import pandas as pd
 from pyspark.sql import Column
@@ -13,6 +15,8 @@ from factmill.functions import vocab
 
 #: White space as text means it in feeds: Java's own class lacks the separators and the information separators.
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
+#: The same at either end of a text.
+EDGES = rf"^{SPACE}|{SPACE}$"
 DASHES = "‐‑‒–—−"
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 # Hours from UTC of the zone names that mail dates use.
@@ -93,10 +97,38 @@ def strict_date(c: Column) -> Column:
     )
 
 
+def any_instant(text: str) -> str | None:
+    """The UTC instant of a mail date in any of its forms (comments, full names, dashes, obsolete zones), else of ISO
+    text, as ``yyyy-MM-ddTHH:mm:ssZ``; a missing zone is UTC. None where it is neither, or lies outside years 1 to 9999."""
+    try:
+        try:
+            moment = parsedate_to_datetime(text)
+        except (TypeError, ValueError, IndexError):
+            moment = datetime.fromisoformat(f"{text[:-1]}+00:00" if text.endswith("Z") else text)
+        moment = moment.replace(tzinfo=UTC) if moment.tzinfo is None else moment.astimezone(UTC)
+    except (ValueError, OverflowError):
+        return None
+    return moment.replace(microsecond=0, tzinfo=None).isoformat() + "Z"
+
+
 def utc_instant(c: Column, ingested_at: Column) -> Column:
-    """Feed dates (mail or ISO form) as ``yyyy-MM-ddTHH:mm:ssZ``; a missing zone is UTC, blank text is ``ingested_at``, others null."""
+    """Feed dates (mail or ISO form) as ``yyyy-MM-ddTHH:mm:ssZ``; a missing zone is UTC, blank text is ``ingested_at``, others null.
+
+    The usual forms are read by built-in functions; what they refuse, and nothing else, goes through ``any_instant``.
+    """
+
+    @F.pandas_udf("string")
+    def refused(texts: pd.Series) -> pd.Series:
+        return texts.map(any_instant, na_action="ignore")
+
+    usual = F.get(F.transform(F.array(c), _usual_instant), 0)  # so that what c stands for is computed once, not for each use
+    blank = F.coalesce(F.btrim(c), F.lit("")) == ""
+    return F.when(blank, ingested_at).otherwise(F.coalesce(usual, refused(F.when(~blank & usual.isNull(), F.regexp_replace(c, EDGES, "")))))
+
+
+def _usual_instant(c: Column) -> Column:
     t = F.btrim(c)
-    mail = r"^(?:[A-Za-z]{3}, *)?(\d{1,2}) ([A-Za-z]{3}) (\d{2,4}) (\d{2}):(\d{2})(?::(\d{2}))?(?: ([A-Za-z]+|[+-]\d{4}))?$"
+    mail = r"^(?:[A-Za-z]{3}, *)?(\d{1,2}) ([A-Za-z]{3}) (\d{2}|[1-9]\d{3}) (\d{2}):(\d{2})(?::(\d{2}))?(?: ([A-Za-z]+|[+-](?:[01]\d|2[0-3])[0-5]\d))?$"
     part = [F.regexp_extract(t, mail, i) for i in range(8)]
     months = F.create_map(*[F.lit(x) for i, m in enumerate(MONTHS) for x in (m, i + 1)])
     zones = F.create_map(*[F.lit(x) for item in ZONES.items() for x in item])
@@ -109,15 +141,16 @@ def utc_instant(c: Column, ingested_at: Column) -> Column:
     seconds = F.unix_date(day).cast("long") * 86400 + part[4].try_cast("int") * 3600 + part[5].try_cast("int") * 60 + F.coalesce(part[6].try_cast("int"), F.lit(0)) - offset * 60
     in_range = (part[4].try_cast("int") < 24) & (part[5].try_cast("int") < 60) & (F.coalesce(part[6].try_cast("int"), F.lit(0)) < 60)
     from_mail = F.when(in_range, F.timestamp_seconds(seconds))
-    iso = r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2})(:\d{2})?(?:[.,]\d+)?)?(Z|[+-]\d{2}:?\d{2})?$"
+    # with a zone there must be a time: whatever follows a day alone is taken for the sign between day and time
+    iso = r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2})(?:(:\d{2})(?:[.,]\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
     zone = F.regexp_replace(F.regexp_extract(t, iso, 4), r"^([+-]\d{2})(\d{2})$", "$1:$2")
     text = F.concat(
         F.regexp_extract(t, iso, 1), F.lit("T"), F.coalesce(empty_as_null(F.regexp_extract(t, iso, 2)), F.lit("00:00")),
         F.coalesce(empty_as_null(F.regexp_extract(t, iso, 3)), F.lit(":00")), F.coalesce(empty_as_null(zone), F.lit("Z")),
     )
     moment = F.when(t.rlike(mail), from_mail).when(t.rlike(iso), text.try_cast("timestamp"))
-    shown = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    return F.when(F.coalesce(t, F.lit("")) == "", ingested_at).otherwise(shown)
+    years = (moment >= F.lit("0001-01-01T00:00:00Z").cast("timestamp")) & (moment < F.lit("+10000-01-01T00:00:00Z").cast("timestamp"))
+    return F.when(years, F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
 
 
 def without_tags(c: Column) -> Column:

@@ -10,9 +10,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from factmill.functions import vocab
-from factmill.functions.text import joined_text, stable_id, unescaped, utc_instant, without_tags
+from factmill.functions.text import any_instant, joined_text, stable_id, unescaped, without_tags
 
-RAW_ITEM = "feed_id string, pos int, title string, body string, link string, published string, error string"
+RAW_ITEM = "feed_id string, payload string, pos int, title string, body string, link string, published_at string, error string"
 # Child elements by meaning, in order of preference, by their full names.
 RSS_CHILDREN = {"title": ("title",), "body": ("description", vocab.CONTENT + "encoded"), "published": ("pubDate", vocab.DUBLIN_CORE + "date"), "link": ("link", "guid")}
 ATOM_CHILDREN = {
@@ -94,16 +94,28 @@ def _read(payload: bytes | None) -> tuple[list[tuple[str, str, str, str]], str |
     return [(_first(e, names["title"]), _first(e, names["body"]), _link(e, names["link"], bool(found.rss)), _first(e, names["published"])) for e in found.rss or found.atom], None
 
 
+def _dated(entries: list[tuple[str, str, str, str]]) -> tuple[list[tuple[str, str, str, str | None]], str | None]:
+    """The entries with their dates as instants (None where one has none), or an error code if any date is unreadable."""
+    out = []
+    for title, body, link, published in entries:
+        moment = any_instant(published) if published else None
+        if published and moment is None:
+            return [], "feed_date_invalid"
+        out.append((title, body, link, moment))
+    return out, None
+
+
 def _parser(max_items: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for feed_id, payload in zip(batch["feed_id"], batch["content"], strict=True):
+            for feed_id, name, payload in zip(batch["feed_id"], batch["payload"], batch["content"], strict=True):
                 entries, error = _read(payload)
+                dated, error = _dated(entries[:max_items]) if error is None else ([], error)
                 if error:
-                    rows.append((feed_id, None, None, None, None, None, error))
-                rows += [(feed_id, pos, *entry, None) for pos, entry in enumerate(entries[:max_items])]
-            out = pd.DataFrame(rows, columns=["feed_id", "pos", "title", "body", "link", "published", "error"])
+                    rows.append((feed_id, name, None, None, None, None, None, error))
+                rows += [(feed_id, name, pos, *entry, None) for pos, entry in enumerate(dated)]
+            out = pd.DataFrame(rows, columns=["feed_id", "payload", "pos", "title", "body", "link", "published_at", "error"])
             yield out.astype({"pos": "Int32"})
 
     return run
@@ -112,40 +124,53 @@ def _parser(max_items: int):
 def parse_payloads(payloads: DataFrame, max_items: int = 25) -> DataFrame:
     """Entries of (feed_id, content) payloads, the first ``max_items`` in document order, or one row with an error.
 
-    RSS 2.0 and Atom. Payloads over 1 MiB, with a document type, of an unknown encoding or not well-formed give a code.
+    RSS 2.0 and Atom. A payload over 1 MiB, with a document type, of an unknown encoding or not well-formed gives a code,
+    and so does one with an unreadable date among these entries (``feed_date_invalid``). A fault is that of the payload it
+    is in, never of others of its feed. ``payload`` names the payload, where the table has such a column (a landed
+    file's path, say); published_at is null for an entry without a date.
     """
-    return payloads.select("feed_id", F.col("content").cast("binary").alias("content")).mapInPandas(_parser(max_items), RAW_ITEM)
+    name = F.col("payload").cast("string") if "payload" in payloads.columns else F.lit(None).cast("string")
+    return payloads.select("feed_id", name.alias("payload"), F.col("content").cast("binary").alias("content")).mapInPandas(_parser(max_items), RAW_ITEM)
 
 
-def dated_entries(payloads: DataFrame, ingested_at: Column, max_items: int = 25) -> DataFrame:
-    """``parse_payloads`` with published_at (``ingested_at`` where an entry has no date).
+def _or_raise(parsed: DataFrame) -> DataFrame:
+    """Fails the job at the first faulty payload, naming its feed and fault."""
+    fault = F.concat(F.lit("feed "), F.coalesce("feed_id", F.lit("?")), F.lit(" failed: "), "error")
+    return parsed.withColumn("error", F.when(F.col("error").isNotNull(), F.raise_error(fault).cast("string")))
 
-    An unreadable date makes the whole feed faulty: all its entries get the error ``feed_date_invalid``.
-    """
-    raw = parse_payloads(payloads, max_items).withColumn("published_at", utc_instant(F.col("published"), ingested_at))
-    undated = F.max(F.col("error").isNull() & F.col("published_at").isNull()).over(W.partitionBy("feed_id"))  # at most max_items rows of a payload
-    return raw.withColumn("error", F.coalesce("error", F.when(undated, "feed_date_invalid")))
 
+def feed_items(payloads: DataFrame, feeds: DataFrame, ingested_at: Column, max_items: int = 25, stop_on_first: bool = False) -> DataFrame:
+    """Source items of the payloads without fault, with ``pos``. A title is taken as it stands, a body without its tags.
 
-def feed_items(payloads: DataFrame, feeds: DataFrame, ingested_at: Column, max_items: int = 25) -> DataFrame:
-    """Source items of the payloads without fault, with ``pos``. A title is taken as it stands, a body without its tags."""
-    raw = dated_entries(payloads, ingested_at, max_items).where("error is null").join(feeds.withColumnRenamed("feed_id", "f_id"), F.col("feed_id") == F.col("f_id"))
+    Faulty payloads are left out and show in ``fetch_statuses``; with ``stop_on_first`` the first of them fails the job.
+    """
+    parsed = parse_payloads(payloads, max_items)
+    parsed = _or_raise(parsed) if stop_on_first else parsed
+    raw = parsed.where("error is null").join(feeds.withColumnRenamed("feed_id", "f_id"), F.col("feed_id") == F.col("f_id"))
     return raw.select(
-        stable_id(F.col("feed_id"), F.col("link"), F.col("title")).alias("item_id"), "published_at", "source_type", F.col("link").alias("source_url"),
-        F.coalesce("author", F.lit("")).alias("author"), joined_text(F.col("title"), unescaped(without_tags(F.col("body")))).alias("text"), "feed_id", "pos",
+        stable_id(F.col("feed_id"), F.col("link"), F.col("title")).alias("item_id"), F.coalesce("published_at", ingested_at).alias("published_at"), "source_type", F.col("link").alias("source_url"),
+        F.coalesce("author", F.lit("")).alias("author"), joined_text(F.col("title"), unescaped(without_tags(F.col("body")))).alias("text"), "feed_id", "pos", "payload",
     )
 
 
+def payload_faults(payloads: DataFrame, max_items: int = 25) -> DataFrame:
+    """(feed_id, payload, error) of each faulty payload."""
+    return parse_payloads(payloads, max_items).where("error is not null").select("feed_id", "payload", "error")
+
+
 def sorted_items(items: DataFrame) -> DataFrame:
     """Items in the order in which they are published: by time, then id."""
     return items.orderBy("published_at", "item_id")
 
 
 def fetch_statuses(payloads: DataFrame, feeds: DataFrame, max_items: int = 25) -> DataFrame:
-    """feed_id, feed_url, ok, item_count, error for each configured feed; one without a payload failed."""
-    parsed = dated_entries(payloads, F.lit(""), max_items)
+    """feed_id, feed_url, ok, item_count, error for each configured feed; one without a payload failed.
+
+    A feed with several payloads counts the items of those without fault, and failed if any is faulty.
+    """
+    parsed = parse_payloads(payloads, max_items)
     seen = payloads.select(F.col("feed_id").alias("s_id")).distinct()
-    by_feed = parsed.groupBy(F.col("feed_id").alias("p_id")).agg(F.count(F.when(F.col("error").isNull(), F.col("pos"))).alias("n"), F.max("error").alias("e"))
+    by_feed = parsed.groupBy(F.col("feed_id").alias("p_id")).agg(F.count("pos").alias("n"), F.max("error").alias("e"))
     out = feeds.join(seen, F.col("feed_id") == F.col("s_id"), "left").join(by_feed, F.col("feed_id") == F.col("p_id"), "left")
     error = F.when(F.col("s_id").isNull(), F.lit("feed_missing")).otherwise(F.coalesce("e", F.lit("")))
     return out.select("feed_id", "feed_url", (error == "").alias("ok"), F.coalesce("n", F.lit(0)).cast("long").alias("item_count"), error.alias("error"))

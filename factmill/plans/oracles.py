@@ -95,6 +95,11 @@ SQL = {
     "stable_item_id": "SELECT page_id, 'pages-' || substr(sha1('pages|' || url || '|' || CAST(page_id AS VARCHAR)), 1, 12) AS item_id FROM pages",
     "published_instant": """SELECT doc_id, strftime(CAST(DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER) AS TIMESTAMP) + to_hours(doc_id % 24) + to_minutes(doc_id % 60) + to_seconds(9)
       - to_minutes(CASE doc_id % 5 WHEN 1 THEN -300 WHEN 2 THEN 330 WHEN 4 THEN -420 ELSE 0 END), '%Y-%m-%dT%H:%M:%SZ') AS published_at FROM documents""",
+    "published_forms": f"""SELECT doc_id, CASE doc_id % 21 WHEN 18 THEN NULL WHEN 19 THEN '2024-06-01T00:00:00Z' ELSE strftime(CAST(DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER) AS TIMESTAMP)
+      + to_hours(CASE WHEN doc_id % 21 = 16 THEN 0 ELSE doc_id % 24 END) + to_minutes(CASE WHEN doc_id % 21 IN (9, 16) THEN 0 ELSE doc_id % 60 END) + to_seconds(CASE WHEN doc_id % 21 IN (9, 12, 16) THEN 0 ELSE 9 END)
+      - to_minutes(CASE doc_id % 21 WHEN 13 THEN 120 WHEN 14 THEN -420 WHEN 15 THEN -210 WHEN 17 THEN -330 ELSE 0 END), '%Y-%m-%dT%H:%M:%SZ') END AS published_at FROM documents""",
+    "feed_faults": f"""WITH {_FEED_ITEMS}, r AS (SELECT *, row_number() OVER (PARTITION BY feed_id ORDER BY doc_id) AS pos FROM d) SELECT feed_id, 'first' AS payload, CASE WHEN bool_or(undated) THEN 0 ELSE count(*) END AS items,
+      CASE WHEN bool_or(undated) THEN 'feed_date_invalid' ELSE '' END AS error FROM r GROUP BY 1 UNION ALL SELECT feed_id, 'second', count(*), '' FROM r WHERE pos > 1 GROUP BY 1""",
     "alias_kinds": """SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS symbol, u.alias, CASE WHEN regexp_matches(u.alias, '^[A-Za-z]$') THEN 'cashtag' WHEN regexp_matches(u.alias, '^[A-Za-z][A-Za-z0-9.\\-]{0,9}$') THEN 'ticker' ELSE 'phrase' END AS kind
       FROM supplier, LATERAL (SELECT unnest([s_name, 'S' || CAST(s_suppkey AS VARCHAR)]) AS alias) u""",
     "mention_join": f"WITH {_MENTIONS} SELECT item_id, symbol FROM found",

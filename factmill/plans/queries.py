@@ -80,6 +80,25 @@ def published_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad.table(spark, sf_dir, "documents").select("doc_id", utc_instant(F.concat(day, F.lit(" "), clock, zone), F.lit(INGESTED)).alias("published_at"))
 
 
+def published_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates of documents in 21 forms that feeds use: mail dates with comments, full names, dashes, dots, obsolete and unknown zones; ISO forms; none."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
+    hour, minute = (F.col("doc_id") % 24).cast("string"), F.lpad((F.col("doc_id") % 60).cast("string"), 2, "0")
+    of = lambda form: F.date_format(day, form)
+    clock = lambda sep=":", h=F.lpad(hour, 2, "0"): F.concat(h, F.lit(sep), minute, F.lit(f"{sep}09"))
+    forms = [
+        F.concat(of("dd MMM yyyy "), clock(), F.lit(" +0000 (UTC)")), F.concat(of("EEEE, dd MMM yyyy "), clock(), F.lit(" GMT")), F.concat(of("dd MMMM yyyy "), clock(), F.lit(" GMT")),
+        F.concat(of("d MMM yyyy "), clock(h=hour), F.lit(" GMT")), F.concat(of("dd-MMM-yyyy "), clock(), F.lit(" GMT")), F.concat(of("dd MMM yyyy "), clock(), F.lit(" CET")),
+        F.concat(of("dd  MMM  yyyy  "), clock(), F.lit(" GMT")), F.concat(of("MMM dd, yyyy "), clock(), F.lit(" GMT")), F.concat(of("yyyyMMdd"), F.lit("T"), clock(""), F.lit("Z")),
+        F.concat(of("yyyy-MM-dd"), F.lit("T"), F.lpad(hour, 2, "0"), F.lit("Z")), F.concat(of("yyyy-MM-dd "), clock()), F.concat(of("dd MMM yyyy "), clock(), F.lit(" +00:00")),
+        F.concat(of("dd MMM yy "), F.lpad(hour, 2, "0"), F.lit(":"), minute, F.lit(" GMT")), F.concat(of("yyyy-MM-dd"), F.lit("T"), clock(), F.lit(".123456789+02:00")), F.concat(F.lower(of("EEE, dd MMM yyyy ")), clock(), F.lit(" pdt")),
+        F.concat(of("dd MMM yyyy "), clock(), F.lit(" -0330")), of("yyyyMMdd"), F.concat(of("yyyy-MM-dd"), F.lit("T"), clock(), F.lit("-05:30")), F.concat(F.lit("published "), of("yyyy")), F.lit(" "), F.concat(of("dd MMM yyyy "), clock("."), F.lit(" GMT")),
+    ]
+    form = (F.col("doc_id") % len(forms)).cast("int")
+    text = F.coalesce(*[F.when(form == i, f) for i, f in enumerate(forms)])
+    return ad.table(spark, sf_dir, "documents").select("doc_id", utc_instant(text, F.lit(INGESTED)).alias("published_at"))
+
+
 def alias_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Aliases of the suppliers: their symbol, name and number."""
     rows = ad.table(spark, sf_dir, "supplier")
@@ -138,6 +157,16 @@ def feed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("item_id", "published_at", "source_url", "author", "text", "feed_id", "pos")
 
 
+def feed_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two payloads of each feed, the second without the feed's first item: a bad date there is a fault of the first alone."""
+    first = ad.feed_payloads(spark, sf_dir)
+    text = F.col("content").cast("string")
+    second = first.withColumn("content", F.concat(F.substring_index(text, "<item>", 1), F.expr("substr(cast(content AS string), instr(cast(content AS string), '</item>') + 7)")).cast("binary"))
+    both = first.withColumn("payload", F.lit("first")).unionByName(second.withColumn("payload", F.lit("second")))
+    parsed = fd.parse_payloads(both)
+    return parsed.groupBy("feed_id", "payload").agg(F.count("pos").alias("items"), F.coalesce(F.max("error"), F.lit("")).alias("error"))
+
+
 def feed_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fd.fetch_statuses(ad.feed_payloads(spark, sf_dir), ad.feeds(spark, sf_dir))
 
@@ -328,7 +357,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         event_study, event_study_sparse_benchmark, event_coverage_gaps, price_last_wins, return_summary_by_type, normalize_records, rejected_records, url_predicates, strip_html, stable_item_id,
-        published_instant, alias_kinds, mention_join, mention_many, mention_events, tracker, tracker_rank, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_statuses,
+        published_instant, published_forms, alias_kinds, mention_join, mention_many, mention_events, tracker, tracker_rank, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_faults, feed_statuses,
         feed_digest, accepted_rows_digest, quality_summary, outcome_faults, publication_decision, group_decisions, status_audit, status_wire_audit, weekly_period, weekly_counts, weekly_snapshot, weekly_gate, contract_audit, lock_audit, lock_reconcile, weekly_manifest, manifest_audit, manifest_verify,
         live_manifest, dataset_inventory, stream_weekly_counts, stream_mentions,
     )

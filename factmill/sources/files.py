@@ -29,9 +29,9 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """(feed_id, content) of landed payload files; the file's name without its ending is the feed."""
+    """(feed_id, payload, content) of landed payload files; the file's name without its ending is the feed, its path the payload."""
     name = F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1)
-    return spark.read.format("binaryFile").load(path).select(name.alias("feed_id"), "content")
+    return spark.read.format("binaryFile").load(path).select(name.alias("feed_id"), F.col("path").alias("payload"), "content")
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:

@@ -28,7 +28,7 @@ def test_payloads(spark):
     for r in rows:
         by.setdefault(r.feed_id, []).append(r)
     assert [r.title for r in by["rss"]] == ["A & B", "two"] and by["rss"][0].link == "https://x/1" and by["rss"][0].body == "<b>c</b>  d"
-    assert [(r.title, r.link, r.published) for r in by["atom"]] == [("t", "https://y/1", "2026-01-09T10:00:00Z"), ("u", "urn:2", "")]
+    assert [(r.title, r.link, r.published_at) for r in by["atom"]] == [("t", "https://y/1", "2026-01-09T10:00:00Z"), ("u", "urn:2", None)]
     assert {k: by[k][0].error for k in ("dtd", "wide", "cut", "odd", "big")} == {"dtd": "feed_xml_invalid", "wide": "feed_xml_invalid", "cut": "feed_xml_invalid", "odd": "feed_xml_invalid", "big": "feed_xml_oversize"}
     assert len(by["ok16"]) == 2 and "none" not in by
 
@@ -68,6 +68,28 @@ def test_names_and_faulty_dates(spark):
     assert [r.item_id[:4] for r in fd.sorted_items(fd.feed_items(given, feeds, F.lit("2026-02-01T00:00:00Z"))).collect()][0] == "rss-"
 
 
+def test_a_fault_is_that_of_its_payload(spark, tmp_path):
+    """Three weeks of one feed, one with a bad date: two weeks' items stay. Files carry their path; stop-on-first fails instead."""
+    week = "<rss><channel><item><title>w{0}</title><pubDate>{1}</pubDate></item><item><title>x{0}</title></item></channel></rss>"
+    dates = ["Fri, 09 Jan 2026 08:30:00 GMT", "someday", "23 January 2026 8:30:00 +0000 (UTC)"]
+    for i, date in enumerate(dates):
+        (tmp_path / f"week{i}").mkdir()
+        (tmp_path / f"week{i}" / "one.xml").write_text(week.format(i, date))
+    (tmp_path / "week0" / "two.xml").write_bytes(ATOM)
+    given = files.read_payloads(spark, f"{tmp_path}/*/*.xml")
+    feeds = spark.createDataFrame([(f, f"https://f/{f}", "financial_media", "") for f in ("one", "two")], "feed_id string, feed_url string, source_type string, author string")
+    items = fd.feed_items(given, feeds, F.lit("2026-02-01T00:00:00Z")).collect()
+    assert sorted((r.feed_id, r.text.split()[0], r.published_at[:10]) for r in items) == [("one", "w0", "2026-01-09"), ("one", "w2", "2026-01-23"), ("one", "x0", "2026-02-01"), ("one", "x2", "2026-02-01"), ("two", "t", "2026-01-09"), ("two", "u", "2026-02-01")]
+    assert [(r.feed_id, r.payload.split("/")[-2], r.error) for r in fd.payload_faults(given).collect()] == [("one", "week1", "feed_date_invalid")]
+    assert {r.feed_id: (r.ok, r.item_count, r.error) for r in fd.fetch_statuses(given, feeds).collect()} == {"one": (False, 4, "feed_date_invalid"), "two": (True, 2, "")}
+    with pytest.raises(Exception, match="feed one failed: feed_date_invalid"):
+        fd.feed_items(given, feeds, F.lit(""), stop_on_first=True).collect()
+    assert fd.feed_items(given.where("feed_id = 'two'"), feeds, F.lit(""), stop_on_first=True).count() == 2
+    # only the items that are read are judged
+    late = payloads(spark, one="".join(["<rss><channel>", *["<item><title>t</title></item>"] * 2, "<item><pubDate>bad</pubDate></item></channel></rss>"]).encode())
+    assert fd.feed_items(late, feeds, F.lit(""), max_items=2).count() == 2 and fd.feed_items(late, feeds, F.lit(""), max_items=3).count() == 0
+
+
 ROW = ("i1", "2026-01-01", "financial_media", "https://x", "", 'say "a\\b" </x> é')
 OUTCOME = f"feed_id string, feed_url string, kind string, state string, rows {fd.ROW_FIELDS}, error_code string"
 
