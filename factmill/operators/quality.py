@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factmill.functions.text import empty_as_null
+from factmill.sources.blobs import streamed_digests
 
 
 def symbol_summary(events: DataFrame) -> DataFrame:
@@ -45,15 +46,18 @@ def quality_summary(events: DataFrame, statuses: DataFrame | None = None) -> Dat
     return out.crossJoin(success_ratio(feed_rollup(statuses))) if statuses is not None else out
 
 
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """path, artifact (the file's name), bytes and sha256 of each file that Spark's binary reader finds."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("artifact"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+def file_digests(spark: SparkSession, path: str, base: str | None = None) -> DataFrame:
+    """path (below ``base``, if given), artifact (the file's name), bytes and sha256 of each file, of any size."""
+    files = streamed_digests(spark, path, base)
+    return files.select(F.col("name").alias("path"), F.element_at(F.split("name", "/"), -1).alias("artifact"), "bytes", F.col("digest").alias("sha256"))
 
 
-def file_row_counts(rows: DataFrame) -> DataFrame:
-    """(artifact, row_count) of the files that ``rows`` is read from, by their names."""
-    return rows.groupBy(F.col("_metadata.file_name").alias("artifact")).agg(F.count(F.lit(1)).alias("row_count"))
+def file_row_counts(rows: DataFrame, base: str | None = None) -> DataFrame:
+    """(path, row_count) of the files that ``rows`` is read from; paths as in ``file_digests``. A file without rows has none."""
+    path = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    path = F.regexp_replace(path, "^file:/+", "file:/")
+    path = path if base is None else F.substring_index(path, f"{base.rstrip('/')}/", -1)
+    return rows.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -66,20 +70,20 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def manifest_artifacts(digests: DataFrame, rows: DataFrame) -> DataFrame:
-    """artifact, path, sha256 and row_count (null where ``rows`` has no such file) of each file, joined by the file's name."""
-    counts = rows.select(F.col("artifact").alias("r_artifact"), "row_count")
-    return digests.join(counts, F.col("artifact") == F.col("r_artifact"), "left").select("artifact", "path", "sha256", "row_count")
+    """artifact, path, sha256 and row_count (null where ``rows`` has no such file) of each file, joined by path."""
+    counts = rows.select(F.col("path").alias("r_path"), "row_count")
+    return digests.join(counts, F.col("path") == F.col("r_path"), "left").select("artifact", "path", "sha256", "row_count")
 
 
-def live_manifest(spark: SparkSession, path: str, rows: DataFrame, quality: DataFrame) -> DataFrame:
+def live_manifest(spark: SparkSession, path: str, rows: DataFrame, quality: DataFrame, base: str | None = None) -> DataFrame:
     """One JSON row: artifacts (path, sha256, row_count) in order of path, their number, and the quality summary.
 
-    ``rows``: artifact (file name), row_count. A manifest lists the files of one publication: a small list.
+    ``rows``: (path, row_count), see ``file_row_counts``. A manifest lists the files of one publication: a small list.
     """
-    listed = manifest_artifacts(file_digests(spark, path), rows)
+    listed = manifest_artifacts(file_digests(spark, path, base), rows)
     listed = listed.agg(F.count(F.lit(1)).alias("artifact_count"), F.array_sort(F.collect_list(F.struct("path", "sha256", "row_count"))).alias("artifacts"))
     return listed.crossJoin(quality).select(F.to_json(F.struct("artifact_count", "artifacts", F.struct(*quality.columns).alias("data_quality"))).alias("value"))
 
 
-def write_live_manifest(spark: SparkSession, path: str, rows: DataFrame, quality: DataFrame, output: str) -> None:
-    live_manifest(spark, path, rows, quality).coalesce(1).write.mode("overwrite").text(output)
+def write_live_manifest(spark: SparkSession, path: str, rows: DataFrame, quality: DataFrame, output: str, base: str | None = None) -> None:
+    live_manifest(spark, path, rows, quality, base).coalesce(1).write.mode("overwrite").text(output)

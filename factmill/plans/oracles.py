@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+_TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 _EVENTS = """events_ AS (SELECT o_orderkey AS event_id, CAST(o_orderdate AS DATE) AS event_date, 'S' || CAST(o_custkey % (SELECT count(*) FROM supplier) AS VARCHAR) AS symbol,
   CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'public_mention' WHEN '2' THEN 'policy_capital' WHEN '3' THEN 'procurement' WHEN '4' THEN 'disclosure_buy' ELSE 'market_reaction' END AS event_type,
   CASE o_orderstatus WHEN 'F' THEN 'high' WHEN 'O' THEN 'medium' ELSE 'low' END AS confidence FROM orders)"""
@@ -159,7 +160,17 @@ SQL = {
       SELECT period_start, '{{"contract":' || contract || ',"manifest_type":"weekly_source_manifest"}}' AS manifest FROM c""",
     "manifest_audit": f"""WITH {_NUMBERED} SELECT period_start, CASE n % 7 WHEN 1 THEN 'manifest_shape_invalid' WHEN 3 THEN 'manifest_shape_invalid' WHEN 4 THEN 'manifest_duplicate_key' ELSE coalesce(CASE n % 6 WHEN 1 THEN 'feed_status_incomplete' WHEN 2 THEN 'generated_at_invalid' WHEN 3 THEN 'provenance_invalid' END, CASE WHEN n % 7 = 2 THEN 'manifest_noncanonical' END) END AS error_code FROM nums""",
     "manifest_verify": f"""WITH {_NUMBERED} SELECT period_start, CASE n % 7 WHEN 4 THEN 'missing' WHEN 5 THEN 'unexpected' ELSE CASE n % 6 WHEN 1 THEN 'feed_status_incomplete' WHEN 2 THEN 'generated_at_invalid' WHEN 3 THEN 'provenance_invalid' ELSE CASE WHEN n % 7 = 3 THEN 'manifest_contract_mismatch' ELSE 'match' END END END AS verdict FROM nums""",
-    "dataset_inventory": " UNION ALL ".join(f"SELECT '{t}' AS artifact, count(*) AS row_count FROM {t}" for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()),
+    # files are known to SQL by path only: those of the scale at which results are compared
+    "live_manifest": f"""WITH {_EVENTS}, {_OUTCOMES}, n AS ({" UNION ALL ".join(f"SELECT '{t}.parquet' AS path, count(*) AS k FROM {t}" for t in _TABLES)}),
+      f AS (SELECT regexp_extract(filename, '[^/]+$') AS path, sha256(content) AS digest FROM read_blob('/root/testdata/sf0.01/*.parquet')),
+      a AS (SELECT count(*) AS m, string_agg('{{"path":"' || path || '","sha256":"' || digest || '","row_count":' || CAST(k AS VARCHAR) || '}}', ',' ORDER BY path) AS x FROM f JOIN n USING (path)),
+      s AS (SELECT count(*) AS m, string_agg('"' || symbol || '"', ',' ORDER BY symbol) AS x FROM (SELECT DISTINCT symbol FROM events_)),
+      c AS (SELECT string_agg('"' || confidence || '":' || CAST(k AS VARCHAR), ',' ORDER BY confidence) AS x FROM (SELECT confidence, count(*) AS k FROM events_ GROUP BY 1)),
+      t AS (SELECT string_agg('"' || event_type || '":' || CAST(k AS VARCHAR), ',' ORDER BY event_type) AS x FROM (SELECT event_type, count(*) AS k FROM events_ GROUP BY 1)),
+      b AS (SELECT count(*) AS m, count(*) FILTER (state = 'accepted') AS ok, CAST(coalesce(sum(k) FILTER (state = 'accepted'), 0) AS BIGINT) AS items FROM fb)
+      SELECT '{{"artifact_count":' || a.m || ',"artifacts":[' || a.x || '],"data_quality":{{"symbol_count":' || s.m || ',"symbols":[' || s.x || '],"confidence_counts":{{' || c.x || '}},"event_type_counts":{{' || t.x || '}},"feed_count":' || b.m
+        || ',"successful_feed_count":' || b.ok || ',"failed_feed_count":' || (b.m - b.ok) || ',"item_count":' || b.items || ',"feed_success_ratio":' || CAST(round(b.ok / b.m, 4) AS VARCHAR) || '}}}}' AS value FROM a, s, c, t, b""",
+    "dataset_inventory": " UNION ALL ".join(f"SELECT '{t}' AS artifact, count(*) AS row_count FROM {t}" for t in _TABLES),
     "stream_weekly_counts": """WITH c AS (SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS period_start, o_orderpriority, count(*) AS events FROM orders GROUP BY 1, 2)
       SELECT * FROM c WHERE period_start + 7 <= (SELECT max(o_orderdate) FROM orders) - INTERVAL 14 DAY""",
 }

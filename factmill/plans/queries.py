@@ -312,13 +312,13 @@ def manifest_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def live_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of the smaller tables with their digests and row counts."""
-    paths = [f"{sf_dir}/{t}.parquet" for t in ("region", "nation", "supplier", "customer", "part")]
-    found = None
-    for p in paths:
-        one = ql.manifest_artifacts(ql.file_digests(spark, p), ql.file_row_counts(spark.read.parquet(p))).select("artifact", "sha256", "row_count")
-        found = one if found is None else found.unionByName(one)
-    return found
+    """The manifest of all tables' files, with their digests, row counts and the quality summary, as one JSON row."""
+    counts = None
+    for name in TABLES:
+        one = ql.file_row_counts(ad.table(spark, sf_dir, name), sf_dir)
+        counts = one if counts is None else counts.unionByName(one)
+    statuses = ad.feed_outcomes(spark, sf_dir).select((F.col("state") == "accepted").alias("ok"), F.size("rows").alias("item_count"))
+    return ql.live_manifest(spark, f"{sf_dir}/*.parquet", counts, ql.quality_summary(ad.events(spark, sf_dir), statuses), sf_dir)
 
 
 def dataset_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -243,11 +243,12 @@ def test_live_manifest(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for name, n in (("orders.csv", 2), ("my_orders.csv", 3), ("note.json", 0)):
         (tmp_path / "in" / name).write_text("id\n" + "".join(f"{i}\n" for i in range(n)))
-    rows = ql.file_row_counts(spark.read.option("header", True).csv(str(tmp_path / "in" / "*.csv")))
-    ql.write_live_manifest(spark, str(tmp_path / "in"), rows, spark.range(1).select(F.lit(5).alias("symbol_count")), str(tmp_path / "out"))
+    rows = ql.file_row_counts(spark.read.option("header", True).csv(str(tmp_path / "in" / "*.csv")), str(tmp_path))
+    ql.write_live_manifest(spark, str(tmp_path / "in"), rows, spark.range(1).select(F.lit(5).alias("symbol_count")), str(tmp_path / "out"), str(tmp_path))
     got = json.loads(spark.read.text(str(tmp_path / "out")).first().value)
     assert got["artifact_count"] == 3 and got["data_quality"] == {"symbol_count": 5}
     assert {a["path"].rpartition("/")[2]: a.get("row_count") for a in got["artifacts"]} == {"orders.csv": 2, "my_orders.csv": 3, "note.json": None}
+    assert [a["path"] for a in got["artifacts"]] == ["in/my_orders.csv", "in/note.json", "in/orders.csv"]
     assert all(a["sha256"] == hashlib.sha256((tmp_path / "in" / a["path"].rpartition("/")[2]).read_bytes()).hexdigest() for a in got["artifacts"])
 
 
