@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 from factmill.llm.common import TEXTS_AT_ONCE, materialize, table
 from factmill.llm.tokens import encoder, vocabulary_path
+from factmill.sources.blobs import byte_ranges, read_ranges
 
 #: <|endoftext|> of the vocabulary; its ids fit into unsigned 16-bit integers.
 SEPARATOR = 49407
 BLOCK_TOKENS = 65_536
 WIDEST = 65_535
+#: Blocks of a file that are read together.
+RANGE_BLOCKS = 64
 #: Blocks that are scanned together before their totals are scanned.
 SPAN_BLOCKS = 1024
 
@@ -72,12 +75,16 @@ def token_files(documents: DataFrame, path: str, separator: int = SEPARATOR, blo
     return written.where(F.col("block").isNotNull()).select("file", "block", "data"), written.where(F.col("ordinal").isNotNull()).select("file", "ordinal", "doc_id")
 
 
-def blocks_of_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks (file, block, data) of flat binary files of unsigned 16-bit ids that Spark's binary reader finds (below 2 GB each)."""
-    files = spark.read.format("binaryFile").load(path).where("length > 0")
+def blocks_of_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS, range_blocks: int = RANGE_BLOCKS) -> DataFrame:
+    """Blocks (file, block, data) of flat binary files of unsigned 16-bit ids, of any size.
+
+    Files are read by ranges of ``range_blocks`` blocks, each by itself, so a large file is many tasks' work.
+    """
     size = 2 * block_tokens
-    cut = files.select(F.col("path").alias("file"), "content", F.explode(F.expr(f"sequence(0L, (length - 1) div {size})")).alias("block"))
-    return cut.select("file", "block", F.expr(f"substring(content, cast(block * {size} + 1 as int), {size})").alias("data"))
+    found = read_ranges(byte_ranges(spark, path, size * range_blocks))
+    cut = F.expr(f"transform(sequence(0, cast((length - 1) div {size} as int)), i -> substring(content, i * {size} + 1, {size}))")
+    cut = found.select(F.col("path").alias("file"), (F.col("part") * range_blocks).alias("first"), F.posexplode(cut).alias("at", "data"))
+    return cut.select("file", (F.col("first") + F.col("at")).alias("block"), "data")
 
 
 def _separators(separator: int):
