@@ -146,6 +146,11 @@ def feed_items(payloads: DataFrame, feeds: DataFrame, ingested_at: Column, max_i
     """
     parsed = parse_payloads(payloads, max_items)
     parsed = _or_raise(parsed) if stop_on_first else parsed
+    return items_of_entries(parsed, feeds, ingested_at)
+
+
+def items_of_entries(parsed: DataFrame, feeds: DataFrame, ingested_at: Column) -> DataFrame:
+    """Source items of what ``parse_payloads`` gives."""
     raw = parsed.where("error is null").join(feeds.withColumnRenamed("feed_id", "f_id"), F.col("feed_id") == F.col("f_id"))
     return raw.select(
         stable_id(F.col("feed_id"), F.col("link"), F.col("title")).alias("item_id"), F.coalesce("published_at", ingested_at).alias("published_at"), "source_type", F.col("link").alias("source_url"),

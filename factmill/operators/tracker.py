@@ -36,9 +36,9 @@ def trigger_status(status: Column) -> Column:
     )
 
 
-def build_tracker(watchlist: DataFrame, events: DataFrame, bucket_weights: Mapping[str, int] = vocab.BUCKET_WEIGHTS) -> DataFrame:
-    """One row for each watchlist row. Events are summed by symbol before the join, so a hot symbol is one row there."""
-    joined = watchlist.join(symbol_evidence(events), F.col("symbol") == F.col("e_symbol"), "left")
+def tracker_of(watchlist: DataFrame, evidence: DataFrame, bucket_weights: Mapping[str, int] = vocab.BUCKET_WEIGHTS) -> DataFrame:
+    """One row for each watchlist row, with the evidence of its symbol (one row, as ``symbol_evidence`` gives)."""
+    joined = watchlist.join(evidence, F.col("symbol") == F.col("e_symbol"), "left")
     return joined.select(
         "symbol", "name", "bucket", trigger_status(F.col("research_status")).alias("trigger_status"),
         (weight(F.col("bucket"), bucket_weights) + F.coalesce("event_score", F.lit(0))).cast("long").alias("priority_score"), F.coalesce("events", F.lit(0)).alias("event_count"),
@@ -46,6 +46,11 @@ def build_tracker(watchlist: DataFrame, events: DataFrame, bucket_weights: Mappi
     )
 
 
+def build_tracker(watchlist: DataFrame, events: DataFrame, bucket_weights: Mapping[str, int] = vocab.BUCKET_WEIGHTS) -> DataFrame:
+    """One row for each watchlist row. Events are summed by symbol before the join, so a hot symbol is one row there."""
+    return tracker_of(watchlist, symbol_evidence(events), bucket_weights)
+
+
 def ranked(tracker: DataFrame) -> DataFrame:
     """``tracker_rank``: place by falling score, then symbol and name.
 

@@ -173,4 +173,11 @@ SQL = {
     "dataset_inventory": " UNION ALL ".join(f"SELECT '{t}' AS artifact, count(*) AS row_count FROM {t}" for t in _TABLES),
     "stream_weekly_counts": """WITH c AS (SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS period_start, o_orderpriority, count(*) AS events FROM orders GROUP BY 1, 2)
       SELECT * FROM c WHERE period_start + 7 <= (SELECT max(o_orderdate) FROM orders) - INTERVAL 14 DAY""",
+    "stream_weekly_gate": """WITH o AS (SELECT CAST(date_trunc('week', o_orderdate) AS DATE) AS period_start, substr(o_orderpriority, 1, 1) AS feed_id, bool_or(o_orderkey % 7 > 4) AS ok,
+        max(CAST(o_orderdate AS DATE) - CASE WHEN substr(o_orderpriority, 1, 1) = '5' AND o_orderkey % 4 > 0 THEN 365 ELSE 0 END) AS last_item FROM orders GROUP BY 1, 2),
+      w AS (SELECT DISTINCT period_start FROM o WHERE period_start + 7 <= (SELECT max(o_orderdate) FROM orders) - INTERVAL 14 DAY), f AS (SELECT unnest(['1', '2', '3', '4', '5', '6']) AS feed_id),
+      j AS (SELECT w.period_start, o.ok, o.ok AND last_item < w.period_start AS stale FROM w CROSS JOIN f LEFT JOIN o ON o.period_start = w.period_start AND o.feed_id = f.feed_id)
+      SELECT period_start, count(*) AS feed_count, count(*) FILTER (ok AND NOT stale) AS successful_feed_count, count(*) FILTER (NOT ok) AS failed_feed_count, count(*) FILTER (stale) AS stale_feed_count, count(*) FILTER (ok IS NULL) AS missing_feed_count,
+      bool_and(coalesce(ok AND NOT stale, false)) AS complete FROM j GROUP BY 1""",
 }
+SQL |= {"stream_tracker": SQL["tracker"], "stream_feed_parse": SQL["feed_parse"]}

@@ -353,12 +353,43 @@ def stream_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(found.schema).parquet(f"{at}/rows")
 
 
+def stream_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a stream of events; the stream is started again once all is read, which changes nothing."""
+    at = _stream_folder(spark)
+    for _ in range(2):
+        intake.refresh_evidence(ad.events_of(intake.stream_table(spark, sf_dir, "orders"), spark, sf_dir), f"{at}/evidence", f"{at}/checkpoint")
+    return intake.current_tracker(spark, ad.watchlist(spark, sf_dir), f"{at}/evidence")
+
+
+def stream_weekly_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as fetches of five feeds and a sixth that never comes; some fail, and one feed's items are a year old."""
+    at = _stream_folder(spark)
+    orders = intake.stream_table(spark, sf_dir, "orders")
+    day = F.to_date("o_orderdate")
+    item = F.when(F.col("o_orderpriority").startswith("5") & (F.col("o_orderkey") % 4 > 0), F.date_sub(day, 365)).otherwise(day)
+    fetches = orders.select(F.col("o_orderdate").cast("timestamp").alias("ts"), F.substring("o_orderpriority", 1, 1).alias("feed_id"), (F.col("o_orderkey") % 7 > 4).alias("ok"), item.alias("item_date"))
+    feeds = spark.createDataFrame([(str(i),) for i in range(1, 7)], "feed_id string")
+    intake.close_weeks(fetches, feeds, f"{at}/gates", f"{at}/checkpoint")
+    return spark.read.parquet(f"{at}/gates").drop("batch")
+
+
+def stream_feed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads that land in two steps as a stream."""
+    at = _stream_folder(spark)
+    payloads = ad.feed_payloads(spark, sf_dir)
+    for half in (0, 1):
+        payloads.where(F.pmod(F.crc32(F.col("feed_id").cast("binary")), F.lit(2)) == half).write.mode("append").parquet(f"{at}/landed")
+        landed = spark.readStream.schema(payloads.schema).parquet(f"{at}/landed")
+        intake.take_in(landed, ad.feeds(spark, sf_dir), F.lit(INGESTED), f"{at}/out", f"{at}/checkpoint")
+    return spark.read.parquet(f"{at}/out/items").select("item_id", "published_at", "source_url", "author", "text", "feed_id", "pos")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         event_study, event_study_sparse_benchmark, event_coverage_gaps, price_last_wins, return_summary_by_type, normalize_records, rejected_records, url_predicates, strip_html, stable_item_id,
         published_instant, published_forms, alias_kinds, mention_join, mention_many, mention_events, tracker, tracker_rank, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_faults, feed_statuses,
         feed_digest, accepted_rows_digest, quality_summary, outcome_faults, publication_decision, group_decisions, status_audit, status_wire_audit, weekly_period, weekly_counts, weekly_snapshot, weekly_gate, contract_audit, lock_audit, lock_reconcile, weekly_manifest, manifest_audit, manifest_verify,
-        live_manifest, dataset_inventory, stream_weekly_counts, stream_mentions,
+        live_manifest, dataset_inventory, stream_weekly_counts, stream_mentions, stream_tracker, stream_weekly_gate, stream_feed_parse,
     )
 }

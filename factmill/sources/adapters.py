@@ -33,8 +33,13 @@ def prices(spark: SparkSession, sf_dir: str, benchmark: str = "SPY", sparse: boo
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events_of(table(spark, sf_dir, "orders"), spark, sf_dir)
+
+
+def events_of(orders: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, stored or streamed, as events of as many symbols as there are suppliers."""
     suppliers = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("suppliers"))
-    rows = table(spark, sf_dir, "orders").crossJoin(F.broadcast(suppliers))  # one row
+    rows = orders.crossJoin(F.broadcast(suppliers))  # one row
     kind = F.element_at(F.array(*map(F.lit, ("public_mention", "policy_capital", "procurement", "disclosure_buy", "market_reaction"))), F.substring("o_orderpriority", 1, 1).cast("int"))
     tier = F.when(F.col("o_orderstatus") == "F", "high").when(F.col("o_orderstatus") == "O", "medium").otherwise("low")
     symbol = F.concat(F.lit("S"), F.col("o_custkey") % F.col("suppliers"))

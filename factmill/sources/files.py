@@ -28,10 +28,15 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
     return read_rows(spark, path, ITEM_COLUMNS)
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """(feed_id, payload, content) of landed payload files; the file's name without its ending is the feed, its path the payload."""
+def named_payloads(files: DataFrame) -> DataFrame:
+    """(feed_id, payload, content) of binary files: the file's name without its ending is the feed, its path the payload."""
     name = F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1)
-    return spark.read.format("binaryFile").load(path).select(name.alias("feed_id"), F.col("path").alias("payload"), "content")
+    return files.select(name.alias("feed_id"), F.col("path").alias("payload"), "content")
+
+
+def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """Landed payload files, see ``named_payloads``."""
+    return named_payloads(spark.read.format("binaryFile").load(path))
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:

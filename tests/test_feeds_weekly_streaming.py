@@ -1,6 +1,8 @@
 import datetime
 import hashlib
 import json
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from factmill.functions import vocab
 from factmill.operators import feeds as fd
 from factmill.operators import quality as ql
+from factmill.operators import tracker as tr
 from factmill.operators import weekly as wk
 from factmill.sources import files
 from factmill.streaming import intake
@@ -265,21 +268,73 @@ def test_status_file_and_weekly_files(spark, tmp_path):
     assert tuple(files.read_feeds(spark, str(tmp_path / "feeds.csv")).first()) == ("a", "https://u", "financial_media", "x, y")
 
 
-def test_tracker_refresh(spark, tmp_path):
+def test_tracker_as_state_equals_the_batch(spark, tmp_path):
+    """Events over several batches and starts, some delivered again; a batch that is tried again; the batch tracker of all of them."""
     schema = "event_id string, event_date date, symbol string, event_type string, confidence string"
-    day = datetime.date(2026, 1, 2)
-    for i in range(2):
-        spark.createDataFrame([(str(i), day, "A", "public_mention", "high")], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    watch = spark.createDataFrame([("A", "a", "other", "", "", "")], "symbol string, name string, bucket string, research_status string, thesis string, source_url string")
-    seen = []
-
-    def store(batch, batch_id):
-        batch.write.mode("overwrite").parquet(str(tmp_path / "store" / f"batch={batch_id}"))
-        return spark.read.schema(schema).parquet(str(tmp_path / "store"))
-
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    intake.refresh_tracker(stream, watch, store, lambda tracker, n: seen.append(tracker.first()), str(tmp_path / "check")).awaitTermination()
-    assert [r.event_count for r in seen] == [1, 2] and seen[-1].priority_score == 14 and seen[-1].trigger_status == "mentioned"
+    r = random.Random(3)
+    kinds, tiers = ["public_mention", "disclosure_buy", "policy_capital", "odd"], ["high", "low", "odd"]
+    rows = [(f"e{i}", datetime.date(2026, 1, 1 + r.randrange(28)), r.choice("ABCZ"), r.choice(kinds), r.choice(tiers)) for i in range(60)]
+    watch = spark.createDataFrame([(x, x.lower(), "policy_capital", "", "", "") for x in "ABCD"] + [("A", "twice", "other", "new", "", "")], "symbol string, name string, bucket string, research_status string, thesis string, source_url string")
+    at = {k: str(tmp_path / k) for k in ("in", "evidence", "check")}
+    wanted = lambda some: sorted(map(str, tr.build_tracker(watch, spark.createDataFrame(some, schema)).collect()))
+    for stop in (20, 40, 60):
+        for part in (rows[stop - 20 : stop - 8], rows[max(0, stop - 30) : stop]):  # the second holds what the first and earlier files had
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(at["in"])
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(at["in"])
+        intake.refresh_evidence(stream, at["evidence"], at["check"])
+        assert sorted(map(str, intake.current_tracker(spark, watch, at["evidence"]).collect())) == wanted(rows[:stop])
+    batches = sorted(os.listdir(at["evidence"]))
+    assert len(batches) == 6
+    # only symbols that a batch touched are written
+    one = spark.createDataFrame([("new", datetime.date(2026, 2, 1), "B", "odd", "low")], schema)
+    one.coalesce(1).write.mode("append").parquet(at["in"])
+    intake.refresh_evidence(spark.readStream.schema(schema).parquet(at["in"]), at["evidence"], at["check"])
+    assert [x.e_symbol for x in spark.read.parquet(f"{at['evidence']}/batch=6").collect()] == ["B"]
+    again = spark.read.parquet(f"{at['evidence']}/batch=5").collect()
+    intake._keep(spark.createDataFrame(again, spark.read.parquet(f"{at['evidence']}/batch=5").schema), at["evidence"], 5)
+    assert sorted(map(str, intake.current_tracker(spark, watch, at["evidence"]).collect())) == wanted([*rows, *one.collect()])
+
+
+def test_weeks_close_by_the_watermark(spark, tmp_path):
+    """A week is reported once, when the watermark passes its end: late fetches within the delay count, later ones don't."""
+    schema = "ts timestamp, feed_id string, ok boolean, item_date date"
+    at, day = {k: str(tmp_path / k) for k in ("in", "gates", "check")}, datetime.datetime
+    feeds = spark.createDataFrame([("a",), ("b",), ("c",)], "feed_id string")
+
+    def land(*rows):
+        spark.createDataFrame([(t, f, ok, i) for t, f, ok, i in rows], schema).coalesce(1).write.mode("append").parquet(at["in"])
+        intake.close_weeks(spark.readStream.schema(schema).parquet(at["in"]), feeds, at["gates"], at["check"], "3 days")
+        return {r.period_start.day: (r.successful_feed_count, r.failed_feed_count, r.stale_feed_count, r.missing_feed_count, r.complete) for r in spark.read.parquet(at["gates"]).collect()}
+
+    item = datetime.date(2026, 1, 6)
+    assert land((day(2026, 1, 6), "a", True, item), (day(2026, 1, 7), "b", False, item)) == {}
+    assert land((day(2026, 1, 13), "a", True, item)) == {}
+    assert land((day(2026, 1, 8), "b", True, item)) == {}  # late, within the delay: b was read after all
+    first = {5: (2, 0, 0, 1, False)}
+    assert land((day(2026, 1, 16), "c", True, datetime.date(2026, 1, 14))) == first
+    assert land((day(2026, 1, 9), "c", True, item)) == first  # too late: its week is closed
+    assert land((day(2026, 1, 26), "a", True, item)) == first | {12: (1, 0, 1, 1, False)}
+
+
+def test_payloads_as_a_stream(spark, tmp_path):
+    """Files land, are read once and archived; faults stand beside the items; the items are those of the batch function."""
+    landing, archive, out = tmp_path / "landing", tmp_path / "archive", str(tmp_path / "out")
+    landing.mkdir()
+    feeds = spark.createDataFrame([(f, f"https://f/{f}", "financial_media", "") for f in ("rss", "atom")], "feed_id string, feed_url string, source_type string, author string")
+    now = F.lit("2026-02-01T00:00:00Z")
+    contents = [{"rss.xml": RSS, "atom.xml": ATOM}, {"dtd.xml": DTD, "rss.v2.xml": b"<rss>"}, {"atom.xml.later": ATOM}]
+    items, faults = set(), set()
+    for i, files_ in enumerate(contents):
+        for name, data in files_.items():
+            (landing / name).write_bytes(data)
+        batch = files.read_payloads(spark, f"file:{landing}/*")
+        items |= {(r.payload.rpartition("/")[2], *r[:6]) for r in fd.feed_items(batch, feeds, now).collect()}
+        faults |= {(r.payload.rpartition("/")[2], r.error) for r in fd.payload_faults(batch).collect()}
+        intake.take_in(intake.payload_stream(spark, f"file:{landing}", f"file:{archive}"), feeds, now, out, str(tmp_path / "check"))
+    got = spark.read.parquet(f"{out}/items").collect()
+    assert len(got) == len(items) and {(r.payload.rpartition("/")[2], *r[:6]) for r in got} == items
+    assert {(r.payload.rpartition("/")[2], r.error) for r in spark.read.parquet(f"{out}/faults").collect()} == faults == {("dtd.xml", "feed_xml_invalid"), ("rss.v2.xml", "feed_xml_invalid")}
+    assert any(p.name == "rss.xml" for p in archive.rglob("*"))
 
 
 def test_weekly_gate(spark):
