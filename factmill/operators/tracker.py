@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from factmill.functions import vocab
 from factmill.functions.text import empty_as_null, weight
+from factmill.operators.ordering import placed
 
 
 def load_watchlist(raw: DataFrame) -> DataFrame:
@@ -52,13 +52,6 @@ def build_tracker(watchlist: DataFrame, events: DataFrame, bucket_weights: Mappi
 
 
 def ranked(tracker: DataFrame) -> DataFrame:
-    """``tracker_rank``: place by falling score, then symbol and name.
-
-    Rows are numbered within their score, and the numbers of rows with higher scores are added: scores are few, so their
-    counts are one small table, and no task orders the whole watchlist.
-    """
-    inside = F.row_number().over(W.partitionBy("priority_score").orderBy("symbol", "name"))
-    sizes = tracker.groupBy(F.col("priority_score").alias("s_score")).agg(F.count(F.lit(1)).alias("s_n"))
-    higher = sizes.select("s_score", (F.sum("s_n").over(W.orderBy(F.desc("s_score"))) - F.col("s_n")).alias("s_before"))  # one row for each score
-    joined = tracker.withColumn("_r", inside).join(higher, F.col("priority_score").eqNullSafe(F.col("s_score")))
-    return joined.withColumn("tracker_rank", (F.col("s_before") + F.col("_r")).cast("int")).drop("_r", "s_score", "s_before")
+    """``tracker_rank``: place by falling score, then symbol and name. Symbols part the rows of one score, however many."""
+    out = placed(tracker, [F.col("priority_score").desc(), F.col("symbol"), F.col("name")], "tracker_rank")
+    return out.withColumn("tracker_rank", F.col("tracker_rank").cast("int"))

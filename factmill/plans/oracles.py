@@ -74,6 +74,13 @@ _FEED_ITEMS = """d0 AS (SELECT doc_id, 'feed-' || CAST(doc_id // 10 AS VARCHAR)
   'Document ' || CAST(doc_id AS VARCHAR) || CASE WHEN doc_id % 5 = 2 THEN ' <b>of</b> A &amp; B' ELSE '' END AS title, trim(regexp_replace(regexp_replace(coalesce(text, ''), '<[^>]+>', ' ', 'g'), '[\\s\\x1c-\\x1f\\x{85}\\p{Z}]+', ' ', 'g')) AS body FROM documents),
 d AS (SELECT *, bool_or((doc_id // 10) % 17 = 5 AND doc_id % 10 = 0) OVER (PARTITION BY feed_id) AS undated FROM d0)"""
 
+_LINES = _OUTCOMES + """,
+ln AS (SELECT row_number() OVER (ORDER BY item_id, published_at, source_type, source_url, author, ftext) - 1 AS i, doc_id, to_json({'author': author, 'item_id': item_id, 'published_at': published_at, 'source_type': source_type, 'source_url': source_url, 'text': ftext})::VARCHAR AS line,
+  to_json({'author': CASE WHEN doc_id % 300 = 7 THEN 'x' ELSE author END, 'item_id': item_id, 'published_at': published_at, 'source_type': source_type, 'source_url': source_url, 'text': ftext})::VARCHAR AS changed FROM fi WHERE state = 'accepted')"""
+_TREE = _LINES + ", t0 AS (SELECT i // 64 AS node, CAST(min(i) + 1 AS BIGINT) AS first, count(*) AS rows, sha256(string_agg(sha256(line), '' ORDER BY i)) AS digest FROM ln GROUP BY 1)" + "".join(
+    f", t{k} AS (SELECT node // 64 AS node, min(first) AS first, CAST(sum(rows) AS BIGINT) AS rows, sha256(string_agg(digest, '' ORDER BY node)) AS digest FROM t{k - 1} WHERE (SELECT count(*) FROM t{k - 1}) > 1 GROUP BY 1)" for k in (1, 2, 3, 4)
+)
+
 _DECISION = """count(*) AS feed_count, count(*) FILTER (state = 'accepted') AS successful_feed_count, count(*) FILTER (state = 'failed') AS failed_feed_count, count(*) FILTER (state = 'quarantined') AS quarantined_feed_count,
       CAST(coalesce(sum(k) FILTER (state = 'accepted'), 0) AS BIGINT) AS accepted_row_count, count(*) FILTER (state <> 'accepted') = 0 AS publication_complete, CASE WHEN bool_or(state = 'accepted' AND raw) THEN 'row_invalid' END AS error,
       CASE WHEN bool_or(state = 'accepted' AND raw) THEN 'invalid' WHEN bool_or(state = 'failed') THEN 'hard_fail' WHEN bool_or(state = 'quarantined') THEN 'quarantine' ELSE 'success' END AS decision"""
@@ -96,6 +103,7 @@ SQL = {
     "stable_item_id": "SELECT page_id, 'pages-' || substr(sha1('pages|' || url || '|' || CAST(page_id AS VARCHAR)), 1, 12) AS item_id FROM pages",
     "published_instant": """SELECT doc_id, strftime(CAST(DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER) AS TIMESTAMP) + to_hours(doc_id % 24) + to_minutes(doc_id % 60) + to_seconds(9)
       - to_minutes(CASE doc_id % 5 WHEN 1 THEN -300 WHEN 2 THEN 330 WHEN 4 THEN -420 ELSE 0 END), '%Y-%m-%dT%H:%M:%SZ') AS published_at FROM documents""",
+    "faulty_rows": "SELECT 'clerk ' || CAST(o_custkey % 50 AS VARCHAR) AS clerk, count(*) FILTER (o_orderkey % 7 <> 3 AND o_orderkey % 11 <> 5) AS rows, count(*) FILTER (o_orderkey % 7 = 3 OR o_orderkey % 11 = 5) AS faulty FROM orders GROUP BY 1",
     "published_forms": f"""SELECT doc_id, CASE doc_id % 21 WHEN 18 THEN NULL WHEN 19 THEN '2024-06-01T00:00:00Z' ELSE strftime(CAST(DATE '2024-01-01' + CAST(doc_id % 365 AS INTEGER) AS TIMESTAMP)
       + to_hours(CASE WHEN doc_id % 21 = 16 THEN 0 ELSE doc_id % 24 END) + to_minutes(CASE WHEN doc_id % 21 IN (9, 16) THEN 0 ELSE doc_id % 60 END) + to_seconds(CASE WHEN doc_id % 21 IN (9, 12, 16) THEN 0 ELSE 9 END)
       - to_minutes(CASE doc_id % 21 WHEN 13 THEN 120 WHEN 14 THEN -420 WHEN 15 THEN -210 WHEN 17 THEN -330 ELSE 0 END), '%Y-%m-%dT%H:%M:%SZ') END AS published_at FROM documents""",
@@ -128,6 +136,9 @@ SQL = {
       ELSE sha256('[]') END AS row_digest FROM fi GROUP BY n, state""",
     "accepted_rows_digest": f"""WITH {_OUTCOMES} SELECT count(*) AS row_count, CAST(coalesce(sum(CAST(('0x' || substr(md5(to_json({{'author': author, 'item_id': item_id, 'published_at': published_at, 'source_type': source_type, 'source_url': source_url, 'text': ftext}})::VARCHAR), 1, 15)) AS BIGINT)), 0) AS VARCHAR) AS hash_sum
       FROM fi WHERE state = 'accepted'""",
+    "event_order": f"WITH {_EVENTS} SELECT event_id, row_number() OVER (ORDER BY event_date, symbol, event_id) AS place FROM events_",
+    "accepted_rows_tree": f"WITH {_TREE} " + " UNION ALL ".join(f"SELECT {k} AS level, node, first, rows, digest FROM t{k}" for k in range(5)),
+    "accepted_rows_changed": f"WITH {_LINES} SELECT min(i) + 1 AS first, count(*) AS a_rows, count(*) AS b_rows FROM ln GROUP BY i // 64 HAVING bool_or(line <> changed)",
     "quality_summary": f"""WITH {_EVENTS}, {_OUTCOMES}, c AS (SELECT string_agg(confidence || '=' || CAST(k AS VARCHAR), ',' ORDER BY confidence) AS x FROM (SELECT confidence, count(*) AS k FROM events_ GROUP BY 1)),
       t AS (SELECT string_agg(event_type || '=' || CAST(k AS VARCHAR), ',' ORDER BY event_type) AS x FROM (SELECT event_type, count(*) AS k FROM events_ GROUP BY 1))
       SELECT (SELECT count(DISTINCT symbol) FROM events_) AS symbol_count, c.x AS confidence_counts, t.x AS event_type_counts, (SELECT count(*) FROM fb) AS feed_count,

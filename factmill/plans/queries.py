@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,11 +9,14 @@ from factmill.functions.text import confidence_of, is_government_url, is_https,
 from factmill.operators import event_study as es
 from factmill.operators import feeds as fd
 from factmill.operators import mentions as mt
+from factmill.operators import ordering as od
 from factmill.operators import quality as ql
 from factmill.operators import records as rc
 from factmill.operators import tracker as tr
 from factmill.operators import weekly as wk
 from factmill.sources import adapters as ad
+from factmill.sources import files
+from factmill.sources.shared import shared_folder
 from factmill.streaming import intake
 
 WINDOWS = (1, 5, 20)
@@ -80,6 +80,19 @@ def published_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad.table(spark, sf_dir, "documents").select("doc_id", utc_instant(F.concat(day, F.lit(" "), clock, zone), F.lit(INGESTED)).alias("published_at"))
 
 
+def faulty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as CSV lines, some with a cell too many or too few: how many rows of each clerk are read and quarantined."""
+    key, clerk = F.col("o_orderkey").cast("string"), F.concat(F.lit("clerk "), F.col("o_custkey") % 50)
+    cells = F.when(F.col("o_orderkey") % 7 == 3, F.concat_ws(",", key, clerk)).when(F.col("o_orderkey") % 11 == 5, F.concat_ws(",", key, clerk, F.lit('"a, b"'), F.lit("more")))
+    at = shared_folder(spark, "rows")
+    ad.table(spark, sf_dir, "orders").select(F.coalesce(cells, F.concat_ws(",", key, clerk, F.lit('"says ""a, b"""'))).alias("value")).write.text(at)
+    good, faulty = files.checked_rows(spark, at, ("key", "clerk", "note"), header=False)
+    read = good.where("note = 'says \"a, b\"'").groupBy("clerk").agg(F.count(F.lit(1)).alias("rows"))
+    kept = faulty.groupBy(F.split("line", ",")[1].alias("of")).agg(F.count(F.lit(1)).alias("faulty"))
+    both = read.join(kept, F.col("clerk") == F.col("of"), "full_outer")
+    return both.select(F.coalesce("clerk", "of").alias("clerk"), F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("faulty", F.lit(0)).alias("faulty"))
+
+
 def published_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates of documents in 21 forms that feeds use: mail dates with comments, full names, dashes, dots, obsolete and unknown zones; ISO forms; none."""
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
@@ -130,6 +143,31 @@ def tracker_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tr.ranked(tracker(spark, sf_dir)).select("symbol", "priority_score", "tracker_rank")
 
 
+def event_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each event by date, symbol and id."""
+    rows = ad.events(spark, sf_dir).select("event_id", "event_date", "symbol")
+    return od.placed(rows, [F.col("event_date"), F.col("symbol"), F.col("event_id")]).select("event_id", "place")
+
+
+def _row_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list, object]:
+    """Accepted rows of all feeds, their order, and each as JSON with keys in order."""
+    rows = ad.feed_outcomes(spark, sf_dir).where("state = 'accepted'").select(F.inline("rows"))
+    keys = ("item_id", "published_at", "source_type", "source_url", "author", "text")
+    return rows, [F.col(k) for k in keys], F.to_json(F.struct(*sorted(keys)))
+
+
+def accepted_rows_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact digest of all accepted rows in order, as a tree."""
+    return od.digest_tree(*_row_lines(spark, sf_dir), fan=64)
+
+
+def accepted_rows_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the rows differ from themselves with one author in each three hundred changed."""
+    rows, order, line = _row_lines(spark, sf_dir)
+    changed = rows.withColumn("author", F.when(F.regexp_extract("item_id", "[0-9]+$", 0).cast("long") % 300 == 7, "x").otherwise(F.col("author")))
+    return od.differing_ranges(od.digest_tree(rows, order, line, 64), od.digest_tree(changed, order, line, 64), 64)
+
+
 def symbol_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ql.symbol_summary(ad.events(spark, sf_dir)).select("symbol_count", F.array_join("symbols", ",").alias("symbols"))
 
@@ -325,19 +363,9 @@ def dataset_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ql.row_counts({t: ad.table(spark, sf_dir, t) for t in TABLES})
 
 
-def _stream_folder(spark: SparkSession) -> str:
-    """A new folder in the shared one, ``spark.checkpoint.dir``; a temporary one only where all runs on one machine."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="factmill-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def stream_weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a stream: weekly counts of the weeks that the watermark (14 days) has closed."""
-    at = _stream_folder(spark)
+    at = shared_folder(spark, "stream")
     stream = intake.stream_table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("timestamp").alias("ts"), "o_orderpriority")
     counted = intake.weekly_tumbling(stream, "ts", ["o_orderpriority"])
     intake.run_available(counted, f"{at}/rows", f"{at}/checkpoint")
@@ -346,7 +374,7 @@ def stream_weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as a stream of items, once each, and their mentions."""
-    at = _stream_folder(spark)
+    at = shared_folder(spark, "stream")
     items = intake.new_items(ad.items_of(intake.stream_table(spark, sf_dir, "documents")))
     found = intake.stream_mentions(items, mt.load_aliases(ad.aliases(spark))).select("item_id", "symbol")
     intake.run_available(found, f"{at}/rows", f"{at}/checkpoint")
@@ -355,7 +383,7 @@ def stream_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a stream of events; the stream is started again once all is read, which changes nothing."""
-    at = _stream_folder(spark)
+    at = shared_folder(spark, "stream")
     for _ in range(2):
         intake.refresh_evidence(ad.events_of(intake.stream_table(spark, sf_dir, "orders"), spark, sf_dir), f"{at}/evidence", f"{at}/checkpoint")
     return intake.current_tracker(spark, ad.watchlist(spark, sf_dir), f"{at}/evidence")
@@ -363,7 +391,7 @@ def stream_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_weekly_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as fetches of five feeds and a sixth that never comes; some fail, and one feed's items are a year old."""
-    at = _stream_folder(spark)
+    at = shared_folder(spark, "stream")
     orders = intake.stream_table(spark, sf_dir, "orders")
     day = F.to_date("o_orderdate")
     item = F.when(F.col("o_orderpriority").startswith("5") & (F.col("o_orderkey") % 4 > 0), F.date_sub(day, 365)).otherwise(day)
@@ -375,7 +403,7 @@ def stream_weekly_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_feed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads that land in two steps as a stream."""
-    at = _stream_folder(spark)
+    at = shared_folder(spark, "stream")
     payloads = ad.feed_payloads(spark, sf_dir)
     for half in (0, 1):
         payloads.where(F.pmod(F.crc32(F.col("feed_id").cast("binary")), F.lit(2)) == half).write.mode("append").parquet(f"{at}/landed")
@@ -388,7 +416,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         event_study, event_study_sparse_benchmark, event_coverage_gaps, price_last_wins, return_summary_by_type, normalize_records, rejected_records, url_predicates, strip_html, stable_item_id,
-        published_instant, published_forms, alias_kinds, mention_join, mention_many, mention_events, tracker, tracker_rank, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_faults, feed_statuses,
+        published_instant, published_forms, faulty_rows, alias_kinds, mention_join, mention_many, mention_events, tracker, tracker_rank, event_order, accepted_rows_tree, accepted_rows_changed, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_faults, feed_statuses,
         feed_digest, accepted_rows_digest, quality_summary, outcome_faults, publication_decision, group_decisions, status_audit, status_wire_audit, weekly_period, weekly_counts, weekly_snapshot, weekly_gate, contract_audit, lock_audit, lock_reconcile, weekly_manifest, manifest_audit, manifest_verify,
         live_manifest, dataset_inventory, stream_weekly_counts, stream_mentions, stream_tracker, stream_weekly_gate, stream_feed_parse,
     )

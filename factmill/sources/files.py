@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 FEED_COLUMNS = ("feed_id", "feed_url", "source_type", "author")
 ITEM_COLUMNS = ("item_id", "published_at", "source_type", "source_url", "author", "text")
+FAULTY = "_faulty_row"
 STATUS_SCHEMA = "feed_count bigint, successful_feed_count bigint, failed_feed_count bigint, item_count bigint, feeds array<struct<feed_id:string,feed_url:string,ok:boolean,item_count:bigint,error:string>>"
 
 
@@ -20,6 +21,21 @@ def read_rows(spark: SparkSession, path: str, columns: Sequence[str] | None = No
     return df.withColumns({c: F.lit("") for c in columns if c not in df.columns}).select(*columns) if columns else df
 
 
+def checked_rows(spark: SparkSession, path: str, columns: Sequence[str], header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Rows of CSV files with just these cells, as ``read_rows`` gives them, and all others as (file, line).
+
+    With a header its names must be ``columns``, in order. A row with too many or too few cells, or that is no CSV, is
+    quarantined with its text as it stands, and the rows beside it stay. A single empty cell may be blank text.
+    """
+    cells = ", ".join(f"`{c}` string" for c in (*columns, FAULTY))
+    reader = spark.read.schema(cells).option("header", header).option("enforceSchema", False).option("multiLine", True).option("escape", '"')
+    raw = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", FAULTY).csv(path)
+    cell = F.col(f"`{columns[0]}`")
+    raw = raw.where(cell.isNull() | (F.length(cell) >= 0))  # Spark reads no rows for the fault alone: this asks for a cell, and decides nothing
+    good = raw.where(F.col(FAULTY).isNull()).select([F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
+    return good, raw.where(F.col(FAULTY).isNotNull()).select(F.col("_metadata.file_path").alias("file"), F.col(FAULTY).alias("line"))
+
+
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:
     return read_rows(spark, path, FEED_COLUMNS)
 

@@ -109,3 +109,12 @@ def test_tracker(spark):
     assert (rows["B"].trigger_status, rows["B"].priority_score, rows["B"].latest_event_type) == ("disclosure_plus_mention", 11, "disclosure_buy")
     assert (rows["C"].trigger_status, rows["C"].priority_score) == ("new", 4)
     assert [s for s, _ in sorted(((s, r.tracker_rank) for s, r in rows.items()), key=lambda x: x[1])] == ["B", "A", "C"]
+
+
+def test_faulty_rows_are_quarantined(spark, tmp_path):
+    (tmp_path / "rows.csv").write_text('a,b,c\n1,"x\ny",3\n1,2\n1,2,3,4\n,,\n"q ""z""",é,\n')
+    good, faulty = files.checked_rows(spark, str(tmp_path / "rows.csv"), ("a", "b", "c"))
+    assert [tuple(r) for r in good.collect()] == [("1", "x\ny", "3"), ("", "", ""), ('q "z"', "é", "")]
+    assert [r.line for r in faulty.collect()] == ["1,2", "1,2,3,4"] and good.select("b").count() == 3 and faulty.select("line").count() == 2
+    with pytest.raises(Exception, match="(?i)header"):
+        files.checked_rows(spark, str(tmp_path / "rows.csv"), ("a", "c", "b"))[0].collect()
