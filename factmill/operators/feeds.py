@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from factmill.functions import vocab
+from factmill.functions.wire import elements, has_keys, is_value, repeats_a_key
 from factmill.functions.text import any_instant, joined_text, stable_id, unescaped, without_tags
 
 RAW_ITEM = "feed_id string, payload string, pos int, title string, body string, link string, published_at string, error string"
@@ -287,6 +288,7 @@ STATUS_SCHEMA = (
     f" feeds array<{_FEED}>, publication_complete boolean, quarantined_feed_count bigint, rejected_row_count bigint, status_version string, successful_feed_count bigint"
 )
 STATUS_FIELDS = tuple(field.split()[0] for field in STATUS_SCHEMA.split(", "))
+FEED_KEYS = tuple(field.split(":")[0] for field in _FEED[7:-1].split(","))
 COUNTERS = ("configured_feed_count", "feed_count", "successful_feed_count", "failed_feed_count", "quarantined_feed_count", "accepted_row_count", "rejected_row_count")
 
 
@@ -302,15 +304,16 @@ def _matches(c: Column, form: str) -> Column:
     return F.coalesce(c.rlike(form), F.lit(False))
 
 
-def _feed_fault(feeds: Column):
-    """For array functions over ``feeds``: the first fault of the i-th feed, given those before it."""
+def _feed_fault(feeds: Column, texts: Column | None = None):
+    """For array functions over ``feeds``: the first fault of the i-th feed, given those before it, and the feeds' texts, if there are."""
 
     def fault(f: Column, i: Column) -> Column:
         before, last = F.slice(feeds, 1, i), F.get(feeds, i - 1)
         accepted, key = f["state"] == "accepted", lambda x: F.struct(x["feed_id"].alias("a"), x["feed_url"].alias("b"))
         rows = f["accepted_row_count"]
         return (
-            F.when(_bad_text(f["feed_id"]) | _bad_text(f["feed_url"]), "feed_invalid")
+            F.when(F.lit(False) if texts is None else ~has_keys(F.get(texts, i), FEED_KEYS), "feed_invalid")
+            .when(_bad_text(f["feed_id"]) | _bad_text(f["feed_url"]), "feed_invalid")
             .when(F.exists(before, lambda x: x["feed_id"] == f["feed_id"]), "feed_duplicate")
             .when((i > 0) & (key(f) <= key(last)), "feed_order_invalid")
             .when(~_listed(f["kind"], vocab.FEED_KINDS), "feed_kind_invalid")
@@ -328,13 +331,15 @@ def _feed_fault(feeds: Column):
     return fault
 
 
-def status_error(field=F.col) -> Column:
+def status_error(field=F.col, texts: Column | None = None) -> Column:
     """The first broken rule of a status, null if it is sound. ``field``: its fields by name, those of STATUS_SCHEMA.
 
+    ``texts``: the feeds' JSON, where a status was read from text; their keys are then judged too.
+
     The feeds are judged one after another; totals, flags and digests are recomputed from them, all within the row.
     """
     feeds = field("feeds")
-    of_feeds = F.element_at(F.filter(F.transform(feeds, _feed_fault(feeds)), lambda e: e.isNotNull()), 1)
+    of_feeds = F.get(F.filter(F.transform(feeds, _feed_fault(feeds, texts)), lambda e: e.isNotNull()), 0)
     n = F.size(feeds).cast("long")
 
     def total(state: str) -> Column:
@@ -348,7 +353,7 @@ def status_error(field=F.col) -> Column:
         .when(field("publication_complete").isNull() | field("eligible_for_live_publication").isNull(), "status_flag_invalid")
         .when(~_matches(field("aggregate_row_digest"), vocab.DIGEST), "status_digest_invalid")
         .when(feeds.isNull() | (n == 0), "feed_invalid")
-        .when(F.try_element_at(F.filter(F.transform(feeds, _feed_fault(feeds)), lambda e: e.isNotNull()), F.lit(1)).isNotNull(), of_feeds)
+        .when(of_feeds.isNotNull(), of_feeds)
         .when((field("configured_feed_count") != n) | (field("feed_count") != n), "status_counter_invalid")
         .when((field("successful_feed_count") != total("accepted")) | (field("failed_feed_count") != total("failed")), "status_counter_invalid")
         .when((field("quarantined_feed_count") != total("quarantined")) | (field("accepted_row_count") != rows), "status_counter_invalid")
@@ -365,19 +370,19 @@ def audit_statuses(statuses: DataFrame) -> DataFrame:
 
 def status_wires(statuses: DataFrame) -> DataFrame:
     """(status_id, status): the canonical JSON of statuses in columns."""
-    feed = tuple(x.split(":")[0] for x in _FEED[7:-1].split(","))
-    feeds = F.transform("feeds", lambda f: F.struct(*[f[c].alias(c) for c in feed]))
+    feeds = F.transform("feeds", lambda f: F.struct(*[f[c].alias(c) for c in FEED_KEYS]))
     values = [(feeds if c == "feeds" else F.col(c)).alias(c) for c in STATUS_FIELDS]
     return statuses.select("status_id", F.to_json(F.struct(*values), {"ignoreNullFields": "false"}).alias("status"))
 
 
 def audit_status_wires(wires: DataFrame) -> DataFrame:
-    """status_id and error_code of statuses as JSON text (status_id, status): also other keys, and any byte off the canonical form."""
-    read = wires.withColumn("_s", F.from_json("status", STATUS_SCHEMA)).withColumn("_keys", F.json_object_keys("status"))
+    """status_id and error_code of statuses as JSON text (status_id, status): also other and repeated keys, the feeds' too, and any byte off the canonical form."""
+    text, s = F.col("status"), F.col("_s")
+    read = wires.withColumn("_s", F.from_json("status", STATUS_SCHEMA))
     error = (
-        F.when(F.col("_keys").isNull() | F.col("_s").isNull(), "status_invalid")
-        .when(F.size(F.array_distinct("_keys")) < F.size("_keys"), "status_duplicate_key")
-        .when(F.array_sort("_keys") != F.array(*map(F.lit, STATUS_FIELDS)), "status_invalid")
-        .otherwise(F.coalesce(status_error(lambda c: F.col("_s")[c]), F.when(F.to_json("_s", {"ignoreNullFields": "false"}) != F.col("status"), "status_noncanonical")))
+        F.when(~is_value(text), "status_invalid")
+        .when(repeats_a_key(text), "status_duplicate_key")
+        .when(~has_keys(text, STATUS_FIELDS) | s.isNull(), "status_invalid")
+        .otherwise(F.coalesce(status_error(lambda c: s[c], elements(text, "feeds")), F.when(F.to_json(s, {"ignoreNullFields": "false"}) != text, "status_noncanonical")))
     )
     return read.select("status_id", error.alias("error_code"))

@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factmill.functions import vocab
+from factmill.functions.wire import elements, has_keys, is_value, part, repeats_a_key
 
 CONTRACT_VERSION = "weekly_source.v1"
 LOCK_VERSION = "weekly_period_lock.v1"
 CALENDAR = "utc_iso_week_monday_sunday"
 MANIFEST_TYPE = "weekly_source_manifest"
-ARTIFACTS = "array<struct<path:string,row_count:bigint,sha256:string>>"
+ARTIFACT = "struct<path:string,row_count:bigint,sha256:string>"
+ARTIFACTS = f"array<{ARTIFACT}>"
+STATUS_KEYS = ("complete", "failed_feed_count", "feed_count", "missing_feed_count", "stale_feed_count", "successful_feed_count")
 #: Fields in alphabetical order, so that to_json is canonical.
 CONTRACT_SCHEMA = (
     "as_of string, cadence string, contract_version string, feed_status struct<complete:boolean,failed_feed_count:bigint,feed_count:bigint,missing_feed_count:bigint,stale_feed_count:bigint,successful_feed_count:bigint>,"
@@ -63,8 +66,7 @@ def weekly_gate(feeds: DataFrame, observed: DataFrame, weeks: DataFrame) -> Data
 
 
 def _json(schema: str, values: dict[str, Column]) -> Column:
-    names = [p.strip().split(" ")[0] for p in _top_fields(schema)]
-    return F.to_json(F.struct(*[values[n].alias(n) for n in names]), {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(*[values[n].alias(n) for n in _names(schema)]), {"ignoreNullFields": "false"})
 
 
 def _top_fields(schema: str) -> list[str]:
@@ -104,14 +106,36 @@ def _safe_path(p: Column) -> Column:
     return p.rlike(PATH) & ~F.exists(parts, lambda x: x.isin("", ".", ".."))
 
 
-def _artifact_faults(artifacts: Column) -> list[tuple[Column, str]]:
-    true = lambda c: F.coalesce(c, F.lit(False))
-    return [
-        (artifacts.isNull() | (F.size(artifacts) == 0), "source_artifact_invalid"),
-        (~F.forall(artifacts, lambda a: true(_safe_path(a["path"]))), "source_artifact_path_invalid"),
-        (~F.forall(artifacts, lambda a: true(a["sha256"].rlike(SHA256) & a["row_count"].between(0, vocab.MAX_SAFE_INTEGER))), "source_artifact_invalid"),
-        (F.size(F.array_distinct(F.transform(artifacts, lambda a: a["path"]))) < F.size(artifacts), "source_artifact_duplicate"),
-    ]
+def _artifacts_fault(text: Column) -> Column:
+    """The fault of the first faulty artifact of a contract's or lock's text, null if all are sound."""
+    items, true = elements(text, "source_artifacts"), lambda c: F.coalesce(c, F.lit(False))
+
+    def fault(item: Column) -> Column:
+        a = F.from_json(item, ARTIFACT)
+        sound = a["sha256"].rlike(SHA256) & a["row_count"].between(0, vocab.MAX_SAFE_INTEGER)
+        return F.when(~has_keys(item, ("path", "row_count", "sha256")), "source_artifact_invalid").when(~true(_safe_path(a["path"])), "source_artifact_path_invalid").when(~true(sound), "source_artifact_invalid")
+
+    first = F.get(F.filter(F.transform(items, fault), lambda e: e.isNotNull()), 0)
+    return F.when(items.isNull() | (F.size(items) == 0), "source_artifact_invalid").otherwise(first)
+
+
+def _artifact_faults(text: Column) -> list[tuple[Column, Column | str]]:
+    return [(_artifacts_fault(text).isNotNull(), _artifacts_fault(text))]
+
+
+def _repeated_paths(artifacts: Column) -> Column:
+    return F.size(F.array_distinct(F.transform(artifacts, lambda a: a["path"]))) < F.size(artifacts)
+
+
+def _canonical(o: Column, schema: str, generated: Column | None = None) -> Column:
+    """The text that a sound contract or lock is written as: artifacts by path, instants to the microsecond."""
+    o = o.withField("source_artifacts", F.array_sort(o["source_artifacts"]))
+    o = o if generated is None else o.withField("generated_at", F.date_format(generated, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    return F.to_json(F.struct(*[o[name].alias(name) for name in _names(schema)]), {"ignoreNullFields": "false"})
+
+
+def _names(schema: str) -> list[str]:
+    return [p.strip().split(" ")[0] for p in _top_fields(schema)]
 
 
 def _period_faults(o: Column) -> list[tuple[Column, str]]:
@@ -123,58 +147,71 @@ def _period_faults(o: Column) -> list[tuple[Column, str]]:
     ]
 
 
-def _first_fault(faults: Sequence[tuple[Column, str]]) -> Column:
+def _first_fault(faults: Sequence[tuple[Column, Column | str]]) -> Column:
     out = F.when(F.coalesce(faults[0][0], F.lit(True)), faults[0][1])
     for condition, code in faults[1:]:
         out = out.when(F.coalesce(condition, F.lit(True)), code)
     return out
 
 
-def audit_contracts(wires: DataFrame, column: str = "contract") -> DataFrame:
-    """Adds error_code: the first fault of each row's contract text, null if it is sound and byte for byte canonical.
-
-    The text is parsed by the schema and written again: missing, extra, repeated or reordered keys, wrong types and
-    white space all differ from what was given and end as ``noncanonical``.
-    """
-    o = F.col("_o")
-    rows = wires.withColumn("_o", F.from_json(column, CONTRACT_SCHEMA))
+def _contract_faults(text: Column, o: Column) -> list[tuple[Column, Column | str]]:
+    """Rules of a contract, its text and what CONTRACT_SCHEMA reads of it, in the order in which the first broken one counts."""
     status = o["feed_status"]
     counts = [status[c] for c in ("feed_count", "successful_feed_count", "failed_feed_count", "stale_feed_count", "missing_feed_count")]
     bad_count = F.lit(False)
     for c in counts:
         bad_count = bad_count | c.isNull() | ~c.between(0, vocab.MAX_SAFE_INTEGER)
-    generated = F.when(o["generated_at"].rlike(INSTANT), o["generated_at"].try_cast("timestamp"))
-    faults = [
-        (o.isNull(), "contract_shape_invalid"),
+    generated, (dates, period) = _generated(o), _period_faults(o)
+    return [
+        (~has_keys(text, _names(CONTRACT_SCHEMA)), "contract_shape_invalid"),
         ((o["schema_version"] != "1") | (o["contract_version"] != CONTRACT_VERSION) | (o["cadence"] != "weekly"), "contract_version_invalid"),
         (~o["run_mode"].isin("scheduled", "manual"), "run_mode_invalid"),
-        *_artifact_faults(o["source_artifacts"]),
-        (status.isNull() | bad_count | status["complete"].isNull(), "feed_status_invalid"),
+        *_artifact_faults(text),
+        (~has_keys(part(text, "feed_status"), STATUS_KEYS) | bad_count | status["complete"].isNull(), "feed_status_invalid"),
         ((counts[0] <= 0) | (counts[1] != counts[0]) | (counts[2] + counts[3] + counts[4] > 0) | ~status["complete"], "feed_status_incomplete"),
-        *_period_faults(o),
-        (generated.isNull() | (generated < F.try_to_date(o["period_end_exclusive"], "yyyy-MM-dd").cast("timestamp")), "generated_at_invalid"),
+        dates,
+        (generated.isNull(), "generated_at_invalid"),
+        period,
+        (generated < F.try_to_date(o["period_end_exclusive"], "yyyy-MM-dd").cast("timestamp"), "generated_at_invalid"),
         (~o["producer_ref"].rlike(SHA1) | ~o["source_provenance"].rlike(IDENTIFIER), "provenance_invalid"),
-        (F.to_json(o, {"ignoreNullFields": "false"}) != F.col(column), "noncanonical"),
+        (_repeated_paths(o["source_artifacts"]), "source_artifact_duplicate"),
     ]
+
+
+def _generated(o: Column) -> Column:
+    return F.when(o["generated_at"].rlike(INSTANT), o["generated_at"].try_cast("timestamp"))
+
+
+def audit_contracts(wires: DataFrame, column: str = "contract") -> DataFrame:
+    """Adds error_code: the first fault of each row's contract text, null if it is sound and byte for byte canonical.
+
+    Keys are judged at every depth: missing or extra ones are a fault of the object that they are in. The text is also
+    written again from what the schema reads: repeated or reordered keys, artifacts out of order, short fractions of
+    seconds and white space differ from what was given and end as ``noncanonical``.
+    """
+    o = F.col("_o")
+    rows = wires.withColumn("_o", F.from_json(column, CONTRACT_SCHEMA))
+    faults = [*_contract_faults(F.col(column), o), (_canonical(o, CONTRACT_SCHEMA, _generated(o)) != F.col(column), "noncanonical")]
     return rows.withColumn("error_code", _first_fault(faults)).drop("_o")
 
 
 def audit_manifests(wires: DataFrame, column: str = "manifest") -> DataFrame:
     """Adds error_code of each row's manifest text: of the wrapper, then of its contract, then any byte off the canonical form.
 
-    A contract whose content is sound but not written canonically leaves the manifest not canonical.
+    A key that an object at any depth has twice is ``manifest_duplicate_key``, whatever else is wrong. A contract whose
+    content is sound but not written canonically leaves the manifest not canonical.
     """
-    rows = wires.withColumns({"_keys": F.json_object_keys(column), "_m": F.from_json(column, "contract string, manifest_type string")})
-    rows = audit_contracts(rows.withColumn("_c", F.to_json(F.from_json(F.col("_m")["contract"], CONTRACT_SCHEMA), {"ignoreNullFields": "false"})), "_c").withColumnRenamed("error_code", "_inner")
-    error = (
-        F.when(F.col("_keys").isNull(), "manifest_wire_invalid")
-        .when(F.size(F.array_distinct("_keys")) < F.size("_keys"), "manifest_duplicate_key")
-        .when((F.array_sort("_keys") != F.array(F.lit("contract"), F.lit("manifest_type"))) | ~F.col("_m")["manifest_type"].eqNullSafe(F.lit(MANIFEST_TYPE)), "manifest_shape_invalid")
-        .when(F.json_object_keys(F.col("_m")["contract"]).isNull(), "manifest_contract_invalid")
-        .when(F.col("_inner").isNotNull(), F.col("_inner"))
-        .when(_manifest(F.col("_c")) != F.col(column), "manifest_noncanonical")
-    )
-    return rows.withColumn("error_code", error).drop("_keys", "_m", "_c", "_inner")
+    text, o = F.col(column), F.col("_o")
+    rows = wires.withColumn("_c", part(text, "contract")).withColumn("_o", F.from_json("_c", CONTRACT_SCHEMA))
+    error = _first_fault([
+        (~is_value(text), "manifest_wire_invalid"),
+        (repeats_a_key(text), "manifest_duplicate_key"),
+        (~has_keys(text, ("contract", "manifest_type")) | ~part(text, "manifest_type").eqNullSafe(F.lit(MANIFEST_TYPE)), "manifest_shape_invalid"),
+        (F.json_object_keys("_c").isNull(), "manifest_contract_invalid"),
+        *_contract_faults(F.col("_c"), o),
+        (_manifest(_canonical(o, CONTRACT_SCHEMA, _generated(o))) != text, "manifest_noncanonical"),
+    ])
+    return rows.withColumn("error_code", error).drop("_c", "_o")
 
 
 def verify_manifests(actual: DataFrame, expected: DataFrame) -> DataFrame:
@@ -206,10 +243,10 @@ def lock_rows(weeks: DataFrame) -> DataFrame:
 
 def audit_locks(wires: DataFrame, column: str = "lock") -> DataFrame:
     """Adds error_code of each row's lock text, as ``audit_contracts`` does."""
-    o = F.col("_o")
+    o, text = F.col("_o"), F.col(column)
     rows = wires.withColumn("_o", F.from_json(column, LOCK_SCHEMA))
     faults = [
-        (o.isNull(), "lock_shape_invalid"),
+        (~has_keys(text, _names(LOCK_SCHEMA)), "lock_shape_invalid"),
         ((o["lock_version"] != LOCK_VERSION) | (o["calendar"] != CALENDAR), "lock_version_invalid"),
         *_period_faults(o),
         (~o["workflow_ref"].rlike(WORKFLOW), "workflow_ref_invalid"),
@@ -219,8 +256,9 @@ def audit_locks(wires: DataFrame, column: str = "lock") -> DataFrame:
         (~o["source_snapshot_id"].rlike(IDENTIFIER), "source_snapshot_id_invalid"),
         (~o["source_snapshot_digest"].rlike(SHA256), "source_snapshot_digest_invalid"),
         (~o["source_provenance"].rlike(IDENTIFIER), "source_provenance_invalid"),
-        *_artifact_faults(o["source_artifacts"]),
-        (F.to_json(o, {"ignoreNullFields": "false"}) != F.col(column), "noncanonical"),
+        *_artifact_faults(text),
+        (_repeated_paths(o["source_artifacts"]), "source_artifact_duplicate"),
+        (_canonical(o, LOCK_SCHEMA) != text, "noncanonical"),
     ]
     return rows.withColumn("error_code", _first_fault(faults)).drop("_o")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 _TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 _EVENTS = """events_ AS (SELECT o_orderkey AS event_id, CAST(o_orderdate AS DATE) AS event_date, 'S' || CAST(o_custkey % (SELECT count(*) FROM supplier) AS VARCHAR) AS symbol,
   CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'public_mention' WHEN '2' THEN 'policy_capital' WHEN '3' THEN 'procurement' WHEN '4' THEN 'disclosure_buy' ELSE 'market_reaction' END AS event_type,
@@ -88,6 +90,92 @@ _DECISION = """count(*) AS feed_count, count(*) FILTER (state = 'accepted') AS s
 _WEEKS = f"{_EVENTS}, wk AS (SELECT *, CAST(date_trunc('week', event_date) AS DATE) AS period_start FROM events_)"
 _NUMBERED = _WEEKS + ", nums AS (SELECT period_start, (period_start - DATE '1994-12-26') // 7 AS n FROM wk GROUP BY period_start)"
 
+# The texts of contracts, and rules over such texts: what SQL reads there is what the queries wrote and tampered with.
+_CONTRACTS = f"""{_NUMBERED}, ac AS (SELECT period_start, confidence, count(*) AS k FROM wk GROUP BY 1, 2),
+      w AS (SELECT period_start, n, count(*) AS t, string_agg('{{"path":"events/' || confidence || '.csv","row_count":' || CAST(k AS VARCHAR) || ',"sha256":"' || sha256(CAST(period_start AS VARCHAR) || '|' || confidence) || '"}}', ',' ORDER BY confidence) AS files,
+        CASE WHEN n % 6 = 3 THEN 'HEAD' ELSE sha1(CAST(period_start AS VARCHAR)) END AS ref FROM ac JOIN nums USING (period_start) GROUP BY 1, 2),
+      c AS (SELECT period_start, n, files, ref, '{{"as_of":"' || CAST(period_start + 6 AS VARCHAR) || '","cadence":"weekly","contract_version":"weekly_source.v1","feed_status":{{"complete":true,"failed_feed_count":0,"feed_count":' || CAST(t AS VARCHAR)
+        || ',"missing_feed_count":0,"stale_feed_count":' || CASE WHEN n % 6 = 1 THEN '1' ELSE '0' END || ',"successful_feed_count":' || CAST(t AS VARCHAR) || '}},"generated_at":"' || CAST(CASE WHEN n % 6 = 2 THEN period_start ELSE period_start + 8 END AS VARCHAR)
+        || 'T00:00:00.000000Z","period_end_exclusive":"' || CAST(period_start + 7 AS VARCHAR) || '","period_start":"' || CAST(period_start AS VARCHAR) || '","producer_ref":"' || ref
+        || '","run_mode":"scheduled","schema_version":"1","source_artifacts":[' || files || '],"source_provenance":"star_schema"}}' AS contract FROM w)"""
+_CONTRACT_KEYS = "['as_of', 'cadence', 'contract_version', 'feed_status', 'generated_at', 'period_end_exclusive', 'period_start', 'producer_ref', 'run_mode', 'schema_version', 'source_artifacts', 'source_provenance']"
+_LOCK_KEYS = "['as_of', 'calendar', 'lock_version', 'period_end_exclusive', 'period_start', 'producer_ref', 'source_artifacts', 'source_attempt', 'source_provenance', 'source_run_id', 'source_snapshot_digest', 'source_snapshot_id', 'workflow_ref']"
+_GATE_KEYS = "['complete', 'failed_feed_count', 'feed_count', 'missing_feed_count', 'stale_feed_count', 'successful_feed_count']"
+
+
+def _wrapped(contract: str) -> str:
+    return f"""'{{"contract":' || {contract} || ',"manifest_type":"weekly_source_manifest"}}'"""
+
+
+def _text(x: str, path: str) -> str:
+    return f"json_extract_string({x}, '$.{path}')"
+
+
+def _off_canon(x: str, code: str) -> str:
+    return f"CASE WHEN CAST(json({x}) AS VARCHAR) <> {x} OR json_keys({x}) <> list_sort(json_keys({x})) THEN '{code}' END"
+
+
+def _period_off(x: str) -> str:
+    day = lambda c: f"CAST({_text(x, c)} AS DATE)"
+    return f"(isodow({day('period_start')}) <> 1 OR {day('period_end_exclusive')} - {day('period_start')} <> 7 OR {day('period_end_exclusive')} - {day('as_of')} <> 1)"
+
+
+def _artifact_fault(x: str) -> str:
+    return f"""CASE WHEN coalesce(json_array_length({x}, '$.source_artifacts'), 0) = 0 THEN 'source_artifact_invalid' ELSE list_filter(list_transform(json_extract({x}, '$.source_artifacts[*]'), lambda a: CASE
+        WHEN list_sort(list_distinct(json_keys(a))) <> ['path', 'row_count', 'sha256'] THEN 'source_artifact_invalid' WHEN NOT regexp_full_match({_text('a', 'path')}, '[A-Za-z0-9][A-Za-z0-9._/-]*') THEN 'source_artifact_path_invalid'
+        WHEN NOT regexp_full_match({_text('a', 'sha256')}, '[0-9a-f]{{64}}') OR CAST({_text('a', 'row_count')} AS BIGINT) < 0 THEN 'source_artifact_invalid' END), lambda e: e IS NOT NULL)[1] END"""
+
+
+def _contract_fault(x: str) -> str:
+    number = lambda c: f"CAST({_text(x, 'feed_status.' + c)} AS BIGINT)"
+    return f"""CASE WHEN NOT json_valid({x}) OR list_sort(list_distinct(json_keys({x}))) <> {_CONTRACT_KEYS} THEN 'contract_shape_invalid'
+        WHEN {_text(x, 'schema_version')} <> '1' OR {_text(x, 'contract_version')} <> 'weekly_source.v1' OR {_text(x, 'cadence')} <> 'weekly' THEN 'contract_version_invalid' WHEN {_text(x, 'run_mode')} NOT IN ('scheduled', 'manual') THEN 'run_mode_invalid'
+        WHEN {_artifact_fault(x)} IS NOT NULL THEN {_artifact_fault(x)} WHEN list_sort(list_distinct(json_keys({x}, '$.feed_status'))) <> {_GATE_KEYS} THEN 'feed_status_invalid'
+        WHEN {number('feed_count')} <= 0 OR {number('successful_feed_count')} <> {number('feed_count')} OR {number('failed_feed_count')} + {number('stale_feed_count')} + {number('missing_feed_count')} > 0 OR {_text(x, 'feed_status.complete')} <> 'true' THEN 'feed_status_incomplete'
+        WHEN {_period_off(x)} THEN 'period_invalid' WHEN CAST(replace({_text(x, 'generated_at')}, 'Z', '') AS TIMESTAMP) < CAST({_text(x, 'period_end_exclusive')} AS TIMESTAMP) THEN 'generated_at_invalid'
+        WHEN NOT regexp_full_match({_text(x, 'producer_ref')}, '[0-9a-f]{{40}}') OR NOT regexp_full_match({_text(x, 'source_provenance')}, '[a-z][a-z0-9]*(_[a-z0-9]+)*') THEN 'provenance_invalid' END"""
+
+
+def _manifest_fault(x: str) -> str:
+    twice = lambda keys: f"len(list_distinct({keys})) < len({keys})"
+    inner = f"CAST(json_extract({x}, '$.contract') AS VARCHAR)"
+    deep = f"len(list_filter(json_extract({x}, '$.contract.source_artifacts[*]'), lambda a: {twice('json_keys(a)')})) > 0"
+    return f"""CASE WHEN NOT json_valid({x}) THEN 'manifest_wire_invalid' WHEN {twice(f'json_keys({x})')} OR {twice(f"json_keys({x}, '$.contract')")} OR {twice(f"json_keys({x}, '$.contract.feed_status')")} OR {deep} THEN 'manifest_duplicate_key'
+        WHEN list_sort(json_keys({x})) <> ['contract', 'manifest_type'] OR {_text(x, 'manifest_type')} <> 'weekly_source_manifest' THEN 'manifest_shape_invalid' WHEN json_type({x}, '$.contract') <> 'OBJECT' THEN 'manifest_contract_invalid'
+        ELSE coalesce({_contract_fault(inner)}, {_off_canon(x, 'manifest_noncanonical')}) END"""
+
+
+_EMPTY = "'" + hashlib.sha256(b"[]").hexdigest() + "'"
+_STATUS_KEYS = "['accepted_row_count', 'aggregate_row_digest', 'configured_feed_count', 'eligible_for_live_publication', 'failed_feed_count', 'feed_count', 'feeds', 'publication_complete', 'quarantined_feed_count', 'rejected_row_count', 'status_version', 'successful_feed_count']"
+_FEED_KEYS = "['accepted_row_count', 'error_code', 'feed_id', 'feed_url', 'kind', 'rejected_row_count', 'row_digest', 'state']"
+# Statuses of ten feeds each as text, with the faults that the query's statuses have by number. Digests need not be those of rows but for the empty one.
+_STATUS_TEXTS = f"""{_OUTCOMES}, f0 AS (SELECT n, n // 10 AS status_id, 'feed-' || CAST(n AS VARCHAR) AS feed_id, state, CASE WHEN state = 'accepted' THEN k ELSE 0 END AS k, CASE WHEN n % 2 = 0 THEN 'rss2' ELSE 'atom' END AS kind,
+        CASE state WHEN 'failed' THEN '"http_error"' WHEN 'quarantined' THEN '"empty_feed"' ELSE 'null' END AS error, CASE WHEN state = 'accepted' THEN repeat('a', 64) ELSE {_EMPTY} END AS digest, (n // 10) % 5 AS way FROM fb),
+      f1 AS (SELECT *, '{{"accepted_row_count":' || CASE WHEN way = 4 THEN 0 ELSE k END || ',"error_code":' || error || ',"feed_id":"' || feed_id || '","feed_url":"https://feeds.example/' || n || '","kind":"' || kind || '","rejected_row_count":0,"row_digest":"'
+        || CASE WHEN way = 4 AND state <> 'accepted' THEN 'x' ELSE digest END || '","state":"' || state || '"}}' AS feed FROM f0),
+      f2 AS (SELECT status_id, way, count(*) AS size, count(*) FILTER (state = 'accepted') AS ok, count(*) FILTER (state = 'failed') AS failed, count(*) FILTER (state = 'quarantined') AS held, CAST(sum(k) AS BIGINT) AS rows, count(*) FILTER (state <> 'accepted') = 0 AS complete,
+        CASE WHEN way = 3 THEN string_agg(feed, ',' ORDER BY feed_id DESC) ELSE string_agg(feed, ',' ORDER BY feed_id) END AS feeds FROM f1 GROUP BY 1, 2),
+      st AS (SELECT status_id, '{{"accepted_row_count":' || rows || ',"aggregate_row_digest":"' || repeat('b', 64) || '","configured_feed_count":' || size || ',"eligible_for_live_publication":' || complete || ',"failed_feed_count":' || failed || ',"feed_count":' || size || ',"feeds":[' || feeds
+        || '],"publication_complete":' || CASE WHEN way = 2 THEN NOT complete ELSE complete END || ',"quarantined_feed_count":' || held || ',"rejected_row_count":0,"status_version":"feed_status.v1","successful_feed_count":' || (ok + CASE WHEN way = 1 THEN 1 ELSE 0 END) || '}}' AS x FROM f2)"""
+
+
+def _status_fault(x: str) -> str:
+    feeds = f"json_extract({x}, '$.feeds[*]')"
+    of = lambda test: f"len(list_filter({feeds}, lambda f: {test}))"
+    number = lambda c: f"CAST({_text(x, c)} AS BIGINT)"
+    state, rows, ids = _text("f", "state"), f"CAST({_text('f', 'accepted_row_count')} AS BIGINT)", f"list_transform({feeds}, lambda f: {_text('f', 'feed_id')})"
+    feed = f"""CASE WHEN list_sort(json_keys(f)) <> {_FEED_KEYS} THEN 'feed_invalid' WHEN i > 1 AND {ids}[i - 1] >= {_text('f', 'feed_id')} THEN 'feed_order_invalid' WHEN ({state} = 'accepted') <> ({rows} > 0) THEN 'feed_state_invalid'
+        WHEN NOT regexp_full_match({_text('f', 'row_digest')}, '[0-9a-f]{{64}}') THEN 'status_digest_invalid' WHEN ({state} = 'accepted') = ({_text('f', 'row_digest')} = {_EMPTY}) THEN 'empty_digest_invalid' END"""
+    first = f"list_filter(list_transform({feeds}, lambda f, i: {feed}), lambda e: e IS NOT NULL)[1]"
+    complete = f"({of(f"{state} <> 'accepted'")} = 0)"
+    return f"""CASE WHEN NOT json_valid({x}) THEN 'status_invalid' WHEN len(list_distinct(json_keys({x}))) < len(json_keys({x})) OR {of('len(list_distinct(json_keys(f))) < len(json_keys(f))')} > 0 THEN 'status_duplicate_key'
+        WHEN list_sort(json_keys({x})) <> {_STATUS_KEYS} THEN 'status_invalid' WHEN {_text(x, 'status_version')} <> 'feed_status.v1' THEN 'status_version_invalid' WHEN {first} IS NOT NULL THEN {first}
+        WHEN {number('feed_count')} <> len({feeds}) OR {number('successful_feed_count')} <> {of(f"{state} = 'accepted'")} OR {number('failed_feed_count')} <> {of(f"{state} = 'failed'")} OR {number('quarantined_feed_count')} <> {of(f"{state} = 'quarantined'")}
+          OR {number('accepted_row_count')} <> list_sum(list_transform({feeds}, lambda f: {rows})) THEN 'status_counter_invalid'
+        WHEN ({number('accepted_row_count')} = 0) <> ({_text(x, 'aggregate_row_digest')} = {_EMPTY}) THEN 'empty_digest_invalid'
+        WHEN CAST({_text(x, 'publication_complete')} AS BOOLEAN) <> {complete} OR CAST({_text(x, 'eligible_for_live_publication')} AS BOOLEAN) <> {complete} THEN 'status_flag_invalid' ELSE {_off_canon(x, 'status_noncanonical')} END"""
+
+
 SQL = {
     "event_study": f"WITH {_returns(False)} SELECT * FROM ret",
     "event_study_sparse_benchmark": f"WITH {_returns(True)} SELECT * FROM ret",
@@ -149,8 +237,9 @@ SQL = {
     "status_audit": f"""WITH {_OUTCOMES}, s AS (SELECT n // 10 AS status_id, count(*) AS k, count(*) FILTER (state = 'accepted') AS acc, min_by(state, 'feed-' || CAST(n AS VARCHAR)) AS first FROM fb GROUP BY 1)
       SELECT status_id, CASE WHEN status_id % 5 = 4 THEN CASE WHEN first = 'accepted' THEN 'feed_state_invalid' ELSE 'status_digest_invalid' END WHEN status_id % 5 = 3 AND k > 1 THEN 'feed_order_invalid'
       WHEN status_id % 5 = 1 THEN 'status_counter_invalid' WHEN acc = 0 THEN 'empty_digest_invalid' WHEN status_id % 5 = 2 THEN 'status_flag_invalid' END AS error_code FROM s""",
-    "status_wire_audit": f"""WITH {_OUTCOMES}, s AS (SELECT n // 50 AS status_id, count(*) FILTER (state = 'accepted') AS acc FROM fb WHERE (n // 10) % 5 = 0 GROUP BY 1)
-      SELECT status_id, CASE status_id % 5 WHEN 1 THEN 'status_invalid' WHEN 4 THEN 'status_duplicate_key' WHEN 3 THEN 'status_version_invalid' ELSE CASE WHEN acc = 0 THEN 'empty_digest_invalid' WHEN status_id % 5 = 2 THEN 'status_noncanonical' END END AS error_code FROM s""",
+    "status_wire_audit": f"""WITH {_STATUS_TEXTS}, t AS (SELECT status_id, CASE CAST(floor(status_id / 5 + status_id) AS BIGINT) % 8 WHEN 1 THEN replace(x, '"status_version"', '"state":1,"status_version"') WHEN 2 THEN ' ' || x WHEN 3 THEN replace(x, 'feed_status.v1', 'feed_status.v0')
+        WHEN 4 THEN replace(x, '"failed_feed_count"', '"feed_count":1,"failed_feed_count"') WHEN 5 THEN replace(x, '"kind":"atom"', '"kind":"atom","more":1') WHEN 6 THEN replace(x, '"kind":"atom"', '"kind":"atom","kind":"atom"') ELSE x END AS x FROM st)
+      SELECT status_id, {_status_fault('x')} AS error_code FROM t""",
     "weekly_period": f"WITH {_WEEKS} SELECT event_id, period_start, period_start + 7 AS period_end_exclusive, period_start + 6 AS as_of FROM wk",
     "weekly_counts": f"WITH {_WEEKS} SELECT period_start, event_type, count(*) AS events FROM wk GROUP BY 1, 2",
     "weekly_snapshot": f"""WITH {_WEEKS}, a AS (SELECT period_start, confidence, count(*) AS k FROM wk GROUP BY 1, 2) SELECT period_start,
@@ -158,19 +247,23 @@ SQL = {
     "weekly_gate": f"""WITH {_WEEKS}, a AS (SELECT period_start, confidence, count(*) AS k FROM wk GROUP BY 1, 2), grid AS (SELECT * FROM (SELECT DISTINCT period_start FROM wk), (SELECT DISTINCT confidence FROM wk))
       SELECT period_start, count(*) AS feed_count, count(*) FILTER (k > 1) AS successful_feed_count, count(*) FILTER (k = 1) AS failed_feed_count, CAST(0 AS BIGINT) AS stale_feed_count, count(*) FILTER (k IS NULL) AS missing_feed_count,
       bool_and(coalesce(k > 1, false)) AS complete FROM grid LEFT JOIN a USING (period_start, confidence) GROUP BY 1""",
-    "contract_audit": f"""WITH {_NUMBERED} SELECT period_start, CASE n % 6 WHEN 1 THEN 'feed_status_incomplete' WHEN 2 THEN 'generated_at_invalid' WHEN 3 THEN 'provenance_invalid' WHEN 4 THEN 'noncanonical' WHEN 5 THEN 'run_mode_invalid' END AS error_code FROM nums""",
-    "lock_audit": f"WITH {_NUMBERED} SELECT period_start, CASE WHEN n % 6 = 3 THEN 'producer_ref_invalid' END AS error_code FROM nums",
+    "contract_audit": f"""WITH {_CONTRACTS}, t AS (SELECT period_start, CASE n % 6 WHEN 4 THEN ' ' || contract WHEN 5 THEN replace(contract, '"run_mode":"scheduled"', '"run_mode":"nightly"') ELSE contract END AS x FROM c)
+      SELECT period_start, coalesce({_contract_fault('x')}, {_off_canon('x', 'noncanonical')}) AS error_code FROM t""",
+    "lock_audit": f"""WITH {_CONTRACTS}, t AS (SELECT period_start, '{{"as_of":"' || CAST(period_start + 6 AS VARCHAR) || '","calendar":"utc_iso_week_monday_sunday","lock_version":"weekly_period_lock.v1","period_end_exclusive":"' || CAST(period_start + 7 AS VARCHAR)
+        || '","period_start":"' || CAST(period_start AS VARCHAR) || '","producer_ref":"' || ref || '","source_artifacts":[' || files || '],"source_attempt":1,"source_provenance":"star_schema","source_run_id":"' || CAST(n + 1 AS VARCHAR)
+        || '","source_snapshot_digest":"' || sha256('[' || files || ']') || '","source_snapshot_id":"events_weekly","workflow_ref":"jobs/weekly@v1"}}' AS x FROM c)
+      SELECT period_start, CASE WHEN NOT json_valid(x) OR list_sort(json_keys(x)) <> {_LOCK_KEYS} THEN 'lock_shape_invalid' WHEN {_text('x', 'lock_version')} <> 'weekly_period_lock.v1' OR {_text('x', 'calendar')} <> 'utc_iso_week_monday_sunday' THEN 'lock_version_invalid'
+        WHEN {_period_off('x')} THEN 'period_invalid' WHEN NOT regexp_full_match({_text('x', 'workflow_ref')}, '[A-Za-z0-9][A-Za-z0-9._/@-]*') THEN 'workflow_ref_invalid' WHEN NOT regexp_full_match({_text('x', 'source_run_id')}, '[1-9][0-9]*') THEN 'source_run_id_invalid'
+        WHEN {_text('x', 'source_attempt')} <> '1' THEN 'source_attempt_invalid' WHEN NOT regexp_full_match({_text('x', 'producer_ref')}, '[0-9a-f]{{40}}') THEN 'producer_ref_invalid' WHEN NOT regexp_full_match({_text('x', 'source_snapshot_digest')}, '[0-9a-f]{{64}}') THEN 'source_snapshot_digest_invalid'
+        WHEN {_artifact_fault('x')} IS NOT NULL THEN {_artifact_fault('x')} ELSE {_off_canon('x', 'noncanonical')} END AS error_code FROM t""",
     "lock_reconcile": f"""WITH {_NUMBERED} SELECT period_start, CASE n % 10 WHEN 7 THEN 'missing' WHEN 8 THEN 'unexpected' WHEN 3 THEN 'mismatch' ELSE 'match' END AS verdict, CASE WHEN n % 10 = 3 THEN 'source_run_id' ELSE '' END AS differing FROM nums""",
-    "weekly_manifest": f"""WITH {_NUMBERED}, a AS (SELECT period_start, confidence, count(*) AS k FROM wk GROUP BY 1, 2),
-      w AS (SELECT period_start, n, count(*) AS t, string_agg('{{"path":"events/' || confidence || '.csv","row_count":' || CAST(k AS VARCHAR) || ',"sha256":"' || sha256(CAST(period_start AS VARCHAR) || '|' || confidence) || '"}}', ',' ORDER BY confidence) AS files
-        FROM a JOIN nums USING (period_start) GROUP BY 1, 2),
-      c AS (SELECT period_start, '{{"as_of":"' || CAST(period_start + 6 AS VARCHAR) || '","cadence":"weekly","contract_version":"weekly_source.v1","feed_status":{{"complete":true,"failed_feed_count":0,"feed_count":' || CAST(t AS VARCHAR)
-        || ',"missing_feed_count":0,"stale_feed_count":' || CASE WHEN n % 6 = 1 THEN '1' ELSE '0' END || ',"successful_feed_count":' || CAST(t AS VARCHAR) || '}},"generated_at":"' || CAST(CASE WHEN n % 6 = 2 THEN period_start ELSE period_start + 8 END AS VARCHAR)
-        || 'T00:00:00.000000Z","period_end_exclusive":"' || CAST(period_start + 7 AS VARCHAR) || '","period_start":"' || CAST(period_start AS VARCHAR) || '","producer_ref":"' || CASE WHEN n % 6 = 3 THEN 'HEAD' ELSE sha1(CAST(period_start AS VARCHAR)) END
-        || '","run_mode":"scheduled","schema_version":"1","source_artifacts":[' || files || '],"source_provenance":"star_schema"}}' AS contract FROM w)
-      SELECT period_start, '{{"contract":' || contract || ',"manifest_type":"weekly_source_manifest"}}' AS manifest FROM c""",
-    "manifest_audit": f"""WITH {_NUMBERED} SELECT period_start, CASE n % 7 WHEN 1 THEN 'manifest_shape_invalid' WHEN 3 THEN 'manifest_shape_invalid' WHEN 4 THEN 'manifest_duplicate_key' ELSE coalesce(CASE n % 6 WHEN 1 THEN 'feed_status_incomplete' WHEN 2 THEN 'generated_at_invalid' WHEN 3 THEN 'provenance_invalid' END, CASE WHEN n % 7 = 2 THEN 'manifest_noncanonical' END) END AS error_code FROM nums""",
-    "manifest_verify": f"""WITH {_NUMBERED} SELECT period_start, CASE n % 7 WHEN 4 THEN 'missing' WHEN 5 THEN 'unexpected' ELSE CASE n % 6 WHEN 1 THEN 'feed_status_incomplete' WHEN 2 THEN 'generated_at_invalid' WHEN 3 THEN 'provenance_invalid' ELSE CASE WHEN n % 7 = 3 THEN 'manifest_contract_mismatch' ELSE 'match' END END END AS verdict FROM nums""",
+    "weekly_manifest": f"WITH {_CONTRACTS} SELECT period_start, {_wrapped('contract')} AS manifest FROM c",
+    "manifest_audit": f"""WITH {_CONTRACTS}, m AS (SELECT period_start, n, {_wrapped('contract')} AS x FROM c),
+      t AS (SELECT period_start, CASE n % 7 WHEN 1 THEN replace(x, '"manifest_type"', '"kind":1,"manifest_type"') WHEN 2 THEN x || ' ' WHEN 3 THEN replace(x, 'weekly_source_manifest', 'daily') WHEN 4 THEN replace(x, '"manifest_type"', '"contract":{{}},"manifest_type"')
+        WHEN 5 THEN replace(x, '"complete":true', '"complete":true,"complete":true') WHEN 6 THEN replace(x, '{{"path"', '{{"more":1,"path"') ELSE x END AS x FROM m)
+      SELECT period_start, {_manifest_fault('x')} AS error_code FROM t""",
+    "manifest_verify": f"""WITH {_CONTRACTS}, a AS (SELECT period_start, {_wrapped('contract')} AS x FROM c WHERE n % 7 <> 4), e AS (SELECT period_start, CASE n % 7 WHEN 3 THEN replace(contract, '"run_mode":"scheduled"', '"run_mode":"manual"') ELSE contract END AS y FROM c WHERE n % 7 <> 5)
+      SELECT period_start, CASE WHEN x IS NULL THEN 'missing' WHEN y IS NULL THEN 'unexpected' ELSE coalesce({_manifest_fault('x')}, CASE WHEN json_extract(x, '$.contract') <> json(y) THEN 'manifest_contract_mismatch' ELSE 'match' END) END AS verdict FROM a FULL JOIN e USING (period_start)""",
     # files are known to SQL by path only: those of the scale at which results are compared
     "live_manifest": f"""WITH {_EVENTS}, {_OUTCOMES}, n AS ({" UNION ALL ".join(f"SELECT '{t}.parquet' AS path, count(*) AS k FROM {t}" for t in _TABLES)}),
       f AS (SELECT regexp_extract(filename, '[^/]+$') AS path, sha256(content) AS digest FROM read_blob('/root/testdata/sf0.01/*.parquet')),

@@ -261,12 +261,15 @@ def status_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def status_wire_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statuses as text: a key too many, a key twice, a space, another version."""
-    way = F.col("status_id") % 5
-    rows = fd.status_wires(_statuses(spark, sf_dir).where(F.col("status_id") % 5 == 0).withColumn("status_id", (F.col("status_id") / 5).cast("long")))
-    text = F.when(way == 1, F.replace("status", F.lit('"status_version"'), F.lit('"state":1,"status_version"'))).when(way == 2, F.concat(F.lit(" "), "status"))
-    text = text.when(way == 3, F.replace("status", F.lit("feed_status.v1"), F.lit("feed_status.v0"))).when(way == 4, F.replace("status", F.lit('{"accepted_row_count"'), F.lit('{"feed_count":1,"accepted_row_count"')))
-    return fd.audit_status_wires(rows.withColumn("status", F.when(way == 0, F.col("status")).otherwise(text)))
+    """Statuses of ten feeds each as text, sound or with faults of their own: a key too many or twice, at the top or in a feed, a space, another version."""
+    rows = fd.status_wires(_statuses(spark, sf_dir))
+    way, text = F.floor(F.col("status_id") / 5 + F.col("status_id")) % 8, F.col("status")
+    edit = lambda old, new: F.replace(text, F.lit(old), F.lit(new))
+    tampered = (
+        F.when(way == 1, edit('"status_version"', '"state":1,"status_version"')).when(way == 2, F.concat(F.lit(" "), text)).when(way == 3, edit("feed_status.v1", "feed_status.v0"))
+        .when(way == 4, edit('"failed_feed_count"', '"feed_count":1,"failed_feed_count"')).when(way == 5, edit('"kind":"atom"', '"kind":"atom","more":1')).when(way == 6, edit('"kind":"atom"', '"kind":"atom","kind":"atom"')).otherwise(text)
+    )
+    return fd.audit_status_wires(rows.withColumn("status", tampered))
 
 
 def weekly_period(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,7 +339,8 @@ def manifest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = (F.datediff("period_start", F.lit("1994-12-26").cast("date")) / 7).cast("int")
     text = (
         F.when(n % 7 == 1, F.replace("manifest", F.lit('"manifest_type"'), F.lit('"kind":1,"manifest_type"'))).when(n % 7 == 2, F.concat("manifest", F.lit(" ")))
-        .when(n % 7 == 3, F.replace("manifest", F.lit("weekly_source_manifest"), F.lit("daily"))).when(n % 7 == 4, F.replace("manifest", F.lit('"manifest_type"'), F.lit('"contract":{},"manifest_type"'))).otherwise(F.col("manifest"))
+        .when(n % 7 == 3, F.replace("manifest", F.lit("weekly_source_manifest"), F.lit("daily"))).when(n % 7 == 4, F.replace("manifest", F.lit('"manifest_type"'), F.lit('"contract":{},"manifest_type"')))
+        .when(n % 7 == 5, F.replace("manifest", F.lit('"complete":true'), F.lit('"complete":true,"complete":true'))).when(n % 7 == 6, F.replace("manifest", F.lit('{"path"'), F.lit('{"more":1,"path"'))).otherwise(F.col("manifest"))
     )
     rows = wk.manifest_rows(wk.contract_rows(_weeks(spark, sf_dir))).withColumn("manifest", text)
     return wk.audit_manifests(rows).select("period_start", "error_code")

@@ -148,7 +148,8 @@ def test_status_audit(spark, read):
 
 def test_status_texts(spark):
     good = status()
-    texts = {good: None, " " + good: "status_noncanonical", good.replace("{", '{"x":1,', 1): "status_invalid", good.replace("{", '{"feed_count":3,', 1): "status_duplicate_key", good[:-4]: "status_invalid", "[]": "status_invalid", good.replace('"kind":"rss2"', '"kind":"rss2","more":1', 1): "status_noncanonical"}
+    texts = {good: None, " " + good: "status_noncanonical", good.replace("{", '{"x":1,', 1): "status_invalid", good.replace("{", '{"feed_count":3,', 1): "status_duplicate_key", good[:-4]: "status_invalid", "[]": "status_invalid", good.replace('"kind":"rss2"', '"kind":"rss2","more":1', 1): "feed_invalid",
+        good.replace('"kind":"rss2"', '"kind":"rss2","kind":"rss2"', 1): "status_duplicate_key", good.replace('"kind":"rss2",', "", 1): "feed_invalid", good + "x": "status_invalid", good.replace('"feeds":[', '"feeds":[1,', 1): "feed_invalid", good.replace('"feeds":[', '"feeds":[[{"a":1,"a":2}],', 1): "status_duplicate_key"}
     got = [r.error_code for r in fd.audit_status_wires(spark.createDataFrame(list(enumerate(texts)), "status_id int, status string")).orderBy("status_id").collect()]
     assert got == list(texts.values())
     columns = spark.createDataFrame([(1, good)], "status_id int, status string").select("status_id", F.from_json("status", fd.STATUS_SCHEMA).alias("s")).select("status_id", "s.*")
@@ -161,9 +162,14 @@ def test_manifests(spark):
     assert text == json.dumps(json.loads(text), sort_keys=True, separators=(",", ":")) and set(json.loads(text)) == {"contract", "manifest_type"}
     inner = json.loads(text)["contract"]
     texts = {
-        text: None, " " + text: "manifest_noncanonical", text[:-3]: "manifest_wire_invalid", "[1]": "manifest_wire_invalid", text.replace("{", '{"x":1,', 1): "manifest_shape_invalid", text.replace("{", '{"manifest_type":"a",', 1): "manifest_duplicate_key",
+        text: None, " " + text: "manifest_noncanonical", text[:-3]: "manifest_wire_invalid", "[1]": "manifest_shape_invalid", text + "]": "manifest_wire_invalid", "": "manifest_wire_invalid", text.replace("{", '{"x":1,', 1): "manifest_shape_invalid", text.replace("{", '{"manifest_type":"a",', 1): "manifest_duplicate_key",
         text.replace(wk.MANIFEST_TYPE, "other"): "manifest_shape_invalid", json.dumps({"contract": 1, "manifest_type": wk.MANIFEST_TYPE}): "manifest_contract_invalid", text.replace('"run_mode":"manual"', '"run_mode":"x"'): "run_mode_invalid",
-        json.dumps({"contract": inner, "manifest_type": wk.MANIFEST_TYPE}): "manifest_noncanonical", text.replace('"cadence":"weekly"', '"cadence":"weekly","more":1'): "manifest_noncanonical",
+        json.dumps({"contract": inner, "manifest_type": wk.MANIFEST_TYPE}): "manifest_noncanonical", text.replace('"cadence":"weekly"', '"cadence":"weekly","more":1'): "contract_shape_invalid",
+        text.replace('"cadence":"weekly"', '"cadence":"weekly","cadence":"weekly"'): "manifest_duplicate_key", text.replace('"complete":true', '"complete":true,"complete":true'): "manifest_duplicate_key", text.replace('{"path":"b.csv"', '{"path":"b.csv","path":"b.csv"'): "manifest_duplicate_key",
+        text.replace('"complete":true', '"complete":true,"more":1'): "feed_status_invalid", text.replace('"stale_feed_count":0,', ""): "feed_status_invalid", text.replace('{"path":"b.csv"', '{"more":1,"path":"b.csv"'): "source_artifact_invalid", text.replace('"path":"a.csv",', ""): "source_artifact_invalid",
+        text.replace('"run_mode":"manual"', '"run_mode":{"x":1,"x":1}'): "manifest_duplicate_key", text.replace(".000005Z", "Z"): "manifest_noncanonical", text.replace('"source_artifacts":[', '"source_artifacts":[5,'): "source_artifact_invalid",
+        text.replace('"a.csv"', '"../a"').replace('{"path":"b.csv"', '{"more":1,"path":"b.csv"'): "source_artifact_path_invalid",
+        json.dumps({"contract": inner | {"source_artifacts": inner["source_artifacts"][::-1]}, "manifest_type": wk.MANIFEST_TYPE}, sort_keys=True, separators=(",", ":")): "manifest_noncanonical",
     }
     got = {r.manifest: r.error_code for r in wk.audit_manifests(spark.createDataFrame([(t,) for t in texts], "manifest string")).collect()}
     assert got == texts
@@ -209,7 +215,25 @@ def test_tampered_contracts(spark):
     text = wk.contract_rows(spark.createDataFrame([week()], WEEK)).first().contract
     wires = [" " + text, text.replace('"cadence":"weekly",', ""), text.replace("{", '{"x":1,', 1), text.replace('"cadence"', '"cadence":"weekly","cadence"'), text.replace('"row_count":1', '"row_count":"1"'), text[:-5]]
     got = [r.error_code for r in wk.audit_contracts(spark.createDataFrame([(w,) for w in wires], "contract string")).collect()]
-    assert all(got)
+    assert got == ["noncanonical", "contract_shape_invalid", "contract_shape_invalid", "noncanonical", "source_artifact_invalid", "contract_shape_invalid"]
+
+
+LOCKED = "period_start date, source_artifacts " + wk.ARTIFACTS + ", producer_ref string, source_provenance string, source_run_id string, source_snapshot_digest string, source_snapshot_id string, workflow_ref string"
+
+
+def test_lock_audit(spark):
+    """Each rule of a lock, one broken at a time, and the first of two."""
+    row = (datetime.date(2026, 1, 5), [("b.csv", 2, "0" * 64), ("a.csv", 1, "f" * 64)], "a" * 40, "live_feed", "12", "b" * 64, "events_weekly", "jobs/weekly@v1")
+    text = wk.lock_rows(spark.createDataFrame([row], LOCKED)).first().lock
+    assert text == json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"))
+    changes = {
+        "lock_version_invalid": ('"calendar":"', '"calendar":"x'), "period_invalid": ('"as_of":"2026-01-11"', '"as_of":"2026-01-10"'), "date_invalid": ('"as_of":"2026-01-11"', '"as_of":"2026-1-11"'), "workflow_ref_invalid": ("jobs/weekly@v1", "-x"), "source_run_id_invalid": ('"12"', '"012"'),
+        "source_attempt_invalid": ('"source_attempt":1', '"source_attempt":2'), "producer_ref_invalid": ("a" * 40, "A" * 40), "source_snapshot_id_invalid": ("events_weekly", "Events"), "source_snapshot_digest_invalid": ("b" * 64, "b" * 63), "source_provenance_invalid": ("live_feed", "live feed"),
+        "source_artifact_path_invalid": ('"a.csv"', '"a//b"'), "source_artifact_invalid": ('"row_count":1,', '"row_count":1.5,'), "source_artifact_duplicate": ('"a.csv"', '"b.csv"'), "lock_shape_invalid": ('"calendar"', '"more":1,"calendar"'), "noncanonical": ('","calendar', '", "calendar'),
+    }
+    texts = [text, *(text.replace(*c, 1) for c in changes.values()), text.replace("jobs/weekly@v1", "-x").replace("live_feed", "live feed"), "no"]
+    got = [r.error_code for r in wk.audit_locks(spark.createDataFrame([(t,) for t in texts], "lock string")).collect()]
+    assert got == [None, *changes, "workflow_ref_invalid", "lock_shape_invalid"]
 
 
 def test_reconcile(spark):
