@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from factmill.functions.text import empty_as_null
 from factmill.sources.blobs import streamed_digests
+from factmill.sources.files import publish
 
 
 def symbol_summary(events: DataFrame) -> DataFrame:
@@ -86,4 +87,4 @@ def live_manifest(spark: SparkSession, path: str, rows: DataFrame, quality: Data
 
 
 def write_live_manifest(spark: SparkSession, path: str, rows: DataFrame, quality: DataFrame, output: str, base: str | None = None) -> None:
-    live_manifest(spark, path, rows, quality, base).coalesce(1).write.mode("overwrite").text(output)
+    publish(live_manifest(spark, path, rows, quality, base), output, lambda df, to: df.coalesce(1).write.text(to))

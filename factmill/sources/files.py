@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,20 +60,45 @@ def read_status(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATUS_SCHEMA).option("multiLine", True).json(path)
 
 
+def publish(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) -> None:
+    """Puts what ``write(df, folder)`` writes in place of ``path``: all of it, or nothing.
+
+    Everything is written to a folder beside it first. Only when all tasks have ended is that folder renamed into place,
+    so a job that fails, or is killed, leaves what was published before; until then readers see that. What a task of a
+    lost executor had begun is in neither.
+    """
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    system = target.getFileSystem(conf)
+    new, old = (jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{target.getName()}-{kind}-{uuid.uuid4().hex}") for kind in ("new", "old"))
+    try:
+        write(df, new.toString())
+        had = system.exists(target)
+        if had and not system.rename(target, old):
+            raise OSError(f"{path} can't be moved")
+        if not system.rename(new, target):
+            if had:
+                system.rename(old, target)
+            raise OSError(f"{path} can't be put in place")
+    finally:
+        system.delete(new, True)
+    system.delete(old, True)
+
+
 def write_rows(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """CSV in a fixed column order; missing columns and nulls are ''."""
+    """CSV in a fixed column order; missing columns and nulls are ''. Published as a whole; the parts keep the order of ``df``."""
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns]
-    df.select(cells).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    publish(df.select(cells), path, lambda rows, to: rows.write.option("header", True).option("escape", '"').option("emptyValue", "").csv(to))
 
 
 def write_weekly(df: DataFrame, path: str, week: str = "period_start") -> None:
-    """Parquet, one folder for each week."""
-    df.write.mode("overwrite").partitionBy(week).parquet(path)
+    """Parquet, one folder for each week, published as a whole."""
+    publish(df, path, lambda rows, to: rows.write.partitionBy(week).parquet(to))
 
 
 def write_json_rows(df: DataFrame, path: str, value: str) -> None:
-    """One line of text for each row: canonical contracts, locks, manifests."""
-    df.select(F.col(value).alias("value")).write.mode("overwrite").text(path)
+    """One line of text for each row: canonical contracts, locks, manifests. Published as a whole, in the order of ``df``."""
+    publish(df.select(F.col(value).alias("value")), path, lambda rows, to: rows.write.text(to))
 
 
 def write_status(statuses: DataFrame, path: str) -> None:
@@ -80,4 +106,4 @@ def write_status(statuses: DataFrame, path: str) -> None:
     from factmill.operators.quality import feed_rollup
 
     feeds = statuses.agg(F.array_sort(F.collect_list(F.struct("feed_id", "feed_url", "ok", "item_count", "error"))).alias("feeds"))
-    feed_rollup(statuses).crossJoin(feeds).write.mode("overwrite").json(path)
+    publish(feed_rollup(statuses).crossJoin(feeds), path, lambda rows, to: rows.write.json(to))
