@@ -179,6 +179,12 @@ def _status_fault(x: str) -> str:
 SQL = {
     "event_study": f"WITH {_returns(False)} SELECT * FROM ret",
     "event_study_sparse_benchmark": f"WITH {_returns(True)} SELECT * FROM ret",
+    "return_texts": f"WITH {_returns(True)} SELECT event_id, window_days, printf('%.6f', base_close) AS base_close, printf('%.6f', exit_close) AS exit_close, printf('%.6f', return_pct) AS return_pct, coalesce(printf('%.6f', benchmark_return_pct), '') AS benchmark_return_pct, coalesce(printf('%.6f', abnormal_return_pct), '') AS abnormal_return_pct FROM ret",
+    "item_order": f"WITH {_ITEMS} SELECT item_id, row_number() OVER (ORDER BY day, item_id) AS place FROM items",
+    "watchlist_statuses": "SELECT 'C' || CAST(c_custkey AS VARCHAR) AS symbol, c_name AS name, '' AS bucket, CASE WHEN c_custkey % 3 = 1 THEN 'active' WHEN c_custkey % 2 = 0 THEN 'older' ELSE '' END AS research_status FROM customer",
+    "imported_events": f"""WITH {_RECORDS} SELECT 'official-' || replace(source_type, '_', '-') || '-page-' || CAST(page_id AS VARCHAR) AS event_id, day AS event_date, 'S' || CAST(page_id % 50 AS VARCHAR) AS symbol, event_type,
+      CASE WHEN page_id % 2 = 0 THEN 'neutral' ELSE 'bullish' END AS direction, {_CONFIDENCE} AS confidence, source_url, url AS notes FROM err WHERE error_code IS NULL OR error_code = 'entity_match_type_invalid' AND page_id % 50 <> 49 AND page_id % 41 <> 40 AND event_type <> 'rumour'
+      AND CASE WHEN page_id % 8 IN (0, 1, 4, 5, 6) THEN regexp_matches(lower(regexp_extract(source_url, '(?i)^https://([^/?#]+)', 1)), '\\.gov$') WHEN page_id % 8 IN (2, 3) THEN regexp_matches(source_url, '(?i)^https://[^/?#]+') ELSE false END""",
     "event_coverage_gaps": f"WITH {_EVENTS}, {_prices(False)} SELECT event_id, event_date, e.symbol FROM events_ e LEFT JOIN (SELECT symbol, max(date) AS last FROM prices WHERE symbol = 'SPY' OR CAST(substr(symbol, 2) AS BIGINT) % 3 <> 0 OR date < DATE '1999-01-01' GROUP BY 1) p ON p.symbol = e.symbol WHERE last IS NULL OR last < event_date",
     "price_last_wins": f"WITH {_RAW}, {_OWN} SELECT symbol, date, close FROM own",
     "return_summary_by_type": f"WITH {_returns(False)} SELECT event_type, window_days, count(*) AS returns, CAST(sum(CAST(return_pct AS DECIMAL(28,6))) AS DECIMAL(38,6)) AS return_sum, CAST(sum(CAST(abnormal_return_pct AS DECIMAL(28,6))) AS DECIMAL(38,6)) AS abnormal_sum FROM ret GROUP BY 1, 2",

@@ -32,6 +32,11 @@ def event_study_sparse_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return es.event_returns(ad.events(spark, sf_dir), ad.prices(spark, sf_dir, sparse=True), WINDOWS)
 
 
+def return_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event study as it is written to files, against the sparse benchmark, so that some cells are empty."""
+    return es.shown(event_study_sparse_benchmark(spark, sf_dir)).select("event_id", "window_days", "base_close", "exit_close", "return_pct", "benchmark_return_pct", "abnormal_return_pct")
+
+
 def event_coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events after the last price of their symbol; every third symbol is priced up to 1998 only."""
     prices = ad.prices(spark, sf_dir)
@@ -135,6 +140,32 @@ def mention_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mt.mention_events(ad.source_items(spark, sf_dir), mt.load_aliases(ad.aliases(spark))).select("event_id", "event_date", "symbol", "event_type", "direction", "confidence", "source_url")
 
 
+def item_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each source item by time and id."""
+    rows = ad.source_items(spark, sf_dir).select("item_id", "published_at")
+    return od.placed(rows, [F.col("published_at"), F.col("item_id")]).select("item_id", "place")
+
+
+def watchlist_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Watchlist rows of customers: a status of their own, or else that of the older column."""
+    raw = ad.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit(" c"), "c_custkey", F.lit(" ")).alias("symbol"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 3 == 0, "").when(F.col("c_custkey") % 3 == 1, "active").alias("research_status"),
+        F.when(F.col("c_custkey") % 2 == 0, "older").otherwise("").alias("article_status"),
+    )
+    return tr.load_watchlist(raw).select("symbol", "name", "bucket", "research_status")
+
+
+def imported_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sound official records as a file without its three latest columns, imported, and the events of the file that this writes."""
+    at = shared_folder(spark, "import")
+    optional = ("entity_match_type", "match_evidence", "relationship_type")
+    records = ad.official_records(spark, sf_dir).withColumns({"entity_match_type": F.lit("issuer"), "match_evidence": F.lit("page"), "relationship_type": F.lit("issuer")})
+    sound = records.where(rc.record_error().isNull())
+    files.write_rows(sound, f"{at}/records", [c for c in rc.RECORD_COLUMNS if c not in optional])
+    rc.import_official_events(spark, f"{at}/records", f"{at}/events")
+    return rc.load_events(files.read_rows(spark, f"{at}/events")).select("event_id", "event_date", "symbol", "event_type", "direction", "confidence", "source_url", "notes")
+
+
 def tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tr.build_tracker(ad.watchlist(spark, sf_dir), ad.events(spark, sf_dir))
 
@@ -419,8 +450,8 @@ def stream_feed_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        event_study, event_study_sparse_benchmark, event_coverage_gaps, price_last_wins, return_summary_by_type, normalize_records, rejected_records, url_predicates, strip_html, stable_item_id,
-        published_instant, published_forms, faulty_rows, alias_kinds, mention_join, mention_many, mention_events, tracker, tracker_rank, event_order, accepted_rows_tree, accepted_rows_changed, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_faults, feed_statuses,
+        event_study, event_study_sparse_benchmark, return_texts, event_coverage_gaps, price_last_wins, return_summary_by_type, normalize_records, rejected_records, url_predicates, strip_html, stable_item_id,
+        published_instant, published_forms, faulty_rows, alias_kinds, mention_join, mention_many, mention_events, item_order, watchlist_statuses, imported_events, tracker, tracker_rank, event_order, accepted_rows_tree, accepted_rows_changed, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_faults, feed_statuses,
         feed_digest, accepted_rows_digest, quality_summary, outcome_faults, publication_decision, group_decisions, status_audit, status_wire_audit, weekly_period, weekly_counts, weekly_snapshot, weekly_gate, contract_audit, lock_audit, lock_reconcile, weekly_manifest, manifest_audit, manifest_verify,
         live_manifest, dataset_inventory, stream_weekly_counts, stream_mentions, stream_tracker, stream_weekly_gate, stream_feed_parse,
     )
