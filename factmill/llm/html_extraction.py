@@ -34,6 +34,8 @@ OWN = frozenset("header masthead banner".split())
 BESIDE = frozenset("site page top bottom left right main primary secondary global block box list links bar area section wrap wrapper container inner outer item items unit slot strip buttons form row".split())
 #: Classes of the element that holds an article.
 ARTICLES = frozenset("article post entry hentry story content".split())
+#: Classes that make an element an article as its tag would, alone or beside each other, as in post-12 or type-post: its header is its own.
+POSTS, BESIDE_POSTS = frozenset("article post entry hentry story blogpost".split()), frozenset("single full body type format standard".split())
 UNWANTED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
 
 TAG = re.compile(
@@ -61,10 +63,10 @@ class Block:
 
 
 class _Node:
-    __slots__ = ("tag", "path", "depth", "off", "link", "mark", "title")
+    __slots__ = ("tag", "path", "depth", "off", "link", "mark", "title", "article")
 
-    def __init__(self, tag: str, path: str, depth: int, off: bool, link: bool, mark: int, title: bool) -> None:
-        self.tag, self.path, self.depth, self.off, self.link, self.mark, self.title = tag, path, depth, off, link, mark, title
+    def __init__(self, tag: str, path: str, depth: int, off: bool, link: bool, mark: int, title: bool, article: bool = False) -> None:
+        self.tag, self.path, self.depth, self.off, self.link, self.mark, self.title, self.article = tag, path, depth, off, link, mark, title, article
 
 
 def _unwanted(names: str, inside: bool) -> tuple[bool, bool]:
@@ -79,20 +81,30 @@ def _unwanted(names: str, inside: bool) -> tuple[bool, bool]:
     return sure, maybe
 
 
-def _flags(tag: str, attributes: str, inside: bool) -> tuple[str, bool, bool]:
-    """The generalised class of an element (digits as #), whether it is boilerplate, and whether its name may mean so; inside: within an article."""
-    off, maybe, first = tag in DROPPED or (tag == "header" and not inside), False, ""
+def _is_post(names: str) -> bool:
+    """Whether one of the classes says that the element is an article."""
+    for name in names.lower().split():
+        parts = [p for p in PARTS.split(name) if p]
+        if any(p in POSTS for p in parts) and all(p in POSTS or p in BESIDE_POSTS for p in parts):
+            return True
+    return False
+
+
+def _flags(tag: str, attributes: str, inside: bool) -> tuple[str, bool, bool, bool]:
+    """The generalised class of an element (digits as #), whether it is boilerplate, whether its name may mean so, and whether it is an article; inside: within one."""
+    off, maybe, first, article = tag in DROPPED or (tag == "header" and not inside), False, "", tag in ARTICLE_TAGS
     if attributes and tag not in ("html", "body"):
         for m in ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name == "class":
                 first = DIGITS.sub("#", value.split()[0]) if value.split() else ""
+                article = article or (tag in CONTAINERS and _is_post(value))
             if name in ("class", "id") and tag not in ("article", "main"):
                 found = _unwanted(value, inside)
                 off, maybe = off or found[0], maybe or found[1]
             elif name == "role" and value.lower() in UNWANTED_ROLES or name == "hidden" and not value:
                 off = True
-    return (f"{tag}.{first}" if first else tag), off, maybe
+    return (f"{tag}.{first}" if first else tag), off, maybe, article
 
 
 def blocks(html: str) -> list[Block]:
@@ -122,7 +134,7 @@ def blocks(html: str) -> list[Block]:
         nonlocal inside
         for node in stack[n:]:
             open_[node.tag] -= 1
-            inside -= node.tag in ARTICLE_TAGS
+            inside -= node.article
         del stack[n:]
 
     def last(tags: tuple[str, ...], stops) -> int:
@@ -167,7 +179,7 @@ def blocks(html: str) -> list[Block]:
         if tag in VOID or m[4].endswith("/") and tag not in BLOCKS:
             continue
         top = stack[-1]
-        label, off, maybe = _flags(tag, m[4], inside > 0)
+        label, off, maybe, article = _flags(tag, m[4], inside > 0)
         path, depth = top.path, top.depth
         if tag in CONTAINERS and depth < DEEPEST:
             path, depth = f"{path}/{label}", depth + 1
@@ -176,8 +188,8 @@ def blocks(html: str) -> list[Block]:
             outer.append(mark)
             mark = len(outer) - 1
         open_[tag] = open_.get(tag, 0) + 1
-        inside += tag in ARTICLE_TAGS
-        stack.append(_Node(tag, path, depth, top.off or off, top.link or tag == "a", mark, tag == "h1" or (top.title and tag not in BLOCKS)))
+        inside += article
+        stack.append(_Node(tag, path, depth, top.off or off, top.link or tag == "a", mark, tag == "h1" or (top.title and tag not in BLOCKS), article))
     if at < len(html) and not stack[-1].off:
         parts.append(html[at:])
     flush()

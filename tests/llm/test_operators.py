@@ -129,6 +129,14 @@ def test_votes_of_hosts(spark):
     assert got == wanted
 
 
+def test_headers_of_posts_are_their_own(spark):
+    """A header is the article's within an article, by its tag or its class, and boilerplate elsewhere."""
+    page = "<body><header><p>Site name</p></header><div class='{0}'><header><h1>My Title</h1><p>By me</p></header><p>First part of the text that is long.</p><p>Second part.</p></div><div class='story-page'><header>Other</header></div></body>"
+    for cls, own in (("post", True), ("post-12 type-post hentry", True), ("entry", True), ("box", False), ("post-list", False)):
+        text = " ".join(b.text for b in html_extraction.blocks(page.format(cls)))
+        assert text == ("My Title By me " if own else "") + "First part of the text that is long. Second part.", cls
+
+
 # --- toxicity
 
 
