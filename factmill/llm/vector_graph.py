@@ -526,10 +526,10 @@ def member_links(nodes: DataFrame, links: DataFrame, threshold: float) -> tuple[
 # --- the audit
 
 
-def _ask(asked: list, nodes: DataFrame, found: DataFrame, threshold: float) -> tuple[int, float]:
+def _ask(asked: list, nodes: DataFrame, found: DataFrame, threshold: float) -> tuple[int, float | None]:
     """How many of the asked nodes have links, and the mean over these of the share of a node's links that was found."""
     if not asked:
-        return 0, 1.0
+        return 0, None
     ids = np.array([r["nid"] for r in asked])
     groups: dict[str, list[int]] = {}
     for i, r in enumerate(asked):
@@ -549,30 +549,30 @@ def _ask(asked: list, nodes: DataFrame, found: DataFrame, threshold: float) -> t
     true = nodes.select("nid", "group", "vector", "mult").mapInPandas(compare, "nid long, true long").groupBy("nid").agg(F.sum("true").alias("true"))
     share = F.least("true", F.coalesce("n", F.lit(0))) / F.col("true")
     row = true.join(found, "nid", "left").agg(F.count(F.lit(1)).alias("linked"), F.avg(share).alias("share")).first()
-    return row["linked"], 1.0 if row["share"] is None else row["share"]
+    return row["linked"], row["share"]
 
 
-def audit(nodes: DataFrame, found: DataFrame, threshold: float, sample: int = AUDIT) -> float:
-    """Recall of ``found`` (nid, n) in its worst stratum, a mean over nodes that have links.
+def audit(nodes: DataFrame, found: DataFrame, threshold: float, sample: int = AUDIT) -> float | None:
+    """Recall of ``found`` (nid, n) in its worst stratum, a mean over nodes that have links; None if no node asked has any.
 
     Nodes with at least DENSE links found are one stratum, all others (pairs, small groups, nothing found) the other, so
     a large group cannot hide what is lost elsewhere. Of each a bounded sample is compared with every node of its label.
     """
     judged = nodes.select("nid", "group", "vector").join(found, "nid", "left")
-    dense, worst = F.coalesce("n", F.lit(0)) >= DENSE, 1.0
+    dense, worst = F.coalesce("n", F.lit(0)) >= DENSE, None
     for stratum in (dense, ~dense):
-        linked, recall, asked = 0, 1.0, []
+        linked, recall, asked = 0, None, []
         for most in (sample, max(sample, AUDIT_MORE)):
             if linked >= AUDIT_LINKED or (asked and len(asked) < sample):
                 break
             asked = judged.where(stratum).orderBy(F.xxhash64(F.lit(23), "nid")).limit(most).select("nid", "group", "vector").collect()
             linked, recall = _ask(asked, nodes, found, threshold)
-        worst = min(worst, recall)
+        worst = min((x for x in (worst, recall) if x is not None), default=None)
     return worst
 
 
-def vector_links(nodes: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, beam: int = BEAM, part: int = PART) -> tuple[DataFrame, DataFrame, DataFrame, list[float]]:
-    """(nid, n), (nid, cell), links (a, b) of cells, and the measured recall of each search.
+def vector_links(nodes: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, beam: int = BEAM, part: int = PART) -> tuple[DataFrame, DataFrame, DataFrame, list[float | None]]:
+    """(nid, n), (nid, cell), links (a, b) of cells, and the measured recall of each search (None where no node that was asked has links).
 
     ``nodes``: nid, group, vector, mult (rows that the node stands for). While the audit finds less than RECALL in any
     stratum, the graph is searched with a wider beam over more balls; after TRIES searches, or at once where it is
@@ -584,11 +584,11 @@ def vector_links(nodes: DataFrame, threshold: float = THRESHOLD, overlap: int =
     whole = materialize(nodes.join(members, "nid").join(radii.select(F.col("nid").alias("cell"), "r"), "cell"), "whole")
     cells = whole.where("nid = cell").select("nid", "group", "vector", "r")
     pairs = cells.groupBy("group").count().agg(F.sum(F.col("count").cast("double") * F.col("count") / 2)).first()[0] or 0
-    recalls: list[float] = []
+    recalls: list[float | None] = []
     for attempt in range(TRIES):
         counts, edges = member_links(whole, graph_links(cells, leaders, threshold, overlap, beam, part), threshold)
         recalls.append(audit(nodes, counts, threshold))
-        if recalls[-1] >= RECALL:
+        if recalls[-1] is None or recalls[-1] >= RECALL:
             break
         if pairs <= EXACT_PAIRS or attempt == TRIES - 1:
             counts, edges = member_links(whole, exact_links(cells, threshold), threshold)
@@ -598,8 +598,8 @@ def vector_links(nodes: DataFrame, threshold: float = THRESHOLD, overlap: int =
     return counts, members, edges, recalls
 
 
-def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, list[float]]:
-    """vec_id, n_links, component_id, kept for every row, and the recall that each search's audit measured.
+def link_vectors(embeddings: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, list[float | None]]:
+    """vec_id, n_links, component_id, kept for every row, and the recall that each search's audit measured (None: nothing to judge).
 
     Equal vectors of a label are one node and link with each other. Rows whose label, vec_id or vector is null, or
     whose vector is empty, zero or holds a null or non-finite component, link with nothing and keep themselves (with a

@@ -403,6 +403,12 @@ def test_vector_links_lost_by_search_are_found(spark, monkeypatch, pairs):
 # --- language model
 
 
+def test_recall_is_none_where_nothing_was_judged(spark):
+    x = np.eye(64)[np.arange(60)]
+    out, recalls = vector_graph.link_vectors(spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int"))
+    assert recalls == [None] and {r.n_links for r in out.collect()} == {0}
+
+
 def test_class_ngrams(spark):
     r = random.Random(6)
     docs = [(i, " ".join(r.choice(["a", "b", "c", "d"] if (j + i) % 2 else ["U", "v", "x", "y"]) if j % 9 else f"rare{r.randrange(300)}" for j in range(60))) for i in range(200)]
