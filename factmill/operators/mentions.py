@@ -15,7 +15,8 @@ from factmill.operators.records import normalize_records
 SCAN_ALIASES = 100_000
 # Letters that expressions without case take for an ASCII letter and lower() does not, and these ASCII letters.
 ALNUM = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
-FOLDING = str.maketrans("\u017f\u212a\u0130\u0131", "skii")
+FOLDED = "\u017f\u212a\u0130\u0131"
+FOLDING = str.maketrans(FOLDED, "skii")
 
 
 def load_aliases(raw: DataFrame) -> DataFrame:
@@ -43,9 +44,14 @@ def alias_pattern(alias: Column) -> Column:
     )
 
 
+def _folded(text: str) -> str:
+    """Lower case in which every ASCII letter stands wherever an expression without case would find it; as long as the text."""
+    return (text.translate(FOLDING) if any(c in text for c in FOLDED) else text).lower()
+
+
 def _held_by(alias: str, kind: str) -> str:
     """A run of ASCII characters that a folded text holds wherever the alias matches; '' if the alias has none."""
-    low = ("$" if kind == "cashtag" else "") + alias.translate(FOLDING).lower()
+    low = ("$" if kind == "cashtag" else "") + _folded(alias)
     return max(re.findall(r"[\x00-\x7f]+", low), key=len, default="")
 
 
@@ -92,7 +98,7 @@ def _matcher(aliases: list[tuple[str, str, str]]):
         automaton, patterns = ready
         out = []
         for text in texts:
-            folded, found, asked = text.translate(FOLDING).lower(), set(), {id(always): always}  # as long as the text
+            folded, found, asked = _folded(text), set(), {id(always): always}
             for last, (length, plain, others) in automaton.iter(folded) if by_run else ():
                 for symbol, _, kind in plain:
                     if symbol not in found and _stands(folded, last + 1 - length, last + 1, kind):
