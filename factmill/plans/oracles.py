@@ -208,6 +208,8 @@ SQL = {
     "mention_join": f"WITH {_MENTIONS} SELECT item_id, symbol FROM found",
     "mention_many": f"""WITH {_ITEMS}, w AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS word FROM items), most AS (SELECT word FROM w WHERE regexp_full_match(word, '[a-z]{{4,9}}') GROUP BY 1 ORDER BY count(*) DESC, word LIMIT 1000)
       SELECT DISTINCT item_id, upper(word) AS symbol FROM w JOIN most USING (word)""",
+    "mention_index": f"""WITH {_ITEMS}, w AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS word FROM items)
+      SELECT item_id, upper(word) AS symbol FROM w WHERE regexp_full_match(word, '[a-z]{{4,9}}')""",
     "stream_mentions": f"WITH {_MENTIONS} SELECT item_id, symbol FROM found",
     "mention_events": f"""WITH {_MENTIONS}, j AS (SELECT i.*, f.symbol FROM items i JOIN found f USING (item_id)) SELECT 'official-' || replace(source_type, '_', '-') || '-' || item_id || '-' || lower(symbol) AS event_id, day AS event_date, symbol,
       CASE WHEN source_type = 'financial_media' THEN 'public_mention' WHEN regexp_matches(lower(text), 'contract|procurement|award') THEN 'procurement' WHEN regexp_matches(lower(text), 'policy|funding|capital|stake') THEN 'policy_capital' ELSE 'public_mention' END AS event_type,

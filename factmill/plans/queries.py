@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from factmill.functions.text import confidence_of, is_government_url, is_https, slug, stable_id, unescaped, utc_instant, without_tags
 from factmill.operators import event_study as es
 from factmill.operators import feeds as fd
+from factmill.operators import mention_index as mi
 from factmill.operators import mentions as mt
 from factmill.operators import ordering as od
 from factmill.operators import quality as ql
@@ -136,6 +137,13 @@ def mention_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mt.mentions(items, mt.load_aliases(most.select(F.col("word").alias("symbol"), F.col("word").alias("aliases"))))
 
 
+def mention_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of 4 to 9 letters that documents hold as an alias, found by the inverted index."""
+    items = ad.source_items(spark, sf_dir)
+    words = items.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))).alias("word")).where("word rlike '^[a-z]{4,9}$'").distinct()
+    return mi.indexed_mentions(items, mt.load_aliases(words.select(F.col("word").alias("symbol"), F.col("word").alias("aliases"))))
+
+
 def mention_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mt.mention_events(ad.source_items(spark, sf_dir), mt.load_aliases(ad.aliases(spark))).select("event_id", "event_date", "symbol", "event_type", "direction", "confidence", "source_url")
 
@@ -451,7 +459,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         event_study, event_study_sparse_benchmark, return_texts, event_coverage_gaps, price_last_wins, return_summary_by_type, normalize_records, rejected_records, url_predicates, strip_html, stable_item_id,
-        published_instant, published_forms, faulty_rows, alias_kinds, mention_join, mention_many, mention_events, item_order, watchlist_statuses, imported_events, tracker, tracker_rank, event_order, accepted_rows_tree, accepted_rows_changed, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_faults, feed_statuses,
+        published_instant, published_forms, faulty_rows, alias_kinds, mention_join, mention_many, mention_index, mention_events, item_order, watchlist_statuses, imported_events, tracker, tracker_rank, event_order, accepted_rows_tree, accepted_rows_changed, symbol_summary, confidence_counts, event_type_counts, feed_rollup, feed_top_n, feed_parse, feed_faults, feed_statuses,
         feed_digest, accepted_rows_digest, quality_summary, outcome_faults, publication_decision, group_decisions, status_audit, status_wire_audit, weekly_period, weekly_counts, weekly_snapshot, weekly_gate, contract_audit, lock_audit, lock_reconcile, weekly_manifest, manifest_audit, manifest_verify,
         live_manifest, dataset_inventory, stream_weekly_counts, stream_mentions, stream_tracker, stream_weekly_gate, stream_feed_parse,
     )
