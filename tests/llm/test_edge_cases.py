@@ -1,6 +1,10 @@
 """Every operator on empty tables, nulls in all columns, empty and very long texts, ties, repeated rows and clashing extra columns."""
 
+import hashlib
+import zlib
+
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from factmill.llm import class_ngrams, decontamination, html_extraction, packing, pii, sharding, simhash, token_files, toxicity, vector_graph
@@ -40,6 +44,49 @@ def operators(spark):
 NAMES = ["toxicity", "decontamination", "class_ngrams", "pii", "pii by shuffle", "simhash", "tokens", "sharding", "packing"]
 
 
+def simhash_of(text):
+    words = (text or "").split()
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(len(words) - 3, 1))] if words else []
+    votes = [xxhash.xxh64(x.encode(), seed=42).intdigest() for x in shingles]
+    return f"{sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in votes) > len(votes)):016x}"
+
+
+def digest(items):
+    return hashlib.sha256(items.encode()).hexdigest()
+
+
+#: What each row of TEXTS must give, by its text alone.
+WORDS = {text: len((text or "").split()) for _, text in TEXTS}
+HITS = {TEXTS[0][1]: (11, 2, "1,2"), "one two three": (2, 1, "2")}
+VALUES = {
+    "toxicity": (lambda r: (0 <= r.score <= 1, r.predicted), lambda t: (True, 0)),
+    "decontamination": (lambda r: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated), lambda t: (WORDS[t], *HITS.get(t, (0, 0))[:2], digest(HITS.get(t, (0, 0, ""))[2]), t in HITS)),
+    "class_ngrams": (lambda r: (r.n_tokens, r.train_tokens), lambda t: (WORDS[t] + 1, 15)),
+    "pii": (lambda r: (r.text, r.n_entities, r.n_distinct), lambda t: (t, 0, 0)),
+    "simhash": (lambda r: r.fingerprint, simhash_of),
+    "sharding": (lambda r: (r.size, r.text_crc32), lambda t: (len(t or "") + 16, zlib.crc32((t or "").encode()))),
+}
+VALUES["pii by shuffle"] = VALUES["pii"]
+
+
+@pytest.mark.parametrize("name", sorted(VALUES))
+def test_values_of_odd_rows(spark, name):
+    of_row, of_text = VALUES[name]
+    got = sorted(((r.doc_id or 0, of_row(r)) for r in operators(spark)[name](documents(spark)).collect()), key=repr)
+    assert got == sorted(((i or 0, of_text(t)) for i, t in TEXTS), key=repr)
+
+
+def test_tokens_of_odd_rows(spark):
+    from tokenizers import Tokenizer
+
+    of = Tokenizer.from_file(vocabulary_path())
+    wanted = sorted((i or 0, len(of.encode(t or "", add_special_tokens=False).ids)) for i, t in TEXTS)
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in operators(spark)["tokens"](documents(spark)).collect()) == wanted
+    pieces = operators(spark)["packing"](documents(spark)).collect()
+    assert sorted((r.doc_id or 0, r.doc_tokens - 1) for r in pieces if r.start == 0) == wanted
+    assert sum(r.length for r in pieces) == sum(n + 1 for _, n in wanted)
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_odd_rows(spark, name):
     rows = operators(spark)[name](documents(spark)).collect()

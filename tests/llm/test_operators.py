@@ -570,6 +570,32 @@ def test_collisions_are_redrawn(spark, broadcast_rows):
     assert len({r.text for r in out}) == len(names) and not {r.text for r in out} & {t for _, t in names}
 
 
+def pseudonymized(texts, key):
+    """The texts with surrogates, by all entities in one set and one redraw of each collision after another."""
+    waiting = {e: 0 for t in texts for parts in pii._keyed(pii.find(t)) for e in parts}
+    said, fixed, attempts = set(waiting), set(), {}
+    while waiting:
+        drawn = {}
+        for (kind, canonical), n in waiting.items():
+            drawn.setdefault((kind, pii.surrogate(kind, canonical, n, key=key)), []).append(canonical)
+        settled = {(k, min(of)) for (k, s), of in drawn.items() if (k, s) not in said | fixed}
+        fixed |= {(k, s) for (k, s) in drawn if (k, s) not in said | fixed}
+        attempts |= {e: n for e, n in waiting.items() if e in settled and n}
+        waiting = {e: n + 1 for e, n in waiting.items() if e not in settled}
+    return [pii.replace(t, attempts, key)[0] for t in texts], attempts
+
+
+@pytest.mark.parametrize("broadcast_rows", [10_000, 0])
+def test_surrogates_equal_brute_force(spark, broadcast_rows):
+    r = random.Random(6)
+    said = ["".join(r.choice("bdglmnrst") + r.choice("aeiou") for _ in range(r.choice((2, 3)))).title() for _ in range(300)]
+    texts = [f"{r.choice(('Mr.', 'Mrs.', 'Dr.'))} {r.choice(said)} {r.choice(said)} of {r.choice(said).lower()}@{r.choice(said).lower()}.example, 10.0.0.{r.randrange(256)}; Mr. {r.choice(said)}" for _ in range(200)]
+    wanted, attempts = pseudonymized(texts, KEY)
+    out = {x.doc_id: x.text for x in pii.pseudonymize(spark.createDataFrame(list(enumerate(texts)), DOCS), KEY, broadcast_rows=broadcast_rows).collect()}
+    assert [out[i] for i in range(len(texts))] == wanted and len(attempts) > 50
+    assert not any(a == b for a, b in zip(wanted, texts, strict=True))
+
+
 def test_surrogates_do_not_run_out(spark):
     syllables = ["ba", "co", "du", "fe", "gi", "lo", "mu", "na", "pe", "ri", "so", "tu", "va"]
     said = [f"Mr. {a.title()}{b}{c}" for a in syllables for b in syllables for c in syllables][:2100] + [f"Herr {a.title()}{b} Smith" for a in syllables for b in syllables] + [f"{a}@b.example" for a in "abcdefghijklmnopqrstuvwxyz"]
