@@ -179,3 +179,38 @@ def joined_text(title: Column, body: Column) -> Column:
 def percent_return(start: Column, end: Column) -> Column:
     """(end / start - 1) * 100 in this order; a start of 0 raises under ANSI mode."""
     return (end / start - F.lit(1.0)) * F.lit(100.0)
+
+
+def six_decimals(c: Column) -> Column:
+    """A double as text with six decimals, rounded by its exact value and ties to even, as C and Python do.
+
+    ``format_string`` rounds the shortest decimal that names the double, and ties up. The two can differ only next to a
+    tie; there the fraction is taken apart into integers. Beyond 2^53 a double has no fraction; beyond 2^63 its digits are
+    ``format_string``'s.
+    """
+    units = F.abs(c) * 1e6
+    near = (F.abs(units - F.floor(units) - 0.5) <= 1e-3 + units * 2.0**-50) | F.abs(c).between(2.0**32, 2.0**62)
+    exact = F.get(F.transform(F.transform(F.transform(F.array(c), _taken_apart), _in_units), _spelled), 0)  # each step is computed once
+    return F.when(c.isNotNull(), F.when(near & (F.abs(c) < 2.0**63), exact).otherwise(F.format_string("%.6f", c)))
+
+
+def _taken_apart(c: Column) -> Column:
+    """A double's sign, whole part, and its fraction as integers: 30 bits, 50 more bits, and whether there is anything below."""
+    whole = F.floor(F.abs(c))
+    high = (F.abs(c) - whole) * 2.0**30
+    low = (high - F.floor(high)) * 2.0**50
+    sign = F.when(F.format_string("%.0f", c).startswith("-"), "-").otherwise("")
+    return F.struct(sign.alias("sign"), whole.alias("whole"), F.floor(high).alias("high"), F.floor(low).alias("low"), (low > F.floor(low)).alias("more"))
+
+
+def _in_units(v: Column) -> Column:
+    """The fraction in millionths, and in 2^-80 of them what is left."""
+    n = v["high"].cast("decimal(10,0)") * F.lit(str(10**6 << 50)).cast("decimal(22,0)") + v["low"].cast("decimal(16,0)") * F.lit(10**6).cast("decimal(7,0)")
+    one = F.lit(str(1 << 80)).cast("decimal(25,0)")
+    return F.struct(v["sign"].alias("sign"), v["whole"].alias("whole"), F.floor((n - n % one) / one).cast("long").alias("units"), (n % one).alias("rest"), v["more"].alias("more"))
+
+
+def _spelled(v: Column) -> Column:
+    half = F.lit(str(1 << 79)).cast("decimal(24,0)")
+    units = v["units"] + F.when((v["rest"] > half) | (v["rest"] == half) & (v["more"] | (v["units"] % 2 == 1)), 1).otherwise(0)
+    return F.concat(v["sign"], (v["whole"] + F.floor(units / 1_000_000)).cast("string"), F.lit("."), F.lpad((units % 1_000_000).cast("string"), 6, "0"))

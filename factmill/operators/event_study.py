@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from factmill.functions.text import empty_as_null, percent_return, strict_date
+from factmill.functions.text import empty_as_null, percent_return, six_decimals, strict_date
 
 
 def parse_windows(value: str | Sequence[int]) -> list[int]:
@@ -89,4 +89,4 @@ def coverage_gaps(events: DataFrame, prices: DataFrame) -> DataFrame:
 def shown(returns: DataFrame) -> DataFrame:
     """The rows as text for a file: six decimals, empty for missing."""
     numbers = ("base_close", "exit_close", "return_pct", "benchmark_return_pct", "abnormal_return_pct")
-    return returns.withColumns({c: F.coalesce(F.format_string("%.6f", F.col(c)), F.lit("")) if c not in ("benchmark_return_pct", "abnormal_return_pct") else F.when(F.col(c).isNotNull(), F.format_string("%.6f", F.col(c))).otherwise("") for c in numbers})
+    return returns.withColumns({c: F.coalesce(six_decimals(F.col(c)), F.lit("")) for c in numbers})

@@ -44,6 +44,14 @@ def test_shown_returns(spark):
     assert (row.return_pct, row.benchmark_return_pct, row.base_close, row.abnormal_return_pct) == ("12.345679", "", "1.000000", "-0.000000")
 
 
+def test_shown_returns_are_rounded_by_their_exact_values(spark):
+    """Ties to even and shortest decimals that look like ties, as Python and the SQL's printf write them."""
+    values = [0.1953125, -0.1953125, 0.5859375, 12029.9140625, 0.1234565, 12.3456785, 5e-07, -5e-07, 0.9999995, 1.9999999, -0.0, 1e-9, 84197.04, 4294967296.0000005, 2.0**60]
+    names = ("base_close", "exit_close", "return_pct", "benchmark_return_pct", "abnormal_return_pct")
+    got = es.shown(spark.createDataFrame([(v,) * 5 for v in values] + [(None,) * 5], ", ".join(f"{n} double" for n in names))).collect()
+    assert [set(r) for r in got] == [{f"{v:.6f}"} for v in values] + [{""}]
+
+
 def test_dates_of_matched_items_only(spark):
     items = spark.createDataFrame([("1", "2026-01-09T00:00:00Z", "$F up"), ("2", "soon", "$F up"), ("3", "never", "nothing")], "item_id string, published_at string, text string")
     items = items.withColumns({"source_type": F.lit("financial_media"), "source_url": F.lit("https://x"), "author": F.lit(None).cast("string")})
