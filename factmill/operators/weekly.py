@@ -54,7 +54,8 @@ def weekly_gate(feeds: DataFrame, observed: DataFrame, weeks: DataFrame) -> Data
     A configured feed without an observation is missing; one that was read but whose last item lies before the week is
     stale. A week is complete if every feed succeeded and none is stale or missing.
     """
-    wanted = weeks.select(F.col("period_start").alias("w")).distinct().crossJoin(feeds.select(F.col("feed_id").alias("f")).distinct())  # weeks x configured feeds is the report itself
+    days = F.broadcast(weeks.select(F.col("period_start").alias("w")).distinct())  # the calendar bounds them; a product of two dealt tables would have a task for each pair of their parts
+    wanted = feeds.select(F.col("feed_id").alias("f")).distinct().crossJoin(days)  # weeks x configured feeds is the report itself
     joined = wanted.join(observed, (F.col("w") == F.col("period_start")) & (F.col("f") == F.col("feed_id")), "left")
     missing = F.col("feed_id").isNull()
     stale = ~missing & F.col("ok") & (F.coalesce("last_item", F.to_date(F.lit("0001-01-01"))) < F.col("w"))

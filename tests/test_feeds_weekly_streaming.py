@@ -370,6 +370,14 @@ def test_weekly_gate(spark):
     assert got == {5: (3, 0, 0, 0, True), 12: (0, 1, 1, 1, False)}
 
 
+def test_weekly_gate_has_no_task_for_each_pair_of_parts(spark):
+    """Streamed batches and tables of unknown size too: one side of the product is broadcast."""
+    rows = spark.range(0, 40, 1, 4).selectExpr("DATE '2026-01-05' + INT(id % 2) * 7 AS period_start", "STRING(id % 3) AS feed_id", "true AS ok", "DATE '2026-01-12' AS last_item")
+    seen = rows.rdd.toDF(rows.schema)  # its size is not known
+    plan = wk.weekly_gate(seen.select("feed_id"), seen, seen)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" in plan
+
+
 def test_group_decisions(spark):
     good, failed, twice = ("a", "u", "rss2", "accepted", [ROW], None), ("c", "u", "unknown", "failed", [], "e"), ("a", "w", "rss2", "accepted", [ROW], None)
     rows = [(1, *good), (2, *good), (2, *failed), (3, *good), (3, *twice), (4, "b", "u", "x", "failed", [], "e")]
