@@ -370,6 +370,18 @@ def test_weekly_gate(spark):
     assert got == {5: (3, 0, 0, 0, True), 12: (0, 1, 1, 1, False)}
 
 
+def test_workers_hold_few_payloads_at_a_time(spark):
+    """Payloads and texts reach Python in small batches, not as Arrow batches of a partition; an oversize payload is cut before."""
+    big = b"<rss>" + b"x" * (vocab.MAX_PAYLOAD_BYTES + 9)
+    payloads = spark.createDataFrame([("a", bytearray(RSS)), ("b", bytearray(big)), ("c", None), ("d", bytearray(b"<"))], "feed_id string, content binary")
+    feeds = spark.createDataFrame([(f, "u", "financial_media", None) for f in "abcd"], "feed_id string, feed_url string, source_type string, author string")
+    items = fd.feed_items(payloads, feeds, F.lit("2026-01-01T00:00:00Z"))
+    plan = items._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and not any(x in plan for x in ("MapInPandas", "MapInArrow", "ArrowEvalPython"))
+    assert {(r.feed_id, r.error) for r in fd.payload_faults(payloads).collect()} == {("b", "feed_xml_oversize"), ("c", "feed_xml_invalid"), ("d", "feed_xml_invalid")}
+    assert [r.text for r in items.orderBy("pos").collect()] == ["A & B c d", "two"]
+
+
 def test_weekly_gate_has_no_task_for_each_pair_of_parts(spark):
     """Streamed batches and tables of unknown size too: one side of the product is broadcast."""
     rows = spark.range(0, 40, 1, 4).selectExpr("DATE '2026-01-05' + INT(id % 2) * 7 AS period_start", "STRING(id % 3) AS feed_id", "true AS ok", "DATE '2026-01-12' AS last_item")
