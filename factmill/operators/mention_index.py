@@ -27,6 +27,8 @@ SHAPES = 500_000
 BROADCAST_BYTES = 32 << 20
 
 _ALNUM = "^[a-z0-9]$"
+#: Pieces that a text holds as a whole word: a ticker of letters and digits, or a letter with its $.
+_PLAIN = "kind <> 'phrase' AND piece RLIKE '^[$]?[a-z0-9]+$'"
 
 
 @cache
@@ -42,7 +44,56 @@ def folded(c: Column) -> Column:
 
 
 def _text_key() -> Column:
-    return F.sha2(F.col("text").cast("binary"), 256)
+    """16 bytes for each text."""
+    return F.unhex(F.substring(F.sha2(F.col("text").cast("binary"), 256), 1, 32))
+
+
+def _words(items: DataFrame, *keep: str | Column) -> DataFrame:
+    """Each text's distinct words that stand as a ticker must, and letters with their $."""
+    text = F.col("_folded")
+    tickers = F.regexp_extract_all(text, F.lit(r"(?<![a-z0-9$])[$]?([a-z0-9]+)"), F.lit(1))
+    cashtags = F.regexp_extract_all(text, F.lit(r"(?<![a-z0-9])([$][a-z])(?![a-z0-9])"), F.lit(1))
+    rows = items.where("text <> ''").withColumn("_folded", folded(F.col("text")))
+    return rows.select(*keep, F.explode(F.array_distinct(F.concat(tickers, cashtags))).alias("_word"))
+
+
+def _frequent(plain: DataFrame, items: DataFrame) -> DataFrame:
+    """(piece, n): the pieces in most texts, so many that their rows of ``plain`` may be broadcast."""
+    counts = _words(items).groupBy(F.col("_word").alias("piece")).agg(F.count(F.lit(1)).alias("n"))
+    rows = plain.groupBy("piece").agg(F.sum(_held()).alias("bytes")).join(counts, "piece")
+    rows = written(rows.withColumn("size", F.floor(F.log2("n"))), "alias-counts")
+    least, room = 64, BROADCAST_BYTES
+    for r in rows.groupBy("size").agg(F.sum("bytes").alias("bytes")).orderBy(F.desc("size")).collect():  # at most 63
+        if (room := room - r["bytes"]) < 0:
+            break
+        least = r["size"]
+    return rows.where(F.col("size") >= least).select("piece")
+
+
+def _held() -> Column:
+    return F.octet_length("piece") + F.octet_length("symbol") + 100
+
+
+def _word_hits(items: DataFrame, plain: DataFrame, item_columns: tuple[str, ...]) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the result that words alone decide, and (text_key, symbol) of other such words.
+
+    A symbol of a single literal is found once in a text, as its words are distinct; such rows are whole where the text
+    is. Symbols of several literals, and words too rare to be broadcast, go by the text's key. Of the words, only rare ones are shuffled.
+    """
+    bytes_held = plain.agg(F.coalesce(F.sum(_held()), F.lit(0))).first()[0]
+    table = plain.select("piece", "symbol", "single")
+    common, rare = table, None
+    if bytes_held > BROADCAST_BYTES:
+        often = F.broadcast(_frequent(plain, items))
+        common, rare = table.join(often, "piece", "left_semi"), table.join(often, "piece", "left_anti")
+    near = F.broadcast(common.where("single").select(F.col("piece").alias("_of"), F.col("symbol").alias("_symbol")))
+    whole = _words(items, *item_columns).join(near, F.col("_word") == F.col("_of"))
+    keyed = _words(items, _text_key().alias("text_key")).withColumnRenamed("_word", "piece")
+    found = keyed.join(F.broadcast(common.where("NOT single").select("piece", "symbol")), "piece").select("text_key", "symbol")
+    if rare is not None:
+        others = keyed.join(F.broadcast(common.select("piece").distinct()), "piece", "left_anti")
+        found = found.unionByName(others.join(rare.select("piece", "symbol").hint("merge"), "piece").select("text_key", "symbol"))
+    return whole.select(*item_columns, F.col("_symbol").alias("symbol")), found
 
 
 def _blocks(items: DataFrame, longest: int) -> DataFrame:
@@ -134,10 +185,26 @@ def indexed_mentions(items: DataFrame, aliases: DataFrame, item_columns: tuple[s
     """
     items = items.withColumn("text", F.coalesce("text", F.lit("")))
     pieces = written(alias_pieces(aliases), "alias-pieces")
-    held = pieces.agg(F.coalesce(F.sum(F.octet_length("piece") + F.octet_length("symbol") + 100), F.lit(0)), F.coalesce(F.max(F.char_length("piece")), F.lit(0)), F.coalesce(F.max("pieces"), F.lit(0))).first()
+    literals = pieces.groupBy(F.col("symbol").alias("_of")).agg((F.count_distinct("kind", "literal_key") == 1).alias("single"))
+    plain = written(pieces.where(_PLAIN).join(literals, F.col("symbol").eqNullSafe(F.col("_of"))).drop("_of"), "alias-words")
+    pieces = pieces.where(f"NOT ({_PLAIN})")
+    rows = items.where("text <> ''").select(*item_columns, _text_key().alias("_text_key"))
+    whole, found = _word_hits(items, plain, item_columns)
+    others = _place_hits(items, pieces)
+    return whole.unionByName(_by_text(rows, found if others is None else found.unionByName(others), item_columns))
+
+
+def _by_text(rows: DataFrame, found: DataFrame, item_columns: tuple[str, ...]) -> DataFrame:
+    found = found.distinct().withColumnsRenamed({"text_key": "_found_in", "symbol": "_found"})
+    return rows.join(found, F.col("_text_key") == F.col("_found_in")).select(*item_columns, F.col("_found").alias("symbol"))
+
+
+def _place_hits(items: DataFrame, pieces: DataFrame) -> DataFrame | None:
+    """(text_key, symbol) of phrases and of tickers with a dot or dash, found by the keys that they are filed under."""
+    held = pieces.agg(F.coalesce(F.sum(_held()), F.lit(0)), F.coalesce(F.max(F.char_length("piece")), F.lit(0)), F.coalesce(F.max("pieces"), F.lit(0))).first()
     bytes_held, longest, most = held
     if not longest:
-        return items.select(*item_columns, F.lit("").alias("symbol")).limit(0)
+        return None
     shapes = written(filed(pieces, items), "alias-grams")
     number = shapes.count()
     kinds = _key_kinds(shapes)
@@ -157,6 +224,4 @@ def indexed_mentions(items: DataFrame, aliases: DataFrame, item_columns: tuple[s
     if most > 1:
         whole = hits.where("pieces > 1").groupBy("text_key", "literal_key", "symbol", (F.col("start") - F.col("offset")).alias("begin"), "pieces").agg(F.count_distinct("offset").alias("have"))
         found = found.unionByName(whole.where("have = pieces").select("text_key", "symbol"))
-    found = found.distinct().withColumnsRenamed({"text_key": "_found_in", "symbol": "_found"})
-    rows = items.where("text <> ''").select(*item_columns, _text_key().alias("_text_key"))
-    return rows.join(found, F.col("_text_key") == F.col("_found_in")).select(*item_columns, F.col("_found").alias("symbol"))
+    return found

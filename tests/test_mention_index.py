@@ -66,3 +66,15 @@ def test_ten_thousand_aliases_and_no_text_in_a_shuffle(spark):
     assert "Python" not in plan and "Arrow" not in plan
     shuffled = [line for line in plan.split("Final Plan")[-1].splitlines() if "Exchange hash" in line]
     assert shuffled and all("hashpartitioning(text_key" in line or "_text_key" in line or "_found_in" in line for line in shuffled)
+
+
+@pytest.mark.parametrize("held", [mi.BROADCAST_BYTES, 3000, 0])
+def test_words_are_found_whether_they_are_broadcast_or_not(spark, monkeypatch, held):
+    """Only words too rare to be broadcast are shuffled; the rows are the scan's."""
+    monkeypatch.setattr(mi, "BROADCAST_BYTES", held)
+    texts = ["$one two, one", "two $$three Three", "a$one", "four-five $f $$f", "one two three four five six", "", "six.", "six."]
+    items, loaded = frames(spark, texts, [(w, w) for w in ("one", "two", "four", "five")] + [("many", "three|six|four"), ("f", "f"), *((f"x{i}", "") for i in range(40))])
+    wanted = rows(mt.mentions(items, loaded))
+    found = mi.indexed_mentions(items, loaded)
+    assert rows(found) == wanted and len(wanted) > 10
+    assert {len(bytes(r[0])) for r in items.where("text <> ''").select(mi._text_key()).collect()} == {16}
